@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerguard.functions.geo import haversine_km
 from ledgerguard.operators import warehouse
-from ledgerguard.operators.rules import default_rules, rule_precision
+from ledgerguard.operators.rules import DEFAULT_RULE_NAMES, rule_precision
 from ledgerguard.plans.common import card_featured, card_ruled, card_scored, card_txn, rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, RULES_CTE, SCORED_CTE, TXN_CTE, with_
@@ -168,7 +168,7 @@ def _rule_query(name):
     return q
 
 
-for _name in [r.name for r in default_rules()]:
+for _name in DEFAULT_RULE_NAMES:
     _rid = {"card_testing": "r1", "high_amount_new_card": "r2", "impossible_travel": "r3",
             "velocity_spike": "r4"}[_name]
     register(f"{_rid}_{_name}", with_(RULES_CTE, f"""
