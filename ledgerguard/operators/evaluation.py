@@ -55,8 +55,13 @@ def at_k(df: DataFrame, k: int, score="score", label="is_fraud", amount_minor="a
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row aggregates side by side (each side is one row by construction)."""
-    return a.withColumn("_j", F.lit(1)).join(F.broadcast(b.withColumn("_j", F.lit(1))), "_j").drop("_j")
+    """Attach the columns of the single-row aggregate ``b`` to every row of ``a``.
+
+    ``b`` becomes one uncorrelated scalar subquery (run once, reused for every
+    field) instead of a join, so no cross product is ever planned."""
+    cols = b.columns
+    s = b.select(F.struct(*[F.col(c) for c in cols]).alias("_s")).scalar()
+    return a.select("*", *[s.getField(c).alias(c) for c in cols])
 
 
 def average_precision(df: DataFrame, score="score", label="is_fraud") -> DataFrame:

@@ -120,3 +120,141 @@ scored AS (
 
 def with_(cte: str, body: str) -> str:
     return "WITH " + cte.strip() + "\n" + body
+
+WIDE_CTE = """
+tx AS (
+  SELECT o_orderkey AS TransactionID,
+         CAST((o_orderkey * 7919) % 1000 < 35 AS INTEGER) AS isFraud,
+         (epoch_us(o_orderdate) - 788918400000000) // 1000000 AS TransactionDT,
+         o_totalprice AS TransactionAmt,
+         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'W' WHEN '2' THEN 'C' WHEN '3' THEN 'R'
+              WHEN '4' THEN 'H' WHEN '5' THEN 'S' END AS ProductCD,
+         o_custkey AS card1, CAST(c_nationkey AS DOUBLE) AS card2, 150.0 AS card3,
+         ['visa', 'mastercard', 'american express', 'discover'][o_custkey % 4 + 1] AS card4,
+         CAST(100 + c_nationkey % 4 AS DOUBLE) AS card5,
+         CASE WHEN o_custkey % 3 = 0 THEN 'debit' ELSE 'credit' END AS card6,
+         CAST(c_nationkey AS DOUBLE) AS addr1,
+         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 500 AS DOUBLE) END AS dist1,
+         lower(c_mktsegment) || '.com' AS P_emaildomain,
+         CAST(o_custkey % 13 AS DOUBLE) AS C1, CAST(c_nationkey * 3 % 11 AS DOUBLE) AS C2,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 200 AS DOUBLE) END AS D1,
+         CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE CAST(o_custkey % 30 AS DOUBLE) END AS D2,
+         CAST(o_orderkey % 17 AS DOUBLE) AS V1, CAST(o_orderkey % 5 AS DOUBLE) AS V2,
+         o_orderstatus AS M4, CASE WHEN o_orderkey % 2 = 0 THEN 'T' ELSE 'F' END AS M6
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+),
+idn AS (
+  SELECT l_orderkey AS TransactionID,
+         CASE WHEN p % 2 = 0 THEN 'mobile' ELSE 'desktop' END AS DeviceType,
+         CASE WHEN p % 4 = 0 THEN 'Windows' ELSE 'dev' || CAST(p AS VARCHAR) END AS DeviceInfo,
+         CAST((p % 50) * -5 AS DOUBLE) AS id_01, id_31, id_33
+  FROM (SELECT l_orderkey, min(l_partkey) AS p, min(l_returnflag) AS id_31, min(l_linestatus) AS id_33
+        FROM lineitem GROUP BY l_orderkey)
+  WHERE p % 3 <> 0
+),
+joined AS (SELECT tx.*, idn.DeviceType, idn.DeviceInfo, idn.id_01, idn.id_31, idn.id_33
+           FROM tx LEFT JOIN idn USING (TransactionID)),
+w AS (SELECT j.*, 1512086400000000 + TransactionDT * 1000000 AS ts_us, TransactionAmt AS amount,
+             isFraud AS is_fraud, CAST(round(TransactionAmt * 1000) AS BIGINT) AS amount_minor,
+             TransactionDT // 86400 AS day
+      FROM joined j),
+wk AS (
+  SELECT w.*,
+    concat_ws('-', coalesce(CAST(card1 AS VARCHAR), 'na'), coalesce(CAST(card2 AS VARCHAR), 'na'),
+              coalesce(CAST(card3 AS VARCHAR), 'na'), coalesce(CAST(card5 AS VARCHAR), 'na'),
+              coalesce(CAST(addr1 AS VARCHAR), 'na')) AS uid,
+    coalesce(DeviceInfo, 'na') || '|' || coalesce(id_31, 'na') || '|' || coalesce(id_33, 'na') AS device_fp,
+    coalesce(P_emaildomain, 'missing') AS email,
+    DeviceInfo IS NOT NULL AS device_valid,
+    P_emaildomain IS NOT NULL AS email_valid,
+    coalesce(CAST(card1 AS VARCHAR), 'na') || '_' || coalesce(CAST(addr1 AS VARCHAR), 'na') || '_'
+      || CAST(round_even(D1 - floor(TransactionDT / 86400), 0) + 0.0 AS VARCHAR) AS client_key
+  FROM w
+),
+upairs AS (
+  SELECT a.TransactionID,
+    count(b.TransactionID) FILTER (WHERE b.ts_us >= a.ts_us - 86400000000) AS c24,
+    coalesce(sum(b.amount_minor) FILTER (WHERE b.ts_us >= a.ts_us - 86400000000), 0) AS s24,
+    count(b.TransactionID) AS n_prior,
+    CAST(coalesce(sum(b.amount_minor), 0) AS HUGEINT) AS s_all,
+    CAST(coalesce(sum(CAST(b.amount_minor AS HUGEINT) * b.amount_minor), 0) AS HUGEINT) AS q_all
+  FROM wk a LEFT JOIN wk b ON a.uid = b.uid
+   AND (b.ts_us < a.ts_us OR (b.ts_us = a.ts_us AND b.TransactionID < a.TransactionID))
+  GROUP BY a.TransactionID
+),
+dpairs AS (
+  SELECT a.TransactionID, count(DISTINCT b.card1) AS prior_cards
+  FROM wk a LEFT JOIN wk b ON a.device_fp = b.device_fp AND b.device_valid
+   AND (b.ts_us < a.ts_us OR (b.ts_us = a.ts_us AND b.TransactionID < a.TransactionID))
+  WHERE a.device_valid
+  GROUP BY a.TransactionID
+),
+firsts AS (
+  SELECT col, value, row_number() OVER (PARTITION BY col ORDER BY ft, fi) - 1 AS code FROM (
+    SELECT col, value, arg_min(ts_us, struct_pack(t := ts_us, i := TransactionID)) AS ft,
+           arg_min(TransactionID, struct_pack(t := ts_us, i := TransactionID)) AS fi
+    FROM (SELECT ts_us, TransactionID, 'card4' AS col, card4 AS value FROM wk UNION ALL
+          SELECT ts_us, TransactionID, 'card6', card6 FROM wk UNION ALL
+          SELECT ts_us, TransactionID, 'DeviceType', DeviceType FROM wk UNION ALL
+          SELECT ts_us, TransactionID, 'M4', M4 FROM wk UNION ALL
+          SELECT ts_us, TransactionID, 'M6', M6 FROM wk UNION ALL
+          SELECT ts_us, TransactionID, 'id_31', id_31 FROM wk UNION ALL
+          SELECT ts_us, TransactionID, 'id_33', id_33 FROM wk)
+    WHERE value IS NOT NULL GROUP BY col, value)
+),
+wf AS (
+  SELECT k.*,
+    ln(1 + amount) AS amount_log,
+    amount % 1.0 AS amount_cents,
+    CAST((ts_us // 3600000000) % 24 AS INTEGER) AS hour,
+    isodow(make_timestamp(ts_us)) - 1 AS dayofweek,
+    CAST((ts_us // 3600000000) % 24 BETWEEN 0 AND 5 AS INTEGER) AS is_night,
+    CAST(u.c24 AS DOUBLE) AS uid_txn_24h,
+    u.s24 / 1000.0 AS uid_amt_24h,
+    ln(1 + coalesce((ts_us - lag(ts_us) OVER (PARTITION BY uid ORDER BY ts_us, TransactionID)) / 1000000.0, 2592000.0)) AS uid_tsl_log,
+    CASE WHEN u.n_prior >= 2 AND u.n_prior * u.q_all - u.s_all * u.s_all > 0
+         THEN CAST(u.n_prior * amount_minor - u.s_all AS DOUBLE) / sqrt(CAST(u.n_prior * u.q_all - u.s_all * u.s_all AS DOUBLE))
+         ELSE 0.0 END AS uid_amount_z,
+    CAST(u.n_prior AS DOUBLE) AS uid_prior_txn,
+    CASE WHEN device_valid THEN CAST(row_number() OVER (PARTITION BY device_fp, device_valid ORDER BY ts_us, TransactionID) - 1 AS DOUBLE) ELSE 0.0 END AS device_prior_txn,
+    CASE WHEN device_valid THEN CAST(d.prior_cards AS DOUBLE) ELSE 0.0 END AS device_prior_cards,
+    CASE WHEN device_valid THEN (count(*) OVER (PARTITION BY device_fp, device_valid)) / (count(*) OVER ()) ELSE 0.0 END AS device_fp_freq,
+    CASE WHEN email_valid THEN CAST(count(*) OVER (PARTITION BY email) AS DOUBLE) ELSE 0.0 END AS email_domain_freq,
+    CAST(count(*) OVER (PARTITION BY card1) AS DOUBLE) AS card1_freq,
+    CAST(row_number() OVER (PARTITION BY card1 ORDER BY ts_us, TransactionID) - 1 AS DOUBLE) AS card1_prior_txn,
+    CAST(device_valid AS INTEGER) AS has_identity,
+    CASE WHEN addr1 IS NULL THEN -1.0 ELSE CAST(count(*) OVER (PARTITION BY addr1) AS DOUBLE) END AS addr1_freq,
+    CASE WHEN client_key IS NULL THEN -1.0 ELSE CAST(row_number() OVER (PARTITION BY client_key ORDER BY ts_us, TransactionID) - 1 AS DOUBLE) END AS client_prior_txn,
+    CASE WHEN client_key IS NULL THEN -1.0 ELSE CAST(count(*) OVER (PARTITION BY client_key) AS DOUBLE) END AS client_freq,
+    (sum(amount_minor) OVER (PARTITION BY card1 ORDER BY ts_us, TransactionID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+      / (row_number() OVER (PARTITION BY card1 ORDER BY ts_us, TransactionID) - 1) / 1000.0 AS _mean,
+    CASE WHEN card2 IS NULL THEN -1.0 ELSE CAST(count(*) OVER (PARTITION BY card2) AS DOUBLE) END AS card2_freq,
+    CASE WHEN card3 IS NULL THEN -1.0 ELSE CAST(count(*) OVER (PARTITION BY card3) AS DOUBLE) END AS card3_freq,
+    CASE WHEN card5 IS NULL THEN -1.0 ELSE CAST(count(*) OVER (PARTITION BY card5) AS DOUBLE) END AS card5_freq,
+    CAST(count(*) OVER (PARTITION BY coalesce(CAST(card1 AS VARCHAR), 'na') || '_' || coalesce(CAST(addr1 AS VARCHAR), 'na')) AS DOUBLE) AS card1_addr1_freq,
+    coalesce(D1 - day, -1.0) AS D1_norm,
+    coalesce(D2 - day, -1.0) AS D2_norm,
+    CAST(coalesce(ProductCD = 'W', false) AS INTEGER) AS pcd_W, CAST(coalesce(ProductCD = 'C', false) AS INTEGER) AS pcd_C,
+    CAST(coalesce(ProductCD = 'R', false) AS INTEGER) AS pcd_R, CAST(coalesce(ProductCD = 'H', false) AS INTEGER) AS pcd_H,
+    CAST(coalesce(ProductCD = 'S', false) AS INTEGER) AS pcd_S,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'card4' AND f.value = k.card4), -1) AS card4_code,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'card6' AND f.value = k.card6), -1) AS card6_code,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'DeviceType' AND f.value = k.DeviceType), -1) AS DeviceType_code,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'M4' AND f.value = k.M4), -1) AS M4_code,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'M6' AND f.value = k.M6), -1) AS M6_code,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'id_31' AND f.value = k.id_31), -1) AS id_31_code,
+    coalesce((SELECT code FROM firsts f WHERE f.col = 'id_33' AND f.value = k.id_33), -1) AS id_33_code
+  FROM wk k JOIN upairs u USING (TransactionID) LEFT JOIN dpairs d USING (TransactionID)
+),
+wfeat AS (
+  SELECT wf.*, coalesce(_mean, -1.0) AS card1_prior_amt_mean,
+         CASE WHEN _mean > 0 THEN amount / _mean ELSE 1.0 END AS amt_to_card1_mean
+  FROM wf
+)"""
+
+RING_CTE = WIDE_CTE + """,
+rings AS (
+  SELECT wfeat.*,
+    (device_prior_cards > 0 AND device_fp_freq > 0 AND device_fp_freq < 0.002) AS specific
+  FROM wfeat
+)"""
