@@ -148,3 +148,13 @@ def load_wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def wide_ts_us(dt_col="TransactionDT"):
     return F.lit(WIDE_REF_DATE_US) + F.col(dt_col) * F.lit(US_PER_SECOND)
+
+
+def prepare_card_frame(raw: DataFrame, scale: int = 2) -> DataFrame:
+    """Canonical raw card transactions (``TXN_SCHEMA``: ts and card_issue_date as
+    naive timestamps) -> operator input: adds ts_us, issue_us and amount_minor."""
+    return raw.withColumns({
+        "ts_us": epoch_us("ts"),
+        "issue_us": epoch_us("card_issue_date"),
+        "amount_minor": F.round(F.col("amount") * F.lit(10 ** scale)).cast("long"),
+    })
