@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerguard.operators.features import add_card_features
+from ledgerguard.operators.features import add_card_features_skew_safe
 from ledgerguard.operators.rules import apply_rules, reason_codes
 from ledgerguard.sources.adapters import load_card_transactions
 
@@ -22,7 +22,8 @@ def card_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def card_featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_card_features(card_txn(spark, sf_dir))
+    """Card features; keys above the hot-key threshold take the per-day split path."""
+    return add_card_features_skew_safe(card_txn(spark, sf_dir))
 
 
 def card_ruled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,31 @@ def test_no_leakage_after_truncation(spark):
     cut = t.approxQuantile("ts_us", [0.4], 0.0)[0]
     cols = ["txn_count_1h", "amt_sum_24h", "amount_z", "mcc_novel", "geo_speed_kmh"]
     assert leakage_check(t, add_card_features, int(cut), cols=cols).count() == 0
+
+
+def test_hot_key_split_equals_plain_path(spark):
+    from ledgerguard.operators.features import add_card_features_skew_safe, detect_hot_keys
+    from ledgerguard.sources.adapters import load_card_transactions
+    t = load_card_transactions(spark, "/root/testdata/sf0.001")
+    cols = ["transaction_id", "txn_count_1h", "amt_sum_1h", "txn_count_24h", "amt_sum_24h", "amount_z",
+            "time_since_last_s", "geo_dist_km", "geo_speed_kmh", "mcc_novel", "card_age_days"]
+    plain = add_card_features(t).select(cols)
+    every = [r[0] for r in t.select("card_id").distinct().collect()]
+    split = add_card_features_skew_safe(t, hot_keys=every).select(cols)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert len(detect_hot_keys(t, min_rows=10, max_keys=3)) == 3
+
+
+def test_hot_key_split_day_gaps_and_ties(spark):
+    """Hot path across empty days (previous row from an earlier day) and ties."""
+    from ledgerguard.operators.features import add_card_features_skew_safe
+    d, h = dt.timedelta(days=1), dt.timedelta(hours=1)
+    rows = [(1, 1, 1, 1, 10.0, T0, 10.0, 10.0, "CNP"), (2, 1, 1, 2, 20.0, T0, 10.0, 10.0, "CP"),
+            (3, 1, 1, 1, 30.0, T0 + 23 * h, 11.0, 10.0, "CP"), (4, 1, 1, 1, 40.0, T0 + d + h, 12.0, 10.0, "CNP"),
+            (5, 1, 1, 3, 50.0, T0 + 5 * d, 40.0, 10.0, "CP"), (6, 1, 1, 2, 60.0, T0 + 5 * d + h, 40.0, 10.0, "CP")]
+    t = card_frame(spark, rows)
+    cols = ["transaction_id", "txn_count_1h", "amt_sum_24h", "txn_count_24h", "amount_z", "time_since_last_s",
+            "geo_dist_km", "mcc_novel"]
+    a = add_card_features(t).select(cols)
+    b = add_card_features_skew_safe(t, hot_keys=[1]).select(cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
