@@ -130,3 +130,40 @@ def prior_distinct(key, value: str, ts="ts_us", tie="transaction_id",
 def total_count(key) -> Column:
     """Rows of the key over the whole frame (NULL keys are one group in a window)."""
     return F.count(F.lit(1)).over(Window.partitionBy(*_keys(key)))
+
+
+def prior_count_distinct_by_day(df, key: str, value: str, valid, ts: str = "ts_us", tie: str = "transaction_id",
+                                bucket_us: int = 86_400_000_000, prefix: str = "_d"):
+    """Two-level prior count, prior distinct ``value`` and total rows per ``key``
+    for keys that may be hot (one key holding a large share of all rows).
+
+    * first appearance of (key, value): grouped min, joined back;
+    * per (key, day): row count and first-appearance count, prefix over days
+      (one row per key-day);
+    * inside a day: row_number and a running sum of first-appearance flags.
+    Windows are partitioned by (key, day), so a hot key spreads over its days.
+    Adds ``{prefix}_prior_n``, ``{prefix}_prior_distinct`` and ``{prefix}_total``
+    (NULL where ``valid`` is false).
+    """
+    from pyspark.sql import DataFrame  # noqa: F401
+    vcol = F.col(valid) if isinstance(valid, str) else valid
+    rows = df.withColumn("_v", vcol).withColumn("_bk", F.floor(F.col(ts) / F.lit(bucket_us)).cast("long"))
+    first = (rows.where("_v").groupBy(key, value)
+             .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"))).alias("_vf")))
+    rows = rows.join(first, [key, value], "left").withColumn(
+        "_f", F.when(F.col("_v") & (F.col("_vf.t") == F.col(ts)) & (F.col("_vf.i") == F.col(tie)), 1).otherwise(0))
+    day = rows.where("_v").groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_dn"), F.sum("_f").alias("_df"))
+    wd = Window.partitionBy(key).orderBy("_bk")
+    before = wd.rowsBetween(UNB, -1)
+    day = day.select(key, "_bk",
+                     F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_pn"),
+                     F.coalesce(F.sum("_df").over(before), F.lit(0)).alias("_pf"),
+                     F.sum("_dn").over(Window.partitionBy(key)).alias("_tot"))
+    rows = rows.join(day, [key, "_bk"], "left")
+    w = Window.partitionBy(key, "_bk").orderBy(F.col(ts), F.col(tie))
+    n_before = F.col("_pn") + F.row_number().over(w) - 1
+    f_before = F.col("_pf") + F.coalesce(F.sum("_f").over(w.rowsBetween(UNB, -1)), F.lit(0))
+    out = rows.select("*", F.when(F.col("_v"), n_before).alias(f"{prefix}_prior_n"),
+                      F.when(F.col("_v"), f_before).alias(f"{prefix}_prior_distinct"),
+                      F.when(F.col("_v"), F.col("_tot")).alias(f"{prefix}_total"))
+    return out.drop("_v", "_bk", "_vf", "_f", "_pn", "_pf", "_tot")

@@ -60,13 +60,28 @@ def client_key(df: DataFrame) -> Column:
     return F.concat(_s("card1"), F.lit("_"), a1, F.lit("_"), d1n.cast("double").cast("string"))
 
 
-def _freq_join(out: DataFrame, src: DataFrame, key: Column, name: str, null_as: float | None = -1.0) -> DataFrame:
-    """Raw count of rows sharing ``key``.  The counts are aggregated from the raw
+BROADCAST_MAX_KEYS = 200_000
+
+
+def key_cardinalities(src: DataFrame, keys: dict[str, Column]) -> dict[str, int]:
+    """Approximate distinct count of every key in ONE pass (HyperLogLog, 1 %
+    relative error), used to decide which count tables may be broadcast."""
+    aggs = [F.approx_count_distinct(k, 0.01).alias(n) for n, k in keys.items()]
+    row = src.agg(*aggs).first()
+    return {n: int(row[n]) for n in keys}
+
+
+def _freq_join(out: DataFrame, src: DataFrame, key: Column, name: str, null_as: float | None = -1.0,
+               cardinality: int | None = None) -> DataFrame:
+    """Raw count of rows sharing ``key``.  Counts are aggregated from the raw
     input ``src`` (partial aggregation right after the scan, never from the
-    windowed frame) and joined back; AQE broadcasts the count table when its
-    runtime size is small and falls back to a shuffle join otherwise."""
+    windowed frame).  A count table whose measured cardinality is under
+    ``BROADCAST_MAX_KEYS`` is broadcast (the big side is not shuffled);
+    otherwise it is a shuffle join."""
     cnt = (src.select(key.alias("_k")).where(F.col("_k").isNotNull())
            .groupBy("_k").agg(F.count(F.lit(1)).alias(name)))
+    if cardinality is not None and cardinality * 1.05 <= BROADCAST_MAX_KEYS:
+        cnt = F.broadcast(cnt)
     res = out.withColumn("_k", key).join(cnt, "_k", "left").drop("_k")
     if null_as is not None:
         res = res.withColumn(name, F.coalesce(F.col(name).cast("double"), F.lit(float(null_as))))
@@ -129,6 +144,20 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ)
         "_a1_s": _s("addr1") if has("addr1") else F.lit("na"),
     })
 
+    # --- device fingerprint: popular fingerprints are the documented hot keys, so
+    # prior counts / prior distinct cards are computed in two levels (per
+    # fingerprint-day); rows without a device are 0 by definition.
+    valid = F.col("_device_valid")
+    n_total = df.agg(F.count(F.lit(1)).alias("n"))
+    base = asof.prior_count_distinct_by_day(base, "device_fp", "card1", valid, tie=TIE, prefix="_dev")
+    base = _with_total(base, n_total)
+    base = base.select(
+        "*",
+        F.coalesce(F.col("_dev_prior_n"), F.lit(0)).cast("double").alias("device_prior_txn"),
+        F.coalesce(F.col("_dev_prior_distinct"), F.lit(0)).cast("double").alias("device_prior_cards"),
+        F.when(valid, F.col("_dev_total") / F.col("_n_all")).otherwise(F.lit(0.0)).alias("device_fp_freq"),
+    ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
+
     # --- account (uid) dynamics: one Exchange on uid
     u = "uid"
     gap = asof.gap_seconds(u, None, tie=TIE)
@@ -160,33 +189,21 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ)
         F.when(ck_valid, asof.prior_count("_ck", tie=TIE)).cast("double").alias("client_prior_txn"),
         F.when(ck_valid, asof.total_count("_ck")).cast("double").alias("client_freq"),
     )
-    # --- device fingerprint: rows without a device get a per-row key (0 by definition)
-    valid = F.col("_device_valid")
-    base = base.withColumn("_dk", spread_nulls(F.col("device_fp"), valid))
-    flag, distinct = asof.prior_distinct("_dk", "card1", tie=TIE)
-    n_total = df.agg(F.count(F.lit(1)).alias("n"))
-    out = base.select("*", flag.alias("_first")).select(
-        "*",
-        F.when(valid, asof.prior_count("_dk", tie=TIE)).otherwise(F.lit(0)).cast("double").alias("device_prior_txn"),
-        F.when(valid, distinct).otherwise(F.lit(0)).cast("double").alias("device_prior_cards"),
-        asof.total_count("_dk").alias("_fp_n"),
-    ).drop("_first")
-    out = _with_total(out, n_total)
-    out = out.withColumn("device_fp_freq", F.when(valid, F.col("_fp_n") / F.col("_n_all")).otherwise(F.lit(0.0))) \
-             .drop("_fp_n", "_n_all", "_dk", "_ck")
-
+    out = base.drop("_ck")
     # --- frequencies of other keys: counts from the raw input, joined back
     email = F.coalesce(F.col("P_emaildomain"), F.lit("missing")) if has("P_emaildomain") else F.lit("missing")
-    out = _freq_join(out, df, email, "email_domain_freq", None)
-    out = out.withColumn("email_domain_freq", F.when(F.col("_email_valid"), F.col("email_domain_freq").cast("double"))
-                         .otherwise(F.lit(0.0)))
-    freq_cols = []
+    freq_keys: dict[str, Column] = {"email_domain_freq": email}
     for c in ("addr1", "card2", "card3", "card5"):
         if has(c):
-            out = _freq_join(out, df, F.col(c), f"{c}_freq")
-            freq_cols.append(f"{c}_freq")
+            freq_keys[f"{c}_freq"] = F.col(c)
     if has("addr1"):
-        out = _freq_join(out, df, F.concat(_s("card1"), F.lit("_"), _s("addr1")), "card1_addr1_freq")
+        freq_keys["card1_addr1_freq"] = F.concat(_s("card1"), F.lit("_"), _s("addr1"))
+    card = key_cardinalities(df, freq_keys)
+    for name, key in freq_keys.items():
+        out = _freq_join(out, df, key, name, None if name == "email_domain_freq" else -1.0, card[name])
+    out = out.withColumn("email_domain_freq", F.when(F.col("_email_valid"), F.col("email_domain_freq").cast("double"))
+                         .otherwise(F.lit(0.0)))
+    freq_cols = [n for n in freq_keys if n in ("card2_freq", "card3_freq", "card5_freq", "addr1_freq")]
 
     feats: dict[str, Column] = {
         "amount_log": F.log1p(F.col("amount")),
