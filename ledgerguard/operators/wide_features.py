@@ -107,7 +107,56 @@ def first_appearance_codes(df: DataFrame, cols: list[str], ts: str = "ts_us", ti
     return first.select("column_name", "value", (F.row_number().over(w) - 1).alias("code"))
 
 
-def _apply_codes(df: DataFrame, cols: list[str], mapping: DataFrame) -> DataFrame:
+def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Column], device_fp: Column,
+                   device_valid: Column, hot_min_rows: int, ts: str = "ts_us", tie: str = TIE):
+    """Plan-time statistics of the wide table in ONE pass and ONE bounded collect:
+
+    * first-appearance codes of the categorical columns (E21 mapping);
+    * fingerprints with at least ``hot_min_rows`` rows (hot keys);
+    * the number of distinct values of every frequency key (broadcast check).
+
+    All keys are unpivoted into (name, value) pairs and aggregated once; the
+    three summaries are unions over that one aggregate.  Returns
+    (code rows or None when there are more than CODE_MAP_INLINE_MAX, hot
+    fingerprints, {freq key: distinct values}).
+    """
+    names = [(f"c:{c}", F.col(c).cast("string")) for c in code_cols]
+    names += [(f"f:{n}", k.cast("string")) for n, k in freq_keys.items()]
+    names.append(("d:device_fp", F.when(device_valid, device_fp)))
+    long = df.select(F.col(ts), F.col(tie), F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in names])).alias("kv"))
+    long = long.select(ts, tie, "kv.name", "kv.value").where(F.col("value").isNotNull())
+    agg = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"),
+                                            F.min(F.struct(F.col(ts), F.col(tie))).alias("f"))
+    w = Window.partitionBy("name").orderBy(F.col("f"))
+    codes = (agg.where(F.col("name").startswith("c:"))
+             .select("name", "value", (F.row_number().over(w) - 1).alias("k")))
+    hot = (agg.where((F.col("name") == "d:device_fp") & (F.col("n") >= hot_min_rows))
+           .orderBy(F.desc("n")).limit(HOT_MAX_KEYS).select("name", "value", F.col("n").alias("k")))
+    card = (agg.where(F.col("name").startswith("f:")).groupBy("name").agg(F.count(F.lit(1)).alias("k"))
+            .select("name", F.lit(None).cast("string").alias("value"), "k"))
+    limit = CODE_MAP_INLINE_MAX + HOT_MAX_KEYS + len(freq_keys) + 1
+    rows = codes.unionByName(hot).unionByName(card).limit(limit).collect()
+    code_rows = [r for r in rows if r["name"].startswith("c:")]
+    hot_fps = [r["value"] for r in rows if r["name"] == "d:device_fp"]
+    cards = {r["name"][2:]: int(r["k"]) for r in rows if r["name"].startswith("f:")}
+    if len(code_rows) > CODE_MAP_INLINE_MAX or len(rows) >= limit:
+        code_rows = None
+    else:
+        code_rows = [(r["name"][2:], r["value"], int(r["k"])) for r in code_rows]
+    return code_rows, hot_fps, cards
+
+
+def _apply_codes(df: DataFrame, cols: list[str], mapping: DataFrame, rows=None) -> DataFrame:
+    """Codes inlined as literal maps when the mapping (size checked) is small,
+    else joined."""
+    if rows is not None:
+        new = {}
+        for c in cols:
+            kv = [x for (name, value, code) in rows if name == c for x in (F.lit(value), F.lit(code))]
+            m = F.create_map(*kv) if kv else F.create_map().cast("map<string,bigint>")
+            new[f"{c}_code"] = F.coalesce(F.element_at(m, F.col(c).cast("string")), F.lit(-1))
+        return df.withColumns(new)
     rows = mapping.limit(CODE_MAP_INLINE_MAX + 1).collect()
     if len(rows) <= CODE_MAP_INLINE_MAX:
         # size checked: inline the mapping as literal maps (no join, no shuffle)
@@ -125,7 +174,25 @@ def _apply_codes(df: DataFrame, cols: list[str], mapping: DataFrame) -> DataFram
     return out
 
 
-def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ) -> tuple[DataFrame, list[str]]:
+def _device_windows(base: DataFrame, valid: Column) -> DataFrame:
+    """Device prior count / prior distinct cards / total rows in one window
+    Exchange on the fingerprint (NULL devices spread by row)."""
+    b = base.withColumn("_dk", spread_nulls(F.col("device_fp"), valid))
+    flag, distinct = asof.prior_distinct("_dk", "card1", tie=TIE)
+    return b.select("*", flag.alias("_first")).select(
+        "*",
+        asof.prior_count("_dk", tie=TIE).alias("_dev_prior_n"),
+        distinct.alias("_dev_prior_distinct"),
+        asof.total_count("_dk").alias("_dev_total"),
+    ).drop("_first", "_dk")
+
+
+HOT_MIN_ROWS = 1_000_000
+HOT_MAX_KEYS = 1_000
+
+
+def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ, hot_devices: list | None = None,
+                      hot_min_rows: int = HOT_MIN_ROWS) -> tuple[DataFrame, list[str]]:
     """Returns (frame with feature columns, feature list E23).
 
     ``df`` is the normalised wide table (``normalise_wide``).
@@ -144,17 +211,42 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ)
         "_a1_s": _s("addr1") if has("addr1") else F.lit("na"),
     })
 
-    # --- device fingerprint: popular fingerprints are the documented hot keys, so
-    # prior counts / prior distinct cards are computed in two levels (per
-    # fingerprint-day); rows without a device are 0 by definition.
+    # --- plan-time statistics (one pass): code maps, hot fingerprints, key cardinalities
+    email = F.coalesce(F.col("P_emaildomain"), F.lit("missing")) if has("P_emaildomain") else F.lit("missing")
+    freq_keys: dict[str, Column] = {"email_domain_freq": email}
+    for c in ("addr1", "card2", "card3", "card5"):
+        if has(c):
+            freq_keys[f"{c}_freq"] = F.col(c)
+    if has("addr1"):
+        freq_keys["card1_addr1_freq"] = F.concat(_s("card1"), F.lit("_"), _s("addr1"))
+    id_cols = [c for c in df.columns if c.startswith("id_")]
+    id_num = [c for c in id_cols if _is_numeric(df, c)]
+    id_cat = [c for c in id_cols if not _is_numeric(df, c)]
+    code_cols = [c for c in ["card4", "card6", "DeviceType", *M_COLS, *id_cat] if has(c)]
+    code_rows, hot_found, card = key_statistics(
+        df, code_cols, freq_keys, build_device_fp(df),
+        F.col("DeviceInfo").isNotNull() if has("DeviceInfo") else F.lit(False), hot_min_rows)
+
+    # --- device fingerprint.  Rows without a device are 0 by definition and get a
+    # per-row window key.  Popular fingerprints are the documented hot keys:
+    # those above ``hot_min_rows`` are computed in two levels (per
+    # fingerprint-day); all others use one window Exchange.
     valid = F.col("_device_valid")
     n_total = df.agg(F.count(F.lit(1)).alias("n"))
-    base = asof.prior_count_distinct_by_day(base, "device_fp", "card1", valid, tie=TIE, prefix="_dev")
+    hot = hot_devices if hot_devices is not None else hot_found
+    if hot:
+        is_hot = valid & F.col("device_fp").isin(hot)
+        split = asof.prior_count_distinct_by_day(base.where(is_hot), "device_fp", "card1", F.lit(True),
+                                                 tie=TIE, prefix="_dev")
+        rest = _device_windows(base.where(~is_hot), valid)
+        base = rest.unionByName(split.select(*rest.columns))
+    else:
+        base = _device_windows(base, valid)
     base = _with_total(base, n_total)
     base = base.select(
         "*",
-        F.coalesce(F.col("_dev_prior_n"), F.lit(0)).cast("double").alias("device_prior_txn"),
-        F.coalesce(F.col("_dev_prior_distinct"), F.lit(0)).cast("double").alias("device_prior_cards"),
+        F.when(valid, F.col("_dev_prior_n")).otherwise(F.lit(0)).cast("double").alias("device_prior_txn"),
+        F.when(valid, F.col("_dev_prior_distinct")).otherwise(F.lit(0)).cast("double").alias("device_prior_cards"),
         F.when(valid, F.col("_dev_total") / F.col("_n_all")).otherwise(F.lit(0.0)).alias("device_fp_freq"),
     ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
 
@@ -191,18 +283,18 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ)
     )
     out = base.drop("_ck")
     # --- frequencies of other keys: counts from the raw input, joined back
-    email = F.coalesce(F.col("P_emaildomain"), F.lit("missing")) if has("P_emaildomain") else F.lit("missing")
-    freq_keys: dict[str, Column] = {"email_domain_freq": email}
-    for c in ("addr1", "card2", "card3", "card5"):
-        if has(c):
-            freq_keys[f"{c}_freq"] = F.col(c)
-    if has("addr1"):
-        freq_keys["card1_addr1_freq"] = F.concat(_s("card1"), F.lit("_"), _s("addr1"))
-    card = key_cardinalities(df, freq_keys)
+    out = out.withColumns({f"_k_{name}": key for name, key in freq_keys.items()})
     for name, key in freq_keys.items():
-        out = _freq_join(out, df, key, name, None if name == "email_domain_freq" else -1.0, card[name])
-    out = out.withColumn("email_domain_freq", F.when(F.col("_email_valid"), F.col("email_domain_freq").cast("double"))
-                         .otherwise(F.lit(0.0)))
+        cnt = (df.select(key.alias(f"_k_{name}")).where(F.col(f"_k_{name}").isNotNull())
+               .groupBy(f"_k_{name}").agg(F.count(F.lit(1)).alias(name)))
+        if card.get(name, BROADCAST_MAX_KEYS) * 1.05 <= BROADCAST_MAX_KEYS:
+            cnt = F.broadcast(cnt)      # measured cardinality is under the bound
+        out = out.join(cnt, f"_k_{name}", "left")
+    fills = {name: F.coalesce(F.col(name).cast("double"), F.lit(-1.0)) for name in freq_keys
+             if name != "email_domain_freq"}
+    fills["email_domain_freq"] = F.when(F.col("_email_valid"), F.col("email_domain_freq").cast("double")) \
+                                  .otherwise(F.lit(0.0))
+    out = out.withColumns(fills).drop(*[f"_k_{name}" for name in freq_keys])
     freq_cols = [n for n in freq_keys if n in ("card2_freq", "card3_freq", "card5_freq", "addr1_freq")]
 
     feats: dict[str, Column] = {
@@ -222,12 +314,8 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ)
             feats[f"pcd_{v}"] = F.coalesce((F.col("ProductCD") == v).cast("int"), F.lit(0))
     out = out.withColumns(feats)
 
-    id_cols = [c for c in df.columns if c.startswith("id_")]
-    id_num = [c for c in id_cols if _is_numeric(df, c)]
-    id_cat = [c for c in id_cols if not _is_numeric(df, c)]
-    code_cols = [c for c in ["card4", "card6", "DeviceType", *M_COLS, *id_cat] if has(c)]
     if code_cols:
-        out = _apply_codes(out, code_cols, first_appearance_codes(df, code_cols))
+        out = _apply_codes(out, code_cols, first_appearance_codes(df, code_cols), code_rows)
 
     v_cols = sorted((c for c in df.columns if re.fullmatch(r"V\d+", c)), key=lambda c: int(c[1:]))
     passthrough = [c for c in C_COLS + D_COLS + ["dist1", "dist2"] if has(c)] + v_cols + id_num

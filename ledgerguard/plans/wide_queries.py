@@ -23,6 +23,19 @@ def wide_featured(spark, sf):
     return add_wide_features(wide_normalised(spark, sf))[0]
 
 
+@register("e23_device_hot_split", with_(WIDE_CTE, """
+SELECT TransactionID, round(coalesce(CAST(device_prior_txn AS DOUBLE), -1.0), 6) AS device_prior_txn,
+       round(coalesce(CAST(device_prior_cards AS DOUBLE), -1.0), 6) AS device_prior_cards,
+       round(coalesce(CAST(device_fp_freq AS DOUBLE), -1.0), 6) AS device_fp_freq FROM wfeat"""))
+def e23_device_hot_split(spark, sf):
+    """E7/E8 with the hot-fingerprint path exercised: fingerprints holding at
+    least 2 % of the rows (the popular 'Windows' families) take the per-day path."""
+    n = wide_normalised(spark, sf)
+    f = add_wide_features(n, hot_min_rows=max(1, int(0.02 * n.count())))[0]
+    return f.select("TransactionID", *[rnd(c).alias(c) for c in ("device_prior_txn", "device_prior_cards",
+                                                                "device_fp_freq")])
+
+
 def _wide_tx_parts(spark, sf):
     tx, idn = load_wide(spark, sf)
     return tx, idn, readers.analyst_joined(tx, idn)
