@@ -35,7 +35,7 @@ POS = "_pos"
 
 
 def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str, Column] | None = None,
-                      keep: Sequence[str] = (), group: str | None = None) -> DataFrame:
+                      keep: Sequence[str] = (), group: str | None = None, totals_out: dict | None = None) -> DataFrame:
     """Rows of ``df`` (columns ``keep``) with ``_pos`` (1-based global position)
     and ``cum_<name>`` (inclusive running sum) for every measure.
 
@@ -62,6 +62,13 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
     else:
         tot = sorted(srt.groupBy("_pid").agg(*aggs).collect(), key=lambda r: r["_pid"])
 
+    if totals_out is not None:
+        # per group (or overall): [rows, sum of each measure], from the
+        # per-partition totals already collected
+        for r in tot:
+            g = r[group] if group else None
+            prev = totals_out.get(g, [0] * (len(names) + 1))
+            totals_out[g] = [prev[0] + r["_n"]] + [prev[i + 1] + (r[f"_s_{n}"] or 0) for i, n in enumerate(names)]
     offsets: dict = {}
     if group:
         run: dict = {}
@@ -140,19 +147,59 @@ def _order_group_rows(rows, group):
     return sorted(rows, key=lambda r: r["_pid"])
 
 
+SMALL_VALUE_COUNTS = 100_000
+
+
+def _interpolate(sorted_vals: list, counts: list, probs, n: int) -> dict:
+    """Linear-interpolated quantiles from (value, count) pairs in value order."""
+    cum = np.cumsum(counts)
+
+    def value_at(i):
+        return sorted_vals[int(np.searchsorted(cum, i, side="right"))]
+
+    res = {}
+    for p in probs:
+        h = (n - 1) * p
+        lo, hi = int(math.floor(h)), int(math.ceil(h))
+        a, b = float(value_at(lo)), float(value_at(hi))
+        t = h - lo
+        res[p] = a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t)
+    return res
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str | None = None) -> dict:
-    """Linear-interpolated quantiles of ``col`` (NULLs ignored), computed in a
-    distributed way: value counts -> global order -> the rows covering the needed
-    positions (at most two per probability and group) are collected.
+    """Linear-interpolated quantiles of ``col`` (NULLs ignored) -- the numpy /
+    ``quantile_cont`` / ``percentile`` definition -- without Spark's single-task
+    value map.
+
+    The value counts are aggregated first (partial aggregation).  When that
+    table is small (checked: at most ``SMALL_VALUE_COUNTS`` rows) it is
+    collected and interpolated directly; otherwise the counts are put in a
+    distributed global order and only the rows covering the needed positions
+    (at most two per probability and group) are collected.
 
     Returns {prob: value} or, with ``group``, {group_value: {prob: value}}.
     """
     keys = [group] if group else []
     vc = (df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c")))
+    small = vc.limit(SMALL_VALUE_COUNTS + 1).collect()
+    if len(small) <= SMALL_VALUE_COUNTS:
+        by: dict = {}
+        for r in small:
+            by.setdefault(r[group] if group else None, []).append((r[col], r["_c"]))
+        out = {}
+        for g, pairs in by.items():
+            pairs.sort(key=lambda x: x[0])
+            vals = [v for v, _ in pairs]
+            cnts = [c for _, c in pairs]
+            out[g] = _interpolate(vals, cnts, probs, int(sum(cnts)))
+        return out if group else out.get(None, {p: None for p in probs})
+
     order = ([F.col(group)] if group else []) + [F.col(col)]
-    cum = global_cumulative(vc, order, {"c": F.col("_c")}, keep=keys + [col, "_c"], group=group)
-    totals = {(r[group] if group else None): r["n"] for r in
-              vc.groupBy(*keys).agg(F.sum("_c").alias("n")).collect()}
+    totals: dict = {}
+    cum = global_cumulative(vc, order, {"c": F.col("_c")}, keep=keys + [col, "_c"], group=group,
+                            totals_out=totals)
+    totals = {g: int(v[1]) for g, v in totals.items()}        # number of non-NULL values
     # positions needed (0-based) per group
     need: dict = {}
     for g, n in totals.items():

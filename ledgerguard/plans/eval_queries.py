@@ -343,7 +343,7 @@ def a13_calibration_curve(spark, sf):
 
 # ------------------------------------------------------------------ D: drift
 def _drift_inputs(spark, sf):
-    f = card_featured(spark, sf)
+    f = card_featured(spark, sf).select("ts_us", *DRIFT_FEATURES)
     t1, t2 = split.time_cuts(f)
     lab = split.label_split(f, t1, t2)
     return lab.where("split = 'train'"), lab.where("split = 'test'")

@@ -23,11 +23,11 @@ def wide_featured(spark, sf):
     return add_wide_features(wide_normalised(spark, sf))[0]
 
 
-@register("e23_device_hot_split", with_(WIDE_CTE, """
+@register("e7_device_prior_hot_split", with_(WIDE_CTE, """
 SELECT TransactionID, round(coalesce(CAST(device_prior_txn AS DOUBLE), -1.0), 6) AS device_prior_txn,
        round(coalesce(CAST(device_prior_cards AS DOUBLE), -1.0), 6) AS device_prior_cards,
        round(coalesce(CAST(device_fp_freq AS DOUBLE), -1.0), 6) AS device_fp_freq FROM wfeat"""))
-def e23_device_hot_split(spark, sf):
+def e7_device_prior_hot_split(spark, sf):
     """E7/E8 with the hot-fingerprint path exercised: fingerprints holding at
     least 2 % of the rows (the popular 'Windows' families) take the per-day path."""
     n = wide_normalised(spark, sf)
@@ -230,3 +230,72 @@ FROM joined j JOIN ranked r ON j.DeviceInfo = r.DeviceInfo ORDER BY j.Transactio
 def q6_largest_ring(spark, sf):
     _, _, joined = _wide_tx_parts(spark, sf)
     return inv.largest_ring(joined)
+
+
+
+@register("e23_feature_list", with_(WIDE_CTE, """,
+names AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{c}')" for i, c in enumerate(WIDE_FEATURES)) + """) t(position, feature))
+SELECT position, feature, (SELECT count(*) FROM wfeat) AS rows FROM names"""))
+def e23_feature_list(spark, sf):
+    """The feature-list contract returned with the frame, with the row
+    count of the featured table it describes."""
+    f, cols = add_wide_features(wide_normalised(spark, sf))
+    n = f.agg(F.count(F.lit(1)).alias("rows"))
+    names = spark.createDataFrame(list(enumerate(cols)), "position int, feature string")
+    return names.withColumn("rows", n.select("rows").scalar())
+
+
+def _sink_dir(spark, name):
+    import uuid
+    from ledgerguard.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("s1_read_csv", with_(WIDE_CTE, """
+SELECT TransactionID, isFraud, TransactionDT, TransactionAmt, card1, card2, P_emaildomain, D1, M4 FROM tx"""))
+def s1_read_csv(spark, sf):
+    """S5 writes the competition-shaped CSV pair; S1 reads it back with the
+    header-driven explicit schema."""
+    tx, idn = load_wide(spark, sf)
+    root = _sink_dir(spark, "csv")
+    readers.write_csv_pair(tx, idn, root)
+    back = readers.read_transaction_csv(spark, f"{root}/train_transaction")
+    return back.select("TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "card1", "card2",
+                       "P_emaildomain", "D1", "M4")
+
+
+@register("s5_csv_sink", with_(WIDE_CTE, """
+SELECT TransactionID, DeviceType, DeviceInfo, id_01, id_31, id_33 FROM idn"""))
+def s5_csv_sink(spark, sf):
+    tx, idn = load_wide(spark, sf)
+    root = _sink_dir(spark, "csv")
+    readers.write_csv_pair(tx, idn, root)
+    back = readers.read_identity_csv(spark, f"{root}/train_identity")
+    return back.select("TransactionID", "DeviceType", "DeviceInfo", F.col("id_01").cast("double").alias("id_01"),
+                       "id_31", "id_33")
+
+
+@register("s6_parquet_sink", with_(TXN_CTE, """
+SELECT transaction_id, strftime(make_timestamp(ts_us), '%Y-%m-%d') AS event_date, amount, is_fraud FROM txn"""))
+def s6_parquet_sink(spark, sf):
+    """Featured table written as parquet partitioned by event date, read back."""
+    from ledgerguard.plans.common import card_featured
+    root = _sink_dir(spark, "featured")
+    readers.write_featured_parquet(card_featured(spark, sf).select("transaction_id", "ts", "amount", "is_fraud"), root)
+    back = spark.read.parquet(root)
+    return back.select("transaction_id", F.col("event_date").cast("string").alias("event_date"), "amount", "is_fraud")
+
+
+@register("s9_materialise_mart", with_(TXN_CTE + """,
+stg AS (SELECT * FROM txn WHERE amount >= 0),
+vel AS (SELECT transaction_id, count(*) OVER (PARTITION BY card_id ORDER BY ts_us
+          RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW EXCLUDE CURRENT ROW) AS txn_count_24h FROM stg)""", """
+SELECT transaction_id, CAST(txn_count_24h AS BIGINT) AS txn_count_24h FROM vel"""))
+def s9_materialise_mart(spark, sf):
+    """Staging as a view, the velocity mart as a table (parquet folder) read back."""
+    from ledgerguard.operators import warehouse
+    from ledgerguard.plans.common import card_txn
+    stg = readers.materialise(warehouse.stg_transactions(card_txn(spark, sf)), "lg_stg_transactions", "view")
+    mart = readers.materialise(warehouse.fct_card_velocity(stg), "lg_fct_card_velocity", "table",
+                               path=_sink_dir(spark, "mart"))
+    return mart.select("transaction_id", "txn_count_24h")

@@ -40,3 +40,17 @@ def test_exact_quantiles_match_numpy(spark):
     q = exact_quantiles(df, "x", probs)
     for p in probs:
         assert q[p] == pytest.approx(float(np.quantile(x, p)), abs=1e-12)
+
+
+def test_exact_quantiles_distributed_path(spark, monkeypatch):
+    import ledgerguard.operators.ordering as O
+    monkeypatch.setattr(O, "SMALL_VALUE_COUNTS", 10)
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(0, 1, 801), 2)
+    g = np.where(np.arange(801) % 3 == 0, "a", "b")
+    df = spark.createDataFrame([(str(a), float(v)) for a, v in zip(g, x)], "g string, x double").repartition(4)
+    probs = [0.0, 0.3, 0.5, 0.9, 1.0]
+    q = O.exact_quantiles(df, "x", probs, group="g")
+    for name in ("a", "b"):
+        for p in probs:
+            assert q[name][p] == pytest.approx(float(np.quantile(x[g == name], p)), abs=1e-12)
