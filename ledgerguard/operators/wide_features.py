@@ -50,6 +50,13 @@ def build_device_fp(df: DataFrame) -> Column:
     return F.concat_ws("|", *parts)
 
 
+def _client_day_offset(df: DataFrame) -> Column:
+    """round(D1 - floor(DT / 86400)) (-0.0 normalised to 0.0); 0 when a column is absent."""
+    if "D1" in df.columns and "TransactionDT" in df.columns:
+        return F.bround(F.col("D1") - F.floor(F.col("TransactionDT") / 86400), 0) + F.lit(0.0)
+    return F.lit(0.0)
+
+
 def client_key(df: DataFrame) -> Column:
     """card1 _ addr1 _ round(D1 - floor(DT / 86400)); NULL D1 -> NULL key."""
     a1 = _s("addr1") if "addr1" in df.columns else F.lit("na")
@@ -250,18 +257,11 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
         F.when(valid, F.col("_dev_total") / F.col("_n_all")).otherwise(F.lit(0.0)).alias("device_fp_freq"),
     ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
 
-    # --- account (uid) dynamics: one Exchange on uid
-    u = "uid"
-    gap = asof.gap_seconds(u, None, tie=TIE)
-    base = base.select(
-        "*",
-        asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double").alias("uid_txn_24h"),
-        (asof.prior_sum_within("amount_minor", u, US_PER_DAY, tie=TIE) / F.lit(1000.0)).alias("uid_amt_24h"),
-        F.log1p(F.coalesce(gap, F.lit(FIRST_GAP_S))).alias("uid_tsl_log"),
-        asof.prior_zscore("amount_minor", u, tie=TIE).alias("uid_amount_z"),
-        asof.prior_count(u, tie=TIE).cast("double").alias("uid_prior_txn"),
-    )
-    # --- card1: prior count, prior mean, frequency -- one Exchange on card1
+    # --- card1, account (uid) and client-key windows.  The account key is
+    # (card1, card2, card3, card5, addr1) and the client key (card1, addr1, d1n):
+    # partitioning the windows by these column tuples (NULL groups exactly like
+    # the 'na' of the string keys) lets ONE hash partitioning on card1 -- placed
+    # by the first window -- serve all three window blocks.
     c1 = "card1"
     prior_n = asof.prior_count(c1, tie=TIE)
     prior_s = asof.prior_sum("amount_minor", c1, tie=TIE)
@@ -273,15 +273,25 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
         F.when(mean > 0, F.col("amount") / mean).otherwise(F.lit(1.0)).alias("amt_to_card1_mean"),
         F.when(F.col(c1).isNotNull(), asof.total_count(c1)).cast("double").alias("card1_freq"),
     )
-    # --- client key: prior count and frequency (NULL key -> -1; NULL keys spread)
+    u = [c for c in UID_PARTS if has(c)]
+    gap = asof.gap_seconds(u, None, tie=TIE)
+    base = base.select(
+        "*",
+        asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double").alias("uid_txn_24h"),
+        (asof.prior_sum_within("amount_minor", u, US_PER_DAY, tie=TIE) / F.lit(1000.0)).alias("uid_amt_24h"),
+        F.log1p(F.coalesce(gap, F.lit(FIRST_GAP_S))).alias("uid_tsl_log"),
+        asof.prior_zscore("amount_minor", u, tie=TIE).alias("uid_amount_z"),
+        asof.prior_count(u, tie=TIE).cast("double").alias("uid_prior_txn"),
+    )
     ck_valid = F.col("client_key").isNotNull()
-    base = base.withColumn("_ck", spread_nulls(F.col("client_key"), ck_valid))
+    ck = [c1] + (["addr1"] if has("addr1") else []) + ["_d1n"]
+    base = base.withColumn("_d1n", _client_day_offset(df))
     base = base.select(
         "*",
-        F.when(ck_valid, asof.prior_count("_ck", tie=TIE)).cast("double").alias("client_prior_txn"),
-        F.when(ck_valid, asof.total_count("_ck")).cast("double").alias("client_freq"),
+        F.when(ck_valid, asof.prior_count(ck, tie=TIE)).cast("double").alias("client_prior_txn"),
+        F.when(ck_valid, asof.total_count(ck)).cast("double").alias("client_freq"),
     )
-    out = base.drop("_ck")
+    out = base.drop("_d1n")
     # --- frequencies of other keys: counts from the raw input, joined back
     out = out.withColumns({f"_k_{name}": key for name, key in freq_keys.items()})
     for name, key in freq_keys.items():
