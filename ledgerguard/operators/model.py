@@ -104,30 +104,47 @@ def permutation_importance(score_fn, df: DataFrame, feature_cols: Sequence[str],
                            buckets: int | None = None) -> DataFrame:
     """M8: drop in average precision when one feature's values are permuted.
 
-    A permutation is distributed: rows are hashed into ``buckets`` random groups,
-    ordered inside each group by a second seeded hash, and each row takes the
-    value of the next row of its group (cyclically).  That is a random
-    permutation within groups of size ~n/buckets, computed as one window per
-    (feature, repeat) with no single-task step.
+    All (feature, repeat) variants are scored in ONE pipeline: the evaluation
+    rows are expanded once per variant (the same work as re-scoring the set per
+    variant, done in parallel), every variant permutes inside random hash
+    groups -- each row takes the value of the next row of its group in a
+    seeded hash order, a distributed permutation with no single-task step --
+    the model scores all variants in one transform, and the average precision
+    of every variant comes from one grouped global-order pass.
     """
     from pyspark.sql import Window
     from ledgerguard.operators.evaluation import average_precision
+    from ledgerguard.operators.ordering import global_cumulative
 
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base_ap = average_precision(score_fn(df).withColumn("score", F.col("model_score")), "score", label).first()["pr_auc"]
-    rows = []
-    for c in feature_cols:
-        drops = []
-        for r in range(repeats):
-            g = F.pmod(F.xxhash64(F.col(id_col), F.lit(c), F.lit(r), F.lit(seed)), F.lit(buckets))
-            o = F.xxhash64(F.col(id_col), F.lit(c), F.lit(r), F.lit(seed + 1))
-            w = Window.partitionBy("_g").orderBy("_o", id_col)
-            perm = (df.withColumns({"_g": g, "_o": o})
-                    .withColumn(c, F.coalesce(F.lead(c).over(w), F.first(c).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-                    .drop("_g", "_o"))
-            ap = average_precision(score_fn(perm).withColumn("score", F.col("model_score")), "score", label).first()["pr_auc"]
-            drops.append(base_ap - ap)
-        rows.append((c, float(np.mean(drops)), float(np.std(drops))))
-    out = spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
-    return out.orderBy(F.desc("importance_mean"), F.asc("feature"))
+    cols = list(feature_cols)
+    variants = [(i, r) for i in range(len(cols)) for r in range(repeats)]
+    base = df.select(F.col(id_col), F.col(label), *[F.col(c) for c in cols])
+    long = base.select("*", F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.lit(r).alias("rep"))
+                                                  for i, r in variants])).alias("_v")) \
+               .select("*", F.col("_v.fi").alias("_fi"), F.col("_v.rep").alias("_rep")).drop("_v")
+    g = F.pmod(F.xxhash64(F.col(id_col), F.col("_fi"), F.col("_rep"), F.lit(seed)), F.lit(buckets))
+    o = F.xxhash64(F.col(id_col), F.col("_fi"), F.col("_rep"), F.lit(seed + 1))
+    long = long.withColumns({"_g": g, "_o": o})
+    w = Window.partitionBy("_fi", "_rep", "_g").orderBy("_o", id_col)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    permuted = {c: F.when(F.col("_fi") == i, F.coalesce(F.lead(c).over(w), F.first(c).over(whole)))
+                   .otherwise(F.col(c)) for i, c in enumerate(cols)}
+    long = long.withColumns(permuted).drop("_g", "_o")
+    scored = score_fn(long).select("_fi", "_rep", F.col("model_score").alias("s"), F.col(label))
+    # average precision per variant: value counts per (variant, score), ordered by score descending
+    vc = scored.groupBy("_fi", "_rep", "s").agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")) \
+               .withColumn("_var", F.col("_fi") * F.lit(1000) + F.col("_rep"))
+    cum = global_cumulative(vc, [F.col("_var"), F.col("s").desc()], {"n": F.col("n"), "pos": F.col("pos")},
+                            keep=["_var", "pos"], group="_var")
+    tot = scored.groupBy("_fi", "_rep").agg(F.sum(label).alias("P")) \
+                .withColumn("_var", F.col("_fi") * F.lit(1000) + F.col("_rep"))
+    ap = (cum.groupBy("_var").agg(F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))).alias("_s"))
+          .join(tot, "_var").select("_fi", "_rep", F.when(F.col("P") > 0, F.col("_s") / F.col("P")).alias("ap")))
+    base_ap = average_precision(score_fn(df).withColumn("score", F.col("model_score")), "score", label)
+    names = spark.createDataFrame(list(enumerate(cols)), "_fi int, feature string")
+    drops = ap.select("_fi", (base_ap.select("pr_auc").scalar() - F.col("ap")).alias("drop"))
+    out = drops.groupBy("_fi").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+    return out.join(F.broadcast(names), "_fi").select("feature", "importance_mean", "importance_std") \
+              .orderBy(F.desc("importance_mean"), F.asc("feature"))
