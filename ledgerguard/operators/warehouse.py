@@ -32,19 +32,29 @@ def fct_card_velocity(stg: DataFrame) -> DataFrame:
     seconds since the previous row (NULL for the first).
 
     Spark has no frame exclusion, so: count over [now - w, now] minus one, and the
-    sum over the same frame minus the row's own amount.
+    sum over the same frame minus the row's own amount.  Each frame is written as
+    the difference of two unbounded-preceding RANGE frames (rows with ts <= now,
+    minus rows with ts < now - w), which Spark evaluates incrementally; a sliding
+    frame would re-aggregate every row of the frame for every row.
     """
     r = Window.partitionBy("card_id").orderBy("ts_us")
-    w1 = r.rangeBetween(-US_PER_HOUR, 0)
-    w24 = r.rangeBetween(-US_PER_DAY, 0)
+    upto = r.rangeBetween(Window.unboundedPreceding, 0)
     amt = F.col("amount")
+
+    def frame_count(width):
+        older = r.rangeBetween(Window.unboundedPreceding, -(width + 1))
+        return F.count(F.lit(1)).over(upto) - F.count(F.lit(1)).over(older)
+
+    def frame_sum(width):
+        older = r.rangeBetween(Window.unboundedPreceding, -(width + 1))
+        return F.sum(amt).over(upto) - F.coalesce(F.sum(amt).over(older), F.lit(0))
     lag_ts = F.lag("ts_us").over(Window.partitionBy("card_id").orderBy("ts_us", "transaction_id"))
     return stg.select(
         "transaction_id", "card_id", "event_ts", "ts_us", "amount",
-        (F.count(F.lit(1)).over(w1) - 1).cast("long").alias("txn_count_1h"),
-        (F.sum(amt).over(w1) - amt).cast("decimal(22,2)").alias("amt_sum_1h"),
-        (F.count(F.lit(1)).over(w24) - 1).cast("long").alias("txn_count_24h"),
-        (F.sum(amt).over(w24) - amt).cast("decimal(22,2)").alias("amt_sum_24h"),
+        (frame_count(US_PER_HOUR) - 1).cast("long").alias("txn_count_1h"),
+        (frame_sum(US_PER_HOUR) - amt).cast("decimal(22,2)").alias("amt_sum_1h"),
+        (frame_count(US_PER_DAY) - 1).cast("long").alias("txn_count_24h"),
+        (frame_sum(US_PER_DAY) - amt).cast("decimal(22,2)").alias("amt_sum_24h"),
         ((F.col("ts_us") - lag_ts) / F.lit(1_000_000.0)).alias("time_since_last_s"),
     )
 

@@ -110,8 +110,12 @@ def first_appearance_codes(df: DataFrame, cols: list[str], ts: str = "ts_us", ti
     long = df.selectExpr(ts, tie, f"stack({len(cols)}, {pairs}) AS (column_name, value)") \
              .where(F.col("value").isNotNull())
     first = long.groupBy("column_name", "value").agg(F.min(F.struct(F.col(ts), F.col(tie))).alias("f"))
-    w = Window.partitionBy("column_name").orderBy(F.col("f"))
-    return first.select("column_name", "value", (F.row_number().over(w) - 1).alias("code"))
+    first = first.select("column_name", "value", F.col("f").getField(ts).alias("_t"),
+                         F.col("f").getField(tie).alias("_i"))
+    # distributed rank per column (a column may have very many distinct values)
+    ranked = global_cumulative(first, [F.col("column_name"), F.col("_t"), F.col("_i")],
+                               keep=["column_name", "value"], group="column_name")
+    return ranked.select("column_name", "value", (F.col("_pos") - 1).alias("code"))
 
 
 def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Column], device_fp: Column,
@@ -135,22 +139,28 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
     long = long.select(ts, tie, "kv.name", "kv.value").where(F.col("value").isNotNull())
     agg = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"),
                                             F.min(F.struct(F.col(ts), F.col(tie))).alias("f"))
-    w = Window.partitionBy("name").orderBy(F.col("f"))
+    first = F.col("f")
     codes = (agg.where(F.col("name").startswith("c:"))
-             .select("name", "value", (F.row_number().over(w) - 1).alias("k")))
+             .select("name", "value", F.lit(None).cast("long").alias("k"), first.alias("first")))
     hot = (agg.where((F.col("name") == "d:device_fp") & (F.col("n") >= hot_min_rows))
-           .orderBy(F.desc("n")).limit(HOT_MAX_KEYS).select("name", "value", F.col("n").alias("k")))
+           .orderBy(F.desc("n")).limit(HOT_MAX_KEYS)
+           .select("name", "value", F.col("n").alias("k"), F.lit(None).alias("first")))
     card = (agg.where(F.col("name").startswith("f:")).groupBy("name").agg(F.count(F.lit(1)).alias("k"))
-            .select("name", F.lit(None).cast("string").alias("value"), "k"))
+            .select("name", F.lit(None).cast("string").alias("value"), "k", F.lit(None).alias("first")))
     limit = CODE_MAP_INLINE_MAX + HOT_MAX_KEYS + len(freq_keys) + 1
-    rows = codes.unionByName(hot).unionByName(card).limit(limit).collect()
-    code_rows = [r for r in rows if r["name"].startswith("c:")]
+    rows = (codes.unionByName(hot.withColumn("first", F.col("first").cast(codes.schema["first"].dataType)))
+            .unionByName(card.withColumn("first", F.col("first").cast(codes.schema["first"].dataType)))
+            .limit(limit).collect())
     hot_fps = [r["value"] for r in rows if r["name"] == "d:device_fp"]
     cards = {r["name"][2:]: int(r["k"]) for r in rows if r["name"].startswith("f:")}
-    if len(code_rows) > CODE_MAP_INLINE_MAX or len(rows) >= limit:
-        code_rows = None
-    else:
-        code_rows = [(r["name"][2:], r["value"], int(r["k"])) for r in code_rows]
+    code_rows = None
+    found = [r for r in rows if r["name"].startswith("c:")]
+    if len(found) <= CODE_MAP_INLINE_MAX and len(rows) < limit:
+        # bounded list (size checked): codes = order of first appearance per column
+        code_rows = []
+        for name in sorted({r["name"] for r in found}):
+            vals = sorted((r for r in found if r["name"] == name), key=lambda r: (r["first"][0], r["first"][1]))
+            code_rows += [(name[2:], r["value"], i) for i, r in enumerate(vals)]
     return code_rows, hot_fps, cards
 
 

@@ -408,10 +408,9 @@ SELECT feature, round(psi, 6) AS psi, round(ks, 6) AS ks, severity,
 def d3_drift_report(spark, sf):
     ref, act = _drift_inputs(spark, sf)
     rep = drift.drift_report(ref, act, DRIFT_FEATURES)
-    # the report has one row per feature (bounded), so a rank over it is cheap
-    from pyspark.sql import Window
-    return rep.select("feature", rnd("psi").alias("psi"), rnd("ks").alias("ks"), "severity",
-                      F.row_number().over(Window.orderBy(F.desc("psi"), F.asc("feature"))).alias("report_rank"))
+    ranked = global_cumulative(rep, [F.desc("psi"), F.asc("feature")], keep=["feature", "psi", "ks", "severity"])
+    return ranked.select("feature", rnd("psi").alias("psi"), rnd("ks").alias("ks"), "severity",
+                         F.col(POS).alias("report_rank"))
 
 
 @register("d4_severity", with_(_DRIFT_CTE, "SELECT feature, severity FROM rep"))

@@ -73,3 +73,25 @@ def test_gating(spark):
     assert r[2]["why"] == "model/anomaly only" and r[3]["why"] == "model/anomaly only"
     assert r[6]["why"] == "model/anomaly only"          # frequency equal to the limit is excluded
     assert r[4]["score"] == pytest.approx(1.0) and r[5]["score"] == 0.0
+
+
+def test_code_map_fallback_equals_inline(spark, monkeypatch):
+    import ledgerguard.operators.wide_features as WF
+    from ledgerguard.sources.adapters import load_wide
+    tx, idn = load_wide(spark, "/root/testdata/sf0.001")
+    n = normalise_wide(tx, idn)
+    cols = ["TransactionID", "card4_code", "DeviceType_code", "M4_code", "id_31_code"]
+    inline = WF.add_wide_features(n)[0].select(cols)
+    monkeypatch.setattr(WF, "CODE_MAP_INLINE_MAX", 2)
+    joined = WF.add_wide_features(n)[0].select(cols)
+    assert inline.exceptAll(joined).count() == 0 and joined.exceptAll(inline).count() == 0
+
+
+def test_device_hot_split_equals_window_path(spark):
+    from ledgerguard.sources.adapters import load_wide
+    tx, idn = load_wide(spark, "/root/testdata/sf0.001")
+    n = normalise_wide(tx, idn)
+    cols = ["TransactionID", "device_prior_txn", "device_prior_cards", "device_fp_freq"]
+    plain = add_wide_features(n)[0].select(cols)
+    hot = add_wide_features(n, hot_min_rows=20)[0].select(cols)
+    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
