@@ -472,3 +472,10 @@ def v5_leakage(spark, sf):
     cols = ["txn_count_1h", "amt_sum_1h", "txn_count_24h", "amt_sum_24h", "amount_z", "time_since_last_s",
             "geo_dist_km", "geo_speed_kmh", "mcc_novel", "card_age_days"]
     return quality.leakage_check(t, add_card_features, int(np.floor(t1)), cols=cols)
+
+
+@register("a10_random_baseline")
+def a10_random_baseline(spark, sf):
+    """A10: value share at the 60-point budget grid under 10 seeded random orders (averaged)."""
+    s = _scored(spark, sf)
+    return ev.random_order_baseline(s, _grid_budgets(s.count()), reps=10)

@@ -75,3 +75,27 @@ def test_quantile_grid_matches_numpy(spark):
     df = scores(spark, [0] * 777, s.tolist())
     g = ev.quantile_grid(df, "score", 200)
     assert g == sorted(set(np.round(np.quantile(s, np.linspace(0, 1, 200)), 6).tolist()))
+
+
+def test_random_order_baseline(spark):
+    rng = np.random.default_rng(7)
+    y = (rng.random(300) < 0.2).astype(int)
+    df = scores(spark, y.tolist(), rng.random(300).tolist(), np.round(rng.uniform(1, 100, 300), 2).tolist())
+    r = {x["k"]: x["random_share"] for x in ev.random_order_baseline(df, [1, 50, 150, 300, 400], reps=4).collect()}
+    assert r[300] == pytest.approx(1.0) and r[400] == pytest.approx(1.0)
+    assert r[1] <= r[50] <= r[150] <= r[300]
+
+
+def test_value_budget_curve_matches_pandas(spark):
+    rng = np.random.default_rng(8)
+    y = (rng.random(400) < 0.1).astype(int)
+    s = np.round(rng.random(400), 2)             # ties broken by ts (= row index)
+    amt = np.round(rng.uniform(1, 50, 400), 2)
+    df = scores(spark, y.tolist(), s.tolist(), amt.tolist())
+    got = {r["k"]: r["value_share"] for r in ev.value_budget_curve(df, [5, 40, 400, 500]).collect()}
+    order = np.lexsort((np.arange(400), -s))
+    v = np.round(amt * 100).astype(int) * y
+    cum = np.cumsum(v[order])
+    for k in (5, 40, 400):
+        assert got[k] == pytest.approx(cum[k - 1] / v.sum())
+    assert got[500] == pytest.approx(1.0)
