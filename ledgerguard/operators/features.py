@@ -107,8 +107,8 @@ def _card_features_bucketed(txn: DataFrame, k: str, bucket_us: int = US_PER_DAY)
         F.lag("_dlast").over(wd).alias("_plast"))
     # first appearance of each category on the key
     first = rows.groupBy(k, "mcc").agg(F.min(F.struct("ts_us", "transaction_id")).alias("_mfirst"))
-    cur = (rows.join(day, [k, "_b"], "left").join(first, [k, "mcc"], "left")
-           .withColumn("_ctx", F.lit(0)))
+    cur = asof.join_null_safe(asof.join_null_safe(rows, day, [k, "_b"]), first, [k, "mcc"]) \
+        .withColumn("_ctx", F.lit(0))
     ctx = rows.select(k, (F.col("_b") + 1).alias("_b"), "transaction_id", "ts_us", "amount_minor", "lat", "lon",
                       F.lit(1).alias("_ctx"))
     g = cur.unionByName(ctx, allowMissingColumns=True)

@@ -134,6 +134,7 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
     names = [(f"c:{c}", F.col(c).cast("string")) for c in code_cols]
     names += [(f"f:{n}", k.cast("string")) for n, k in freq_keys.items()]
     names.append(("d:device_fp", F.when(device_valid, device_fp)))
+    names.append(("h:card1", F.col("card1").cast("string")))
     long = df.select(F.col(ts), F.col(tie), F.explode(F.array(*[
         F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in names])).alias("kv"))
     long = long.select(ts, tie, "kv.name", "kv.value").where(F.col("value").isNotNull())
@@ -142,7 +143,7 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
     first = F.col("f")
     codes = (agg.where(F.col("name").startswith("c:"))
              .select("name", "value", F.lit(None).cast("long").alias("k"), first.alias("first")))
-    hot = (agg.where((F.col("name") == "d:device_fp") & (F.col("n") >= hot_min_rows))
+    hot = (agg.where(F.col("name").isin("d:device_fp", "h:card1") & (F.col("n") >= hot_min_rows))
            .orderBy(F.desc("n")).limit(HOT_MAX_KEYS)
            .select("name", "value", F.col("n").alias("k"), F.lit(None).alias("first")))
     card = (agg.where(F.col("name").startswith("f:")).groupBy("name").agg(F.count(F.lit(1)).alias("k"))
@@ -152,6 +153,7 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
             .unionByName(card.withColumn("first", F.col("first").cast(codes.schema["first"].dataType)))
             .limit(limit).collect())
     hot_fps = [r["value"] for r in rows if r["name"] == "d:device_fp"]
+    hot_c1 = [r["value"] for r in rows if r["name"] == "h:card1"]
     cards = {r["name"][2:]: int(r["k"]) for r in rows if r["name"].startswith("f:")}
     code_rows = None
     found = [r for r in rows if r["name"].startswith("c:")]
@@ -161,12 +163,13 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
         for name in sorted({r["name"] for r in found}):
             vals = sorted((r for r in found if r["name"] == name), key=lambda r: (r["first"][0], r["first"][1]))
             code_rows += [(name[2:], r["value"], i) for i, r in enumerate(vals)]
-    return code_rows, hot_fps, cards
+    return code_rows, hot_fps, cards, hot_c1
 
 
-def _apply_codes(df: DataFrame, cols: list[str], mapping: DataFrame, rows=None) -> DataFrame:
+def _apply_codes(df: DataFrame, cols: list[str], mapping, rows=None) -> DataFrame:
     """Codes inlined as literal maps when the mapping (size checked) is small,
-    else joined."""
+    else joined.  ``mapping`` is a DataFrame or a callable building it (only
+    called on the join path)."""
     if rows is not None:
         new = {}
         for c in cols:
@@ -174,6 +177,7 @@ def _apply_codes(df: DataFrame, cols: list[str], mapping: DataFrame, rows=None)
             m = F.create_map(*kv) if kv else F.create_map().cast("map<string,bigint>")
             new[f"{c}_code"] = F.coalesce(F.element_at(m, F.col(c).cast("string")), F.lit(-1))
         return df.withColumns(new)
+    mapping = mapping() if callable(mapping) else mapping
     rows = mapping.limit(CODE_MAP_INLINE_MAX + 1).collect()
     if len(rows) <= CODE_MAP_INLINE_MAX:
         # size checked: inline the mapping as literal maps (no join, no shuffle)
@@ -208,8 +212,82 @@ HOT_MIN_ROWS = 1_000_000
 HOT_MAX_KEYS = 1_000
 
 
+def _card1_family_windows(base: DataFrame, df: DataFrame) -> DataFrame:
+    """card1, account (uid) and client-key features with windows."""
+    cols = set(df.columns)
+    has = lambda c: c in cols
+    # --- card1, account (uid) and client-key windows.  The account key is
+    # (card1, card2, card3, card5, addr1) and the client key (card1, addr1, d1n):
+    # partitioning the windows by these column tuples (NULL groups exactly like
+    # the 'na' of the string keys) lets ONE hash partitioning on card1 -- placed
+    # by the first window -- serve all three window blocks.
+    c1 = "card1"
+    prior_n = asof.prior_count(c1, tie=TIE)
+    prior_s = asof.prior_sum("amount_minor", c1, tie=TIE)
+    mean = F.when(prior_n > 0, prior_s / prior_n / F.lit(1000.0))
+    base = base.select(
+        "*",
+        prior_n.cast("double").alias("card1_prior_txn"),
+        F.coalesce(mean, F.lit(-1.0)).alias("card1_prior_amt_mean"),
+        F.when(mean > 0, F.col("amount") / mean).otherwise(F.lit(1.0)).alias("amt_to_card1_mean"),
+        F.when(F.col(c1).isNotNull(), asof.total_count(c1)).cast("double").alias("card1_freq"),
+    )
+    u = [c for c in UID_PARTS if has(c)]
+    gap = asof.gap_seconds(u, None, tie=TIE)
+    base = base.select(
+        "*",
+        asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double").alias("uid_txn_24h"),
+        (asof.prior_sum_within("amount_minor", u, US_PER_DAY, tie=TIE) / F.lit(1000.0)).alias("uid_amt_24h"),
+        F.log1p(F.coalesce(gap, F.lit(FIRST_GAP_S))).alias("uid_tsl_log"),
+        asof.prior_zscore("amount_minor", u, tie=TIE).alias("uid_amount_z"),
+        asof.prior_count(u, tie=TIE).cast("double").alias("uid_prior_txn"),
+    )
+    ck_valid = F.col("client_key").isNotNull()
+    ck = [c1] + (["addr1"] if has("addr1") else []) + ["_d1n"]
+    base = base.withColumn("_d1n", _client_day_offset(df))
+    base = base.select(
+        "*",
+        F.when(ck_valid, asof.prior_count(ck, tie=TIE)).cast("double").alias("client_prior_txn"),
+        F.when(ck_valid, asof.total_count(ck)).cast("double").alias("client_freq"),
+    )
+    return base.drop("_d1n")
+
+
+def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
+    """Same features for hot card1 values, per (key, day) in two levels."""
+    cols = set(df.columns)
+    c1 = "card1"
+    b = asof.bucketed_prior(base, [c1], "amount_minor", ts="ts_us", tie=TIE, prefix="_c1")
+    n, s_ = F.col("_c1_n"), F.col("_c1_s")
+    mean = F.when(n > 0, s_ / n / F.lit(1000.0))
+    b = b.select("*",
+                 n.cast("double").alias("card1_prior_txn"),
+                 F.coalesce(mean, F.lit(-1.0)).alias("card1_prior_amt_mean"),
+                 F.when(mean > 0, F.col("amount") / mean).otherwise(F.lit(1.0)).alias("amt_to_card1_mean"),
+                 F.when(F.col(c1).isNotNull(), F.col("_c1_total")).cast("double").alias("card1_freq"),
+                 ).drop(*[c for c in b.columns if c.startswith("_c1_")])
+    u = [c for c in UID_PARTS if c in cols]
+    b = asof.bucketed_prior(b, u, "amount_minor", width_us=US_PER_DAY, ts="ts_us", tie=TIE, prefix="_u")
+    b = b.select("*",
+                 F.col("_u_cw").cast("double").alias("uid_txn_24h"),
+                 (F.col("_u_sw") / F.lit(1000.0)).alias("uid_amt_24h"),
+                 F.log1p(F.coalesce(F.col("_u_gap") / F.lit(1_000_000.0), F.lit(FIRST_GAP_S))).alias("uid_tsl_log"),
+                 F.col("_u_z").alias("uid_amount_z"),
+                 F.col("_u_n").cast("double").alias("uid_prior_txn"),
+                 ).drop(*[c for c in b.columns if c.startswith("_u_")])
+    ck_valid = F.col("client_key").isNotNull()
+    b = b.withColumn("_d1n", _client_day_offset(df))
+    ck = [c1] + (["addr1"] if "addr1" in cols else []) + ["_d1n"]
+    b = asof.bucketed_prior(b, ck, None, ts="ts_us", tie=TIE, prefix="_k")
+    b = b.select("*",
+                 F.when(ck_valid, F.col("_k_n")).cast("double").alias("client_prior_txn"),
+                 F.when(ck_valid, F.col("_k_total")).cast("double").alias("client_freq"),
+                 ).drop(*[c for c in b.columns if c.startswith("_k_")])
+    return b.drop("_d1n")
+
+
 def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ, hot_devices: list | None = None,
-                      hot_min_rows: int = HOT_MIN_ROWS) -> tuple[DataFrame, list[str]]:
+                      hot_min_rows: int = HOT_MIN_ROWS, hot_card1: list | None = None) -> tuple[DataFrame, list[str]]:
     """Returns (frame with feature columns, feature list E23).
 
     ``df`` is the normalised wide table (``normalise_wide``).
@@ -240,7 +318,7 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
     id_num = [c for c in id_cols if _is_numeric(df, c)]
     id_cat = [c for c in id_cols if not _is_numeric(df, c)]
     code_cols = [c for c in ["card4", "card6", "DeviceType", *M_COLS, *id_cat] if has(c)]
-    code_rows, hot_found, card = key_statistics(
+    code_rows, hot_found, card, hot_card1_found = key_statistics(
         df, code_cols, freq_keys, build_device_fp(df),
         F.col("DeviceInfo").isNotNull() if has("DeviceInfo") else F.lit(False), hot_min_rows)
 
@@ -267,41 +345,16 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
         F.when(valid, F.col("_dev_total") / F.col("_n_all")).otherwise(F.lit(0.0)).alias("device_fp_freq"),
     ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
 
-    # --- card1, account (uid) and client-key windows.  The account key is
-    # (card1, card2, card3, card5, addr1) and the client key (card1, addr1, d1n):
-    # partitioning the windows by these column tuples (NULL groups exactly like
-    # the 'na' of the string keys) lets ONE hash partitioning on card1 -- placed
-    # by the first window -- serve all three window blocks.
-    c1 = "card1"
-    prior_n = asof.prior_count(c1, tie=TIE)
-    prior_s = asof.prior_sum("amount_minor", c1, tie=TIE)
-    mean = F.when(prior_n > 0, prior_s / prior_n / F.lit(1000.0))
-    base = base.select(
-        "*",
-        prior_n.cast("double").alias("card1_prior_txn"),
-        F.coalesce(mean, F.lit(-1.0)).alias("card1_prior_amt_mean"),
-        F.when(mean > 0, F.col("amount") / mean).otherwise(F.lit(1.0)).alias("amt_to_card1_mean"),
-        F.when(F.col(c1).isNotNull(), asof.total_count(c1)).cast("double").alias("card1_freq"),
-    )
-    u = [c for c in UID_PARTS if has(c)]
-    gap = asof.gap_seconds(u, None, tie=TIE)
-    base = base.select(
-        "*",
-        asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double").alias("uid_txn_24h"),
-        (asof.prior_sum_within("amount_minor", u, US_PER_DAY, tie=TIE) / F.lit(1000.0)).alias("uid_amt_24h"),
-        F.log1p(F.coalesce(gap, F.lit(FIRST_GAP_S))).alias("uid_tsl_log"),
-        asof.prior_zscore("amount_minor", u, tie=TIE).alias("uid_amount_z"),
-        asof.prior_count(u, tie=TIE).cast("double").alias("uid_prior_txn"),
-    )
-    ck_valid = F.col("client_key").isNotNull()
-    ck = [c1] + (["addr1"] if has("addr1") else []) + ["_d1n"]
-    base = base.withColumn("_d1n", _client_day_offset(df))
-    base = base.select(
-        "*",
-        F.when(ck_valid, asof.prior_count(ck, tie=TIE)).cast("double").alias("client_prior_txn"),
-        F.when(ck_valid, asof.total_count(ck)).cast("double").alias("client_freq"),
-    )
-    out = base.drop("_d1n")
+    # --- card1, account (uid) and client-key blocks; rows of hot card1 values take
+    # the per-day two-level path, all others the shared-Exchange window path.
+    hot_c1 = [str(v) for v in hot_card1] if hot_card1 is not None else hot_card1_found
+    if hot_c1:
+        is_hot = F.col("card1").cast("string").isin(hot_c1)
+        plain = _card1_family_windows(base.where(~is_hot), df)
+        split = _card1_family_bucketed(base.where(is_hot), df)
+        out = plain.unionByName(split.select(*plain.columns))
+    else:
+        out = _card1_family_windows(base, df)
     # --- frequencies of other keys: counts from the raw input, joined back
     out = out.withColumns({f"_k_{name}": key for name, key in freq_keys.items()})
     for name, key in freq_keys.items():
@@ -335,7 +388,7 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
     out = out.withColumns(feats)
 
     if code_cols:
-        out = _apply_codes(out, code_cols, first_appearance_codes(df, code_cols), code_rows)
+        out = _apply_codes(out, code_cols, lambda: first_appearance_codes(df, code_cols), code_rows)
 
     v_cols = sorted((c for c in df.columns if re.fullmatch(r"V\d+", c)), key=lambda c: int(c[1:]))
     passthrough = [c for c in C_COLS + D_COLS + ["dist1", "dist2"] if has(c)] + v_cols + id_num

@@ -95,3 +95,34 @@ def test_device_hot_split_equals_window_path(spark):
     plain = add_wide_features(n)[0].select(cols)
     hot = add_wide_features(n, hot_min_rows=20)[0].select(cols)
     assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+
+
+def test_card1_hot_split_equals_window_path(spark):
+    from ledgerguard.sources.adapters import load_wide
+    tx, idn = load_wide(spark, "/root/testdata/sf0.001")
+    n = normalise_wide(tx, idn)
+    cols = ["TransactionID", "card1_prior_txn", "card1_prior_amt_mean", "amt_to_card1_mean", "card1_freq",
+            "uid_txn_24h", "uid_amt_24h", "uid_tsl_log", "uid_amount_z", "uid_prior_txn",
+            "client_prior_txn", "client_freq"]
+    plain = add_wide_features(n)[0].select(cols)
+    every = [r[0] for r in tx.select("card1").distinct().collect()]
+    split = add_wide_features(n, hot_card1=every)[0].select(cols)
+    assert split.count() == plain.count()
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_card1_hot_split_null_keys(spark):
+    """Hot path with NULL addr1 / NULL D1 rows (NULL keys group together)."""
+    tx = spark.createDataFrame([
+        (1, 0, 0, 10.0, 1, 1.0, 150.0, 226.0, None, "a"),
+        (2, 0, 3600, 20.0, 1, 1.0, 150.0, 226.0, None, "a"),
+        (3, 1, 90000, 30.0, 1, 1.0, 150.0, 226.0, None, "a"),
+        (4, 0, 400000, 40.0, 1, 1.0, 150.0, 226.0, 5.0, "a"),
+        (5, 0, 400000, 40.0, 1, 1.0, 150.0, 226.0, 5.0, "a"),
+    ], TX)
+    n = normalise_wide(tx, None)
+    cols = ["TransactionID", "card1_prior_txn", "uid_txn_24h", "uid_amt_24h", "uid_tsl_log", "uid_prior_txn",
+            "client_prior_txn", "client_freq"]
+    a = add_wide_features(n)[0].select(cols)
+    b = add_wide_features(n, hot_card1=[1])[0].select(cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
