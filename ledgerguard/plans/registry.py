@@ -36,7 +36,7 @@ def oracles() -> dict[str, str]:
 def _load_all() -> None:
     # importing the modules registers their queries
     import importlib
-    for mod in ("card_queries", "eval_queries", "wide_queries", "model_queries", "stream_queries"):
+    for mod in ("card_queries", "eval_queries", "wide_queries", "model_queries", "stream_queries", "demo_runs"):
         try:
             importlib.import_module(f"ledgerguard.plans.{mod}")
         except ModuleNotFoundError as exc:  # module not written yet
