@@ -70,31 +70,6 @@ def client_key(df: DataFrame) -> Column:
 BROADCAST_MAX_KEYS = 200_000
 
 
-def key_cardinalities(src: DataFrame, keys: dict[str, Column]) -> dict[str, int]:
-    """Approximate distinct count of every key in ONE pass (HyperLogLog, 1 %
-    relative error), used to decide which count tables may be broadcast."""
-    aggs = [F.approx_count_distinct(k, 0.01).alias(n) for n, k in keys.items()]
-    row = src.agg(*aggs).first()
-    return {n: int(row[n]) for n in keys}
-
-
-def _freq_join(out: DataFrame, src: DataFrame, key: Column, name: str, null_as: float | None = -1.0,
-               cardinality: int | None = None) -> DataFrame:
-    """Raw count of rows sharing ``key``.  Counts are aggregated from the raw
-    input ``src`` (partial aggregation right after the scan, never from the
-    windowed frame).  A count table whose measured cardinality is under
-    ``BROADCAST_MAX_KEYS`` is broadcast (the big side is not shuffled);
-    otherwise it is a shuffle join."""
-    cnt = (src.select(key.alias("_k")).where(F.col("_k").isNotNull())
-           .groupBy("_k").agg(F.count(F.lit(1)).alias(name)))
-    if cardinality is not None and cardinality * 1.05 <= BROADCAST_MAX_KEYS:
-        cnt = F.broadcast(cnt)
-    res = out.withColumn("_k", key).join(cnt, "_k", "left").drop("_k")
-    if null_as is not None:
-        res = res.withColumn(name, F.coalesce(F.col(name).cast("double"), F.lit(float(null_as))))
-    return res
-
-
 def spread_nulls(key: Column, valid: Column, tie: str = TIE) -> Column:
     """Window key that keeps valid keys and gives every invalid row its own
     group (its features are masked anyway), so missing devices or NULL client
