@@ -21,11 +21,42 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB input).  Shuffle
+# partitions start high and AQE coalesces them toward the advisory size, so a
+# stage never has too few tasks for the data; skewed partitions above the
+# threshold are split at run time; scans make ~512 MB input splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+}
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 * 1024 ** 2, minimum: int = 8) -> int:
+    """Initial shuffle partition count for an expected shuffle volume (AQE then
+    coalesces small partitions and splits skewed ones)."""
+    return max(minimum, int(shuffle_bytes // target_bytes) + 1)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "ledgerguard", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+                  app_name: str = "ledgerguard", extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
+    """Session with the library's defaults; ``cluster=True`` adds CLUSTER_CONF
+    (``master`` is then left to spark-submit)."""
+    builder = SparkSession.builder.appName(app_name)
+    if not cluster:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if cluster:
+        conf.update(CLUSTER_CONF)
+    else:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
