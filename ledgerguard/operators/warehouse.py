@@ -77,3 +77,45 @@ def fct_transactions(stg: DataFrame, velocity: DataFrame) -> DataFrame:
         (F.col("channel") == "CNP").cast("int").alias("is_cnp"),
         F.datediff(F.to_date("event_ts"), F.to_date("card_issue_date")).alias("card_age_days"),
     )
+
+
+def _card_velocity_bucketed(stg: DataFrame) -> DataFrame:
+    """P2 for hot cards, per (card, day): the peers-inclusive RANGE frames see
+    the current day plus the previous day's rows as context; the previous row
+    comes from the two-level per-day helper."""
+    from ledgerguard.operators import asof
+    b = F.floor(F.col("ts_us") / F.lit(US_PER_DAY)).cast("long")
+    rows = stg.withColumn("_b", b).withColumn("_ctx", F.lit(0))
+    ctx = rows.select("card_id", (F.col("_b") + 1).alias("_b"), "ts_us", "transaction_id", "amount",
+                      F.lit(1).alias("_ctx"))
+    g = rows.unionByName(ctx, allowMissingColumns=True)
+    r = Window.partitionBy("card_id", "_b").orderBy("ts_us")
+    upto = r.rangeBetween(Window.unboundedPreceding, 0)
+    amt = F.col("amount")
+
+    def frame(width):
+        older = r.rangeBetween(Window.unboundedPreceding, -(width + 1))
+        cnt = F.count(F.lit(1)).over(upto) - F.count(F.lit(1)).over(older)
+        sm = F.sum(amt).over(upto) - F.coalesce(F.sum(amt).over(older), F.lit(0))
+        return cnt, sm
+    c1, s1 = frame(US_PER_HOUR)
+    c24, s24 = frame(US_PER_DAY)
+    v = g.select("*", (c1 - 1).cast("long").alias("txn_count_1h"), (s1 - amt).cast("decimal(22,2)").alias("amt_sum_1h"),
+                 (c24 - 1).cast("long").alias("txn_count_24h"),
+                 (s24 - amt).cast("decimal(22,2)").alias("amt_sum_24h")).where(F.col("_ctx") == 0)
+    v = asof.bucketed_prior(v.drop("_b", "_ctx"), ["card_id"], None, ts="ts_us", tie="transaction_id", prefix="_g")
+    return v.select("transaction_id", "card_id", "event_ts", "ts_us", "amount", "txn_count_1h", "amt_sum_1h",
+                    "txn_count_24h", "amt_sum_24h",
+                    (F.col("_g_gap") / F.lit(1_000_000.0)).alias("time_since_last_s"))
+
+
+def fct_card_velocity_skew_safe(stg: DataFrame, hot_keys=None, min_rows: int = 1_000_000,
+                                max_keys: int = 1_000) -> DataFrame:
+    """P2 with hot cards split per (card, day); identical to ``fct_card_velocity``."""
+    from ledgerguard.operators.features import detect_hot_keys
+    hot = detect_hot_keys(stg, "card_id", min_rows, max_keys) if hot_keys is None else list(hot_keys)
+    if not hot:
+        return fct_card_velocity(stg)
+    is_hot = F.col("card_id").isin(hot)
+    plain = fct_card_velocity(stg.where(~is_hot))
+    return plain.unionByName(_card_velocity_bucketed(stg.where(is_hot)).select(*plain.columns))

@@ -148,7 +148,20 @@ SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_su
        round(time_since_last_s, 6) AS time_since_last_s
 FROM vel"""))
 def p2_card_velocity(spark, sf):
-    v = warehouse.fct_card_velocity(warehouse.stg_transactions(card_txn(spark, sf)))
+    v = warehouse.fct_card_velocity_skew_safe(warehouse.stg_transactions(card_txn(spark, sf)))
+    return v.select("transaction_id", "txn_count_1h", F.col("amt_sum_1h").cast("double").alias("amt_sum_1h"),
+                    "txn_count_24h", F.col("amt_sum_24h").cast("double").alias("amt_sum_24h"),
+                    rnd("time_since_last_s").alias("time_since_last_s"))
+
+
+@register("p2_card_velocity_hot_split", with_(TXN_CTE + "," + _STG_SQL + "," + _VEL_SQL, """
+SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_sum_1h AS DOUBLE) AS amt_sum_1h,
+       CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
+       round(time_since_last_s, 6) AS time_since_last_s
+FROM vel"""))
+def p2_card_velocity_hot_split(spark, sf):
+    """P2 with the hot-card split exercised (cards with >= 70 rows)."""
+    v = warehouse.fct_card_velocity_skew_safe(warehouse.stg_transactions(card_txn(spark, sf)), min_rows=70)
     return v.select("transaction_id", "txn_count_1h", F.col("amt_sum_1h").cast("double").alias("amt_sum_1h"),
                     "txn_count_24h", F.col("amt_sum_24h").cast("double").alias("amt_sum_24h"),
                     rnd("time_since_last_s").alias("time_since_last_s"))
@@ -164,7 +177,7 @@ SELECT s.transaction_id, s.card_id, CAST(s.amount AS DOUBLE) AS amount, s.channe
 FROM stg s LEFT JOIN vel v USING (transaction_id)"""))
 def p3_fct_transactions(spark, sf):
     stg = warehouse.stg_transactions(card_txn(spark, sf))
-    fct = warehouse.fct_transactions(stg, warehouse.fct_card_velocity(stg))
+    fct = warehouse.fct_transactions(stg, warehouse.fct_card_velocity_skew_safe(stg))
     return fct.select("transaction_id", "card_id", F.col("amount").cast("double").alias("amount"), "channel",
                       "txn_count_24h", "event_hour", "is_night", "is_cnp", "card_age_days")
 

@@ -118,3 +118,22 @@ def test_hot_key_split_day_gaps_and_ties(spark):
     a = add_card_features(t).select(cols)
     b = add_card_features_skew_safe(t, hot_keys=[1]).select(cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_velocity_mart_hot_split_equals_window_path(spark):
+    from ledgerguard.sources.adapters import load_card_transactions
+    t = warehouse.stg_transactions(load_card_transactions(spark, "/root/testdata/sf0.001"))
+    every = [r[0] for r in t.select("card_id").distinct().collect()]
+    a = warehouse.fct_card_velocity(t)
+    b = warehouse.fct_card_velocity_skew_safe(t, hot_keys=every)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # ties and a gap of several days
+    d, h = dt.timedelta(days=1), dt.timedelta(hours=1)
+    rows = [(1, 1, 1, 1, 10.0, T0, 0.0, 0.0, "CP"), (2, 1, 1, 1, 20.0, T0, 0.0, 0.0, "CP"),
+            (3, 1, 1, 1, 30.0, T0 + 23 * h + 30 * dt.timedelta(minutes=1), 0.0, 0.0, "CP"),
+            (4, 1, 1, 1, 40.0, T0 + d, 0.0, 0.0, "CP"), (5, 1, 1, 1, 50.0, T0 + 4 * d, 0.0, 0.0, "CP")]
+    s = warehouse.stg_transactions(card_frame(spark, rows))
+    a = warehouse.fct_card_velocity(s)
+    b = warehouse.fct_card_velocity_skew_safe(s, hot_keys=[1])
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
