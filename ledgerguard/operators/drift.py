@@ -22,18 +22,25 @@ def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.selectExpr(f"stack({len(features)}, {pairs}) AS (feature, x)")
 
 
-def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """Population stability index per feature.
+def value_counts(reference: DataFrame, actual: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, x, nr, na): how often each value occurs in the reference and the
+    actual sample -- the one pass over the data that PSI and KS both use.  It is
+    checkpointed to the shared folder because three consumers read it."""
+    from ledgerguard.session import cut_lineage
+    r = _long(reference, features).where(F.col("x").isNotNull()).withColumn("src", F.lit(0))
+    a = _long(actual, features).where(F.col("x").isNotNull()).withColumn("src", F.lit(1))
+    vc = r.unionByName(a).groupBy("feature", "x").agg(F.sum(1 - F.col("src")).cast("long").alias("nr"),
+                                                      F.sum("src").cast("long").alias("na"))
+    return cut_lineage(vc)
+
 
-    Edges are the distinct reference quantiles at 0, 1/bins, ..., 1 with the
-    ends opened to +-inf (fewer than 3 edges -> PSI 0); bins are [lo, hi);
-    shares are floored at 1e-6.  All features share one unpivoted pass.
-    """
+def psi_from_counts(vc: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """D1 on value counts.  Edges are the distinct reference quantiles at 0,
+    1/bins, ..., 1 with the ends opened to +-inf (fewer than 3 edges -> PSI 0);
+    bins are [lo, hi); shares are floored at 1e-6."""
     probs = [float(p) for p in np.linspace(0.0, 1.0, bins + 1)]
-    ref_long = _long(reference, features)
-    act_long = _long(actual, features)
-    q = exact_quantiles(ref_long, "x", probs, group="feature")
-    spark = reference.sparkSession
+    q = exact_quantiles(vc, "x", probs, group="feature", weight="nr")
+    spark = vc.sparkSession
     edge_rows, degenerate = [], []
     for f in features:
         e = [q[f][p] for p in probs] if f in q else []
@@ -41,24 +48,19 @@ def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins:
         if len(e) < 3:
             degenerate.append(f)
             continue
-        inner = e[1:-1]
-        edge_rows.append((f, [float(v) for v in inner], len(e) - 1))
+        edge_rows.append((f, [float(v) for v in e[1:-1]], len(e) - 1))
     out = []
     if edge_rows:
+        # bounded: one row per feature, at most bins - 1 edges each
         edges = spark.createDataFrame(edge_rows, "feature string, inner array<double>, nbins int")
-
-        def shares(long_df: DataFrame, name: str) -> DataFrame:
-            b = F.size(F.filter(F.col("inner"), lambda t: t <= F.col("x")))
-            j = long_df.where(F.col("x").isNotNull()).join(F.broadcast(edges), "feature")
-            cnt = j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-            tot = long_df.where(F.col("x").isNotNull()).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-            return cnt.join(tot, "feature").select("feature", "bin", (F.col("c") / F.col("n")).alias(name))
-
+        b = F.size(F.filter(F.col("inner"), lambda t: t <= F.col("x")))
+        per_bin = (vc.join(F.broadcast(edges), "feature")
+                   .groupBy("feature", b.alias("bin")).agg(F.sum("nr").alias("cr"), F.sum("na").alias("ca")))
+        tot = vc.groupBy("feature").agg(F.sum("nr").alias("Nr"), F.sum("na").alias("Na"))
         allbins = edges.select("feature", F.explode(F.sequence(F.lit(0), F.col("nbins") - 1)).alias("bin"))
-        full = (allbins.join(shares(ref_long, "r"), ["feature", "bin"], "left")
-                .join(shares(act_long, "a"), ["feature", "bin"], "left"))
-        r = F.greatest(F.coalesce("r", F.lit(0.0)), F.lit(PSI_EPS))
-        a = F.greatest(F.coalesce("a", F.lit(0.0)), F.lit(PSI_EPS))
+        full = allbins.join(per_bin, ["feature", "bin"], "left").join(tot, "feature")
+        r = F.greatest(F.coalesce(F.col("cr"), F.lit(0)) / F.col("Nr"), F.lit(PSI_EPS))
+        a = F.greatest(F.coalesce(F.col("ca"), F.lit(0)) / F.col("Na"), F.lit(PSI_EPS))
         out.append(full.groupBy("feature").agg(F.sum((a - r) * F.log(a / r)).alias("psi")))
     if degenerate:
         out.append(spark.createDataFrame([(f, 0.0) for f in degenerate], "feature string, psi double"))
@@ -68,14 +70,10 @@ def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins:
     return res
 
 
-def ks(reference: DataFrame, actual: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Max |ECDF_ref - ECDF_act| per feature, via value counts and a
+def ks_from_counts(vc: DataFrame) -> DataFrame:
+    """D2 on value counts: max |ECDF_ref - ECDF_act| per feature, via a
     per-feature running sum in a distributed global order."""
-    r = _long(reference, features).where(F.col("x").isNotNull()).withColumn("src", F.lit(0))
-    a = _long(actual, features).where(F.col("x").isNotNull()).withColumn("src", F.lit(1))
-    u = r.unionByName(a)
-    vc = u.groupBy("feature", "x").agg(F.sum(1 - F.col("src")).alias("nr"), F.sum("src").alias("na"))
-    tot = u.groupBy("feature").agg(F.sum(1 - F.col("src")).alias("Nr"), F.sum("src").alias("Na"))
+    tot = vc.groupBy("feature").agg(F.sum("nr").alias("Nr"), F.sum("na").alias("Na"))
     cum = global_cumulative(vc, [F.col("feature"), F.col("x")], {"r": F.col("nr"), "a": F.col("na")},
                             keep=["feature", "x"], group="feature")
     gap = cum.join(F.broadcast(tot), "feature").select(
@@ -83,6 +81,16 @@ def ks(reference: DataFrame, actual: DataFrame, features: Sequence[str]) -> Data
     return gap.groupBy("feature").agg(F.max("g").alias("ks"))
 
 
+def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """Population stability index per feature."""
+    return psi_from_counts(value_counts(reference, actual, features), features, bins)
+
+
+def ks(reference: DataFrame, actual: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic per feature."""
+    return ks_from_counts(value_counts(reference, actual, features))
+
+
 def severity(psi_col: str | Column = "psi") -> Column:
     """< 0.10 stable, 0.10-0.25 moderate, > 0.25 large."""
     p = F.col(psi_col) if isinstance(psi_col, str) else psi_col
@@ -92,5 +100,6 @@ def severity(psi_col: str | Column = "psi") -> Column:
 
 def drift_report(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """D3: PSI and KS per feature, worst PSI first."""
-    rep = psi(reference, actual, features, bins).join(ks(reference, actual, features), "feature")
+    vc = value_counts(reference, actual, features)
+    rep = psi_from_counts(vc, features, bins).join(ks_from_counts(vc), "feature")
     return rep.withColumn("severity", severity("psi")).orderBy(F.desc("psi"), F.asc("feature"))

@@ -167,7 +167,8 @@ def _interpolate(sorted_vals: list, counts: list, probs, n: int) -> dict:
     return res
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str | None = None) -> dict:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str | None = None,
+                    weight: str | None = None) -> dict:
     """Linear-interpolated quantiles of ``col`` (NULLs ignored) -- the numpy /
     ``quantile_cont`` / ``percentile`` definition -- without Spark's single-task
     value map.
@@ -178,10 +179,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str
     distributed global order and only the rows covering the needed positions
     (at most two per probability and group) are collected.
 
+    ``weight`` names a column of row multiplicities (for pre-aggregated input).
     Returns {prob: value} or, with ``group``, {group_value: {prob: value}}.
     """
     keys = [group] if group else []
-    vc = (df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c")))
+    cnt = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    src = df.where(F.col(col).isNotNull()) if weight is None else df.where(F.col(col).isNotNull() & (F.col(weight) > 0))
+    vc = src.groupBy(*keys, col).agg(cnt.cast("long").alias("_c"))
     small = vc.limit(SMALL_VALUE_COUNTS + 1).collect()
     if len(small) <= SMALL_VALUE_COUNTS:
         by: dict = {}
