@@ -17,8 +17,6 @@ which is exact on ties and includes the lower edge (ts_us = now - width).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
@@ -157,7 +155,6 @@ def prior_count_distinct_by_day(df, key: str, value: str, valid, ts: str = "ts_u
     Adds ``{prefix}_prior_n``, ``{prefix}_prior_distinct`` and ``{prefix}_total``
     (NULL where ``valid`` is false).
     """
-    from pyspark.sql import DataFrame  # noqa: F401
     vcol = F.col(valid) if isinstance(valid, str) else valid
     rows = df.withColumn("_v", vcol).withColumn("_bk", F.floor(F.col(ts) / F.lit(bucket_us)).cast("long"))
     first = (rows.where("_v").groupBy(key, value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as _W
 from pyspark.sql import functions as F
 
 from ledgerguard.functions.geo import haversine_km
@@ -73,7 +74,6 @@ def select_features(featured: DataFrame, extra: tuple[str, ...] = ("transaction_
 # The result is identical to the plain path (tested), so the two are unioned.
 # --------------------------------------------------------------------------
 
-from pyspark.sql import Window as _W  # noqa: E402
 
 HOT_MIN_ROWS = 1_000_000
 HOT_MAX_KEYS = 1_000

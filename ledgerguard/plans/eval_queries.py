@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerguard.operators import drift, evaluation as ev, quality, scoring, split, warehouse
+from ledgerguard.operators import drift, evaluation as ev, quality, scoring, split
 from ledgerguard.operators.ordering import POS, global_cumulative
 from ledgerguard.plans.common import card_featured, card_scored, card_txn, rnd
 from ledgerguard.plans.registry import register

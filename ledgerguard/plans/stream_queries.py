@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerguard.operators.rules import apply_rules, reason_codes
+from ledgerguard.operators.rules import apply_rules
 from ledgerguard.plans.common import rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, RULES_CTE, TXN_CTE, with_
