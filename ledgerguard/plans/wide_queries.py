@@ -309,3 +309,12 @@ def s9_materialise_mart(spark, sf):
     mart = readers.materialise(warehouse.fct_card_velocity(stg), "lg_fct_card_velocity", "table",
                                path=_sink_dir(spark, "mart"))
     return mart.select("transaction_id", "txn_count_24h")
+
+
+@register("s3_identity_key_check", with_(WIDE_CTE, """
+SELECT TransactionID, count(*) AS n FROM idn GROUP BY TransactionID HAVING count(*) > 1"""))
+def s3_identity_key_check(spark, sf):
+    """S3 guard: identity keys that appear more than once would fan out the left
+    join (expected: no rows)."""
+    _, idn = load_wide(spark, sf)
+    return readers.identity_key_duplicates(idn).select("TransactionID", F.col("count").alias("n"))

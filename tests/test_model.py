@@ -47,3 +47,15 @@ def test_isolation_forest_ranks_planted_outlier_first(spark):
     top = s.orderBy(F.desc("anomaly_score")).first()
     assert top["transaction_id"] == 99999 and top["anomaly_score"] == 1.0
     assert s.agg(F.min("anomaly_score")).first()[0] == 0.0
+
+
+def test_isolation_forest_frozen_bounds(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(v), float(w)) for i, (v, w) in enumerate(zip(rng.normal(0, 1, 500), rng.normal(0, 1, 500)))]
+    df = spark.createDataFrame(rows, "transaction_id long, a double, b double")
+    free = anomaly.anomaly_scores(df, df, ["a", "b"], n_trees=20)
+    lo, hi = free.agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
+    frozen = anomaly.anomaly_scores(df, df.limit(10), ["a", "b"], n_trees=20, bounds=(lo, hi))
+    f = {r[0]: r[1] for r in free.select("transaction_id", "anomaly_score").collect()}
+    for r in frozen.select("transaction_id", "anomaly_score").collect():
+        assert r[1] == pytest.approx(f[r[0]])           # batch-independent with frozen bounds
