@@ -200,28 +200,23 @@ def _card1_family_windows(base: DataFrame, df: DataFrame) -> DataFrame:
     prior_n = asof.prior_count(c1, tie=TIE)
     prior_s = asof.prior_sum("amount_minor", c1, tie=TIE)
     mean = F.when(prior_n > 0, prior_s / prior_n / F.lit(1000.0))
-    base = base.select(
+    u = [c for c in UID_PARTS if has(c)]
+    gap = asof.gap_seconds(u, None, tie=TIE)
+    ck_valid = F.col("client_key").isNotNull()
+    ck = [c1] + (["addr1"] if has("addr1") else []) + ["_d1n"]
+    # one projection: the card1 windows come first so their hash partitioning on
+    # card1 is placed first and also serves the account and client windows
+    base = base.withColumn("_d1n", _client_day_offset(df)).select(
         "*",
         prior_n.cast("double").alias("card1_prior_txn"),
         F.coalesce(mean, F.lit(-1.0)).alias("card1_prior_amt_mean"),
         F.when(mean > 0, F.col("amount") / mean).otherwise(F.lit(1.0)).alias("amt_to_card1_mean"),
         F.when(F.col(c1).isNotNull(), asof.total_count(c1)).cast("double").alias("card1_freq"),
-    )
-    u = [c for c in UID_PARTS if has(c)]
-    gap = asof.gap_seconds(u, None, tie=TIE)
-    base = base.select(
-        "*",
         asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double").alias("uid_txn_24h"),
         (asof.prior_sum_within("amount_minor", u, US_PER_DAY, tie=TIE) / F.lit(1000.0)).alias("uid_amt_24h"),
         F.log1p(F.coalesce(gap, F.lit(FIRST_GAP_S))).alias("uid_tsl_log"),
         asof.prior_zscore("amount_minor", u, tie=TIE).alias("uid_amount_z"),
         asof.prior_count(u, tie=TIE).cast("double").alias("uid_prior_txn"),
-    )
-    ck_valid = F.col("client_key").isNotNull()
-    ck = [c1] + (["addr1"] if has("addr1") else []) + ["_d1n"]
-    base = base.withColumn("_d1n", _client_day_offset(df))
-    base = base.select(
-        "*",
         F.when(ck_valid, asof.prior_count(ck, tie=TIE)).cast("double").alias("client_prior_txn"),
         F.when(ck_valid, asof.total_count(ck)).cast("double").alias("client_freq"),
     )
