@@ -140,10 +140,13 @@ def score_isolation_forest(df: DataFrame, nodes: pd.DataFrame, feature_cols: Seq
 
 def anomaly_scores(train: DataFrame, score_df: DataFrame, feature_cols: Sequence[str], n_trees: int = 200,
                    sample_size: int = 256, seed: int = 0, keep: Sequence[str] = ("transaction_id",),
-                   bounds: tuple[float, float] | None = None) -> DataFrame:
+                   bounds: tuple[float, float] | None = None, nodes: pd.DataFrame | None = None) -> DataFrame:
     """M5: outlier score in [0, 1]; min-max over the scored frame unless
-    ``bounds`` are given; all zero when the raw scores are constant."""
-    nodes = fit_isolation_forest(train, feature_cols, n_trees, sample_size, seed, keep[0])
+    ``bounds`` are given; all zero when the raw scores are constant.  Pass
+    ``nodes`` (from ``fit_isolation_forest``) to score several frames with one
+    fitted forest."""
+    if nodes is None:
+        nodes = fit_isolation_forest(train, feature_cols, n_trees, sample_size, seed, keep[0])
     raw = score_isolation_forest(score_df, nodes, feature_cols, sample_size, keep)
     if bounds is None:
         mm = raw.agg(F.min("anomaly_raw").alias("lo"), F.max("anomaly_raw").alias("hi"))

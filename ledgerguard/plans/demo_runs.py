@@ -37,9 +37,10 @@ def frame_cols(df):
 rule_names = ("card_testing", "high_amount_new_card", "impossible_travel", "velocity_spike")
 
 
-def _signals(scorer, train: DataFrame, frame: DataFrame, feature_cols, rule_col: str, id_col: str) -> DataFrame:
+def _signals(scorer, forest, train: DataFrame, frame: DataFrame, feature_cols, rule_col: str,
+             id_col: str) -> DataFrame:
     scored = scorer.transform(frame)
-    anom = anomaly.anomaly_scores(train, frame, feature_cols, keep=(id_col,))
+    anom = anomaly.anomaly_scores(train, frame, feature_cols, keep=(id_col,), nodes=forest)
     return scored.join(anom.select(id_col, "anomaly_score"), id_col, "left") \
                  .withColumn("rule_signal", F.col(rule_col).cast("double"))
 
@@ -47,8 +48,9 @@ def _signals(scorer, train: DataFrame, frame: DataFrame, feature_cols, rule_col:
 def _review(train, valid, test, feature_cols, rule_col, id_col, budget, review, friction, candidates,
             max_iter, minor_per_unit):
     scorer = model.train_scorer(train, feature_cols, id_col=id_col, max_iter=max_iter)
-    v = _signals(scorer, train, valid, feature_cols, rule_col, id_col)
-    t = _signals(scorer, train, test, feature_cols, rule_col, id_col)
+    forest = anomaly.fit_isolation_forest(train, feature_cols, id_col=id_col)     # fitted once, bounded node table
+    v = _signals(scorer, forest, train, valid, feature_cols, rule_col, id_col)
+    t = _signals(scorer, forest, train, test, feature_cols, rule_col, id_col)
     ren = {id_col: "transaction_id"} if id_col != "transaction_id" else {}
     keep = ["transaction_id", "ts_us", "amount", "amount_minor", "is_fraud", "model_score", "rule_signal",
             "anomaly_score"] + [c for c in ("card_id", *rule_names) if c in frame_cols(v)]
