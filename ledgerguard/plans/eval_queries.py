@@ -463,7 +463,28 @@ def v4_freshness(spark, sf):
     return r.select("newest_us", rnd("age_hours").alias("age_hours"), "status")
 
 
-@register("v5_leakage")
+def _leak_sql() -> str:
+    """Brute-force features on the whole table and, through a renamed copy of
+    the same CTEs, on the table truncated at the median time; the symmetric
+    difference of the rows at or before the cut must be empty."""
+    import re
+    from ledgerguard.plans.sqlparts import FEAT_CTE, TXN_CTE
+    body = FEAT_CTE[len(TXN_CTE):]
+    body_t = body
+    for name in ("txn", "pairs", "prevrow", "feat0", "feat"):
+        body_t = re.sub(rf"\b{name}\b", f"{name}_t", body_t)
+    cols = ("transaction_id, txn_count_1h, amt_sum_1h, txn_count_24h, amt_sum_24h, amount_z, "
+            "time_since_last_s, geo_dist_km, geo_speed_kmh, mcc_novel, card_age_days")
+    return ("WITH " + TXN_CTE.strip() + """,
+cut AS (SELECT CAST(floor(quantile_cont(CAST(ts_us AS DOUBLE), 0.5)) AS BIGINT) AS c FROM txn),
+txn_t AS (SELECT * FROM txn WHERE ts_us <= (SELECT c FROM cut))""" + body + body_t + f"""
+SELECT * FROM (
+  (SELECT {cols} FROM feat WHERE ts_us <= (SELECT c FROM cut) EXCEPT ALL SELECT {cols} FROM feat_t)
+  UNION ALL
+  (SELECT {cols} FROM feat_t EXCEPT ALL SELECT {cols} FROM feat WHERE ts_us <= (SELECT c FROM cut)))""")
+
+
+@register("v5_leakage", _leak_sql())
 def v5_leakage(spark, sf):
     """Rows whose features change when every later row is removed (expected: none)."""
     from ledgerguard.operators.features import add_card_features

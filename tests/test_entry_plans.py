@@ -37,3 +37,17 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,7)]" in plan
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in plan
+
+
+def test_no_window_over_a_single_partition(spark):
+    """Headline queries never place a window on a SinglePartition exchange
+    (global order goes through the range-partitioned helper instead)."""
+    q = E.queries()
+    names = ["f11_feature_table", "p3_fct_transactions", "r6_rule_precision", "k2_rank_queue", "a1_pr_auc",
+             "a9_value_budget_curve", "m7_blend_select", "d3_drift_report", "e22_wide_feature_table"]
+    for name in names:
+        lines = _plan(q[name](spark, "/root/testdata/sf0.001")).splitlines()
+        for i, line in enumerate(lines):
+            if "Window [" in line:
+                below = "\n".join(lines[i + 1:i + 4])
+                assert "SinglePartition" not in below, name
