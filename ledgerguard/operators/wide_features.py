@@ -257,11 +257,24 @@ def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ, hot_devices: list | None = None,
-                      hot_min_rows: int = HOT_MIN_ROWS, hot_card1: list | None = None) -> tuple[DataFrame, list[str]]:
+                      hot_min_rows: int = HOT_MIN_ROWS, hot_card1: list | None = None,
+                      freq_scope: str = "table", freq_reference: DataFrame | None = None
+                      ) -> tuple[DataFrame, list[str]]:
     """Returns (frame with feature columns, feature list E23).
 
     ``df`` is the normalised wide table (``normalise_wide``).
+
+    ``freq_scope`` decides what the frequency features (E9-E11) count:
+    ``"table"`` -- all rows of ``df`` (the reference's behaviour: they see the
+    future); ``"train"`` -- the rows of ``freq_reference`` (e.g. the training
+    slice); ``"asof"`` -- rows with the same key strictly before this row
+    (leakage-free; computed per key-day in two levels, so a key shared by most
+    rows is not one partition).
     """
+    if freq_scope not in ("table", "train", "asof"):
+        raise ValueError(f"freq_scope must be table, train or asof, not {freq_scope!r}")
+    if freq_scope == "train" and freq_reference is None:
+        raise ValueError("freq_scope='train' needs freq_reference")
     cols = set(df.columns)
     has = lambda c: c in cols
     day = F.floor(F.col("TransactionDT") / 86400)
@@ -325,14 +338,24 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
         out = plain.unionByName(split.select(*plain.columns))
     else:
         out = _card1_family_windows(base, df)
-    # --- frequencies of other keys: counts from the raw input, joined back
+    # --- frequencies of other keys: counts from the raw input (or the reference
+    # slice) joined back, or strictly-earlier counts per key
     out = out.withColumns({f"_k_{name}": key for name, key in freq_keys.items()})
-    for name, key in freq_keys.items():
-        cnt = (df.select(key.alias(f"_k_{name}")).where(F.col(f"_k_{name}").isNotNull())
-               .groupBy(f"_k_{name}").agg(F.count(F.lit(1)).alias(name)))
-        if card.get(name, BROADCAST_MAX_KEYS) * 1.05 <= BROADCAST_MAX_KEYS:
-            cnt = F.broadcast(cnt)      # measured cardinality is under the bound
-        out = out.join(cnt, f"_k_{name}", "left")
+    if freq_scope == "asof":
+        for name in freq_keys:
+            k = f"_k_{name}"
+            out = asof.bucketed_prior(out, [k], None, ts="ts_us", tie=TIE, prefix="_fq")
+            out = out.withColumn(name, F.when(F.col(k).isNotNull(), F.col("_fq_n"))) \
+                     .drop("_fq_n", "_fq_total", "_fq_gap")
+    else:
+        src = df if freq_scope == "table" else freq_reference
+        for name, key in freq_keys.items():
+            cnt = (src.select(key.alias(f"_k_{name}")).where(F.col(f"_k_{name}").isNotNull())
+                   .groupBy(f"_k_{name}").agg(F.count(F.lit(1)).alias(name)))
+            # the cardinality measured on the whole table also bounds any slice of it
+            if card.get(name, BROADCAST_MAX_KEYS) * 1.05 <= BROADCAST_MAX_KEYS:
+                cnt = F.broadcast(cnt)      # measured cardinality is under the bound
+            out = out.join(cnt, f"_k_{name}", "left")
     fills = {name: F.coalesce(F.col(name).cast("double"), F.lit(-1.0)) for name in freq_keys
              if name != "email_domain_freq"}
     fills["email_domain_freq"] = F.when(F.col("_email_valid"), F.col("email_domain_freq").cast("double")) \

@@ -318,3 +318,23 @@ def s3_identity_key_check(spark, sf):
     join (expected: no rows)."""
     _, idn = load_wide(spark, sf)
     return readers.identity_key_duplicates(idn).select("TransactionID", F.col("count").alias("n"))
+
+
+@register("e10_frequencies_asof", with_(WIDE_CTE, """,
+fa AS (SELECT TransactionID,
+  CASE WHEN card2 IS NULL THEN -1.0 ELSE row_number() OVER (PARTITION BY card2 ORDER BY ts_us, TransactionID) - 1 END AS card2_freq,
+  CASE WHEN card3 IS NULL THEN -1.0 ELSE row_number() OVER (PARTITION BY card3 ORDER BY ts_us, TransactionID) - 1 END AS card3_freq,
+  CASE WHEN card5 IS NULL THEN -1.0 ELSE row_number() OVER (PARTITION BY card5 ORDER BY ts_us, TransactionID) - 1 END AS card5_freq,
+  CASE WHEN addr1 IS NULL THEN -1.0 ELSE row_number() OVER (PARTITION BY addr1 ORDER BY ts_us, TransactionID) - 1 END AS addr1_freq,
+  CASE WHEN NOT email_valid THEN 0.0 ELSE row_number() OVER (PARTITION BY email ORDER BY ts_us, TransactionID) - 1 END AS email_domain_freq,
+  row_number() OVER (PARTITION BY coalesce(CAST(card1 AS VARCHAR), 'na') || '_' || coalesce(CAST(addr1 AS VARCHAR), 'na')
+                     ORDER BY ts_us, TransactionID) - 1 AS card1_addr1_freq
+  FROM wk)
+SELECT TransactionID, CAST(card2_freq AS DOUBLE) AS card2_freq, CAST(card3_freq AS DOUBLE) AS card3_freq,
+       CAST(card5_freq AS DOUBLE) AS card5_freq, CAST(addr1_freq AS DOUBLE) AS addr1_freq,
+       CAST(email_domain_freq AS DOUBLE) AS email_domain_freq, CAST(card1_addr1_freq AS DOUBLE) AS card1_addr1_freq FROM fa"""))
+def e10_frequencies_asof(spark, sf):
+    """E9-E11 in the leakage-free as-of scope (strictly earlier rows with the key)."""
+    f = add_wide_features(wide_normalised(spark, sf), freq_scope="asof")[0]
+    return f.select("TransactionID", "card2_freq", "card3_freq", "card5_freq", "addr1_freq", "email_domain_freq",
+                    "card1_addr1_freq")

@@ -126,3 +126,25 @@ def test_card1_hot_split_null_keys(spark):
     a = add_wide_features(n)[0].select(cols)
     b = add_wide_features(n, hot_card1=[1])[0].select(cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_frequency_scopes(spark):
+    tx = spark.createDataFrame([
+        (1, 0, 0, 10.0, 1, 1.0, 150.0, 226.0, 300.0, "a"),
+        (2, 0, 3600, 20.0, 2, 1.0, 150.0, 226.0, 300.0, "a"),
+        (3, 1, 7200, 30.0, 3, 2.0, 150.0, 226.0, 310.0, "b"),
+        (4, 1, 7200, 40.0, 4, 1.0, 150.0, 226.0, 300.0, "a"),
+        (5, 0, 400000, 50.0, 5, 1.0, 150.0, 226.0, None, None),
+    ], TX)
+    n = normalise_wide(tx, None)
+    asof_rows = rows(add_wide_features(n, freq_scope="asof")[0])
+    # strictly earlier rows with the same key, ties by TransactionID
+    assert [asof_rows[i]["card2_freq"] for i in (1, 2, 3, 4, 5)] == [0, 1, 0, 2, 3]
+    assert [asof_rows[i]["card3_freq"] for i in (1, 2, 3, 4, 5)] == [0, 1, 2, 3, 4]
+    assert asof_rows[5]["addr1_freq"] == -1.0 and asof_rows[5]["email_domain_freq"] == 0.0
+    assert [asof_rows[i]["email_domain_freq"] for i in (1, 2, 3, 4)] == [0, 1, 0, 2]
+    train = n.where("TransactionID <= 2")
+    tr = rows(add_wide_features(n, freq_scope="train", freq_reference=train)[0])
+    assert [tr[i]["card2_freq"] for i in (1, 3, 5)] == [2, -1.0, 2]
+    table = rows(add_wide_features(n)[0])
+    assert table[1]["card2_freq"] == 4
