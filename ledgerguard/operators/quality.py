@@ -58,6 +58,8 @@ def leakage_check(df: DataFrame, build: Callable[[DataFrame], DataFrame], cut_us
                   key: str = "transaction_id", cols: Sequence[str] = (), ts: str = "ts_us") -> DataFrame:
     """V5: features of rows at or before ``cut_us`` must not change when every
     later row is removed.  Returns the differing rows (empty = no leakage)."""
-    full = build(df).where(F.col(ts) <= F.lit(int(cut_us))).select(key, *cols)
-    cut = build(df.where(F.col(ts) <= F.lit(int(cut_us)))).select(key, *cols)
+    from ledgerguard.session import cut_lineage
+    # each side is read twice by the symmetric difference: materialise it once
+    full = cut_lineage(build(df).where(F.col(ts) <= F.lit(int(cut_us))).select(key, *cols))
+    cut = cut_lineage(build(df.where(F.col(ts) <= F.lit(int(cut_us)))).select(key, *cols))
     return full.exceptAll(cut).unionByName(cut.exceptAll(full))

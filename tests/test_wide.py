@@ -148,3 +148,19 @@ def test_frequency_scopes(spark):
     assert [tr[i]["card2_freq"] for i in (1, 3, 5)] == [2, -1.0, 2]
     table = rows(add_wide_features(n)[0])
     assert table[1]["card2_freq"] == 4
+
+
+def test_wide_asof_features_do_not_leak(spark):
+    import numpy as np
+    from ledgerguard.operators.quality import leakage_check
+    from ledgerguard.sources.adapters import load_wide
+    tx, idn = load_wide(spark, "/root/testdata/sf0.001")
+    n = normalise_wide(tx, idn)
+    cols = ["uid_txn_24h", "uid_amt_24h", "uid_tsl_log", "uid_amount_z", "uid_prior_txn", "device_prior_txn",
+            "device_prior_cards", "card1_prior_txn", "card1_prior_amt_mean", "client_prior_txn",
+            "card2_freq", "email_domain_freq", "card1_addr1_freq"]
+    build = lambda d: add_wide_features(d, freq_scope="asof")[0]
+    lo, hi = n.agg(__import__("pyspark.sql.functions", fromlist=["min"]).min("ts_us"),
+                   __import__("pyspark.sql.functions", fromlist=["max"]).max("ts_us")).first()
+    for cut in np.random.default_rng(3).integers(lo, hi, 2):
+        assert leakage_check(n, build, int(cut), key="TransactionID", cols=cols).count() == 0
