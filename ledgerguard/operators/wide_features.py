@@ -170,6 +170,48 @@ def _apply_codes(df: DataFrame, cols: list[str], mapping, rows=None) -> DataFram
     return out
 
 
+def _device_block(base: DataFrame, df: DataFrame, hot: list) -> DataFrame:
+    """E7/E8.  Rows without a device are 0 by definition and get a per-row
+    window key.  Popular fingerprints are the documented hot keys: those in
+    ``hot`` are computed in two levels (per fingerprint-day); all others use
+    one window Exchange."""
+    valid = F.col("_device_valid")
+    n_total = df.agg(F.count(F.lit(1)).alias("n"))
+    if hot:
+        is_hot = valid & F.col("device_fp").isin(hot)
+        split = asof.prior_count_distinct_by_day(base.where(is_hot), "device_fp", "card1", F.lit(True),
+                                                 tie=TIE, prefix="_dev")
+        rest = _device_windows(base.where(~is_hot), valid)
+        base = rest.unionByName(split.select(*rest.columns))
+    else:
+        base = _device_windows(base, valid)
+    base = _with_total(base, n_total)
+    return base.select(
+        "*",
+        F.when(valid, F.col("_dev_prior_n")).otherwise(F.lit(0)).cast("double").alias("device_prior_txn"),
+        F.when(valid, F.col("_dev_prior_distinct")).otherwise(F.lit(0)).cast("double").alias("device_prior_cards"),
+        F.when(valid, F.col("_dev_total") / F.col("_n_all")).otherwise(F.lit(0.0)).alias("device_fp_freq"),
+    ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
+
+
+def add_ring_features(df: DataFrame, hot_min_rows: int = 1_000_000, hot_devices: list | None = None) -> DataFrame:
+    """Only what the ring operators (G1-G6) read: device prior transactions,
+    prior distinct cards, fingerprint frequency and the account's 24 h count --
+    without the full wide feature set.  Hot fingerprints come from one bounded
+    aggregate."""
+    cols = set(df.columns)
+    valid = F.col("DeviceInfo").isNotNull() if "DeviceInfo" in cols else F.lit(False)
+    base = df.withColumns({"device_fp": build_device_fp(df), "_device_valid": valid})
+    if hot_devices is None:
+        hot_devices = [r["device_fp"] for r in
+                       base.where(valid).groupBy("device_fp").agg(F.count(F.lit(1)).alias("_n"))
+                       .where(F.col("_n") >= hot_min_rows).orderBy(F.desc("_n")).limit(HOT_MAX_KEYS).collect()]
+    out = _device_block(base, df, hot_devices)
+    u = [c for c in UID_PARTS if c in cols]
+    return out.withColumn("uid_txn_24h", asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double")) \
+              .drop("_device_valid")
+
+
 def _device_windows(base: DataFrame, valid: Column) -> DataFrame:
     """Device prior count / prior distinct cards / total rows in one window
     Exchange on the fingerprint (NULL devices spread by row)."""
@@ -305,28 +347,7 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
         df, code_cols, freq_keys, build_device_fp(df),
         F.col("DeviceInfo").isNotNull() if has("DeviceInfo") else F.lit(False), hot_min_rows)
 
-    # --- device fingerprint.  Rows without a device are 0 by definition and get a
-    # per-row window key.  Popular fingerprints are the documented hot keys:
-    # those above ``hot_min_rows`` are computed in two levels (per
-    # fingerprint-day); all others use one window Exchange.
-    valid = F.col("_device_valid")
-    n_total = df.agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_devices if hot_devices is not None else hot_found
-    if hot:
-        is_hot = valid & F.col("device_fp").isin(hot)
-        split = asof.prior_count_distinct_by_day(base.where(is_hot), "device_fp", "card1", F.lit(True),
-                                                 tie=TIE, prefix="_dev")
-        rest = _device_windows(base.where(~is_hot), valid)
-        base = rest.unionByName(split.select(*rest.columns))
-    else:
-        base = _device_windows(base, valid)
-    base = _with_total(base, n_total)
-    base = base.select(
-        "*",
-        F.when(valid, F.col("_dev_prior_n")).otherwise(F.lit(0)).cast("double").alias("device_prior_txn"),
-        F.when(valid, F.col("_dev_prior_distinct")).otherwise(F.lit(0)).cast("double").alias("device_prior_cards"),
-        F.when(valid, F.col("_dev_total") / F.col("_n_all")).otherwise(F.lit(0.0)).alias("device_fp_freq"),
-    ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
+    base = _device_block(base, df, hot_devices if hot_devices is not None else hot_found)
 
     # --- card1, account (uid) and client-key blocks; rows of hot card1 values take
     # the per-day two-level path, all others the shared-Exchange window path.

@@ -23,6 +23,11 @@ def wide_featured(spark, sf):
     return add_wide_features(wide_normalised(spark, sf))[0]
 
 
+def ring_featured(spark, sf):
+    from ledgerguard.operators.wide_features import add_ring_features
+    return add_ring_features(wide_normalised(spark, sf))
+
+
 @register("e7_device_prior_hot_split", with_(WIDE_CTE, """
 SELECT TransactionID, round(coalesce(CAST(device_prior_txn AS DOUBLE), -1.0), 6) AS device_prior_txn,
        round(coalesce(CAST(device_prior_cards AS DOUBLE), -1.0), 6) AS device_prior_cards,
@@ -133,7 +138,7 @@ def e22_wide_feature_table_hot_split(spark, sf):
 @register("g1_specific_device", with_(RING_CTE, """
 SELECT TransactionID, device_prior_cards, round(device_fp_freq, 6) AS device_fp_freq FROM rings WHERE specific"""))
 def g1_specific_device(spark, sf):
-    f = wide_featured(spark, sf)
+    f = ring_featured(spark, sf)
     return f.where(rings.specific_device(f)).select("TransactionID", "device_prior_cards",
                                                     rnd("device_fp_freq").alias("device_fp_freq"))
 
@@ -148,7 +153,7 @@ SELECT TransactionID,
          CASE WHEN uid_txn_24h >= 5 THEN 'account velocity' END) END AS ring_reason
 FROM rings"""))
 def g2_ring_reasons(spark, sf):
-    f = wide_featured(spark, sf)
+    f = ring_featured(spark, sf)
     return f.select("TransactionID", rings.ring_reason_codes(f).alias("ring_reason"))
 
 
@@ -156,14 +161,14 @@ def g2_ring_reasons(spark, sf):
 SELECT TransactionID, round(greatest(CASE WHEN specific THEN least(greatest(device_prior_cards / 10.0, 0.0), 1.0) ELSE 0.0 END,
                                      least(greatest(uid_txn_24h / 10.0, 0.0), 1.0)), 6) AS ring_score FROM rings"""))
 def g3_ring_score(spark, sf):
-    f = wide_featured(spark, sf)
+    f = ring_featured(spark, sf)
     return f.select("TransactionID", rnd(rings.ring_rule_score(f)).alias("ring_score"))
 
 
 @register("g4_confound_summary", with_(RING_CTE, """
 SELECT count(*) AS rows, round(avg(is_fraud), 6) AS fraud_rate FROM rings WHERE NOT specific AND device_prior_cards >= 7"""))
 def g4_confound_summary(spark, sf):
-    return rings.confound_summary(wide_featured(spark, sf)).select("rows", rnd("fraud_rate").alias("fraud_rate"))
+    return rings.confound_summary(ring_featured(spark, sf)).select("rows", rnd("fraud_rate").alias("fraud_rate"))
 
 
 @register("g5_sharing_profile", with_(RING_CTE, """,
@@ -175,7 +180,7 @@ b AS (SELECT is_fraud, CASE WHEN device_prior_cards > -1 AND device_prior_cards
       FROM rings WHERE specific)
 SELECT bucket, round(avg(is_fraud), 6) AS fraud_rate, count(*) AS rows FROM b WHERE bucket IS NOT NULL GROUP BY bucket"""))
 def g5_sharing_profile(spark, sf):
-    p = rings.sharing_profile(wide_featured(spark, sf))
+    p = rings.sharing_profile(ring_featured(spark, sf))
     return p.select("bucket", rnd("fraud_rate").alias("fraud_rate"), "rows")
 
 
@@ -184,7 +189,7 @@ SELECT count(*) AS rows, round(avg(is_fraud), 6) AS fraud_rate,
        round(coalesce(sum(amount_minor * is_fraud), 0) / 1000.0, 6) AS fraud_value
 FROM rings WHERE specific AND device_prior_cards >= 4"""))
 def g6_ring_summary(spark, sf):
-    r = rings.ring_summary(wide_featured(spark, sf))
+    r = rings.ring_summary(ring_featured(spark, sf))
     return r.select("rows", rnd("fraud_rate").alias("fraud_rate"), rnd("fraud_value").alias("fraud_value"))
 
 
