@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerguard.llm import simhash_groups
+from ledgerguard.llm import multiset_hash, simhash_groups, suffix_dedup
 from ledgerguard.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,20 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", simhash_groups.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.document_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, length=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, QueryFn] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
