@@ -7,12 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerguard.llm import multiset_hash, simhash_groups, suffix_dedup
-from ledgerguard.llm.common import table
+from ledgerguard.llm import (language_id, length_buckets, multiset_hash, simhash_groups, suffix_dedup, token_records,
+                             token_rollup)
+from ledgerguard.llm.common import scratch_path, table
+from ledgerguard.llm.pretokens import vocabulary_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(docs, vocabulary_path("byte_bpe_50k.tiktoken"), keep_text=False)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     grouped = simhash_groups.simhash_components(docs, shingle=3, radius=3, keep_text=False)
@@ -23,6 +31,24 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.document_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return token_rollup.rollup_documents(docs, scratch_path(spark, "token-rollup"),
+                                         vocabulary_path("byte_bpe_50k.json"))
+
+
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-records")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_records.write_token_records(docs, folder, vocabulary_path("byte_bpe_50k.json"), end_id=0)
+    return token_records.read_token_records(spark, folder)
+
+
+def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return length_buckets.pack_texts(docs, vocabulary_path("byte_bpe_50k.json"), ["doc_id"])
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs, length=50).select(
@@ -30,8 +56,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_language_id": op2_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_token_rollup": op5_token_rollup,
+    "op6_token_records": op6_token_records,
+    "op9_length_buckets": op9_length_buckets,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
