@@ -88,7 +88,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _anchor_ids(buf: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
-    """64-bit hash of the ``gram`` bytes at each anchor."""
+    """48-bit hash of the ``gram`` bytes at each anchor (equal hashes of different bytes only
+    cost a comparison)."""
     padded = np.r_[buf, np.zeros(8, np.uint8)]
     out = np.zeros(len(at), dtype=np.uint64)
     for k in range(0, gram, 8):
@@ -96,7 +97,7 @@ def _anchor_ids(buf: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
         for j in range(min(8, gram - k)):
             word |= padded[at + k + j].astype(np.uint64) << np.uint64(8 * j)
         out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(k + 1))
-    return out
+    return out >> np.uint64(16)
 
 
 def _pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -121,6 +122,16 @@ def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return got.cast(pa.binary())
 
 
+def _six(values: np.ndarray) -> np.ndarray:
+    """48-bit numbers as six bytes each."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).view("V6").ravel()
+
+
+def _from_six(column: pa.ChunkedArray) -> np.ndarray:
+    raw = _joined(column, np.uint8).reshape(-1, 6)
+    return np.ascontiguousarray(np.pad(raw, ((0, 0), (0, 2)))).view("<u8").ravel()
+
+
 def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)
 
@@ -160,13 +171,13 @@ def _announce(text_at: int, g_at: int, buckets: int, length: int, gram: int):
             width = int(g.max()) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array((place[cut] // width).astype(np.int32)), pa.array((place[cut] % width).astype(np.int32)),
-                 _blobs(h, cuts), _blobs(many, cuts)], names=["bucket", "g", "ids", "many"])
+                 _blobs(_six(h), cuts), _blobs(many, cuts)], names=["bucket", "g", "ids", "many"])
     return announce
 
 
 def _answer(crowd: int):
     def answer(table: pa.Table) -> pa.Table:
-        h, many = _joined(table.column("ids"), np.uint64), _joined(table.column("many"), np.uint8)
+        h, many = _from_six(table.column("ids")), _joined(table.column("many"), np.uint8)
         sizes = np.array([len(x) for x in table.column("many").to_pylist()], dtype=np.int64)
         g = np.repeat(table.column("g").to_numpy(), sizes)
         order = np.argsort(h)
@@ -182,71 +193,85 @@ def _answer(crowd: int):
         h, g, crowded = h[keep], g[keep], crowded[keep]
         cut = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(h) else np.empty(0, np.int64)
         cuts = np.r_[cut, len(h)]
-        return pa.table({"g": pa.array(g[cut].astype(np.int32), pa.int32()), "ids": _blobs(h, cuts),
+        return pa.table({"g": pa.array(g[cut].astype(np.int32), pa.int32()), "ids": _blobs(_six(h), cuts),
                          "crowded": _blobs(crowded, cuts)})
     return answer
 
 
-def _occurrences(texts: pa.Array, shared: np.ndarray, crowded: np.ndarray, length: int, gram: int):
+def _occurrences(texts: pa.Array, shared: np.ndarray, crowded: np.ndarray, length: int, gram: int
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """(document, place in it, anchor id, class key, context bytes) of every run of windows
     whose anchor is in ``shared`` (sorted).  A crowded anchor's run is cut in two: windows
     with at least ``half`` bytes before the anchor take those bytes into their key, the others
-    the bytes after it."""
+    the bytes after it.  Equal contexts always have equal ids and keys."""
     half = (length - gram) // 2
+    docs, places, ids, keys, contexts = [], [], [], [], []
     for a, buf, ends in _pieces(texts):
         at, first, stop, doc = owned_runs(buf, ends, length, gram)
-        ids = _anchor_ids(buf, at, gram)
-        place = np.minimum(np.searchsorted(shared, ids), len(shared) - 1)
-        hit = np.flatnonzero(shared[place] == ids)
+        own = _anchor_ids(buf, at, gram)
+        spot = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
+        hit = np.flatnonzero(shared[spot] == own)
+        at, first, stop, doc, own = at[hit], first[hit], stop[hit], doc[hit], own[hit]
         raw = buf.tobytes()
-        starts = np.r_[0, ends[:-1]]
-        rows = zip((a + doc[hit]).tolist(), (first[hit] - starts[doc[hit]]).tolist(), first[hit].tolist(),
-                   stop[hit].tolist(), at[hit].tolist(), ids[hit].tolist(), crowded[place[hit]].tolist(), strict=True)
-        for d, where, i, j, k, h, many in rows:
-            if not many:
-                yield d, where, h, h, raw[i:j + length - 1]
-                continue
-            split = min(max(k - half + 1, i), j)   # windows before it have >= half bytes on the left
-            if split > i:
-                key = xxhash.xxh64_intdigest(raw[k - half:k + gram], 1)
-                yield d, where, h, key, raw[i:split + length - 1]
-            if split < j:
-                key = xxhash.xxh64_intdigest(raw[k:k + length - half + 1], 2)
-                yield d, where + split - i, h, key, raw[split:j + length - 1]
+        key = own.copy()
+        many = np.flatnonzero(crowded[spot[hit]])
+        if len(many):
+            split = np.clip(at[many] - half + 1, first[many], stop[many])  # windows before it: >= half on the left
+            left, right = many[split > first[many]], many[split < stop[many]]
+            left_stop, right_first = split[split > first[many]], split[split < stop[many]]
+            keep = np.ones(len(at), dtype=bool)
+            keep[many] = False
+            plain = np.flatnonzero(keep)
+            key = np.r_[key[plain], np.array(
+                [xxhash.xxh64_intdigest(raw[k - half:k + gram], 1) for k in at[left].tolist()] +
+                [xxhash.xxh64_intdigest(raw[k:k + length - half + 1], 2) for k in at[right].tolist()], np.uint64)]
+            order = np.r_[plain, left, right]
+            first = np.r_[first[plain], first[left], right_first]
+            stop = np.r_[stop[plain], left_stop, stop[right]]
+            doc, own = doc[order], own[order]
+        docs.append(a + doc)
+        places.append(first - np.r_[0, ends[:-1]][doc])
+        ids.append(own)
+        keys.append(key)
+        contexts += [raw[i:j] for i, j in zip(first.tolist(), (stop + length - 1).tolist(), strict=True)]
+    return (*(np.concatenate(x) if x else np.empty(0, np.int64) for x in (docs, places, ids, keys)), contexts)
 
 
 def _contexts(buckets: int, length: int, gram: int, key: str, text: str):
     def contexts(_, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, crowded = _joined(answers.column("ids"), np.uint64), _joined(answers.column("crowded"), np.uint8)
         g = answers.column("g")[0].as_py() if answers.num_rows else 0
-        best: dict[tuple[int, int, bytes], list[int]] = {}
-        if len(ids) and docs.num_rows:
-            order = np.argsort(ids)
-            ids, crowded = ids[order], crowded[order]
-            texts = _texts(docs, text)
-            keys = docs.column(key).fill_null(NO_KEY).to_pylist()
-            for d, _, h, k, ctx in _occurrences(texts, ids, crowded, length, gram):
-                low = keys[d]
-                got = best.get((h, k, ctx))
-                if got is None:
-                    best[h, k, ctx] = [low, low]
-                elif low < got[0]:
-                    got[0] = low
-                elif low > got[1]:
-                    got[1] = low
-        rows = sorted(((k % buckets, h, k, ctx, *lh) for (h, k, ctx), lh in best.items()), key=lambda r: r[0])
-        bucket = np.array([r[0] for r in rows], dtype=np.int64)
-        cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if rows else np.empty(0, np.int64)
-        cuts = np.r_[cut, len(rows)]
-        sizes = np.array([len(r[3]) for r in rows], dtype=np.int32)
-        flat = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
+        none = np.empty(0, np.uint64)
+        distinct, ids, keys, lows, highs = [], none, none, none, none
+        if answers.num_rows and docs.num_rows:
+            shared, crowded = _from_six(answers.column("ids")), _joined(answers.column("crowded"), np.uint8)
+            order = np.argsort(shared)
+            low = docs.column(key).fill_null(NO_KEY).to_numpy()
+            by_key = np.argsort(low, kind="stable")       # ascending: first and last seen are low and high
+            texts = _texts(docs, text).take(pa.array(by_key))
+            doc, _, h, k, ctx = _occurrences(texts, shared[order], crowded[order], length, gram)
+            at = np.argsort(doc, kind="stable")
+            if (np.diff(doc) < 0).any():                  # cut runs come after the others of their piece
+                ctx, doc, h, k = [ctx[i] for i in at.tolist()], doc[at], h[at], k[at]
+            last = dict(zip(ctx, range(len(ctx)), strict=True))
+            first = dict(zip(reversed(ctx), range(len(ctx) - 1, -1, -1), strict=True))
+            distinct = list(last)
+            head = np.fromiter(map(first.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+            tail = np.fromiter(last.values(), dtype=np.int64, count=len(distinct))
+            sorted_low = low[by_key]
+            ids, keys, lows, highs = h[head], k[head], sorted_low[doc[head]], sorted_low[doc[tail]]
+        bucket = (keys % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
+        cuts = np.r_[cut, len(bucket)]
+        sizes = np.fromiter(map(len, distinct), dtype=np.uint16, count=len(distinct))[order]
+        flat = np.frombuffer(b"".join([distinct[i] for i in order.tolist()]), dtype=np.uint8)
         at = np.r_[0, np.cumsum(sizes, dtype=np.int64)][cuts]
         return pa.table({"bucket": pa.array(bucket[cut].astype(np.int32), pa.int32()),
                          "g": pa.array(np.full(len(cut), g, np.int32), pa.int32()),
-                         "ids": _blobs(np.array([r[1] for r in rows], dtype=np.uint64), cuts),
-                         "keys": _blobs(np.array([r[2] for r in rows], dtype=np.uint64), cuts),
-                         "lows": _blobs(np.array([r[4] for r in rows], dtype=np.int64), cuts),
-                         "highs": _blobs(np.array([r[5] for r in rows], dtype=np.int64), cuts),
+                         "ids": _blobs(_six(ids[order]), cuts), "keys": _blobs(keys[order], cuts),
+                         "lows": _blobs(lows[order].astype(np.int64), cuts),
+                         "highs": _blobs((highs[order] - lows[order]).astype(np.int64), cuts),   # mostly zeros
                          "sizes": _blobs(sizes, cuts), "bytes": _blobs(flat, at)})
     return contexts
 
@@ -257,93 +282,92 @@ def _texts(table: pa.Table, name: str) -> pa.Array:
     return col.cast(pa.large_binary()).fill_null(b"")
 
 
-def window_lows(contexts: list[bytes], keys: np.ndarray, lows: np.ndarray, length: int) -> list[np.ndarray]:
-    """Smallest key of every window of ``length`` bytes of each (distinct) context.  Contexts
-    of one class key are compared with each other; a lone one has only its own key."""
-    out = [np.full(len(c) - length + 1, low, dtype=np.int64) for c, low in zip(contexts, lows.tolist(), strict=True)]
+def window_lows(flat: np.ndarray, starts: np.ndarray, keys: np.ndarray, lows: np.ndarray, length: int
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest key of every window of ``length`` bytes of the (distinct) contexts
+    ``flat[starts[i]:starts[i + 1]]``, and the contexts' starts in that array.  Contexts of one
+    class key are compared with each other; a lone one has only its own key."""
+    sizes = np.diff(starts)
+    windows = sizes - length + 1
+    at = np.r_[0, np.cumsum(windows)]
+    out = np.repeat(lows, windows)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(keys) else np.empty(0, np.int64)
-    block: list[int] = []
-    size = 0
-
-    def resolve(members: list[int]) -> None:
-        s = np.concatenate([np.r_[np.frombuffer(contexts[m], dtype=np.uint8).astype(np.uint16) + 1, np.uint16(0)]
-                            for m in members])
-        classes = prefix_classes(s.astype(np.uint16), length)
-        sizes = np.array([len(out[m]) for m in members])
-        starts = np.r_[0, np.cumsum([len(contexts[m]) + 1 for m in members])[:-1]]
-        at = np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-        cls, low = classes[at], np.repeat(lows[members], sizes)
+    count = np.diff(np.r_[first, len(keys)])
+    members = order[np.repeat(count > 1, count)]          # classes in a row
+    class_end = np.cumsum(count[count > 1])
+    symbols = np.cumsum(sizes[members] + 1)
+    begin = 0
+    while begin < len(members):
+        # whole classes up to about BLOCK symbols
+        before = symbols[begin - 1] if begin else 0
+        target = np.searchsorted(symbols, before + BLOCK)
+        end = int(class_end[min(np.searchsorted(class_end, target), len(class_end) - 1)])
+        block = members[begin:end]
+        size = sizes[block] + 1                           # one separator after each
+        head = np.cumsum(size) - size
+        inside = np.arange(int(size.sum())) - np.repeat(head, size)
+        s = np.zeros(len(inside), dtype=np.uint16)
+        text = inside < np.repeat(size - 1, size)
+        s[text] = flat[(np.repeat(starts[block], size) + inside)[text]].astype(np.uint16) + 1
+        classes = prefix_classes(s, length)
+        n = windows[block]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        cls, low = classes[np.repeat(head, n) + within], np.repeat(lows[block], n)
         by = np.argsort(cls, kind="stable")
-        head = np.flatnonzero(np.r_[True, np.diff(cls[by]) != 0])
-        least = np.repeat(np.minimum.reduceat(low[by], head), np.diff(np.r_[head, len(by)]))
-        got = np.empty(len(by), dtype=np.int64)
-        got[by] = least
-        for m, part in zip(members, np.split(got, np.cumsum(sizes)[:-1]), strict=True):
-            out[m] = part
-
-    for a, b in zip(first.tolist(), np.r_[first[1:], len(keys)].tolist(), strict=True):
-        if b - a < 2:
-            continue
-        members = order[a:b].tolist()
-        block += members
-        size += sum(len(contexts[m]) + 1 for m in members)
-        if size >= BLOCK:
-            resolve(block)
-            block, size = [], 0
-    if block:
-        resolve(block)
-    return out
+        start = np.flatnonzero(np.r_[True, np.diff(cls[by]) != 0])
+        least = np.empty(len(by), dtype=np.int64)
+        least[by] = np.repeat(np.minimum.reduceat(low[by], start), np.diff(np.r_[start, len(by)]))
+        out[np.repeat(at[block], n) + within] = least
+        begin = end
+    return out, at
 
 
 def _classes(length: int):
     def classes(table: pa.Table) -> pa.Table:
-        ids, keys = _joined(table.column("ids"), np.uint64), _joined(table.column("keys"), np.uint64)
-        lows, highs = _joined(table.column("lows"), np.int64), _joined(table.column("highs"), np.int64)
-        sizes = _joined(table.column("sizes"), np.int32)
-        per = np.array([len(x) // 4 for x in table.column("sizes").to_pylist()], dtype=np.int64)
+        ids, keys = _from_six(table.column("ids")), _joined(table.column("keys"), np.uint64)
+        lows = _joined(table.column("lows"), np.int64)
+        highs = lows + _joined(table.column("highs"), np.int64)
+        sizes = _joined(table.column("sizes"), np.uint16).astype(np.int64)
+        per = np.array([len(x) // 2 for x in table.column("sizes").to_pylist()], dtype=np.int64)
         g = np.repeat(table.column("g").to_numpy(), per)
         raw = b"".join(table.column("bytes").to_pylist())
-        ends = np.cumsum(sizes, dtype=np.int64).tolist()
-        number: dict[tuple[int, bytes], int] = {}
-        which = np.empty(len(sizes), dtype=np.int64)
-        a = 0
-        for i, (b, k) in enumerate(zip(ends, keys.tolist(), strict=True)):
-            which[i] = number.setdefault((k, raw[a:b]), len(number))
-            a = b
+        ends = np.cumsum(sizes)
+        entries = [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+        number = {c: i for i, c in enumerate(dict.fromkeys(entries))}
+        which = np.fromiter(map(number.__getitem__, entries), dtype=np.int64, count=len(entries))
         n = len(number)
         low = np.full(n, NO_KEY, dtype=np.int64)
         np.minimum.at(low, which, lows)
-        distinct = [c for _, c in number]
-        class_keys = np.array([k for k, _ in number], dtype=np.uint64)
-        least = window_lows(distinct, class_keys, low, length)
-        runs = []   # per distinct context: (starts, stops, lows) of stretches with one smallest key
-        for v in least:
-            s = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-            runs.append((s, np.r_[s[1:], len(v)], v[s]))
-        rows = []
-        for i, (w, high) in enumerate(zip(which.tolist(), highs.tolist(), strict=True)):
-            for s, e, m in zip(*(x.tolist() for x in runs[w]), strict=True) if len(runs[w][0]) > 1 else [
-                    (0, len(least[w]), int(least[w][0]))]:
-                if m < high:
-                    rows.append((g[i], i, s, e, m))
-        rows.sort(key=lambda r: r[0])
-        gs = np.array([r[0] for r in rows], dtype=np.int64)
-        cut = np.flatnonzero(np.r_[True, gs[1:] != gs[:-1]]) if rows else np.empty(0, np.int64)
-        cuts = np.r_[cut, len(rows)]
-        at = np.array([r[1] for r in rows], dtype=np.int64)
-        digest = {}
-        for w, c in enumerate(distinct):
-            digest[w] = xxhash.xxh3_128_digest(c)
-        flat = np.frombuffer(b"".join(digest[which[i]] for i in at.tolist()), dtype="V16")
-        crowded = (ids[at] != keys[at]).astype(np.uint8) if rows else np.empty(0, np.uint8)
-        return pa.table({"g": pa.array(gs[cut].astype(np.int32), pa.int32()),
-                         "ids": _blobs(ids[at] if rows else np.empty(0, np.uint64), cuts),
-                         "crowded": _blobs(crowded, cuts), "digests": _blobs(flat, cuts),
-                         "starts": _blobs(np.array([r[2] for r in rows], dtype=np.int32), cuts),
-                         "stops": _blobs(np.array([r[3] for r in rows], dtype=np.int32), cuts),
-                         "lows": _blobs(np.array([r[4] for r in rows], dtype=np.int64), cuts)})
+        class_key = np.zeros(n, dtype=np.uint64)
+        class_key[which] = keys
+        starts = np.r_[0, np.cumsum(np.fromiter(map(len, number), dtype=np.int64, count=n))]
+        least, at = window_lows(np.frombuffer(b"".join(number), dtype=np.uint8), starts, class_key, low, length)
+        # stretches of windows with one smallest key, per distinct context
+        change = np.r_[True, least[1:] != least[:-1]] if len(least) else np.empty(0, bool)
+        change[at[:-1]] = True
+        run = np.flatnonzero(change)
+        run_stop = np.r_[run[1:], len(least)]
+        first_run = np.searchsorted(run, at)
+        runs = np.diff(first_run)[which]                  # of each entry
+        entry = np.repeat(np.arange(len(which)), runs)
+        r = np.repeat(first_run[which], runs) + np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
+        ok = least[run[r]] < highs[entry]
+        entry, r = entry[ok], r[ok]
+        order = np.argsort(g[entry], kind="stable")
+        entry, r = entry[order], r[order]
+        gs = g[entry]
+        cut = np.flatnonzero(np.r_[True, gs[1:] != gs[:-1]]) if len(gs) else np.empty(0, np.int64)
+        cuts = np.r_[cut, len(gs)]
+        digest = np.fromiter(map(xxhash.xxh64_intdigest, number), dtype=np.uint64, count=n)
+        base = at[which[entry]]
+        return pa.table({"g": pa.array(gs[cut].astype(np.int32), pa.int32()), "ids": _blobs(_six(ids[entry]), cuts),
+                         "crowded": _blobs((ids[entry] != keys[entry]).astype(np.uint8), cuts),
+                         "digests": _blobs(digest[which[entry]], cuts),
+                         "starts": _blobs((run[r] - base).astype(np.uint16), cuts),
+                         "stops": _blobs((run_stop[r] - base).astype(np.uint16), cuts),
+                         "lows": _blobs(least[run[r]], cuts)})
     return classes
 
 
@@ -353,19 +377,18 @@ def _remove(length: int, gram: int, key: str, text: str, keep: list[str], with_t
         keys = docs.column(key).fill_null(NO_KEY).to_pylist()
         spans: dict[int, list[tuple[int, int]]] = {}
         if marks.num_rows and docs.num_rows:
-            ids, crowded = _joined(marks.column("ids"), np.uint64), _joined(marks.column("crowded"), np.uint8)
-            digests = _joined(marks.column("digests"), "V16")
-            found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-            for h, d, s, e, m in zip(ids.tolist(), (x.tobytes() for x in digests),
-                                     _joined(marks.column("starts"), np.int32).tolist(),
-                                     _joined(marks.column("stops"), np.int32).tolist(),
-                                     _joined(marks.column("lows"), np.int64).tolist(), strict=True):
+            ids, crowded = _from_six(marks.column("ids")), _joined(marks.column("crowded"), np.uint8)
+            found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+            for h, d, s, e, m in zip(ids.tolist(), *(_joined(marks.column(c), t).tolist() for c, t in (
+                    ("digests", np.uint64), ("starts", np.uint16), ("stops", np.uint16), ("lows", np.int64))),
+                    strict=True):
                 found.setdefault((h, d), []).append((s, e, m))
             unique, at = np.unique(ids, return_index=True)
-            for d, where, h, _, ctx in _occurrences(texts, unique, crowded[at], length, gram):
-                for s, e, m in found.get((h, xxhash.xxh3_128_digest(ctx)), ()):
+            doc, where, own, _, ctx = _occurrences(texts, unique, crowded[at], length, gram)
+            for d, w, h, c in zip(doc.tolist(), where.tolist(), own.tolist(), ctx, strict=True):
+                for s, e, m in found.get((h, xxhash.xxh64_intdigest(c)), ()):
                     if m < keys[d]:
-                        spans.setdefault(d, []).append((where + s, where + e + length - 1))
+                        spans.setdefault(d, []).append((w + s, w + e + length - 1))
         size, gone, cuts, sha, kept_text = [], [], [], [], []
         for d, raw in enumerate(texts.to_pylist()):
             merged: list[list[int]] = []
@@ -407,7 +430,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     docs = without(docs, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "__g")
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
-    slices = (docs.withColumn("__g", F.pmod(F.xxhash64(key, text), F.lit(4 * n)).cast("int"))
+    slices = (docs.withColumn("__g", F.pmod(F.xxhash64(key, text), F.lit(2 * n)).cast("int"))
               .repartition(n, "__g"))
     at = slices.columns.index
     announced = slices.mapInArrow(_announce(at(text), at("__g"), n, length, gram), ANNOUNCED)
