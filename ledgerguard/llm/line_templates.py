@@ -106,7 +106,7 @@ def _rows(g: int, kind_counts, firsts=None) -> pa.Table:
 
 
 def _ask_lines(make):
-    def ask(key, docs: pa.Table) -> pa.Table:
+    def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
         part = make(docs, None)
         seen: set[tuple[int, int, int]] = set()
         for _, doc, _, tokens in part.lines():

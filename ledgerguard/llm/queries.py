@@ -7,14 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerguard.llm import (language_id, length_buckets, multiset_hash, simhash_groups, suffix_dedup, token_records,
-                             token_rollup)
+from ledgerguard.llm import (language_id, length_buckets, line_templates, multiset_hash, nbest_pieces,
+                             projection_forest, simhash_groups, suffix_dedup, token_records, token_rollup)
 from ledgerguard.llm.common import scratch_path, table
 from ledgerguard.llm.pretokens import vocabulary_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs, with_text=False)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language_id.identify(docs, vocabulary_path("byte_bpe_50k.tiktoken"), keep_text=False)
@@ -44,6 +49,15 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_token_records(spark, folder)
 
 
+def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.nearest(table(spark, sf_dir, "embeddings"), query_every=20, top=20)
+
+
+def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nbest_pieces.encode_nbest(docs, vocabulary_path("piece_bpe_32k.model"), n=4)
+
+
 def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return length_buckets.pack_texts(docs, vocabulary_path("byte_bpe_50k.json"), ["doc_id"])
@@ -56,11 +70,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_line_templates": op1_line_templates,
     "op2_language_id": op2_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_token_rollup": op5_token_rollup,
     "op6_token_records": op6_token_records,
+    "op7_projection_forest": op7_projection_forest,
+    "op8_nbest_pieces": op8_nbest_pieces,
     "op9_length_buckets": op9_length_buckets,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
