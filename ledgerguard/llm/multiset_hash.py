@@ -112,7 +112,7 @@ def with_neighbour_edit(docs: DataFrame, key: str, text: str) -> DataFrame:
     base = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ids = docs.select(F.col(key).alias("doc_id")).where("doc_id is not null")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []
-    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    splits = [float("-inf"), *(sorted({float(c) for c in cuts}) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="__d", outputCol="__f", handleInvalid="keep")
 
     def place(df: DataFrame) -> DataFrame:

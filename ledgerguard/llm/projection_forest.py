@@ -117,7 +117,7 @@ def usable_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", query_every: int = 20, top: int = 20,
-            trees: int = 16, sample_rows: int = 20_000, leaf_sample: int = 128, search_share: float = 0.85,
+            trees: int = 16, sample_rows: int = 20_000, leaf_sample: int = 128, search_share: float = 1.0,
             search_rows: int = 8_000, block_rows: int = 4_096, queries: DataFrame | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` largest inner products found per query,
     largest first, ties to the smaller id.  Queries are the rows whose key is divisible by
