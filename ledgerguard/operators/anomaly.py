@@ -1,10 +1,10 @@
 """Outlier score M5: an isolation forest trained and applied as Spark jobs.
 
 Spark ML has no isolation forest, so:
-1. each tree gets a hash sample of at most ``sample_size`` training rows
-   (small tables: every (row, tree) pair is kept with probability s/n;
-   large tables: rows are kept with probability ~1.2*s*trees/n and each kept
-   row goes to one tree -- the sample never exceeds trees x s rows);
+1. each row has one hash position on a circle; tree t takes the rows of an arc
+   of the circle that starts at t golden-ratio steps and holds about 1.25 * s
+   rows, ordered by a hash of its own, and of them the first s (the same rule
+   at every size: arcs of small tables overlap, those of large ones do not);
 2. ``groupBy(tree).applyInPandas`` grows the trees (random feature, random
    split, depth limit ceil(log2 s)) and returns a node table of at most
    trees x (2^(depth+1) - 1) rows;
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EULER = 0.5772156649015329
+GOLDEN = 0.6180339887498949
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size long, leaf boolean"
 
 
@@ -70,22 +71,20 @@ def fit_isolation_forest(train: DataFrame, feature_cols: Sequence[str], n_trees:
     feats = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(feature_cols)]
     n = train.count()
     s = min(sample_size, n)
-    u = (F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.col("_t")), F.lit(1_000_000)) / F.lit(1e6))
-    if n * n_trees <= 50 * 1_000_000:
-        trees = F.array(*[F.lit(t) for t in range(n_trees)])
-        sampled = (train.select(F.col(id_col), *feats, F.explode(trees).alias("_t"))
-                   .where(u < F.lit(min(1.0, 1.25 * s / n))))
-    else:
-        keep = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-1)), F.lit(1_000_000)) / F.lit(1e6)
-        sampled = (train.where(keep < F.lit(min(1.0, 1.25 * s * n_trees / n)))
-                   .select(F.col(id_col), *feats,
-                           F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-2)), F.lit(n_trees)).cast("int").alias("_t")))
+    whole = float(1 << 52)
+    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-1)), F.lit(1 << 52)) / F.lit(whole)
+    arc = min(1.0, 1.25 * s / max(n, 1))
+    starts = F.array(*[F.struct(F.lit(t).alias("t"), F.lit((t * GOLDEN) % 1.0).alias("at")) for t in range(n_trees)])
+    mine = F.filter(starts, lambda x: F.pmod(F.col("_u") - x["at"] + F.lit(1.0), F.lit(1.0)) < F.lit(arc))
+    sampled = (train.select(F.col(id_col), *feats, u.alias("_u")).withColumn("_x", F.explode(mine))
+               .select(F.col(id_col), *[f"_x{i}" for i in range(len(feats))], F.col("_x.t").alias("_t"))
+               .withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed), F.col("_t"))))
     k = len(feature_cols)
     max_depth = int(math.ceil(math.log2(max(s, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["_t"].iloc[0])
-        pdf = pdf.sort_values(id_col).head(s)                 # exact per-tree cap
+        pdf = pdf.sort_values(["_h", id_col]).head(s)         # a hash order: no id is favoured
         x = pdf[[f"_x{i}" for i in range(k)]].to_numpy(dtype=float)
         rng = np.random.default_rng([seed, t])
         nodes = _grow(x, rng, max_depth)
@@ -107,7 +106,8 @@ def score_isolation_forest(df: DataFrame, nodes: pd.DataFrame, feature_cols: Seq
         trees.append((g["feature"].to_numpy(), g["split"].to_numpy(), g["left"].to_numpy(),
                       g["right"].to_numpy(), g["leaf"].to_numpy(),
                       np.array([c_factor(v) for v in g["size"].to_numpy()])))
-    denom = c_factor(sample_size)
+    fitted = nodes.loc[nodes["node"] == 0, "size"]
+    denom = c_factor(int(fitted.max()) if len(fitted) else sample_size)   # rows the trees were grown on
     keep = list(keep)
     feats = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(feature_cols)]
     src = df.select(*[F.col(c) for c in keep], *feats)

@@ -17,12 +17,24 @@ which is exact on ties and includes the lower edge (ts_us = now - width).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNB = Window.unboundedPreceding
 
 
+def split_hot(df: DataFrame, key: Column, hot: list) -> tuple[DataFrame, DataFrame]:
+    """(rows of the keys in ``hot``, all other rows), by null-safe semi and anti joins: every
+    row is in exactly one part.  A NULL in ``hot`` names the rows without a key; other rows
+    without a key belong to the second part.  Any number of keys is allowed."""
+    kind = df.select(key.alias("_hot")).schema["_hot"].dataType
+    keys = df.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(hot)],
+                                           T.StructType([T.StructField("_hot", kind)]))
+    same = key.eqNullSafe(F.col("_hot"))
+    return df.join(keys, same, "left_semi"), df.join(keys, same, "left_anti")
+
+
 def _keys(key) -> list:
     return [key] if isinstance(key, (str, Column)) else list(key)
 

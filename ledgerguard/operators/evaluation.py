@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerguard.operators.ordering import POS, exact_quantiles, global_cumulative
 
-TOPK_LIMIT_MAX = 100_000
+TOPK_LIMIT_MAX = 2_000
 
 
 def score_order(score: str = "score", ts: str = "ts_us", tie: str = "transaction_id") -> list[Column]:
@@ -189,7 +189,7 @@ def summary(df: DataFrame, label="is_fraud", amount_minor="amount_minor", minor_
 
 
 def value_budget_curve(df: DataFrame, budgets: Sequence[int], score="score", label="is_fraud",
-                       amount_minor="amount_minor", amount="amount") -> DataFrame:
+                       amount_minor="amount_minor", amount="amount", minor_per_unit: int = 100) -> DataFrame:
     """Share of fraud value recovered at each review budget k, with the
     reference's random-order baseline min(k * mean(amount), total) / total and a
     fair random baseline k / n.
@@ -210,7 +210,7 @@ def value_budget_curve(df: DataFrame, budgets: Sequence[int], score="score", lab
     out = F.broadcast(bdf).join(at, "k", "left")
     out = _one_row_join(_one_row_join(out, tot), last)
     v = F.when(F.col("k") <= F.col("n_last"), F.col("cum_v")).otherwise(F.col("v_last"))
-    total = F.col("total_v") / F.lit(100.0)
+    total = F.col("total_v") / F.lit(float(minor_per_unit))
     return out.select(
         "k",
         F.when(F.col("total_v") > 0, v / F.col("total_v")).alias("value_share"),
@@ -219,6 +219,14 @@ def value_budget_curve(df: DataFrame, budgets: Sequence[int], score="score", lab
         F.least(F.col("k") / F.col("n"), F.lit(1.0)).alias("random_fair"))
 
 
+def budget_grid(n: int, share: float = 0.12, points: int = 60, least: int = 50) -> list[int]:
+    """A10 budgets: ``points`` even steps up to ``share`` of the rows (``least`` at least),
+    whole numbers from 1 to n."""
+    top = max(least, int(n * share))
+    steps = np.linspace(max(1, top // points), top, points).astype(int)
+    return sorted({int(v) for v in np.minimum(np.maximum(steps, 1), max(n, 1))})
+
+
 def half_value_budget(curve: DataFrame) -> DataFrame:
     """A10 half-value point: smallest budget whose share >= 0.5, else the last."""
     hit = curve.where(F.col("value_share") >= 0.5).agg(F.min("k").alias("k_half"))
@@ -229,17 +237,16 @@ def half_value_budget(curve: DataFrame) -> DataFrame:
 def calibration_curve(df: DataFrame, score="score", label="is_fraud", n_bins: int = 8) -> DataFrame:
     """Quantile bins of the prediction -> mean prediction, observed rate, count.
 
-    Bin edges are the exact quantiles at 0, 1/n, ..., 1 (distinct); a score
-    falls in bin i when edge_i <= s < edge_{i+1}, the top edge closed.
+    Bin edges are the exact quantiles at 0, 1/n, ..., 1 (distinct); a score's bin is the
+    number of inner edges below it, so a score equal to an edge belongs to the bin under
+    that edge.  Bins without rows are not returned.
     """
     probs = [float(p) for p in np.linspace(0.0, 1.0, n_bins + 1)]
     q = exact_quantiles(df, score, probs)
     edges = sorted(set(q[p] for p in probs))
-    inner = edges[1:-1]
-    splits = [-float("inf")] + inner + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_s", outputCol="_b")
-    rows = b.transform(df.select(F.col(score).cast("double").alias("_s"), F.col(label)))
-    return rows.groupBy(F.col("_b").cast("int").alias("bin")).agg(
+    below = [F.when(F.col("_s") > e, 1).otherwise(0) for e in edges[1:-1]]
+    rows = df.select(F.col(score).cast("double").alias("_s"), F.col(label)).where(F.col("_s").isNotNull())
+    return rows.groupBy(sum(below, F.lit(0)).cast("int").alias("bin")).agg(
         F.avg("_s").alias("mean_pred"), F.avg(label).alias("observed_rate"),
         F.count(F.lit(1)).alias("n"))
 

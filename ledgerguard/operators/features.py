@@ -76,16 +76,14 @@ def select_features(featured: DataFrame, extra: tuple[str, ...] = ("transaction_
 
 
 HOT_MIN_ROWS = 1_000_000
-HOT_MAX_KEYS = 1_000
 
 
-def detect_hot_keys(df: DataFrame, key: str = "card_id", min_rows: int = HOT_MIN_ROWS,
-                    max_keys: int = HOT_MAX_KEYS) -> list:
-    """Keys with at least ``min_rows`` rows (at most ``max_keys`` of them, the
-    largest first): a bounded list, computed by a partially aggregated count."""
-    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
-            .orderBy(F.desc("_n")).limit(max_keys).collect())
-    return [r[key] for r in rows]
+def detect_hot_keys(df: DataFrame, key: str = "card_id", min_rows: int = HOT_MIN_ROWS) -> list:
+    """All keys with at least ``min_rows`` rows, the largest first, by a partially aggregated
+    count (at most rows / ``min_rows`` of them); NULL is in the list if the rows without a
+    key are that many."""
+    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows).collect())
+    return [r[key] for r in sorted(rows, key=lambda r: -r["_n"])]
 
 
 def _card_features_bucketed(txn: DataFrame, k: str, bucket_us: int = US_PER_DAY) -> DataFrame:
@@ -155,13 +153,13 @@ def _card_features_bucketed(txn: DataFrame, k: str, bucket_us: int = US_PER_DAY)
 
 
 def add_card_features_skew_safe(txn: DataFrame, key: str = "card_id", hot_keys=None,
-                                min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> DataFrame:
+                                min_rows: int = HOT_MIN_ROWS) -> DataFrame:
     """F1-F10 with hot keys split by day.  ``hot_keys``: a list, or None to
-    detect keys with at least ``min_rows`` rows (at most ``max_keys``)."""
-    hot = detect_hot_keys(txn, key, min_rows, max_keys) if hot_keys is None else list(hot_keys)
+    detect keys with at least ``min_rows`` rows."""
+    hot = detect_hot_keys(txn, key, min_rows) if hot_keys is None else list(hot_keys)
     if not hot:
         return add_card_features(txn, key)
-    is_hot = F.col(key).isin(hot)
-    plain = add_card_features(txn.where(~is_hot), key)
-    split = _card_features_bucketed(txn.where(is_hot), key)
+    hot_rows, other_rows = asof.split_hot(txn, F.col(key), hot)
+    plain = add_card_features(other_rows, key)
+    split = _card_features_bucketed(hot_rows, key)
     return plain.unionByName(split.select(*plain.columns))

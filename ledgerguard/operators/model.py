@@ -100,46 +100,42 @@ def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is
 
 
 def permutation_importance(score_fn, df: DataFrame, feature_cols: Sequence[str], repeats: int = 6,
-                           seed: int = 0, label: str = "is_fraud", id_col: str = "transaction_id",
-                           buckets: int | None = None) -> DataFrame:
+                           seed: int = 0, label: str = "is_fraud", id_col: str = "transaction_id") -> DataFrame:
     """M8: drop in average precision when one feature's values are permuted.
 
-    All (feature, repeat) variants are scored in ONE pipeline: the evaluation
-    rows are expanded once per variant (the same work as re-scoring the set per
-    variant, done in parallel), every variant permutes inside random hash
-    groups -- each row takes the value of the next row of its group in a
-    seeded hash order, a distributed permutation with no single-task step --
-    the model scores all variants in one transform, and the average precision
-    of every variant comes from one grouped global-order pass.
+    A repeat's permutation is one of the whole table: rows are ranked by id and by a seeded
+    hash (two distributed ranks of a narrow projection), and the row at a place of the first
+    order takes the values of the row at the same place of the second.  Neither rank depends
+    on the number of partitions.  Each repeat scores its rows once per feature, with only that
+    feature's value replaced; the average precision of all variants comes from one grouped
+    global-order pass over their value counts.
     """
-    from pyspark.sql import Window
+    from functools import reduce
+
     from ledgerguard.operators.evaluation import average_precision
-    from ledgerguard.operators.ordering import global_cumulative
+    from ledgerguard.operators.ordering import POS, global_cumulative
+    from ledgerguard.session import cut_lineage
 
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(feature_cols)
-    variants = [(i, r) for i in range(len(cols)) for r in range(repeats)]
-    base = df.select(F.col(id_col), F.col(label), *[F.col(c) for c in cols])
-    long = base.select("*", F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.lit(r).alias("rep"))
-                                                  for i, r in variants])).alias("_v")) \
-               .select("*", F.col("_v.fi").alias("_fi"), F.col("_v.rep").alias("_rep")).drop("_v")
-    g = F.pmod(F.xxhash64(F.col(id_col), F.col("_fi"), F.col("_rep"), F.lit(seed)), F.lit(buckets))
-    o = F.xxhash64(F.col(id_col), F.col("_fi"), F.col("_rep"), F.lit(seed + 1))
-    long = long.withColumns({"_g": g, "_o": o})
-    w = Window.partitionBy("_fi", "_rep", "_g").orderBy("_o", id_col)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    permuted = {c: F.when(F.col("_fi") == i, F.coalesce(F.lead(c).over(w), F.first(c).over(whole)))
-                   .otherwise(F.col(c)) for i, c in enumerate(cols)}
-    long = long.withColumns(permuted).drop("_g", "_o")
-    scored = score_fn(long).select("_fi", "_rep", F.col("model_score").alias("s"), F.col(label))
+    base = cut_lineage(df.select(F.col(id_col), F.col(label), *[F.col(c) for c in cols]))
+    own = cut_lineage(global_cumulative(base, [F.col(id_col)], keep=base.columns))
+    counts = []
+    for rep in range(repeats):
+        order = F.xxhash64(F.col(id_col), F.lit(seed), F.lit(rep))
+        values = base.select(order.alias("_o"), F.col(id_col), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(cols)])
+        other = global_cumulative(values, [F.col("_o"), F.col(id_col)], keep=[f"_p{i}" for i in range(len(cols))])
+        both = own.join(other, POS).withColumn("_fi", F.explode(F.array(*[F.lit(i) for i in range(len(cols))])))
+        variant = both.select(id_col, label, "_fi", *[F.when(F.col("_fi") == i, F.col(f"_p{i}")).otherwise(F.col(c)).alias(c)
+                                                      for i, c in enumerate(cols)])
+        scored = score_fn(variant).select("_fi", F.lit(rep).alias("_rep"), F.col("model_score").alias("s"), F.col(label))
+        counts.append(cut_lineage(scored.groupBy("_fi", "_rep", "s").agg(F.count(F.lit(1)).alias("n"),
+                                                                         F.sum(label).alias("pos"))))
+    vc = reduce(DataFrame.unionByName, counts).withColumn("_var", F.col("_fi") * F.lit(1000) + F.col("_rep"))
     # average precision per variant: value counts per (variant, score), ordered by score descending
-    vc = scored.groupBy("_fi", "_rep", "s").agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")) \
-               .withColumn("_var", F.col("_fi") * F.lit(1000) + F.col("_rep"))
     cum = global_cumulative(vc, [F.col("_var"), F.col("s").desc()], {"n": F.col("n"), "pos": F.col("pos")},
                             keep=["_var", "pos"], group="_var")
-    tot = scored.groupBy("_fi", "_rep").agg(F.sum(label).alias("P")) \
-                .withColumn("_var", F.col("_fi") * F.lit(1000) + F.col("_rep"))
+    tot = vc.groupBy("_fi", "_rep", "_var").agg(F.sum("pos").alias("P"))
     ap = (cum.groupBy("_var").agg(F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))).alias("_s"))
           .join(tot, "_var").select("_fi", "_rep", F.when(F.col("P") > 0, F.col("_s") / F.col("P")).alias("ap")))
     base_ap = average_precision(score_fn(df).withColumn("score", F.col("model_score")), "score", label)

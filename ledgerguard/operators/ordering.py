@@ -50,6 +50,9 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
         keep = [group] + keep
     mcols = [m.alias(f"_m_{n}") for n, m in measures.items()]
     base = df.select(*[F.col(c) for c in keep], *mcols)
+    whole = [f.name for f in base.schema.fields if f.name.startswith("_m_") and isinstance(
+        f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType))]
+    base = base.withColumns({c: F.coalesce(F.col(c).cast("long"), F.lit(0)) for c in whole}) if whole else base
     srt = base.orderBy(*order).withColumn("_pid", F.spark_partition_id())
     srt = cut_lineage(srt)
 
@@ -94,6 +97,12 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
     out_schema = T.StructType(out_fields)
     keep_names = [f.name for f in out_fields if f.name != POS and not f.name.startswith("cum_")]
 
+    kinds = {n: np.int64 if isinstance(out_schema[f"cum_{n}"].dataType, T.LongType) else np.float64 for n in names}
+
+    def running(values, n: str) -> np.ndarray:
+        """Running sums; integer measures (never null here) stay integers, so they are exact."""
+        return np.cumsum(np.nan_to_num(values.to_numpy(dtype=kinds[n])))
+
     def walk(it):
         state: dict = {}
         for pdf in it:
@@ -103,7 +112,7 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
             pid = int(pdf["_pid"].iloc[0])
             if group:
                 pos = np.empty(len(pdf), dtype=np.int64)
-                sums = {n: np.empty(len(pdf), dtype=np.float64) for n in names}
+                sums = {n: np.empty(len(pdf), dtype=kinds[n]) for n in names}
                 gvals = pdf[group].to_numpy()
                 # contiguous runs of one group inside the batch
                 starts = np.flatnonzero(np.r_[True, gvals[1:] != gvals[:-1]])
@@ -116,8 +125,7 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
                     pos[s:e] = cnt
                     new = [int(cnt[-1])]
                     for i, n in enumerate(names):
-                        vals = pdf[f"_m_{n}"].to_numpy()[s:e]
-                        cs = base_[i + 1] + np.cumsum(np.nan_to_num(vals.astype(np.float64)))
+                        cs = base_[i + 1] + running(pdf[f"_m_{n}"].iloc[s:e], n)
                         sums[n][s:e] = cs
                         new.append(cs[-1])
                     state[key] = new
@@ -130,14 +138,10 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
                 out[POS] = cnt
                 new = [int(cnt[-1])]
                 for i, n in enumerate(names):
-                    vals = pdf[f"_m_{n}"].to_numpy()
-                    cs = base_[i + 1] + np.cumsum(np.nan_to_num(vals.astype(np.float64)))
+                    cs = base_[i + 1] + running(pdf[f"_m_{n}"], n)
                     out[f"cum_{n}"] = cs
                     new.append(cs[-1])
                 state[pid] = new
-            for f in out_fields:
-                if f.name.startswith("cum_") and isinstance(f.dataType, T.LongType):
-                    out[f.name] = np.rint(out[f.name].to_numpy()).astype(np.int64)
             yield out
 
     return srt.mapInPandas(walk, out_schema)
@@ -185,7 +189,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str
     keys = [group] if group else []
     cnt = F.count(F.lit(1)) if weight is None else F.sum(weight)
     src = df.where(F.col(col).isNotNull()) if weight is None else df.where(F.col(col).isNotNull() & (F.col(weight) > 0))
-    vc = src.groupBy(*keys, col).agg(cnt.cast("long").alias("_c"))
+    vc = cut_lineage(src.groupBy(*keys, col).agg(cnt.cast("long").alias("_c")))   # aggregated once for either way
     small = vc.limit(SMALL_VALUE_COUNTS + 1).collect()
     if len(small) <= SMALL_VALUE_COUNTS:
         by: dict = {}

@@ -109,13 +109,13 @@ def _card_velocity_bucketed(stg: DataFrame) -> DataFrame:
                     (F.col("_g_gap") / F.lit(1_000_000.0)).alias("time_since_last_s"))
 
 
-def fct_card_velocity_skew_safe(stg: DataFrame, hot_keys=None, min_rows: int = 1_000_000,
-                                max_keys: int = 1_000) -> DataFrame:
+def fct_card_velocity_skew_safe(stg: DataFrame, hot_keys=None, min_rows: int = 1_000_000) -> DataFrame:
     """P2 with hot cards split per (card, day); identical to ``fct_card_velocity``."""
+    from ledgerguard.operators import asof
     from ledgerguard.operators.features import detect_hot_keys
-    hot = detect_hot_keys(stg, "card_id", min_rows, max_keys) if hot_keys is None else list(hot_keys)
+    hot = detect_hot_keys(stg, "card_id", min_rows) if hot_keys is None else list(hot_keys)
     if not hot:
         return fct_card_velocity(stg)
-    is_hot = F.col("card_id").isin(hot)
-    plain = fct_card_velocity(stg.where(~is_hot))
-    return plain.unionByName(_card_velocity_bucketed(stg.where(is_hot)).select(*plain.columns))
+    hot_rows, other_rows = asof.split_hot(stg, F.col("card_id"), hot)
+    plain = fct_card_velocity(other_rows)
+    return plain.unionByName(_card_velocity_bucketed(hot_rows).select(*plain.columns))

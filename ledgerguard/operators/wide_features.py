@@ -31,7 +31,8 @@ PRODUCT_CODES = ["W", "C", "R", "H", "S"]
 UID_PARTS = ["card1", "card2", "card3", "card5", "addr1"]
 FP_PARTS = ["DeviceInfo", "id_31", "id_33"]
 GENERIC_DEVICE_FREQ = 0.002
-CODE_MAP_INLINE_MAX = 10_000
+CODE_MAP_MAX = 10_000       # values of all coded columns that may be collected and broadcast
+CODE_LITERAL_MAX = 32       # values of one column that may be written as a literal map
 
 
 def _s(c: str) -> Column:
@@ -103,8 +104,8 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
 
     All keys are unpivoted into (name, value) pairs and aggregated once; the
     three summaries are unions over that one aggregate.  Returns
-    (code rows or None when there are more than CODE_MAP_INLINE_MAX, hot
-    fingerprints, {freq key: distinct values}).
+    (code rows or None when there are more than CODE_MAP_MAX, hot
+    fingerprints, {freq key: distinct values}, hot card1 values).
     """
     names = [(f"c:{c}", F.col(c).cast("string")) for c in code_cols]
     names += [(f"f:{n}", k.cast("string")) for n, k in freq_keys.items()]
@@ -112,27 +113,28 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
     names.append(("h:card1", F.col("card1").cast("string")))
     long = df.select(F.col(ts), F.col(tie), F.explode(F.array(*[
         F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in names])).alias("kv"))
-    long = long.select(ts, tie, "kv.name", "kv.value").where(F.col("value").isNotNull())
+    # rows without a card1 are counted too: they may be a hot group of their own
+    long = long.select(ts, tie, "kv.name", "kv.value").where(F.col("value").isNotNull() | (F.col("name") == "h:card1"))
     agg = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"),
                                             F.min(F.struct(F.col(ts), F.col(tie))).alias("f"))
     first = F.col("f")
     codes = (agg.where(F.col("name").startswith("c:"))
              .select("name", "value", F.lit(None).cast("long").alias("k"), first.alias("first")))
     hot = (agg.where(F.col("name").isin("d:device_fp", "h:card1") & (F.col("n") >= hot_min_rows))
-           .orderBy(F.desc("n")).limit(HOT_MAX_KEYS)
            .select("name", "value", F.col("n").alias("k"), F.lit(None).alias("first")))
     card = (agg.where(F.col("name").startswith("f:")).groupBy("name").agg(F.count(F.lit(1)).alias("k"))
             .select("name", F.lit(None).cast("string").alias("value"), "k", F.lit(None).alias("first")))
-    limit = CODE_MAP_INLINE_MAX + HOT_MAX_KEYS + len(freq_keys) + 1
-    rows = (codes.unionByName(hot.withColumn("first", F.col("first").cast(codes.schema["first"].dataType)))
+    # only the code rows have a limit (one more than is used, so that a cut is seen); hot keys
+    # are at most rows / hot_min_rows, cardinalities one row per frequency key
+    rows = (codes.limit(CODE_MAP_MAX + 1).unionByName(hot.withColumn("first", F.col("first").cast(codes.schema["first"].dataType)))
             .unionByName(card.withColumn("first", F.col("first").cast(codes.schema["first"].dataType)))
-            .limit(limit).collect())
+            .collect())
     hot_fps = [r["value"] for r in rows if r["name"] == "d:device_fp"]
     hot_c1 = [r["value"] for r in rows if r["name"] == "h:card1"]
     cards = {r["name"][2:]: int(r["k"]) for r in rows if r["name"].startswith("f:")}
     code_rows = None
     found = [r for r in rows if r["name"].startswith("c:")]
-    if len(found) <= CODE_MAP_INLINE_MAX and len(rows) < limit:
+    if len(found) <= CODE_MAP_MAX:
         # bounded list (size checked): codes = order of first appearance per column
         code_rows = []
         for name in sorted({r["name"] for r in found}):
@@ -142,27 +144,23 @@ def key_statistics(df: DataFrame, code_cols: list[str], freq_keys: dict[str, Col
 
 
 def _apply_codes(df: DataFrame, cols: list[str], mapping, rows=None) -> DataFrame:
-    """Codes inlined as literal maps when the mapping (size checked) is small,
-    else joined.  ``mapping`` is a DataFrame or a callable building it (only
-    called on the join path)."""
+    """Codes from the collected ``rows`` if there are few enough (a literal map for a column
+    of a handful of values, else a broadcast of the column's rows), or from ``mapping`` (a
+    DataFrame or a callable building it) by joins."""
+    out = df
     if rows is not None:
-        new = {}
-        for c in cols:
-            kv = [x for (name, value, code) in rows if name == c for x in (F.lit(value), F.lit(code))]
-            m = F.create_map(*kv) if kv else F.create_map().cast("map<string,bigint>")
-            new[f"{c}_code"] = F.coalesce(F.element_at(m, F.col(c).cast("string")), F.lit(-1))
-        return df.withColumns(new)
-    mapping = mapping() if callable(mapping) else mapping
-    rows = mapping.limit(CODE_MAP_INLINE_MAX + 1).collect()
-    if len(rows) <= CODE_MAP_INLINE_MAX:
-        # size checked: inline the mapping as literal maps (no join, no shuffle)
-        out = df
         for c in cols:
-            kv = [x for r in rows if r["column_name"] == c for x in (F.lit(r["value"]), F.lit(int(r["code"])))]
-            m = F.create_map(*kv) if kv else F.create_map().cast("map<string,bigint>")
-            out = out.withColumn(f"{c}_code", F.coalesce(F.element_at(m, F.col(c).cast("string")), F.lit(-1)))
+            own = [(value, int(code)) for name, value, code in rows if name == c]
+            if len(own) <= CODE_LITERAL_MAX:
+                kv = [F.lit(x) for pair in own for x in pair]
+                m = (F.create_map(*kv) if kv else F.create_map()).cast("map<string,bigint>")
+                out = out.withColumn(f"{c}_code", F.coalesce(F.element_at(m, F.col(c).cast("string")), F.lit(-1)))
+                continue
+            mc = F.broadcast(df.sparkSession.createDataFrame(own, f"_v string, {c}_code long"))  # at most CODE_MAP_MAX
+            out = out.withColumn("_v", F.col(c).cast("string")).join(mc, "_v", "left").drop("_v") \
+                     .withColumn(f"{c}_code", F.coalesce(F.col(f"{c}_code"), F.lit(-1)))
         return out
-    out = df
+    mapping = mapping() if callable(mapping) else mapping
     for c in cols:
         mc = mapping.where(F.col("column_name") == c).select(F.col("value").alias("_v"), F.col("code").alias(f"{c}_code"))
         out = out.withColumn("_v", F.col(c).cast("string")).join(mc, "_v", "left").drop("_v") \
@@ -178,10 +176,9 @@ def _device_block(base: DataFrame, df: DataFrame, hot: list) -> DataFrame:
     valid = F.col("_device_valid")
     n_total = df.agg(F.count(F.lit(1)).alias("n"))
     if hot:
-        is_hot = valid & F.col("device_fp").isin(hot)
-        split = asof.prior_count_distinct_by_day(base.where(is_hot), "device_fp", "card1", F.lit(True),
-                                                 tie=TIE, prefix="_dev")
-        rest = _device_windows(base.where(~is_hot), valid)
+        hot_rows, other_rows = asof.split_hot(base, F.when(valid, F.col("device_fp")), hot)
+        split = asof.prior_count_distinct_by_day(hot_rows, "device_fp", "card1", F.lit(True), tie=TIE, prefix="_dev")
+        rest = _device_windows(other_rows, valid)
         base = rest.unionByName(split.select(*rest.columns))
     else:
         base = _device_windows(base, valid)
@@ -205,7 +202,7 @@ def add_ring_features(df: DataFrame, hot_min_rows: int = 1_000_000, hot_devices:
     if hot_devices is None:
         hot_devices = [r["device_fp"] for r in
                        base.where(valid).groupBy("device_fp").agg(F.count(F.lit(1)).alias("_n"))
-                       .where(F.col("_n") >= hot_min_rows).orderBy(F.desc("_n")).limit(HOT_MAX_KEYS).collect()]
+                       .where(F.col("_n") >= hot_min_rows).collect()]
     out = _device_block(base, df, hot_devices)
     u = [c for c in UID_PARTS if c in cols]
     return out.withColumn("uid_txn_24h", asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double")) \
@@ -226,7 +223,6 @@ def _device_windows(base: DataFrame, valid: Column) -> DataFrame:
 
 
 HOT_MIN_ROWS = 1_000_000
-HOT_MAX_KEYS = 1_000
 
 
 def _card1_family_windows(base: DataFrame, df: DataFrame) -> DataFrame:
@@ -239,7 +235,9 @@ def _card1_family_windows(base: DataFrame, df: DataFrame) -> DataFrame:
     # the 'na' of the string keys) lets ONE hash partitioning on card1 -- placed
     # by the first window -- serve all three window blocks.
     c1 = "card1"
-    prior_n = asof.prior_count(c1, tie=TIE)
+    # rows without a card1 have no card history (the fill value stands for it)
+    has_card = F.col(c1).isNotNull()
+    prior_n = F.when(has_card, asof.prior_count(c1, tie=TIE))
     prior_s = asof.prior_sum("amount_minor", c1, tie=TIE)
     mean = F.when(prior_n > 0, prior_s / prior_n / F.lit(1000.0))
     u = [c for c in UID_PARTS if has(c)]
@@ -270,7 +268,7 @@ def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
     cols = set(df.columns)
     c1 = "card1"
     b = asof.bucketed_prior(base, [c1], "amount_minor", ts="ts_us", tie=TIE, prefix="_c1")
-    n, s_ = F.col("_c1_n"), F.col("_c1_s")
+    n, s_ = F.when(F.col(c1).isNotNull(), F.col("_c1_n")), F.col("_c1_s")
     mean = F.when(n > 0, s_ / n / F.lit(1000.0))
     b = b.select("*",
                  n.cast("double").alias("card1_prior_txn"),
@@ -298,6 +296,36 @@ def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
     return b.drop("_d1n")
 
 
+def _row_columns(df: DataFrame) -> dict[str, Column]:
+    """Features of a row alone."""
+    cols = set(df.columns)
+    feats: dict[str, Column] = {
+        "amount_log": F.log1p(F.col("amount")),
+        "amount_cents": F.col("amount") % F.lit(1.0),
+        "hour": F.hour("ts"),
+        "dayofweek": F.weekday("ts"),
+        "is_night": F.hour("ts").between(0, 5).cast("int"),
+        "has_identity": (F.col("DeviceInfo").isNotNull() if "DeviceInfo" in cols else F.lit(False)).cast("int"),
+    }
+    if "TransactionDT" in cols:
+        day = F.floor(F.col("TransactionDT") / 86400)
+        feats |= {f"{c}_norm": F.col(c) - day for c in D_NORM if c in cols}
+    if "ProductCD" in cols:
+        feats |= {f"pcd_{v}": F.coalesce((F.col("ProductCD") == v).cast("int"), F.lit(0)) for v in PRODUCT_CODES}
+    return feats
+
+
+def add_row_features(df: DataFrame) -> DataFrame:
+    """The keys (E1, E2, E12) and row features (E15-E20) of the wide table without its window,
+    frequency and code features: no aggregate runs.  Filled like the full table (E22)."""
+    feats = _row_columns(df)
+    numeric = [c for c in df.columns if c in {*C_COLS, *D_COLS, "dist1", "dist2"} or re.fullmatch(r"V\d+", c)
+               or (c.startswith("id_") and _is_numeric(df, c))]
+    keys = {"uid": build_uid(df), "device_fp": build_device_fp(df), "client_key": client_key(df)}
+    fill = lambda x: F.coalesce(x.cast("double"), F.lit(-1.0))
+    return df.withColumns(keys | {n: fill(c) for n, c in feats.items()} | {c: fill(F.col(c)) for c in numeric})
+
+
 def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ, hot_devices: list | None = None,
                       hot_min_rows: int = HOT_MIN_ROWS, hot_card1: list | None = None,
                       freq_scope: str = "table", freq_reference: DataFrame | None = None
@@ -319,7 +347,6 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
         raise ValueError("freq_scope='train' needs freq_reference")
     cols = set(df.columns)
     has = lambda c: c in cols
-    day = F.floor(F.col("TransactionDT") / 86400)
     base = df.withColumns({
         "uid": build_uid(df),
         "device_fp": build_device_fp(df),
@@ -351,11 +378,11 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
 
     # --- card1, account (uid) and client-key blocks; rows of hot card1 values take
     # the per-day two-level path, all others the shared-Exchange window path.
-    hot_c1 = [str(v) for v in hot_card1] if hot_card1 is not None else hot_card1_found
+    hot_c1 = [None if v is None else str(v) for v in hot_card1] if hot_card1 is not None else hot_card1_found
     if hot_c1:
-        is_hot = F.col("card1").cast("string").isin(hot_c1)
-        plain = _card1_family_windows(base.where(~is_hot), df)
-        split = _card1_family_bucketed(base.where(is_hot), df)
+        hot_rows, other_rows = asof.split_hot(base, F.col("card1").cast("string"), hot_c1)
+        plain = _card1_family_windows(other_rows, df)
+        split = _card1_family_bucketed(hot_rows, df)
         out = plain.unionByName(split.select(*plain.columns))
     else:
         out = _card1_family_windows(base, df)
@@ -384,22 +411,7 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
     out = out.withColumns(fills).drop(*[f"_k_{name}" for name in freq_keys])
     freq_cols = [n for n in freq_keys if n in ("card2_freq", "card3_freq", "card5_freq", "addr1_freq")]
 
-    feats: dict[str, Column] = {
-        "amount_log": F.log1p(F.col("amount")),
-        "amount_cents": F.col("amount") % F.lit(1.0),
-        "hour": F.hour("ts"),
-        "dayofweek": F.weekday("ts"),
-        "is_night": F.hour("ts").between(0, 5).cast("int"),
-        "has_identity": F.col("_device_valid").cast("int"),
-    }
-    if has("TransactionDT"):
-        for c in D_NORM:
-            if has(c):
-                feats[f"{c}_norm"] = F.col(c) - day
-    if has("ProductCD"):
-        for v in PRODUCT_CODES:
-            feats[f"pcd_{v}"] = F.coalesce((F.col("ProductCD") == v).cast("int"), F.lit(0))
-    out = out.withColumns(feats)
+    out = out.withColumns(_row_columns(df))
 
     if code_cols:
         out = _apply_codes(out, code_cols, lambda: first_appearance_codes(df, code_cols), code_rows)

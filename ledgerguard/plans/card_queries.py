@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerguard.functions.geo import haversine_km
 from ledgerguard.operators import warehouse
 from ledgerguard.operators.rules import DEFAULT_RULE_NAMES, rule_precision
-from ledgerguard.plans.common import card_featured, card_ruled, card_scored, card_txn, rnd
+from ledgerguard.plans.common import card_featured, card_rowwise, card_ruled, card_scored, card_txn, rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, RULES_CTE, TXN_CTE, with_
 
@@ -74,13 +74,13 @@ def f8_mcc_novel(spark, sf):
 @register("f9_time_flags", with_(FEAT_CTE, """
 SELECT transaction_id, hour, is_night, is_cnp FROM feat"""))
 def f9_time_flags(spark, sf):
-    return card_featured(spark, sf).select("transaction_id", "hour", "is_night", "is_cnp")
+    return card_rowwise(spark, sf).select("transaction_id", "hour", "is_night", "is_cnp")
 
 
 @register("f10_card_age", with_(FEAT_CTE, """
 SELECT transaction_id, CAST(card_age_days AS BIGINT) AS card_age_days FROM feat"""))
 def f10_card_age(spark, sf):
-    return card_featured(spark, sf).select("transaction_id", "card_age_days")
+    return card_rowwise(spark, sf).select("transaction_id", "card_age_days")
 
 
 _F11_SQL_COLS = """transaction_id, amount, CAST(txn_count_1h AS BIGINT) AS txn_count_1h,
@@ -129,16 +129,17 @@ def p1_stg_transactions(spark, sf):
                     "ts_us", "channel", "is_fraud")
 
 
+# brute force: every row meets the other rows of its card
 _VEL_SQL = """vel AS (
-  SELECT transaction_id, card_id, ts_us, amount,
-    count(*) OVER w1 AS txn_count_1h,
-    coalesce(sum(amount) OVER w1, 0) AS amt_sum_1h,
-    count(*) OVER w24 AS txn_count_24h,
-    coalesce(sum(amount) OVER w24, 0) AS amt_sum_24h,
-    (ts_us - lag(ts_us) OVER (PARTITION BY card_id ORDER BY ts_us, transaction_id)) / 1000000.0 AS time_since_last_s
-  FROM stg
-  WINDOW w1 AS (PARTITION BY card_id ORDER BY ts_us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW EXCLUDE CURRENT ROW),
-         w24 AS (PARTITION BY card_id ORDER BY ts_us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW EXCLUDE CURRENT ROW)
+  SELECT a.transaction_id, a.card_id, a.ts_us, a.amount,
+    count(b.transaction_id) FILTER (WHERE a.ts_us - b.ts_us BETWEEN 0 AND 3600000000) AS txn_count_1h,
+    coalesce(sum(b.amount) FILTER (WHERE a.ts_us - b.ts_us BETWEEN 0 AND 3600000000), 0) AS amt_sum_1h,
+    count(b.transaction_id) FILTER (WHERE a.ts_us - b.ts_us BETWEEN 0 AND 86400000000) AS txn_count_24h,
+    coalesce(sum(b.amount) FILTER (WHERE a.ts_us - b.ts_us BETWEEN 0 AND 86400000000), 0) AS amt_sum_24h,
+    (a.ts_us - max(b.ts_us) FILTER (WHERE b.ts_us < a.ts_us OR (b.ts_us = a.ts_us AND b.transaction_id < a.transaction_id)))
+      / 1000000.0 AS time_since_last_s
+  FROM stg a LEFT JOIN stg b ON a.card_id IS NOT DISTINCT FROM b.card_id AND a.transaction_id <> b.transaction_id
+  GROUP BY a.transaction_id, a.card_id, a.ts_us, a.amount
 )"""
 
 
@@ -167,6 +168,22 @@ def p2_card_velocity_hot_split(spark, sf):
                     rnd("time_since_last_s").alias("time_since_last_s"))
 
 
+@register("p2_card_velocity_null_cards", with_(TXN_CTE + "," + _STG_SQL.replace(
+    "card_id, merchant_id", "CASE WHEN transaction_id % 10 <> 0 THEN card_id END AS card_id, merchant_id", 1) + "," + _VEL_SQL, """
+SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_sum_1h AS DOUBLE) AS amt_sum_1h,
+       CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
+       round(time_since_last_s, 6) AS time_since_last_s
+FROM vel"""))
+def p2_card_velocity_null_cards(spark, sf):
+    """P2 with the hot split where every tenth row has no card: the rows without a card are one
+    (hot) group, and none of them is lost."""
+    txn = card_txn(spark, sf).withColumn("card_id", F.when(F.col("transaction_id") % 10 != 0, F.col("card_id")))
+    v = warehouse.fct_card_velocity_skew_safe(warehouse.stg_transactions(txn), min_rows=70)
+    return v.select("transaction_id", "txn_count_1h", F.col("amt_sum_1h").cast("double").alias("amt_sum_1h"),
+                    "txn_count_24h", F.col("amt_sum_24h").cast("double").alias("amt_sum_24h"),
+                    rnd("time_since_last_s").alias("time_since_last_s"))
+
+
 @register("p3_fct_transactions", with_(TXN_CTE + "," + _STG_SQL + "," + _VEL_SQL, """
 SELECT s.transaction_id, s.card_id, CAST(s.amount AS DOUBLE) AS amount, s.channel,
        CAST(v.txn_count_24h AS BIGINT) AS txn_count_24h,

@@ -282,12 +282,10 @@ def a9_value_budget_curve(spark, sf):
                     rnd("random_reference").alias("random_reference"), rnd("random_fair").alias("random_fair"))
 
 
-def _grid_budgets(n: int, frac: float = 0.12, points: int = 60) -> list[int]:
-    return sorted({int(v) for v in np.linspace(1, frac * n, points)})
-
-
-_A10_GRID_SQL = """SELECT DISTINCT CAST(trunc(CASE WHEN i = 59 THEN 0.12 * n ELSE i * ((0.12 * n - 1) / 59) + 1 END) AS BIGINT) AS k
-     FROM range(0, 60) r(i), (SELECT count(*) AS n FROM scored)"""
+_A10_GRID_SQL = """SELECT DISTINCT least(greatest(CAST(trunc(CASE WHEN i = 59 THEN top
+       ELSE i * ((top - lowest) / 59) + lowest END) AS BIGINT), 1), n) AS k
+     FROM range(0, 60) r(i), (SELECT n, top, greatest(1, top // 60) AS lowest
+       FROM (SELECT count(*) AS n, greatest(50, CAST(trunc(count(*) * 0.12) AS BIGINT)) AS top FROM scored))"""
 
 
 @register("a10_value_budget_grid", with_(SCORED_CTE + "," + _RANKED_SQL + _budget_sql(_A10_GRID_SQL), """
@@ -295,7 +293,7 @@ SELECT k, round(value_share, 6) AS value_share, round(random_fair, 6) AS random_
 def a10_value_budget_grid(spark, sf):
     s = _scored(spark, sf)
     n = s.count()
-    c = ev.value_budget_curve(s, _grid_budgets(n))
+    c = ev.value_budget_curve(s, ev.budget_grid(n))
     return c.select("k", rnd("value_share").alias("value_share"), rnd("random_fair").alias("random_fair"))
 
 
@@ -303,7 +301,7 @@ def a10_value_budget_grid(spark, sf):
 SELECT coalesce(min(k) FILTER (WHERE value_share >= 0.5), max(k)) AS half_value_budget FROM curve WHERE k >= 1"""))
 def a10_half_value_budget(spark, sf):
     s = _scored(spark, sf)
-    c = ev.value_budget_curve(s, _grid_budgets(s.count()))
+    c = ev.value_budget_curve(s, ev.budget_grid(s.count()))
     return ev.half_value_budget(c)
 
 
@@ -333,7 +331,7 @@ _CAL_PROBS = "[" + ", ".join(repr(float(p)) for p in np.linspace(0.0, 1.0, 9)) +
 @register("a13_calibration_curve", with_(SCORED_CTE, f""",
 e AS (SELECT DISTINCT unnest(quantile_cont(model_score, {_CAL_PROBS})) AS edge FROM scored),
 inner_e AS (SELECT edge FROM e WHERE edge > (SELECT min(edge) FROM e) AND edge < (SELECT max(edge) FROM e)),
-b AS (SELECT s.model_score, s.is_fraud, (SELECT count(*) FROM inner_e WHERE edge <= s.model_score) AS bin FROM scored s)
+b AS (SELECT s.model_score, s.is_fraud, (SELECT count(*) FROM inner_e WHERE edge < s.model_score) AS bin FROM scored s)
 SELECT CAST(bin AS INTEGER) AS bin, round(avg(model_score), 6) AS mean_pred, round(avg(is_fraud), 6) AS observed_rate,
        count(*) AS n FROM b GROUP BY bin"""))
 def a13_calibration_curve(spark, sf):

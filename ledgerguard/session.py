@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",   # checkpoints go with the frames that read them
     "spark.ui.showConsoleProgress": "false",
 }
 

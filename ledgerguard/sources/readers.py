@@ -58,6 +58,12 @@ def normalise_identity_names(idn: DataFrame) -> DataFrame:
     return idn.withColumnsRenamed(ren) if ren else idn
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in float and double columns is a missing value (files written by dataframe tools)."""
+    floats = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def normalise_wide(tx: DataFrame, idn: DataFrame | None = None, key: str = "TransactionID") -> DataFrame:
     """Left join the optional identity table, derive ts / ts_us, amount,
     amount_minor (thousandths) and is_fraud (when the label exists).
@@ -65,9 +71,9 @@ def normalise_wide(tx: DataFrame, idn: DataFrame | None = None, key: str = "Tran
     The identity side is 1:0..1 on the key; ``identity_key_duplicates`` checks it.
     No sort: time order lives in the window specs downstream.
     """
-    df = tx
+    tx = df = nan_to_null(tx)
     if idn is not None:
-        idn = normalise_identity_names(idn)
+        idn = normalise_identity_names(nan_to_null(idn))
         df = tx.join(idn, key, "left")
     ts_us = F.lit(WIDE_REF_DATE_US) + F.col("TransactionDT").cast("long") * F.lit(1_000_000)
     derived = {

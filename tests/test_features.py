@@ -102,7 +102,7 @@ def test_hot_key_split_equals_plain_path(spark):
     every = [r[0] for r in t.select("card_id").distinct().collect()]
     split = add_card_features_skew_safe(t, hot_keys=every).select(cols)
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-    assert len(detect_hot_keys(t, min_rows=10, max_keys=3)) == 3
+    assert len(detect_hot_keys(t, min_rows=10)) >= 3
 
 
 def test_hot_key_split_day_gaps_and_ties(spark):

@@ -82,7 +82,7 @@ def test_code_map_fallback_equals_inline(spark, monkeypatch):
     n = normalise_wide(tx, idn)
     cols = ["TransactionID", "card4_code", "DeviceType_code", "M4_code", "id_31_code"]
     inline = WF.add_wide_features(n)[0].select(cols)
-    monkeypatch.setattr(WF, "CODE_MAP_INLINE_MAX", 2)
+    monkeypatch.setattr(WF, "CODE_MAP_MAX", 2)
     joined = WF.add_wide_features(n)[0].select(cols)
     assert inline.exceptAll(joined).count() == 0 and joined.exceptAll(inline).count() == 0
 
