@@ -110,9 +110,13 @@ class Scorer:
         self.trie, _ = vocabulary_trie(vocabulary, longest)
         self.langs, self.logp = langs, np.ascontiguousarray(logp)
 
-    def word_scores(self, words: pa.Array) -> np.ndarray:
-        lattice = Lattice(self.trie, *_with_blank(words))
-        return lattice.forward_sum(self.logp)[lattice.last]
+    def word_scores(self, words: pa.Array, block: int = 30_000) -> np.ndarray:
+        """Forward scores, a block of words at a time (the edges of a block stay in memory)."""
+        out = [np.empty((0, self.logp.shape[1]))]
+        for a in range(0, len(words), block):
+            lattice = Lattice(self.trie, *_with_blank(words.slice(a, block)))
+            out.append(lattice.forward_sum(self.logp)[lattice.last])
+        return np.concatenate(out)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, posterior) of each text of a string array without nulls."""
