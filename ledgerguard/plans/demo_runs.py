@@ -27,6 +27,7 @@ WIDE_BUDGET = 200
 WIDE_REVIEW_COST, WIDE_FRICTION_COST = 4.0, 20.0
 WIDE_CANDIDATES = [(1.00, 0.00, 0.00), (0.80, 0.20, 0.00), (0.70, 0.20, 0.10),
                    (0.60, 0.25, 0.15), (0.50, 0.30, 0.20)]
+WIDE_TRAINING = dict(max_depth=6, step_size=0.05, min_instances=50)   # Spark's trees need a depth; no leaf cap
 RUN_MAX_ITER = 20
 
 
@@ -46,14 +47,14 @@ def _signals(scorer, forest, train: DataFrame, frame: DataFrame, feature_cols, r
 
 
 def _review(train, valid, test, feature_cols, rule_col, id_col, budget, review, friction, candidates,
-            max_iter, minor_per_unit):
-    scorer = model.train_scorer(train, feature_cols, id_col=id_col, max_iter=max_iter)
+            max_iter, minor_per_unit, extra=(), **training):
+    scorer = model.train_scorer(train, feature_cols, id_col=id_col, max_iter=max_iter, **training)
     forest = anomaly.fit_isolation_forest(train, feature_cols, id_col=id_col)     # fitted once, bounded node table
     v = _signals(scorer, forest, train, valid, feature_cols, rule_col, id_col)
     t = _signals(scorer, forest, train, test, feature_cols, rule_col, id_col)
     ren = {id_col: "transaction_id"} if id_col != "transaction_id" else {}
     keep = ["transaction_id", "ts_us", "amount", "amount_minor", "is_fraud", "model_score", "rule_signal",
-            "anomaly_score"] + [c for c in ("card_id", *rule_names) if c in frame_cols(v)]
+            "anomaly_score"] + [c for c in ("card_id", *rule_names, *extra) if c in frame_cols(v)]
     # the scored slices feed blend selection, thresholds and every metric: cut lineage once
     v = cut_lineage(v.withColumnsRenamed(ren).select(*keep))
     t = cut_lineage(t.withColumnsRenamed(ren).select(*keep))
@@ -121,15 +122,70 @@ def run_card_drift(spark, sf):
     return drift.drift_report(train, test, CARD_FEATURE_COLS)
 
 
-@register("run_wide_review")
-def run_wide_review(spark, sf):
-    """§3.2: e-commerce review with the ring score as the rule signal (one row)."""
+@register("run_card_rules")
+def run_card_rules(spark, sf):
+    """Card review run: the rule report on the test slice."""
+    from ledgerguard.operators.rules import rule_precision
+    from ledgerguard.plans.common import card_featured
+    _, _, test, _ = split.time_split(cut_lineage(apply_rules(card_featured(spark, sf))))
+    return rule_precision(test)
+
+
+RING_COLS = ("device_prior_cards", "device_fp_freq", "uid_txn_24h")
+
+
+def wide_review(spark, sf, max_iter: int = RUN_MAX_ITER):
+    """§3.2: (report row, scored test slice with the ring columns)."""
     from ledgerguard.operators.wide_features import add_wide_features
     from ledgerguard.plans.wide_queries import wide_normalised
     f, cols = add_wide_features(wide_normalised(spark, sf))
     f = f.withColumn("ring_score", rings.ring_rule_score(f))
     f = cut_lineage(f.select("TransactionID", "ts_us", "amount", "amount_minor", "is_fraud", "ring_score", *cols))
     train, valid, test, _ = split.time_split(f)
-    report, _ = _review(train, valid, test, cols, "ring_score", "TransactionID", WIDE_BUDGET,
-                        WIDE_REVIEW_COST, WIDE_FRICTION_COST, WIDE_CANDIDATES, RUN_MAX_ITER, 1000)
-    return report
+    return _review(train, valid, test, cols, "ring_score", "TransactionID", WIDE_BUDGET, WIDE_REVIEW_COST,
+                   WIDE_FRICTION_COST, WIDE_CANDIDATES, max_iter, 1000, extra=RING_COLS, **WIDE_TRAINING)
+
+
+@register("run_wide_review")
+def run_wide_review(spark, sf):
+    """§3.2: e-commerce review with the ring score as the rule signal (one row)."""
+    return wide_review(spark, sf)[0]
+
+
+@register("run_wide_queue")
+def run_wide_queue(spark, sf):
+    """E-commerce review run: queue head of the test slice with ring reasons."""
+    _, tb = wide_review(spark, sf)
+    q = scoring.rank_queue(tb.withColumn("reason_codes", rings.ring_reason_codes(tb)), "score")
+    return scoring.queue_head(q, 10, ["transaction_id", "amount", "risk_score", "expected_loss", "reason_codes",
+                                      "is_fraud"])
+
+
+def _wide_test(spark, sf):
+    from ledgerguard.operators.wide_features import add_ring_features
+    from ledgerguard.plans.wide_queries import wide_normalised
+    return split.time_split(cut_lineage(add_ring_features(wide_normalised(spark, sf))))[2]
+
+
+@register("run_wide_rings")
+def run_wide_rings(spark, sf):
+    """E-commerce review run: G4, G5 and G6 on the test slice, one row per figure."""
+    test = _wide_test(spark, sf)
+    g4 = rings.confound_summary(test).select(F.lit("confound").alias("part"), F.lit(None).cast("string").alias("bucket"),
+                                             "rows", "fraud_rate", F.lit(None).cast("double").alias("fraud_value"))
+    g5 = rings.sharing_profile(test).select(F.lit("sharing").alias("part"), "bucket", "rows", "fraud_rate",
+                                            F.lit(None).cast("double").alias("fraud_value"))
+    g6 = rings.ring_summary(test).select(F.lit("rings").alias("part"), F.lit(None).cast("string").alias("bucket"), "rows",
+                                         "fraud_rate", F.col("fraud_value").cast("double"))
+    return g4.unionByName(g5).unionByName(g6)
+
+
+@register("run_wide_random_baseline")
+def run_wide_random_baseline(spark, sf):
+    """A10 on the e-commerce test slice: value recovered by account velocity (a fixed stand-in
+    for the learned order) and by random orders, on the budget grid."""
+    test = _wide_test(spark, sf).withColumnRenamed("TransactionID", "transaction_id").withColumn(
+        "score", F.col("uid_txn_24h").cast("double"))
+    budgets = ev.budget_grid(test.count())
+    curve = ev.value_budget_curve(test, budgets, minor_per_unit=1000).select("k", "value_share", "random_reference")
+    return curve.join(ev.random_order_baseline(test, budgets), "k")

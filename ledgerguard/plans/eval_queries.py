@@ -102,6 +102,16 @@ def k6_triage(spark, sf):
                       rnd("value_recall_at_cap").alias("value_recall_at_cap"), rnd("pr_auc").alias("pr_auc"))
 
 
+@register("k6_triage_queue", with_(SCORED_CTE, f"""
+SELECT transaction_id, card_id, round(model_score, 6) AS risk_score, round(model_score * amount, 6) AS expected_loss,
+       reason_codes FROM scored ORDER BY model_score * amount DESC, transaction_id LIMIT {CAPACITY}"""))
+def k6_triage_queue(spark, sf):
+    """K6: the queue slice that goes with the KPI row."""
+    head, _ = scoring.triage(_scored(spark, sf), CAPACITY)
+    return head.select("transaction_id", "card_id", rnd("risk_score").alias("risk_score"),
+                       rnd("expected_loss").alias("expected_loss"), "reason_codes")
+
+
 # ------------------------------------------------------------------ T1: split
 _CUTS_SQL = """
 cuts AS (SELECT quantile_cont(CAST(ts_us AS DOUBLE), 0.6) AS t1, quantile_cont(CAST(ts_us AS DOUBLE), 0.8) AS t2 FROM txn),
@@ -132,6 +142,37 @@ def m6_blend(spark, sf):
     return s.select("transaction_id", rnd(scoring.blend("model_score", "rule_score")).alias("blend_score"))
 
 
+# a deterministic third signal for the oracles (as the model score's stand-in)
+_ODD = "(amount_minor % 97) / 97.0"
+
+
+def _three_signals(spark, sf):
+    return _scored(spark, sf).withColumn("anomaly_score", (F.col("amount_minor") % 97) / F.lit(97.0))
+
+
+@register("m6_blend_three_signals", with_(SCORED_CTE, f"""
+SELECT transaction_id, round((0.65 * model_score + 0.25 * rule_score + 0.10 * {_ODD}) / (0.65 + 0.25 + 0.10), 6)
+       AS blend_score FROM scored"""))
+def m6_blend_three_signals(spark, sf):
+    s = _three_signals(spark, sf)
+    return s.select("transaction_id", rnd(scoring.blend("model_score", "rule_score", "anomaly_score")).alias("blend_score"))
+
+
+@register("m7_blend_select_three_signals", with_(SCORED_CTE, f""",
+w AS (SELECT * FROM (VALUES {", ".join(f"({i}, {a}, {b}, {c})" for i, (a, b, c) in enumerate(BLEND_CANDIDATES))})
+      t(cand, w_model, w_rule, w_anomaly)),
+s AS (SELECT w.*, amount_minor * is_fraud AS v, row_number() OVER (PARTITION BY cand ORDER BY
+        (w_model * model_score + w_rule * rule_score + w_anomaly * {_ODD}) / (w_model + w_rule + w_anomaly) DESC,
+        ts_us, transaction_id) AS place FROM scored, w),
+per AS (SELECT cand, w_model, w_rule, w_anomaly, sum(v) FILTER (WHERE place <= {K_ALERTS}) / sum(v) AS value_recall
+        FROM s GROUP BY ALL)
+SELECT cand, CAST(w_model AS DOUBLE) AS w_model, CAST(w_rule AS DOUBLE) AS w_rule, CAST(w_anomaly AS DOUBLE) AS w_anomaly,
+       round(value_recall, 6) AS value_recall FROM per ORDER BY value_recall DESC, cand LIMIT 1"""))
+def m7_blend_select_three_signals(spark, sf):
+    sel = scoring.select_blend(_three_signals(spark, sf), BLEND_CANDIDATES, K_ALERTS, anomaly="anomaly_score")
+    return sel.select("cand", "w_model", "w_rule", "w_anomaly", rnd("value_recall").alias("value_recall"))
+
+
 def _cand_sql():
     rows = []
     for i, (a, b, c) in enumerate(BLEND_CANDIDATES):
@@ -282,6 +323,23 @@ def a9_value_budget_curve(spark, sf):
                     rnd("random_reference").alias("random_reference"), rnd("random_fair").alias("random_fair"))
 
 
+@register("a9_value_budget_two_scores", with_(SCORED_CTE + """,
+scores AS (SELECT 'model' AS which, transaction_id, ts_us, amount_minor * is_fraud AS v, model_score AS s FROM scored
+         UNION ALL SELECT 'blend', transaction_id, ts_us, amount_minor * is_fraud,
+                          (0.0 + 0.65 * model_score + 0.25 * rule_score) / 0.9 FROM scored),
+walked AS (SELECT which, row_number() OVER o AS k, sum(v) OVER (o ROWS UNBOUNDED PRECEDING) AS got,
+                  sum(v) OVER (PARTITION BY which) AS tv FROM scores
+           WINDOW o AS (PARTITION BY which ORDER BY s DESC, ts_us, transaction_id))""", """
+SELECT which, k, round(got / tv, 6) AS value_share FROM walked WHERE k <= 600"""))
+def a9_value_budget_two_scores(spark, sf):
+    """A9 for the model score and the blend."""
+    s = _scored(spark, sf).withColumn("blend_score", scoring.blend("model_score", "rule_score"))
+    curves = [ev.value_budget_curve(s, range(1, 601), c).select(F.lit(c.removesuffix("_score")).alias("which"), "k",
+                                                                rnd("value_share").alias("value_share"))
+              for c in ("model_score", "blend_score")]
+    return curves[0].unionByName(curves[1])
+
+
 _A10_GRID_SQL = """SELECT DISTINCT least(greatest(CAST(trunc(CASE WHEN i = 59 THEN top
        ELSE i * ((top - lowest) / 59) + lowest END) AS BIGINT), 1), n) AS k
      FROM range(0, 60) r(i), (SELECT n, top, greatest(1, top // 60) AS lowest
@@ -497,4 +555,4 @@ def v5_leakage(spark, sf):
 def a10_random_baseline(spark, sf):
     """A10: value share at the 60-point budget grid under 10 seeded random orders (averaged)."""
     s = _scored(spark, sf)
-    return ev.random_order_baseline(s, _grid_budgets(s.count()), reps=10)
+    return ev.random_order_baseline(s, ev.budget_grid(s.count()), reps=10)

@@ -17,6 +17,17 @@ def _features(spark, sf):
     return spark.read.parquet(path)
 
 
+def _two_batches(spark, sf, files: int = 4):
+    """The event stream in two micro-batches of ``files`` files each, in the order written."""
+    from ledgerguard.plans.wide_queries import _sink_dir
+    root = _sink_dir(spark, "two-batches")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    for name, part in (("a", events.where("event_id % 5 <> 0")), ("b", events.where("event_id % 5 = 0"))):
+        part.repartition(files, "event_id").write.parquet(f"{root}/{name}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/*")
+    return spark.read.parquet(cs.run_to_parquet(cs.asof_feature_stream(stream), "asof"))
+
+
 @register("x1_stream_asof_features", with_(FEAT_CTE, """
 SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, round(amt_sum_1h, 6) AS amt_sum_1h,
        CAST(txn_count_24h AS BIGINT) AS txn_count_24h, round(amt_sum_24h, 6) AS amt_sum_24h,
@@ -51,6 +62,31 @@ def x3_stream_daily_windows(spark, sf):
     return spark.read.parquet(path).select("window_start_us", "card_id", "txns", rnd("amount").alias("amount"))
 
 
+@register("x4_stream_late_side_output", with_(TXN_CTE, """,
+seen AS (SELECT card_id, max(ROW(ts_us, transaction_id)) AS newest FROM txn WHERE transaction_id % 5 <> 0 GROUP BY card_id)
+SELECT b.transaction_id, b.card_id, b.ts_us FROM txn b JOIN seen s ON b.card_id = s.card_id
+WHERE b.transaction_id % 5 = 0 AND ROW(b.ts_us, b.transaction_id) <= s.newest"""))
+def x4_stream_late_side_output(spark, sf):
+    """Two batches: every fifth event arrives after all others; those not newer than their
+    card's last event are late (state is carried from the first batch to the second)."""
+    late = cs.split_late(_two_batches(spark, sf))[1]
+    return late.select("transaction_id", "card_id", "ts_us")
+
+
+@register("x1_stream_two_batches", with_(TXN_CTE, """,
+seen AS (SELECT card_id, max(ROW(ts_us, transaction_id)) AS newest FROM txn WHERE transaction_id % 5 <> 0 GROUP BY card_id),
+t AS (SELECT txn.* FROM txn LEFT JOIN seen USING (card_id)
+      WHERE transaction_id % 5 <> 0 OR newest IS NULL OR ROW(ts_us, transaction_id) > newest)
+SELECT a.transaction_id, CAST(count(b.transaction_id) FILTER (WHERE b.ts_us >= a.ts_us - 86400000000) AS BIGINT) AS txn_count_24h,
+       round(coalesce(sum(b.amount_minor) FILTER (WHERE b.ts_us >= a.ts_us - 86400000000), 0) / 100.0, 6) AS amt_sum_24h
+FROM t a LEFT JOIN t b ON a.card_id = b.card_id AND ROW(b.ts_us, b.transaction_id) < ROW(a.ts_us, a.transaction_id)
+GROUP BY a.transaction_id"""))
+def x1_stream_two_batches(spark, sf):
+    """As-of features when a card's rows come in two batches (late ones take no part)."""
+    on_time = cs.split_late(_two_batches(spark, sf))[0]
+    return on_time.select("transaction_id", "txn_count_24h", rnd("amt_sum_24h").alias("amt_sum_24h"))
+
+
 @register("x4_stream_late_rows")
 def x4_stream_late_rows(spark, sf):
     """Late rows routed to the side output (none when the file is in time order)."""

@@ -9,7 +9,7 @@ from ledgerguard.operators import rings
 from ledgerguard.operators.wide_features import add_row_features, add_wide_features
 from ledgerguard.plans.common import card_txn, rnd
 from ledgerguard.plans.registry import register
-from ledgerguard.plans.sqlparts import RING_CTE, TXN_CTE, WIDE_CTE, with_
+from ledgerguard.plans.sqlparts import FEAT_CTE, RING_CTE, TXN_CTE, WIDE_CTE, with_
 from ledgerguard.sources import readers
 from ledgerguard.sources.adapters import load_wide
 
@@ -305,15 +305,51 @@ def s5_csv_sink(spark, sf):
                        "id_31", "id_33")
 
 
-@register("s6_parquet_sink", with_(TXN_CTE, """
-SELECT transaction_id, strftime(make_timestamp(ts_us), '%Y-%m-%d') AS event_date, amount, is_fraud FROM txn"""))
+@register("s6_parquet_sink", with_(FEAT_CTE, """
+SELECT transaction_id, strftime(make_timestamp(ts_us), '%Y-%m-%d') AS event_date, amount, is_fraud,
+       CAST(txn_count_24h AS BIGINT) AS txn_count_24h, round(amt_sum_24h, 6) AS amt_sum_24h,
+       round(amount_z, 6) AS amount_z, round(time_since_last_s, 6) AS time_since_last_s, mcc_novel FROM feat"""))
 def s6_parquet_sink(spark, sf):
-    """Featured table written as parquet partitioned by event date, read back."""
+    """Featured table (all columns) written as parquet partitioned by event date, read back."""
     from ledgerguard.plans.common import card_featured
     root = _sink_dir(spark, "featured")
-    readers.write_featured_parquet(card_featured(spark, sf).select("transaction_id", "ts", "amount", "is_fraud"), root)
+    readers.write_featured_parquet(card_featured(spark, sf), root)
     back = spark.read.parquet(root)
-    return back.select("transaction_id", F.col("event_date").cast("string").alias("event_date"), "amount", "is_fraud")
+    return back.select("transaction_id", F.col("event_date").cast("string").alias("event_date"), "amount", "is_fraud",
+                       "txn_count_24h", rnd("amt_sum_24h").alias("amt_sum_24h"), rnd("amount_z").alias("amount_z"),
+                       rnd("time_since_last_s").alias("time_since_last_s"), "mcc_novel")
+
+
+@register("s1_capped_csv", with_(WIDE_CTE, """,
+first_rows AS (SELECT TransactionID FROM tx ORDER BY TransactionID LIMIT 500)
+SELECT t.TransactionID, i.DeviceInfo FROM first_rows t LEFT JOIN idn i USING (TransactionID)"""))
+def s1_capped_csv(spark, sf):
+    """S1 with its row cap (a feature of the reader) and S2 on the capped rows, from CSV files."""
+    tx, idn = load_wide(spark, sf)
+    root = _sink_dir(spark, "csv")
+    readers.write_csv_pair(tx, idn, root)
+    few = readers.cap_rows(readers.read_transaction_csv(spark, f"{root}/train_transaction"), 500)
+    own = readers.restrict_identity(readers.read_identity_csv(spark, f"{root}/train_identity"), few)
+    return few.select("TransactionID").join(own.select("TransactionID", "DeviceInfo"), "TransactionID", "left")
+
+
+@register("s8_views_without_identity", with_(WIDE_CTE, """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS with_device FROM tx"""))
+def s8_views_without_identity(spark, sf):
+    """S8 through SQL text over the views, without an identity table."""
+    tx, _ = load_wide(spark, sf)
+    readers.register_analyst_views(spark, tx, None)
+    return spark.sql("SELECT count(*) AS rows, count(DeviceInfo) + count(DeviceType) AS with_device FROM joined")
+
+
+@register("s8_views_sql", with_(WIDE_CTE, """
+SELECT ProductCD, CAST(sum(CASE WHEN DeviceInfo IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS with_device
+FROM tx LEFT JOIN idn USING (TransactionID) GROUP BY ProductCD"""))
+def s8_views_sql(spark, sf):
+    """S8 through SQL text over the views."""
+    tx, idn = load_wide(spark, sf)
+    readers.register_analyst_views(spark, tx, idn)
+    return spark.sql("SELECT ProductCD, count(DeviceInfo) AS with_device FROM joined GROUP BY ProductCD")
 
 
 @register("s9_materialise_mart", with_(TXN_CTE + """,
@@ -326,7 +362,7 @@ def s9_materialise_mart(spark, sf):
     from ledgerguard.operators import warehouse
     from ledgerguard.plans.common import card_txn
     stg = readers.materialise(warehouse.stg_transactions(card_txn(spark, sf)), "lg_stg_transactions", "view")
-    mart = readers.materialise(warehouse.fct_card_velocity(stg), "lg_fct_card_velocity", "table",
+    mart = readers.materialise(warehouse.fct_card_velocity_skew_safe(stg), "lg_fct_card_velocity", "table",
                                path=_sink_dir(spark, "mart"))
     return mart.select("transaction_id", "txn_count_24h")
 
