@@ -194,22 +194,30 @@ def value_budget_curve(df: DataFrame, budgets: Sequence[int], score="score", lab
     reference's random-order baseline min(k * mean(amount), total) / total and a
     fair random baseline k / n.
 
-    Positions come from the distributed global order; only rows whose position is
-    a requested budget are kept.
+    While the largest budget is small (``TOPK_LIMIT_MAX``), only that many top rows are
+    fetched and summed; for larger budgets positions come from the distributed global order
+    and only rows whose position is a requested budget are kept.
     """
     budgets = sorted({int(b) for b in budgets if b > 0})
     order = score_order(score)
-    ranked = global_cumulative(df, order, {"v": F.col(amount_minor) * F.col(label)}, keep=[])
+    value = (F.col(amount_minor) * F.col(label)).alias("v")
     spark = df.sparkSession
     bdf = spark.createDataFrame([(b,) for b in budgets], "k long")
-    tot = df.agg(F.count(F.lit(1)).alias("n"), F.avg(amount).alias("mean_amt"),
-                 F.sum(F.col(amount_minor) * F.col(label)).alias("total_v"))
-    # budgets beyond n take the last row's cumulative value
-    at = ranked.join(F.broadcast(bdf), F.col(POS) == F.col("k"), "inner").select("k", "cum_v")
-    last = ranked.agg(F.max(POS).alias("n_last"), F.max("cum_v").alias("v_last"))
-    out = F.broadcast(bdf).join(at, "k", "left")
-    out = _one_row_join(_one_row_join(out, tot), last)
-    v = F.when(F.col("k") <= F.col("n_last"), F.col("cum_v")).otherwise(F.col("v_last"))
+    tot = df.agg(F.count(F.lit(1)).alias("n"), F.avg(amount).alias("mean_amt"), F.sum(value).alias("total_v"))
+    if budgets and budgets[-1] <= TOPK_LIMIT_MAX:
+        first = [r["v"] or 0 for r in df.orderBy(*order).limit(budgets[-1]).select(value).collect()]
+        walked = [0, *np.cumsum(np.array(first, dtype=np.int64)).tolist()]
+        known = [(b, walked[min(b, len(first))]) for b in budgets]
+        out = _one_row_join(spark.createDataFrame(known, "k long, cum_v long"), tot)
+        v = F.col("cum_v")
+    else:
+        ranked = global_cumulative(df, order, {"v": value}, keep=[])
+        # budgets beyond n take the last row's cumulative value
+        at = ranked.join(F.broadcast(bdf), F.col(POS) == F.col("k"), "inner").select("k", "cum_v")
+        last = ranked.agg(F.max(POS).alias("n_last"), F.max("cum_v").alias("v_last"))
+        out = F.broadcast(bdf).join(at, "k", "left")
+        out = _one_row_join(_one_row_join(out, tot), last)
+        v = F.when(F.col("k") <= F.col("n_last"), F.col("cum_v")).otherwise(F.col("v_last"))
     total = F.col("total_v") / F.lit(float(minor_per_unit))
     return out.select(
         "k",

@@ -105,6 +105,19 @@ def test_budget_grid():
         assert evaluation.budget_grid(n) == want
 
 
+def test_value_curve_is_the_same_by_either_way(spark, monkeypatch):
+    rows = [(i, (i * 7 % 50) / 50, float(i), i % 3 == 0, 100 * i, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "transaction_id long, score double, ts_us double, is_fraud boolean, amount_minor long, "
+                                     "amount double").withColumn("is_fraud", F.col("is_fraud").cast("int"))
+    budgets = [1, 7, 50, 199, 200, 400]
+    few = evaluation.value_budget_curve(df, budgets)
+    few = sorted(map(tuple, few.collect()))
+    monkeypatch.setattr(evaluation, "TOPK_LIMIT_MAX", 5)
+    many = sorted(map(tuple, evaluation.value_budget_curve(df, budgets).collect()))
+    assert few == many
+    assert evaluation.top_k(df, 20).exceptAll(df.orderBy(*evaluation.score_order()).limit(20)).count() == 0
+
+
 def test_integer_running_sums_are_exact(spark):
     big = 9_007_199_254_740_993
     df = spark.createDataFrame([(i, big if i else None) for i in range(4)], "i int, v long")
