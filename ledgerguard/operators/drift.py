@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerguard.operators.ordering import exact_quantiles, global_cumulative
+from ledgerguard.operators.ordering import exact_quantiles, global_cumulative, quantiles_from_running
 
 PSI_EPS = 1e-6
 # PSI rule-of-thumb bands.
@@ -34,12 +34,12 @@ def value_counts(reference: DataFrame, actual: DataFrame, features: Sequence[str
     return cut_lineage(vc)
 
 
-def psi_from_counts(vc: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """D1 on value counts.  Edges are the distinct reference quantiles at 0,
+def psi_from_counts(vc: DataFrame, features: Sequence[str], bins: int = 10, q: dict | None = None) -> DataFrame:
+    """D1 on value counts (``q``: the reference quantiles, if known).  Edges are the distinct reference quantiles at 0,
     1/bins, ..., 1 with the ends opened to +-inf (fewer than 3 edges -> PSI 0);
     bins are [lo, hi); shares are floored at 1e-6."""
     probs = [float(p) for p in np.linspace(0.0, 1.0, bins + 1)]
-    q = exact_quantiles(vc, "x", probs, group="feature", weight="nr")
+    q = exact_quantiles(vc, "x", probs, group="feature", weight="nr") if q is None else q
     spark = vc.sparkSession
     edge_rows, degenerate = [], []
     for f in features:
@@ -70,17 +70,29 @@ def psi_from_counts(vc: DataFrame, features: Sequence[str], bins: int = 10) -> D
     return res
 
 
-def ks_from_counts(vc: DataFrame) -> DataFrame:
-    """D2 on value counts: max |ECDF_ref - ECDF_act| per feature, via a
-    per-feature running sum in a distributed global order."""
-    tot = vc.groupBy("feature").agg(F.sum("nr").alias("Nr"), F.sum("na").alias("Na"))
+def running_counts(vc: DataFrame) -> tuple[DataFrame, dict]:
+    """(value counts with running sums per feature, {feature: (Nr, Na)}): one distributed sort
+    that serves the quantiles and the distribution gap."""
+    totals: dict = {}
     cum = global_cumulative(vc, [F.col("feature"), F.col("x")], {"r": F.col("nr"), "a": F.col("na")},
-                            keep=["feature", "x"], group="feature")
+                            keep=["feature", "x", "nr", "na"], group="feature", totals_out=totals)
+    return cum, {f: (int(v[1]), int(v[2])) for f, v in totals.items()}
+
+
+def ks_from_running(cum: DataFrame, totals: dict) -> DataFrame:
+    """Max |ECDF_ref - ECDF_act| per feature."""
+    tot = cum.sparkSession.createDataFrame([(f, r, a) for f, (r, a) in totals.items()],
+                                           "feature string, all_r long, all_a long")     # one row per feature
     gap = cum.join(F.broadcast(tot), "feature").select(
-        "feature", F.abs(F.col("cum_r") / F.col("Nr") - F.col("cum_a") / F.col("Na")).alias("g"))
+        "feature", F.abs(F.col("cum_r") / F.col("all_r") - F.col("cum_a") / F.col("all_a")).alias("g"))
     return gap.groupBy("feature").agg(F.max("g").alias("ks"))
 
 
+def ks_from_counts(vc: DataFrame) -> DataFrame:
+    """D2 on value counts."""
+    return ks_from_running(*running_counts(vc))
+
+
 def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """Population stability index per feature."""
     return psi_from_counts(value_counts(reference, actual, features), features, bins)
@@ -101,5 +113,9 @@ def severity(psi_col: str | Column = "psi") -> Column:
 def drift_report(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """D3: PSI and KS per feature, worst PSI first."""
     vc = value_counts(reference, actual, features)
-    rep = psi_from_counts(vc, features, bins).join(ks_from_counts(vc), "feature")
+    cum, totals = running_counts(vc)
+    probs = [float(p) for p in np.linspace(0.0, 1.0, bins + 1)]
+    known = {f: r for f, (r, _) in totals.items() if r}
+    q = quantiles_from_running(cum, "x", "nr", "cum_r", known, probs, "feature") if known else {}
+    rep = psi_from_counts(vc, features, bins, q).join(ks_from_running(cum, totals), "feature")
     return rep.withColumn("severity", severity("psi")).orderBy(F.desc("psi"), F.asc("feature"))

@@ -208,6 +208,16 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str
     cum = global_cumulative(vc, order, {"c": F.col("_c")}, keep=keys + [col, "_c"], group=group,
                             totals_out=totals)
     totals = {g: int(v[1]) for g, v in totals.items()}        # number of non-NULL values
+    return quantiles_from_running(cum, col, "_c", "cum_c", totals, probs, group)
+
+
+def quantiles_from_running(cum: DataFrame, col: str, count: str, running: str, totals: dict, probs: Sequence[float],
+                           group: str | None = None) -> dict:
+    """Quantiles from value counts with their running sums: only the rows that cover a needed
+    position (at most two per probability and group) are collected.  ``totals``: number of
+    values per group (key None without groups)."""
+    keys = [group] if group else []
+    cum = cum.where(F.col(count) > 0)
     # positions needed (0-based) per group
     need: dict = {}
     for g, n in totals.items():
@@ -218,12 +228,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: str
     conds = []
     for g, pos in need.items():
         arr = F.array(*[F.lit(int(x)) for x in sorted(pos)])
-        hit = F.exists(arr, lambda x: (x >= F.col("cum_c") - F.col("_c")) & (x <= F.col("cum_c") - 1))
+        hit = F.exists(arr, lambda x: (x >= F.col(running) - F.col(count)) & (x <= F.col(running) - 1))
         conds.append(hit if not group else ((F.col(group) == F.lit(g)) & hit))
     cond = conds[0]
     for c in conds[1:]:
         cond = cond | c
-    rows = cum.where(cond).select(*keys, col, "_c", "cum_c").collect()
+    rows = cum.where(cond).select(*keys, col, F.col(count).alias("_c"), F.col(running).alias("cum_c")).collect()
     lookup: dict = {}
     for r in rows:
         g = r[group] if group else None

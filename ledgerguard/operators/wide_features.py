@@ -191,22 +191,34 @@ def _device_block(base: DataFrame, df: DataFrame, hot: list) -> DataFrame:
     ).drop("_dev_prior_n", "_dev_prior_distinct", "_dev_total", "_n_all")
 
 
-def add_ring_features(df: DataFrame, hot_min_rows: int = 1_000_000, hot_devices: list | None = None) -> DataFrame:
+def add_ring_features(df: DataFrame, hot_min_rows: int = 1_000_000, hot_devices: list | None = None,
+                      hot_card1: list | None = None) -> DataFrame:
     """Only what the ring operators (G1-G6) read: device prior transactions,
     prior distinct cards, fingerprint frequency and the account's 24 h count --
-    without the full wide feature set.  Hot fingerprints come from one bounded
-    aggregate."""
+    without the full wide feature set.  Hot fingerprints and hot card1 values (whose
+    accounts are then computed per account-day) come from one aggregate."""
     cols = set(df.columns)
     valid = F.col("DeviceInfo").isNotNull() if "DeviceInfo" in cols else F.lit(False)
     base = df.withColumns({"device_fp": build_device_fp(df), "_device_valid": valid})
-    if hot_devices is None:
-        hot_devices = [r["device_fp"] for r in
-                       base.where(valid).groupBy("device_fp").agg(F.count(F.lit(1)).alias("_n"))
-                       .where(F.col("_n") >= hot_min_rows).collect()]
+    card = F.col("card1").cast("string")
+    if hot_devices is None or hot_card1 is None:
+        names = F.array(F.struct(F.lit("d").alias("k"), F.when(valid, F.col("device_fp")).alias("v")),
+                        F.struct(F.lit("c").alias("k"), card.alias("v")))
+        keys = base.select(F.explode(names).alias("x")).where(F.col("x.v").isNotNull() | (F.col("x.k") == "c"))
+        hot = (keys.groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_min_rows).collect())
+        hot_devices = [r["v"] for r in hot if r["k"] == "d"] if hot_devices is None else hot_devices
+        hot_card1 = [r["v"] for r in hot if r["k"] == "c"] if hot_card1 is None else hot_card1
     out = _device_block(base, df, hot_devices)
     u = [c for c in UID_PARTS if c in cols]
-    return out.withColumn("uid_txn_24h", asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double")) \
-              .drop("_device_valid")
+    window = lambda d: d.withColumn(
+        "uid_txn_24h", asof.prior_count_within(u, US_PER_DAY, tie=TIE).cast("double")).drop("_device_valid")
+    if not hot_card1:
+        return window(out)
+    hot_rows, other_rows = asof.split_hot(out, card, [None if v is None else str(v) for v in hot_card1])
+    plain = window(other_rows)
+    split = asof.bucketed_prior(hot_rows, u, "amount_minor", width_us=US_PER_DAY, ts="ts_us", tie=TIE, prefix="_u")
+    split = split.withColumn("uid_txn_24h", F.col("_u_cw").cast("double"))
+    return plain.unionByName(split.select(*plain.columns))
 
 
 def _device_windows(base: DataFrame, valid: Column) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerguard.functions.geo import haversine_km
 from ledgerguard.operators import warehouse
-from ledgerguard.operators.rules import DEFAULT_RULE_NAMES, rule_precision
+from ledgerguard.operators.rules import DEFAULT_RULE_NAMES, Rule, apply_rules, rule_precision
 from ledgerguard.plans.common import card_featured, card_rowwise, card_ruled, card_scored, card_txn, rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, RULES_CTE, TXN_CTE, with_
@@ -213,6 +213,21 @@ for _name in DEFAULT_RULE_NAMES:
 SELECT transaction_id, card_id, amount FROM ruled WHERE {_name} = 1"""))(_rule_query(_name))
 
 
+@register("r0_custom_rules", with_(FEAT_CTE, """
+SELECT transaction_id, CAST(amount >= 20 AND is_cnp = 1 AS INTEGER) AS big_online,
+       CAST(coalesce(mcc_novel = 1 AND time_since_last_s < 600, FALSE) AS INTEGER) AS new_category_fast,
+       round((1 * CAST(amount >= 20 AND is_cnp = 1 AS INTEGER)
+              + 3 * CAST(coalesce(mcc_novel = 1 AND time_since_last_s < 600, FALSE) AS INTEGER)) / 4.0, 6) AS rule_score
+FROM feat"""))
+def r0_custom_rules(spark, sf):
+    """A catalogue of one's own beside the default one."""
+    mine = [Rule("big_online", "large online payment", 1, (F.col("amount") >= 20) & (F.col("is_cnp") == 1)),
+            Rule("new_category_fast", "first payment in a category, minutes after the last", 3,
+                 (F.col("mcc_novel") == 1) & (F.col("time_since_last_s") < 600))]
+    r = apply_rules(card_featured(spark, sf), mine)
+    return r.select("transaction_id", "big_online", "new_category_fast", rnd("rule_score").alias("rule_score"))
+
+
 @register("r5_apply_rules", with_(RULES_CTE, """
 SELECT transaction_id, card_testing, high_amount_new_card, impossible_travel, velocity_spike,
        rule_any, round(rule_score, 6) AS rule_score FROM ruled"""))

@@ -14,6 +14,7 @@ from ledgerguard.operators.ordering import POS, global_cumulative
 from ledgerguard.plans.common import card_featured, card_scored, card_txn, rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, SCORED_CTE, TXN_CTE, with_
+from ledgerguard.session import cut_lineage
 
 K_ALERTS = 100
 CAPACITY = 50
@@ -399,7 +400,8 @@ def a13_calibration_curve(spark, sf):
 
 # ------------------------------------------------------------------ D: drift
 def _drift_inputs(spark, sf):
-    f = card_featured(spark, sf).select("ts_us", *DRIFT_FEATURES)
+    # read by the time cuts and by both slices: computed once
+    f = cut_lineage(card_featured(spark, sf).select("ts_us", *DRIFT_FEATURES))
     t1, t2 = split.time_cuts(f)
     lab = split.label_split(f, t1, t2)
     return lab.where("split = 'train'"), lab.where("split = 'test'")
@@ -464,9 +466,9 @@ SELECT feature, round(psi, 6) AS psi, round(ks, 6) AS ks, severity,
 def d3_drift_report(spark, sf):
     ref, act = _drift_inputs(spark, sf)
     rep = drift.drift_report(ref, act, DRIFT_FEATURES)
-    ranked = global_cumulative(rep, [F.desc("psi"), F.asc("feature")], keep=["feature", "psi", "ks", "severity"])
-    return ranked.select("feature", rnd("psi").alias("psi"), rnd("ks").alias("ks"), "severity",
-                         F.col(POS).alias("report_rank"))
+    rows = rep.select("feature", rnd("psi").alias("psi"), rnd("ks").alias("ks"), "severity").collect()  # a row a feature
+    return spark.createDataFrame([(*r, k) for k, r in enumerate(rows, 1)],
+                                 "feature string, psi double, ks double, severity string, report_rank long")
 
 
 @register("d4_severity", with_(_DRIFT_CTE, "SELECT feature, severity FROM rep"))
