@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerguard.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["binary_column", "cut_lineage", "pieces_by_bytes", "scratch_path", "shuffle_partitions", "store",
+__all__ = ["binary_column", "bounded_batches", "cut_lineage", "give_back", "pieces_by_bytes", "scratch_path", "shuffle_partitions", "store",
            "table", "without"]
 
 
@@ -50,6 +51,24 @@ def binary_column(batch: pa.RecordBatch, i: int) -> pa.BinaryArray:
     return col.fill_null(b"")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """At most ``rows`` texts in one Arrow batch of this session: the default of 10,000 takes
+    tens of megabytes several times over in the JVM and in each Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
+def give_back() -> None:
+    """Return freed memory to the system between pieces of work: the workers of an executor
+    share its memory, and one that is between tasks should not hold on to it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):    # another C library
+        pass
+
+
 def pieces_by_bytes(batches: Iterator[pa.RecordBatch], text_at: int, limit: int = 8 << 20
                     ) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one piece holds about ``limit`` bytes of text (or one
@@ -65,4 +84,5 @@ def pieces_by_bytes(batches: Iterator[pa.RecordBatch], text_at: int, limit: int
             stop = int(np.searchsorted(lengths, lengths[start] + limit, side="right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
+            give_back()
             start = stop

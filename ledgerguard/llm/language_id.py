@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ledgerguard.llm.common import pieces_by_bytes, without
+from ledgerguard.llm.common import bounded_batches, pieces_by_bytes, without
 from ledgerguard.llm.lattice import Lattice, Trie, flat_bytes
 
 UNKNOWN = "und"
@@ -110,7 +110,7 @@ class Scorer:
         self.trie, _ = vocabulary_trie(vocabulary, longest)
         self.langs, self.logp = langs, np.ascontiguousarray(logp)
 
-    def word_scores(self, words: pa.Array, block: int = 30_000) -> np.ndarray:
+    def word_scores(self, words: pa.Array, block: int = 20_000) -> np.ndarray:
         """Forward scores, a block of words at a time (the edges of a block stay in memory)."""
         out = [np.empty((0, self.logp.shape[1]))]
         for a in range(0, len(words), block):
@@ -150,6 +150,7 @@ def identify(docs: DataFrame, vocabulary: str, text: str = "text", model: tuple[
     prediction.  Repeated rows get equal results; an empty table gives no rows.  Input
     columns named like an output column are replaced.
     """
+    bounded_batches(docs.sparkSession)
     langs, logp = model or train(docs, vocabulary, text=text, longest=longest, **training)
     docs = without(docs, "lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast((langs, logp.astype(np.float64)))
@@ -160,7 +161,7 @@ def identify(docs: DataFrame, vocabulary: str, text: str = "text", model: tuple[
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(vocabulary, longest, *shared.value)
-        for batch in pieces_by_bytes(batches, at, 16 << 20):
+        for batch in pieces_by_bytes(batches, at, 8 << 20):
             col = batch.column(at).fill_null("")
             lang, score = scorer.predict(col)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(lang, pa.string()),

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerguard.llm.common import shuffle_partitions, without
+from ledgerguard.llm.common import bounded_batches, give_back, shuffle_partitions, without
 
 WILD = "<*>"
 _DIGIT = re.compile(r"\d")
@@ -61,7 +61,7 @@ class _Slice:
 
     def __init__(self, docs: pa.Table, heard: pa.Table | None, key: str, text: str, depth: int, similarity: float):
         self.texts = docs.column(text).to_pylist()
-        self.keys = docs.column(key).fill_null(NO_KEY).to_pylist()
+        self.keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
         self.depth, self.similarity = depth, similarity
         self.known: list[set[int]] = [set(), set(), set()]
         self.first: dict[int, tuple[int, int]] = {}
@@ -178,17 +178,19 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Lines end at newlines; tokens at white space; lines without a token are kept.  A null text
     is one empty line and stays null; rows with one key count as one document and repeated
-    rows get equal results; rows without a key count as one document that comes last; a text
+    rows get equal results; rows without a key count as one document a slice and come last; a text
     of which all lines go is left empty.  An empty table gives no rows.  Input columns named
     like an output column are replaced.
     """
     docs = without(docs, "n_lines", "n_dropped", "kept_sha256", "__g")
     spark = docs.sparkSession
+    bounded_batches(spark)
     n = shuffle_partitions(spark)
     spread = F.when(F.col(key).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))
     slices = docs.withColumn("__g", F.pmod(spread, F.lit(4 * n)).cast("int")).repartition(n, "__g")
 
     def make(part: pa.Table, heard: pa.Table | None) -> _Slice:
+        give_back()
         return _Slice(part, heard, key, text, depth, similarity)
 
     def recurring(asked: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ledgerguard.llm.common import binary_column, cut_lineage, shuffle_partitions, store, without
+from ledgerguard.llm.common import (binary_column, bounded_batches, cut_lineage, give_back, shuffle_partitions, store,
+                                    without)
 from ledgerguard.llm.components import connected_components
 
 BITS = 64
@@ -62,6 +63,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, name
     """``docs`` with the fingerprint as a signed long column ``name`` (an input column of
     that name is replaced).  A null text counts as empty; empty texts get 0."""
     docs = without(docs, name)
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
@@ -71,6 +73,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, name
             fps = np.array([text_fingerprint(x, shingle) for x in raw], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())],
                                              names=[*batch.schema.names, name])
+            give_back()
 
     return docs.mapInArrow(fingerprint, schema)
 
