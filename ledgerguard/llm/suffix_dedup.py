@@ -30,11 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerguard.llm.bwt import prefix_classes
-from ledgerguard.llm.common import binary_column, shuffle_partitions, without
+from ledgerguard.llm.common import binary_column, bounded_batches, give_back, shuffle_partitions, without
 
 NO_KEY = np.iinfo(np.int64).max   # documents without a key come after all others
 PIECE = 256 << 10                 # bytes hashed at once: arrays that stay in the CPU's cache
-BLOCK = 1 << 20                   # symbols of one transform, unless one anchor has more
+BLOCK = 1 << 19                   # symbols of one transform, unless one anchor has more
 _BYTE = np.random.default_rng(50).integers(0, 1 << 32, 256, dtype=np.uint32)
 _STEP = 0x9E3779B1
 
@@ -138,7 +138,7 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
 
 ANNOUNCED = "bucket int, g int, ids binary, many binary"
 SHARED = "g int, ids binary, crowded binary"
-CONTEXTS = "bucket int, g int, ids binary, keys binary, lows binary, highs binary, sizes binary, bytes binary"
+CONTEXTS = "bucket int, g int, ids binary, crowded binary, keys binary, lows binary, highs binary, sizes binary, bytes binary"
 MARKS = "g int, ids binary, crowded binary, digests binary, starts binary, stops binary, lows binary"
 
 
@@ -172,11 +172,13 @@ def _announce(text_at: int, g_at: int, buckets: int, length: int, gram: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array((place[cut] // width).astype(np.int32)), pa.array((place[cut] % width).astype(np.int32)),
                  _blobs(_six(h), cuts), _blobs(many, cuts)], names=["bucket", "g", "ids", "many"])
+            give_back()
     return announce
 
 
 def _answer(crowd: int):
     def answer(table: pa.Table) -> pa.Table:
+        give_back()
         h, many = _from_six(table.column("ids")), _joined(table.column("many"), np.uint8)
         sizes = np.array([len(x) for x in table.column("many").to_pylist()], dtype=np.int64)
         g = np.repeat(table.column("g").to_numpy(), sizes)
@@ -239,13 +241,14 @@ def _occurrences(texts: pa.Array, shared: np.ndarray, crowded: np.ndarray, lengt
 
 def _contexts(buckets: int, length: int, gram: int, key: str, text: str):
     def contexts(_, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         g = answers.column("g")[0].as_py() if answers.num_rows else 0
         none = np.empty(0, np.uint64)
         distinct, ids, keys, lows, highs = [], none, none, none, none
         if answers.num_rows and docs.num_rows:
             shared, crowded = _from_six(answers.column("ids")), _joined(answers.column("crowded"), np.uint8)
             order = np.argsort(shared)
-            low = docs.column(key).fill_null(NO_KEY).to_numpy()
+            low = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_numpy()
             by_key = np.argsort(low, kind="stable")       # ascending: first and last seen are low and high
             texts = _texts(docs, text).take(pa.array(by_key))
             doc, _, h, k, ctx = _occurrences(texts, shared[order], crowded[order], length, gram)
@@ -267,12 +270,17 @@ def _contexts(buckets: int, length: int, gram: int, key: str, text: str):
         sizes = np.fromiter(map(len, distinct), dtype=np.uint16, count=len(distinct))[order]
         flat = np.frombuffer(b"".join([distinct[i] for i in order.tolist()]), dtype=np.uint8)
         at = np.r_[0, np.cumsum(sizes, dtype=np.int64)][cuts]
+        ids, keys = ids[order], keys[order]
+        own = keys != ids                                  # only crowded anchors have keys of their own
+        packed = [pa.compress(flat[a:b].tobytes(), codec="zstd", asbytes=True)
+                  for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         return pa.table({"bucket": pa.array(bucket[cut].astype(np.int32), pa.int32()),
                          "g": pa.array(np.full(len(cut), g, np.int32), pa.int32()),
-                         "ids": _blobs(_six(ids[order]), cuts), "keys": _blobs(keys[order], cuts),
+                         "ids": _blobs(_six(ids), cuts), "crowded": _blobs(own.astype(np.uint8), cuts),
+                         "keys": _blobs(keys[own], np.r_[0, np.cumsum(own)][cuts]),
                          "lows": _blobs(lows[order].astype(np.int64), cuts),
                          "highs": _blobs((highs[order] - lows[order]).astype(np.int64), cuts),   # mostly zeros
-                         "sizes": _blobs(sizes, cuts), "bytes": _blobs(flat, at)})
+                         "sizes": _blobs(sizes, cuts), "bytes": pa.array(packed, pa.binary())})
     return contexts
 
 
@@ -326,13 +334,18 @@ def window_lows(flat: np.ndarray, starts: np.ndarray, keys: np.ndarray, lows: np
 
 def _classes(length: int):
     def classes(table: pa.Table) -> pa.Table:
-        ids, keys = _from_six(table.column("ids")), _joined(table.column("keys"), np.uint64)
+        give_back()
+        ids = _from_six(table.column("ids"))
+        keys = ids.copy()
+        keys[_joined(table.column("crowded"), np.uint8) == 1] = _joined(table.column("keys"), np.uint64)
         lows = _joined(table.column("lows"), np.int64)
         highs = lows + _joined(table.column("highs"), np.int64)
         sizes = _joined(table.column("sizes"), np.uint16).astype(np.int64)
-        per = np.array([len(x) // 2 for x in table.column("sizes").to_pylist()], dtype=np.int64)
+        counts = [np.frombuffer(x, dtype=np.uint16) for x in table.column("sizes").to_pylist()]
+        per = np.array([len(x) for x in counts], dtype=np.int64)
         g = np.repeat(table.column("g").to_numpy(), per)
-        raw = b"".join(table.column("bytes").to_pylist())
+        raw = b"".join(pa.decompress(x, decompressed_size=int(n.sum(dtype=np.int64)), codec="zstd", asbytes=True)
+                       for x, n in zip(table.column("bytes").to_pylist(), counts, strict=True))
         ends = np.cumsum(sizes)
         entries = [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
         number = {c: i for i, c in enumerate(dict.fromkeys(entries))}
@@ -373,8 +386,9 @@ def _classes(length: int):
 
 def _remove(length: int, gram: int, key: str, text: str, keep: list[str], with_text: bool):
     def remove(_, docs: pa.Table, marks: pa.Table) -> pa.Table:
+        give_back()
         texts = _texts(docs, text)
-        keys = docs.column(key).fill_null(NO_KEY).to_pylist()
+        keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
         spans: dict[int, list[tuple[int, int]]] = {}
         if marks.num_rows and docs.num_rows:
             ids, crowded = _from_six(marks.column("ids")), _joined(marks.column("crowded"), np.uint8)
@@ -429,6 +443,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     """
     docs = without(docs, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "__g")
     spark = docs.sparkSession
+    bounded_batches(spark)
     n = shuffle_partitions(spark)
     slices = (docs.withColumn("__g", F.pmod(F.xxhash64(key, text), F.lit(2 * n)).cast("int"))
               .repartition(n, "__g"))
