@@ -15,7 +15,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerguard.llm.common import binary_column, pieces_by_bytes, store
+from ledgerguard.llm.common import binary_column, bounded_batches, pieces_by_bytes, store
 from ledgerguard.llm.pretokens import encoder
 
 GROUP = ["source", "lang", "version"]
@@ -25,6 +25,7 @@ _SCHEMA = "source string, lang string, version string, docs long, tokens long"
 def with_token_count(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text",
                      name: str = "n_tokens") -> DataFrame:
     """(keep columns, ``name``: ids of the whole text; null text counts 0)."""
+    bounded_batches(docs.sparkSession)
     slim = docs.select(*[c for c in keep if c != name], F.col(text).alias("__text"))
     at = len(slim.columns) - 1
     schema = slim.drop("__text").withColumn(name, F.lit(0).cast("long")).schema
@@ -41,13 +42,16 @@ def with_token_count(docs: DataFrame, vocabulary: str, keep: list[str], text: st
 
 def signed_changes(changes: DataFrame) -> DataFrame:
     """``changes`` has ``before`` and ``after`` structs (source, lang, version, n_tokens): an
-    insert has only after, a delete only before, a revision both.  Gives signed rows; a row
-    with neither gives none; a null count adds a document without tokens."""
+    insert has only after, a delete only before, a revision both.  A column ``times``, if there
+    is one, says how many equal changes the row stands for.  Gives signed rows; a row with
+    neither struct gives none; a null count adds a document without tokens."""
+    times = F.col("times").cast("long") if "times" in changes.columns else F.lit(1).cast("long")
     sides = F.array(F.struct(F.lit(-1).alias("sign"), F.col("before").alias("d")),
                     F.struct(F.lit(1).alias("sign"), F.col("after").alias("d")))
-    rows = changes.select(F.explode(sides).alias("x")).where("x.d is not null")
-    return rows.select(*[F.col(f"x.d.{c}").alias(c) for c in GROUP], F.col("x.sign").cast("long").alias("docs"),
-                       (F.col("x.sign") * F.coalesce("x.d.n_tokens", F.lit(0))).cast("long").alias("tokens"))
+    rows = changes.select(times.alias("n"), F.explode(sides).alias("x")).where("x.d is not null")
+    signed = F.col("x.sign") * F.col("n")
+    return rows.select(*[F.col(f"x.d.{c}").alias(c) for c in GROUP], signed.cast("long").alias("docs"),
+                       (signed * F.coalesce("x.d.n_tokens", F.lit(0))).cast("long").alias("tokens"))
 
 
 def _sum(rows: DataFrame) -> DataFrame:
@@ -146,18 +150,18 @@ def rollup_documents(docs: DataFrame, folder: str, vocabulary: str, key: str = "
 
     def changes(frame: DataFrame, *pairs) -> DataFrame:
         both = F.array(*[F.struct(b.alias("before"), a.alias("after")) for b, a in pairs])
-        return frame.select(F.explode(both).alias("c")).select("c.before", "c.after")
+        more = [c for c in frame.columns if c == "times"]
+        return frame.select(*more, F.explode(both).alias("c")).select(*more, "c.before", "c.after")
 
-    # the first copy of each text, found by aggregate (copies pre-aggregate before the shuffle)
+    # copies of a text are counted per source and language before they meet: a text has a
+    # handful of rows from then on, however many copies there are
     order = F.struct(F.col("doc_id").isNull().alias("no_key"), "doc_id", "source", "lang")
-    first = counted.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("copies"),
-                                     F.first("n_tokens").alias("n"))
-    # all copies leave their groups; the one that stays comes back
-    repeated = first.where("copies > 1")
-    leaving = counted.join(repeated.select("h"), "h", "left_semi")
-    back = repeated.select(F.col("first.source").alias("source"), F.col("first.lang").alias("lang"),
-                           F.col("n").alias("n_tokens"))
-    deletes = changes(leaving, (exact, none), (final, none)).unionByName(changes(back, (none, exact), (none, final)))
+    per = counted.groupBy("h", "source", "lang").agg(F.count("*").alias("copies"), F.min(order).alias("first"),
+                                                     F.first("n_tokens").alias("n_tokens"))
+    heads = per.groupBy("h").agg(F.min("first").alias("head"), F.sum("copies").alias("all")).where(F.col("all") > 1)
+    stays = F.col("first").eqNullSafe(F.col("head")).cast("int")       # the first copy stays in its group
+    leaving = per.join(heads, "h").withColumn("times", F.col("copies") - stays).where(F.col("times") > 0)
+    deletes = changes(leaving, (exact, none), (final, none))
     batches = {"load": changes(counted, (none, exact), (none, guess)), "revise": changes(counted, (guess, final)),
                "copies": deletes}
     rollup = TokenRollup(spark, folder)
