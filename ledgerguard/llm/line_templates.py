@@ -1,13 +1,22 @@
 """Line deduplication by a log-template tree.
 
 Lines go down a tree of fixed depth: first by their number of tokens, then by their leading
-tokens (a token with a digit is a variable field, ``<*>``).  In a leaf, a token that recurs at
-its position in at least ``min_docs`` documents is a constant, any other token is generalised
-to ``<*>``; the tokens left give the line's template.  A template found in at least
-``min_docs`` documents, with constants in at least ``similarity`` of its positions, recurs:
-its first occurrence (smallest key, then line number) stays and all later ones are dropped, so
-no passage leaves the corpus altogether.  (A line whose masked tokens recur as a whole is its
-own template, with no token generalised.)
+tokens (a token with a digit is a variable field, ``<*>``).  A line has up to two templates:
+
+* by share: a token is a constant if it stands at its position in at least half of the leaf's
+  documents, whole recurring lines included; if that leaves constants in less than
+  ``similarity`` of the positions, in a quarter, an eighth and so on (a leaf may hold several
+  templates).  So a field of many values stays variable however often each of them occurs, and
+  the template is the same in a small and in a large table;
+* by count: the masked tokens as they are if they recur as a whole in ``min_docs`` documents,
+  else with the tokens that recur at their position in ``min_docs`` documents of the leaf's
+  other lines as constants.
+
+Other tokens are generalised to ``<*>``.  A template found in at least ``min_docs`` documents,
+with constants in at least ``similarity`` of its positions, recurs: its first occurrence
+(smallest key, then line number) stays unless it is a later one of its line's other template,
+and all later ones are dropped.  A dropped line always has an earlier one of its template, so
+no passage leaves the corpus altogether.
 
 The order of arrival plays no part, unlike in an online template miner: each step is a count
 over all documents.  Slices of the documents send the hashes they hold with their document
@@ -18,6 +27,7 @@ back the ones that recur.  The slices are one exchange of the documents, used fo
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -32,8 +42,8 @@ WILD = "<*>"
 _DIGIT = re.compile(r"\d")
 NO_KEY = np.iinfo(np.int64).max
 LEAF, LINE, CONSTANT, TEMPLATE = range(4)
-_ASK = "kind int, key long, g int, docs long, doc long, line int"
-_HEARD = "g int, kind int, key long, doc long, line int"
+_MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
+_ASK = "kind int, key long, g int, docs long, loose long, doc long, line int"
 
 
 def masked_tokens(line: str) -> list[str]:
@@ -53,7 +63,8 @@ def leaf_of(tokens: list[str], depth: int) -> int:
 
 
 def _constant(leaf: int, at: int, token: str) -> int:
-    return _hash(CONSTANT, str(leaf), str(at), token)
+    h = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), (leaf + at * _STEP) & _MASK)
+    return h - (1 << 64) if h >> 63 else h
 
 
 class _Slice:
@@ -63,11 +74,16 @@ class _Slice:
         self.texts = docs.column(text).to_pylist()
         self.keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
         self.depth, self.similarity = depth, similarity
-        self.known: list[set[int]] = [set(), set(), set()]
+        #: documents of each recurring leaf, line and constant; ``loose``: constants that recur outside recurring lines
+        self.known: list[dict[int, int]] = [{}, {}, {}]
+        self.loose: set[int] = set()
         self.first: dict[int, tuple[int, int]] = {}
         if heard is not None and heard.num_rows:
             kind, keys = heard.column("kind").to_numpy(), heard.column("key").to_numpy()
-            self.known = [set(keys[kind == k].tolist()) for k in (LEAF, LINE, CONSTANT)]
+            docs_of = heard.column("docs").to_numpy()
+            self.known = [dict(zip(keys[kind == k].tolist(), docs_of[kind == k].tolist(), strict=True))
+                          for k in (LEAF, LINE, CONSTANT)]
+            self.loose = set(keys[(kind == CONSTANT) & heard.column("loose").to_numpy(zero_copy_only=False)].tolist())
             at = kind == TEMPLATE
             self.first = dict(zip(keys[at].tolist(), zip(heard.column("doc").to_numpy()[at].tolist(),
                                                          heard.column("line").to_numpy()[at].tolist(), strict=True),
@@ -81,26 +97,45 @@ class _Slice:
                 if tokens:
                     yield d, key, n, tokens
 
-    def template(self, tokens: list[str]) -> int | None:
-        """Key of the line's template, None if it cannot recur."""
-        leaf = leaf_of(tokens, self.depth)
-        if _hash(LINE, *tokens) not in self.known[LINE]:
-            if leaf not in self.known[LEAF]:
-                return None
-            constants = self.known[CONSTANT]
-            tokens = [t if t != WILD and _constant(leaf, i, t) in constants else WILD for i, t in enumerate(tokens)]
-        if sum(t != WILD for t in tokens) < self.similarity * len(tokens):
-            return None
-        return _hash(TEMPLATE, str(leaf), *tokens)
-
+    def steady(self, leaf: int, line: int) -> bool:
+        """The line stands in half of its leaf's documents: its tokens all have that share."""
+        return 2 * self.known[LINE].get(line, 0) >= self.known[LEAF][leaf]
 
-def _rows(g: int, kind_counts, firsts=None) -> pa.Table:
+    def templates(self, tokens: list[str]) -> set[int]:
+        """Keys of the line's templates; none if it cannot recur."""
+        leaf = leaf_of(tokens, self.depth)
+        size = self.known[LEAF].get(leaf)
+        if size is None:
+            return set()
+        need = max(math.ceil(self.similarity * len(tokens)), 1)
+        line = _hash(LINE, *tokens)
+        if self.steady(leaf, line):
+            return {_hash(TEMPLATE, str(leaf), *tokens)} if sum(t != WILD for t in tokens) >= need else set()
+        at = [None if t == WILD else _constant(leaf, i, t) for i, t in enumerate(tokens)]
+        docs = [self.known[CONSTANT].get(c, 0) for c in at]
+        found = []
+        least = sorted(docs, reverse=True)[need - 1]
+        if least:
+            halvings = 1
+            while least << halvings < size:
+                halvings += 1
+            found.append([t if n << halvings >= size else WILD for t, n in zip(tokens, docs, strict=True)])
+        if line in self.known[LINE]:
+            found.append(tokens)
+        else:
+            found.append([t if c in self.loose else WILD for t, c in zip(tokens, at, strict=True)])
+        return {_hash(TEMPLATE, str(leaf), *x) for x in found if sum(t != WILD for t in x) >= need}
+
+
+def _rows(g: int, kind_counts, firsts=None, loose=None, wanted=None) -> pa.Table:
+    """``wanted``: the keys the slice has to hear of, None for all."""
     items = [(kind, key, n) for kind, counts in kind_counts for key, n in counts.items()]
     first = [firsts[k] if firsts else (None, None) for _, k, _ in items]
     return pa.table({"kind": pa.array([i[0] for i in items], pa.int32()),
                      "key": pa.array([i[1] for i in items], pa.int64()),
-                     "g": pa.array([g] * len(items), pa.int32()),
+                     "g": pa.array([g if wanted is None or i[1] in wanted else None for i in items], pa.int32()),
                      "docs": pa.array([i[2] for i in items], pa.int64()),
+                     "loose": pa.array([loose[i[1]] if loose else 0 for i in items], pa.int64()),
                      "doc": pa.array([f[0] for f in first], pa.int64()),
                      "line": pa.array([f[1] for f in first], pa.int32())})
 
@@ -123,13 +158,26 @@ def _ask_constants(make):
     def ask(_, docs: pa.Table, heard: pa.Table) -> pa.Table:
         part = make(docs, heard)
         seen: set[tuple[int, int]] = set()
-        if part.known[LEAF]:
-            for _, doc, _, tokens in part.lines():
-                leaf = leaf_of(tokens, part.depth)
-                if leaf in part.known[LEAF] and _hash(LINE, *tokens) not in part.known[LINE]:
-                    seen.update((_constant(leaf, i, t), doc) for i, t in enumerate(tokens) if t != WILD)
+        loose: set[tuple[int, int]] = set()
+        wanted: set[int] = set()
+        of_line: dict[int, list[int]] = {}      # constants of recurring lines
+        for _, doc, _, tokens in part.lines() if part.known[LEAF] else ():
+            leaf = leaf_of(tokens, part.depth)
+            if leaf not in part.known[LEAF]:
+                continue
+            line = _hash(LINE, *tokens)
+            found = of_line.get(line)
+            if found is None:
+                found = [_constant(leaf, i, t) for i, t in enumerate(tokens) if t != WILD]
+                if not part.steady(leaf, line):
+                    wanted.update(found)
+                if line in part.known[LINE]:
+                    of_line[line] = found
+            (seen if line in part.known[LINE] else loose).update([(c, doc) for c in found])
         g = heard.column("g")[0].as_py() if heard.num_rows else 0
-        return _rows(g, [(CONSTANT, Counter(h for h, _ in seen))])
+        own = Counter(h for h, _ in loose)
+        loose |= seen
+        return _rows(g, [(CONSTANT, Counter(h for h, _ in loose))], loose=own, wanted=wanted)
     return ask
 
 
@@ -139,8 +187,7 @@ def _ask_templates(make):
         seen: set[tuple[int, int]] = set()
         first: dict[int, tuple[int, int]] = {}
         for _, doc, n, tokens in part.lines() if heard.num_rows else ():
-            t = part.template(tokens)
-            if t is not None:
+            for t in part.templates(tokens):
                 seen.add((t, doc))
                 first[t] = min(first.get(t, (doc, n)), (doc, n))
         g = heard.column("g")[0].as_py() if heard.num_rows else 0
@@ -153,8 +200,7 @@ def _drop(make, keep: list[str], text: str, with_text: bool):
         part = make(docs, heard)
         gone: dict[int, set[int]] = {}
         for d, doc, n, tokens in part.lines() if part.first else ():
-            t = part.template(tokens)
-            if t in part.first and part.first[t] != (doc, n):
+            if any(part.first.get(t, (doc, n)) != (doc, n) for t in part.templates(tokens)):
                 gone.setdefault(d, set()).add(n)
         total, dropped, sha, kept = [], [], [], []
         for d, raw in enumerate(part.texts):
@@ -194,12 +240,13 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
         return _Slice(part, heard, key, text, depth, similarity)
 
     def recurring(asked: DataFrame) -> DataFrame:
-        """(g, kind, key, first place) for every slice that holds a recurring hash."""
-        got = asked.groupBy("kind", "key").agg(F.sum("docs").alias("n"), F.collect_set("g").alias("gs"),
+        """(g, kind, key, documents, first place) for every slice that holds a recurring hash."""
+        got = asked.groupBy("kind", "key").agg(F.sum("docs").alias("docs"), F.sum("loose").alias("loose"),
+                                               F.collect_set("g").alias("gs"),
                                                F.min(F.struct("doc", "line")).alias("first"))
-        return got.where(F.col("n") >= min_docs).select(
-            F.explode("gs").alias("g"), "kind", "key", F.col("first.doc").alias("doc"),
-            F.col("first.line").alias("line"))
+        return got.where(F.col("docs") >= min_docs).select(
+            F.explode("gs").alias("g"), "kind", "key", "docs", (F.col("loose") >= min_docs).alias("loose"),
+            F.col("first.doc").alias("doc"), F.col("first.line").alias("line"))
 
     by_slice = slices.groupBy("__g")
     lines = recurring(by_slice.applyInArrow(_ask_lines(make), _ASK))

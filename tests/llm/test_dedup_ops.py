@@ -215,6 +215,24 @@ def test_line_templates(spark):
     assert len(reports) >= 18      # the varied fields are generalised; the first of each template stays
 
 
+@pytest.mark.parametrize("values, copies", [(4, 1), (5, 1), (50, 1), (4, 6)])
+def test_line_templates_with_two_fields(spark, values, copies):
+    """The template of a leaf does not depend on how often each value of a field occurs."""
+    texts = [f"Daily report by person{chr(97 + i % 26)}{chr(97 + i // 26)} on the state of the "
+             f"{chr(97 + j % 26)}{chr(97 + j // 26)}port harbour wall today"
+             for _ in range(copies) for i in range(values) for j in range(values)]
+    got = line_templates.drop_recurring_lines(frame(spark, texts)).collect()
+    assert [r["doc_id"] for r in got if not r["n_dropped"]] == [0]
+
+
+def test_line_templates_keep_several_templates_of_a_leaf(spark):
+    name = lambda i: chr(97 + i % 26) * 3 + chr(97 + i // 26) * 2
+    texts = [f"Daily report by {name(i)} on the state of the harbour wall today" for i in range(60)]
+    texts += [f"Daily report by {name(i)} with new prices for all fish sold here" for i in range(15)]
+    got = line_templates.drop_recurring_lines(frame(spark, texts)).collect()
+    assert sorted(r["doc_id"] for r in got if not r["n_dropped"]) == [0, 60]
+
+
 def test_line_templates_edges(spark):
     docs = frame(spark, EDGE_TEXTS, EDGE_IDS)
     got = line_templates.drop_recurring_lines(docs).collect()
