@@ -16,7 +16,8 @@ Other tokens are generalised to ``<*>``.  A template found in at least ``min_doc
 with constants in at least ``similarity`` of its positions, recurs: its first occurrence
 (smallest key, then line number) stays unless it is a later one of its line's other template,
 and all later ones are dropped.  A dropped line always has an earlier one of its template, so
-no passage leaves the corpus altogether.
+no passage leaves the corpus altogether.  A line with constants in fewer of its positions is
+its own template if it recurs with its digits, token by token, in ``min_docs`` documents.
 
 The order of arrival plays no part, unlike in an online template miner: each step is a count
 over all documents.  Slices of the documents send the hashes they hold with their document
@@ -41,7 +42,7 @@ from ledgerguard.llm.common import bounded_batches, give_back, shuffle_partition
 WILD = "<*>"
 _DIGIT = re.compile(r"\d")
 NO_KEY = np.iinfo(np.int64).max
-LEAF, LINE, CONSTANT, TEMPLATE = range(4)
+LEAF, LINE, CONSTANT, TEMPLATE, EXACT = range(5)
 _MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 _ASK = "kind int, key long, g int, docs long, loose long, doc long, line int"
 
@@ -77,12 +78,14 @@ class _Slice:
         #: documents of each recurring leaf, line and constant; ``loose``: constants that recur outside recurring lines
         self.known: list[dict[int, int]] = [{}, {}, {}]
         self.loose: set[int] = set()
+        self.exact: set[int] = set()
         self.first: dict[int, tuple[int, int]] = {}
         if heard is not None and heard.num_rows:
             kind, keys = heard.column("kind").to_numpy(), heard.column("key").to_numpy()
             docs_of = heard.column("docs").to_numpy()
             self.known = [dict(zip(keys[kind == k].tolist(), docs_of[kind == k].tolist(), strict=True))
                           for k in (LEAF, LINE, CONSTANT)]
+            self.exact = set(keys[kind == EXACT].tolist())
             self.loose = set(keys[(kind == CONSTANT) & heard.column("loose").to_numpy(zero_copy_only=False)].tolist())
             at = kind == TEMPLATE
             self.first = dict(zip(keys[at].tolist(), zip(heard.column("doc").to_numpy()[at].tolist(),
@@ -90,19 +93,23 @@ class _Slice:
                                   strict=True))
 
     def lines(self):
-        """(document, key, line number, masked tokens) of every line with a token."""
+        """(document, key, line number, masked tokens, hash of the whole line if its masked
+        tokens are too few constants for a template) of every line with a token."""
         for d, (text, key) in enumerate(zip(self.texts, self.keys, strict=True)):
             for n, line in enumerate((text or "").split("\n")):
                 tokens = masked_tokens(line)
                 if tokens:
-                    yield d, key, n, tokens
+                    few = WILD in tokens and sum(t != WILD for t in tokens) < self.similarity * len(tokens)
+                    yield d, key, n, tokens, _hash(EXACT, *line.split()) if few else None
 
     def steady(self, leaf: int, line: int) -> bool:
         """The line stands in half of its leaf's documents: its tokens all have that share."""
         return 2 * self.known[LINE].get(line, 0) >= self.known[LEAF][leaf]
 
-    def templates(self, tokens: list[str]) -> set[int]:
+    def templates(self, tokens: list[str], exact: int | None) -> set[int]:
         """Keys of the line's templates; none if it cannot recur."""
+        if exact is not None:       # no template can have enough constants
+            return {exact} & self.exact
         leaf = leaf_of(tokens, self.depth)
         size = self.known[LEAF].get(leaf)
         if size is None:
@@ -144,13 +151,15 @@ def _ask_lines(make):
     def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
         part = make(docs, None)
         seen: set[tuple[int, int, int]] = set()
-        for _, doc, _, tokens in part.lines():
+        for _, doc, _, tokens, exact in part.lines():
             seen.add((LEAF, leaf_of(tokens, part.depth), doc))
             seen.add((LINE, _hash(LINE, *tokens), doc))
-        counts = (Counter(), Counter())
+            if exact is not None:
+                seen.add((EXACT, exact, doc))
+        counts = {LEAF: Counter(), LINE: Counter(), EXACT: Counter()}
         for kind, h, _ in seen:
             counts[kind][h] += 1
-        return _rows(key[0].as_py(), [(LEAF, counts[LEAF]), (LINE, counts[LINE])])
+        return _rows(key[0].as_py(), counts.items())
     return ask
 
 
@@ -161,7 +170,7 @@ def _ask_constants(make):
         loose: set[tuple[int, int]] = set()
         wanted: set[int] = set()
         of_line: dict[int, list[int]] = {}      # constants of recurring lines
-        for _, doc, _, tokens in part.lines() if part.known[LEAF] else ():
+        for _, doc, _, tokens, _ in part.lines() if part.known[LEAF] else ():
             leaf = leaf_of(tokens, part.depth)
             if leaf not in part.known[LEAF]:
                 continue
@@ -186,8 +195,8 @@ def _ask_templates(make):
         part = make(docs, heard)
         seen: set[tuple[int, int]] = set()
         first: dict[int, tuple[int, int]] = {}
-        for _, doc, n, tokens in part.lines() if heard.num_rows else ():
-            for t in part.templates(tokens):
+        for _, doc, n, tokens, exact in part.lines() if heard.num_rows else ():
+            for t in part.templates(tokens, exact):
                 seen.add((t, doc))
                 first[t] = min(first.get(t, (doc, n)), (doc, n))
         g = heard.column("g")[0].as_py() if heard.num_rows else 0
@@ -199,8 +208,8 @@ def _drop(make, keep: list[str], text: str, with_text: bool):
     def drop(_, docs: pa.Table, heard: pa.Table) -> pa.Table:
         part = make(docs, heard)
         gone: dict[int, set[int]] = {}
-        for d, doc, n, tokens in part.lines() if part.first else ():
-            if any(part.first.get(t, (doc, n)) != (doc, n) for t in part.templates(tokens)):
+        for d, doc, n, tokens, exact in part.lines() if part.first else ():
+            if any(part.first.get(t, (doc, n)) != (doc, n) for t in part.templates(tokens, exact)):
                 gone.setdefault(d, set()).add(n)
         total, dropped, sha, kept = [], [], [], []
         for d, raw in enumerate(part.texts):

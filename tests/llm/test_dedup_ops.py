@@ -233,6 +233,15 @@ def test_line_templates_keep_several_templates_of_a_leaf(spark):
     assert sorted(r["doc_id"] for r in got if not r["n_dropped"]) == [0, 60]
 
 
+def test_line_templates_exact_lines_with_digits(spark):
+    """A line that recurs with its digits needs no share of constants; others still do."""
+    footers = ["Page 1 of 1", "(c) 2024 Acme", "Posted 2024-01-02 10:30"]
+    texts = [f"text {w} of its own\n" + "\n".join(footers) + f"\nPage {i} of {i + 7}" for i, w in enumerate(WORDS)]
+    got = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(frame(spark, texts)).collect()}
+    assert got[0] == texts[0]
+    assert all(got[i] == f"text {w} of its own\nPage {i} of {i + 7}" for i, w in enumerate(WORDS) if i)
+
+
 def test_line_templates_edges(spark):
     docs = frame(spark, EDGE_TEXTS, EDGE_IDS)
     got = line_templates.drop_recurring_lines(docs).collect()
