@@ -28,7 +28,8 @@ WIDE_REVIEW_COST, WIDE_FRICTION_COST = 4.0, 20.0
 WIDE_CANDIDATES = [(1.00, 0.00, 0.00), (0.80, 0.20, 0.00), (0.70, 0.20, 0.10),
                    (0.60, 0.25, 0.15), (0.50, 0.30, 0.20)]
 WIDE_TRAINING = dict(max_depth=6, step_size=0.05, min_instances=50)   # Spark's trees need a depth; no leaf cap
-RUN_MAX_ITER = 20
+# Boosting rounds, as the reference trains them.
+CARD_MAX_ITER, WIDE_MAX_ITER = 250, 300
 
 
 def frame_cols(df):
@@ -88,7 +89,7 @@ def _review(train, valid, test, feature_cols, rule_col, id_col, budget, review,
     return report, tb
 
 
-def card_review(spark, sf, max_iter: int = RUN_MAX_ITER):
+def card_review(spark, sf, max_iter: int = CARD_MAX_ITER):
     """§3.1: (report row, test frame with blended score, train, test)."""
     from ledgerguard.plans.common import card_featured
     f = cut_lineage(apply_rules(card_featured(spark, sf)))       # feeds split, model, signals
@@ -134,7 +135,7 @@ def run_card_rules(spark, sf):
 RING_COLS = ("device_prior_cards", "device_fp_freq", "uid_txn_24h")
 
 
-def wide_review(spark, sf, max_iter: int = RUN_MAX_ITER):
+def wide_review(spark, sf, max_iter: int = WIDE_MAX_ITER):
     """§3.2: (report row, scored test slice with the ring columns)."""
     from ledgerguard.operators.wide_features import add_wide_features
     from ledgerguard.plans.wide_queries import wide_normalised

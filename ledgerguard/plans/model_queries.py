@@ -14,9 +14,8 @@ from ledgerguard.plans.common import card_featured
 from ledgerguard.plans.registry import register
 from ledgerguard.sources.schemas import CARD_FEATURE_COLS
 
-# Iterations for the registered queries (the reference's production value is a
-# parameter of train_scorer: 250 for the card data, 300 for the wide data).
-QUERY_MAX_ITER = 20
+# Boosting rounds of the registered queries on the card data, as the reference trains them.
+QUERY_MAX_ITER = 250
 
 
 def _splits(spark, sf):

@@ -38,6 +38,25 @@ def test_calibrated_scorer_invariants(spark):
     assert a == b                                      # same seed, same output
 
 
+@pytest.mark.parametrize("name, rounds", [
+    ("m2_gbt_importance", 250), ("m3_calibrated_valid", 250), ("m4_score_test", 250),
+    ("m8_permutation_importance", 250), ("run_card_review", 250), ("run_card_queue", 250),
+    ("run_wide_review", 300), ("run_wide_queue", 300)])
+def test_registered_queries_train_the_references_rounds(spark, monkeypatch, name, rounds):
+    import __spark_entry__
+
+    class Asked(Exception):
+        pass
+
+    def asked(*args, max_iter=250, **kwargs):
+        raise Asked(max_iter)
+
+    monkeypatch.setattr(model, "train_scorer", asked)
+    with pytest.raises(Asked) as got:
+        __spark_entry__.queries()[name](spark, __spark_entry__.SF_SMOKE)
+    assert got.value.args == (rounds,)
+
+
 def test_isolation_forest_ranks_planted_outlier_first(spark):
     rng = np.random.default_rng(1)
     rows = [(i, float(v), float(w)) for i, (v, w) in enumerate(zip(rng.normal(0, 1, 2000), rng.normal(0, 1, 2000)))]
