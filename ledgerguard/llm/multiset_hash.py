@@ -4,8 +4,10 @@ A text is a multiset of paragraphs (its lines).  Each paragraph hashes to a wide
 fingerprint is the sum of the vectors, lane by lane, modulo a power of two:
 
 * 8 identity lanes modulo 2^32: four seeded XXH64 hashes of the paragraph, 32 bits a lane;
-* 128 likeness lanes modulo 2^32: the paragraph's word runs (cut at word ends by content, so
-  an edit moves only the runs it touches) each add one hash bit per lane.
+* 128 likeness lanes modulo 2^32: the paragraph's word runs (cut after words by a hash of
+  the word, words of over 16 characters first cut by a hash of two characters, both with a
+  longest piece, so an edit moves only the runs around it in any script) each add one hash bit
+  per lane.
 
 Sums commute, so paragraph order does not matter; inserting or deleting paragraphs adds or
 subtracts their vectors (:func:`combine`).  The likeness of two fingerprints is the cosine of
@@ -27,8 +29,11 @@ IDENTITY = [f"i{k}" for k in range(8)]
 LIKENESS = [f"l{k}" for k in range(64)]   # two 32-bit lanes each
 _LOW = 0xFFFFFFFF
 _PAIR = 0x0000000100000001
-#: a word run ends after a word whose last character is one of these
-RUN_END = r"(?<=[nrt.,;:!?])\s+"
+#: a word run ends after one word in so many (by its hash), and after so many words at most
+RUN_WORDS, MOST_WORDS = 3, 8
+#: a longer word is cut after one pair of characters in so many, and after LONG_WORD characters at most
+LONG_WORD, PIECE_CHARS = 16, 4
+_CUT = "\x01"
 
 
 def _lane_terms() -> list[Column]:
@@ -48,12 +53,36 @@ def _sums(extra: list[Column]) -> list[Column]:
             F.count("*").alias("runs"), *extra]
 
 
+def _hash_hits(one_in: int, *of: Column) -> Column:
+    return F.pmod(F.xxhash64(*of), F.lit(one_in)) == 0
+
+
+def _pieces(word: Column) -> Column:
+    """A word as space-separated pieces, cut by its characters."""
+    chars = F.split(word, "")
+    cut = F.zip_with(chars, F.slice(chars, 2, F.length(word)), lambda c, after: F.when(
+        _hash_hits(PIECE_CHARS, c, after), F.concat(c, F.lit(" "))).otherwise(c))
+    return F.regexp_replace(F.array_join(cut, ""), rf"(\S{{{LONG_WORD}}})(?=\S)", "$1 ")
+
+
+def word_runs(paragraph: Column) -> Column:
+    """The paragraph's word runs."""
+    short = F.array_join(F.transform(F.split(paragraph, r"\s+"), lambda w: F.when(
+        F.length(w) > LONG_WORD, _pieces(w)).otherwise(w)), " ")
+    words = F.split(F.when(paragraph.rlike(rf"\S{{{LONG_WORD + 1}}}"), short).otherwise(paragraph), r"\s+")
+    marked = F.array_join(F.transform(words, lambda w: F.concat(
+        w, F.when(_hash_hits(RUN_WORDS, w), _CUT).otherwise(" "))), "")
+    marked = F.regexp_replace(marked, f"[ {_CUT}]$", "")
+    word = f"[^ {_CUT}]+"
+    return F.split(F.regexp_replace(marked, f"((?:{word} ){{{MOST_WORDS - 1}}}{word}) ", f"$1{_CUT}"), _CUT)
+
+
 def paragraph_runs(texts: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """One row per word run: ``keep`` columns, the paragraph's hashes (valid where ``__first``)
     and the run's hashes.  A null text counts as empty."""
     paragraphs = texts.select(*keep, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("__p"))
     hashed = paragraphs.select(*keep, *[F.xxhash64(F.lit(k), "__p").alias(f"__h{k}") for k in range(4)],
-                               F.split("__p", RUN_END).alias("__runs"))
+                               word_runs(F.col("__p")).alias("__runs"))
     runs = hashed.select(*keep, *[f"__h{k}" for k in range(4)], F.posexplode("__runs").alias("__at", "__run"))
     return runs.select(*keep, *[f"__h{k}" for k in range(4)], (F.col("__at") == 0).alias("__first"),
                        F.xxhash64(F.lit("a"), "__run").alias("__r0"), F.xxhash64(F.lit("b"), "__run").alias("__r1"))

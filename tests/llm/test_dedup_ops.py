@@ -284,6 +284,23 @@ def test_paragraph_order_insertion_and_deletion(spark):
     assert (gone["identity"], gone["likeness"], gone["runs"]) == by[3]
 
 
+def test_fingerprint_likeness_in_any_script(spark):
+    """Half of the text kept gives a likeness, whatever letters its words end in."""
+    rng = random.Random(4)
+    pick = lambda letters, n, sep: sep.join("".join(rng.choice(letters) for _ in range(4)) for _ in range(n))
+    texts = [pick("0123456789", 300, " "), pick("ABCDEFGHKL", 300, " "), pick("абвгдежз", 300, " "),
+             pick("天地玄黃宇宙洪荒日月盈昃辰宿列張", 300, ""), pick("xyz(){}=+", 300, ""), "Eres " * 600, "天" * 1500]
+    # each kept half is followed by half of an unrelated text, which is the next document
+    rows = [(2 * i + 1, t) for i, t in enumerate(texts)] + [(2 * i, pick("uvw", 300, " ")) for i in range(len(texts))]
+    got = {r["doc_id"]: r for r in multiset_hash.document_fingerprints(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert min(got[2 * i + 1]["near_edited"] for i in range(len(texts))) > 0.3
+    assert max(got[2 * i + 1]["near_next"] for i in range(len(texts))) < 0.5
+    runs = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        F.explode(multiset_hash.word_runs(F.col("t"))).alias("r"))
+    assert runs.agg(F.max(F.length("r"))).first()[0] <= 8 * 17
+
+
 def test_document_fingerprints_edges(spark):
     got = multiset_hash.document_fingerprints(frame(spark, EDGE_TEXTS, EDGE_IDS, extra=True)).collect()
     assert len(got) == len(EDGE_IDS)
