@@ -147,8 +147,10 @@ def format_conversations(conversations: DataFrame, key: str = "conv_id", budget:
     """
     rows, marks = _marked(_turns(conversations, key, block_turns), crowded_rows)
     dealt = _dealt(rows, marks, block_turns, history_turns, crowded_rows)
-    grouped = (dealt.repartition("conv_id", "block", "piece").groupBy("conv_id", "block", "piece")
-               .agg(F.max("parts").alias("parts"), F.max("is_first").alias("is_first"),
+    # parts follows from the conversation: as a key, a filter on it reaches the turns before they are dealt
+    keys = ["conv_id", "block", "piece", "parts"]
+    grouped = (dealt.repartition(*keys).groupBy(*keys)
+               .agg(F.max("is_first").alias("is_first"),
                     F.sort_array(F.collect_list(F.struct("kind", "turn", "role", "text"))).alias("t"))
                .where(F.element_at("t", -1)["kind"] == _OWN))
     shown = F.transform("t", lambda t: F.struct(
