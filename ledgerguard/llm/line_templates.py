@@ -22,7 +22,11 @@ its own template if it recurs with its digits, token by token, in ``min_docs`` d
 The order of arrival plays no part, unlike in an online template miner: each step is a count
 over all documents.  Slices of the documents send the hashes they hold with their document
 counts (summed per slice, so a line in a third of all documents is one row a slice) and get
-back the ones that recur.  The slices are one exchange of the documents, used four times.
+back the ones that recur.  The slices are one exchange of the documents, used three times: to
+count leaves and lines, to hand out the *candidates* (lines of a recurring leaf, or that recur
+themselves), and to drop.  Constants and templates are counted over the stored candidates, so
+texts are cut into tokens twice, and lines that can have no template are not met again.  A very
+long text is lines like any other's; a very long line is one line.
 """
 
 from __future__ import annotations
@@ -37,12 +41,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerguard.llm.common import bounded_batches, give_back, shuffle_partitions, without
+from ledgerguard.llm.common import bounded_batches, give_back, shuffle_partitions, store, without
 
 WILD = "<*>"
 _DIGIT = re.compile(r"\d")
 NO_KEY = np.iinfo(np.int64).max
-LEAF, LINE, CONSTANT, TEMPLATE, EXACT = range(5)
+LEAF, LINE, CONSTANT, TEMPLATE, EXACT, RAW = range(6)
 _MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 _ASK = "kind int, key long, g int, docs long, loose long, doc long, line int"
 
@@ -68,12 +72,10 @@ def _constant(leaf: int, at: int, token: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-class _Slice:
-    """The lines of one slice and what it has heard so far."""
+class _Heard:
+    """What a slice has heard of the hashes it holds: those that recur, with their documents."""
 
-    def __init__(self, docs: pa.Table, heard: pa.Table | None, key: str, text: str, depth: int, similarity: float):
-        self.texts = docs.column(text).to_pylist()
-        self.keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
+    def __init__(self, heard: pa.Table | None, depth: int, similarity: float):
         self.depth, self.similarity = depth, similarity
         #: documents of each recurring leaf, line and constant; ``loose``: constants that recur outside recurring lines
         self.known: list[dict[int, int]] = [{}, {}, {}]
@@ -92,15 +94,10 @@ class _Slice:
                                                          heard.column("line").to_numpy()[at].tolist(), strict=True),
                                   strict=True))
 
-    def lines(self):
-        """(document, key, line number, masked tokens, hash of the whole line if its masked
-        tokens are too few constants for a template) of every line with a token."""
-        for d, (text, key) in enumerate(zip(self.texts, self.keys, strict=True)):
-            for n, line in enumerate((text or "").split("\n")):
-                tokens = masked_tokens(line)
-                if tokens:
-                    few = WILD in tokens and sum(t != WILD for t in tokens) < self.similarity * len(tokens)
-                    yield d, key, n, tokens, _hash(EXACT, *line.split()) if few else None
+    def exact_of(self, line: str, tokens: list[str]) -> int | None:
+        """Hash of the whole line, if its masked tokens are too few constants for a template."""
+        few = WILD in tokens and sum(t != WILD for t in tokens) < self.similarity * len(tokens)
+        return _hash(EXACT, *line.split()) if few else None
 
     def steady(self, leaf: int, line: int) -> bool:
         """The line stands in half of its leaf's documents: its tokens all have that share."""
@@ -147,30 +144,65 @@ def _rows(g: int, kind_counts, firsts=None, loose=None, wanted=None) -> pa.Table
                      "line": pa.array([f[1] for f in first], pa.int32())})
 
 
-def _ask_lines(make):
-    def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
-        part = make(docs, None)
+def _doc_lines(docs: pa.Table, key: str, text: str):
+    """(document, line number, line, masked tokens) of every line with a token."""
+    keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
+    for raw, doc in zip(docs.column(text).to_pylist(), keys, strict=True):
+        for n, line in enumerate((raw or "").split("\n")):
+            tokens = masked_tokens(line)
+            if tokens:
+                yield doc, n, line, tokens
+
+
+def _candidate_lines(candidates: pa.Table):
+    columns = (candidates.column(c).to_pylist() for c in ("doc", "line", "words"))
+    for doc, n, line in zip(*columns, strict=True):
+        yield doc, n, line, masked_tokens(line)
+
+
+def _ask_lines(make, key: str, text: str):
+    def ask(g: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
+        part = make(None)
         seen: set[tuple[int, int, int]] = set()
-        for _, doc, _, tokens, exact in part.lines():
+        for doc, _, line, tokens in _doc_lines(docs, key, text):
             seen.add((LEAF, leaf_of(tokens, part.depth), doc))
             seen.add((LINE, _hash(LINE, *tokens), doc))
+            exact = part.exact_of(line, tokens)
             if exact is not None:
                 seen.add((EXACT, exact, doc))
         counts = {LEAF: Counter(), LINE: Counter(), EXACT: Counter()}
         for kind, h, _ in seen:
             counts[kind][h] += 1
-        return _rows(key[0].as_py(), counts.items())
+        return _rows(g[0].as_py(), counts.items())
     return ask
 
 
+def _find_candidates(make, key: str, text: str):
+    """The lines of a slice that may have a template, each (document, line number, line) once."""
+    def find(_, docs: pa.Table, heard: pa.Table) -> pa.Table:
+        part = make(heard)
+        found: set[tuple[int, int, str]] = set()
+        for doc, n, line, tokens in _doc_lines(docs, key, text) if heard.num_rows else ():
+            if leaf_of(tokens, part.depth) in part.known[LEAF]:
+                found.add((doc, n, line))
+            elif part.exact:
+                exact = part.exact_of(line, tokens)
+                if exact is not None and exact in part.exact:
+                    found.add((doc, n, line))
+        g = heard.column("g")[0].as_py() if heard.num_rows else 0
+        return pa.table({"g": pa.array([g] * len(found), pa.int32()), "doc": pa.array([f[0] for f in found], pa.int64()),
+                         "line": pa.array([f[1] for f in found], pa.int32()), "words": pa.array([f[2] for f in found], pa.string())})
+    return find
+
+
 def _ask_constants(make):
-    def ask(_, docs: pa.Table, heard: pa.Table) -> pa.Table:
-        part = make(docs, heard)
+    def ask(_, candidates: pa.Table, heard: pa.Table) -> pa.Table:
+        part = make(heard)
         seen: set[tuple[int, int]] = set()
         loose: set[tuple[int, int]] = set()
         wanted: set[int] = set()
         of_line: dict[int, list[int]] = {}      # constants of recurring lines
-        for _, doc, _, tokens, _ in part.lines() if part.known[LEAF] else ():
+        for doc, _, _, tokens in _candidate_lines(candidates):
             leaf = leaf_of(tokens, part.depth)
             if leaf not in part.known[LEAF]:
                 continue
@@ -191,12 +223,12 @@ def _ask_constants(make):
 
 
 def _ask_templates(make):
-    def ask(_, docs: pa.Table, heard: pa.Table) -> pa.Table:
-        part = make(docs, heard)
+    def ask(_, candidates: pa.Table, heard: pa.Table) -> pa.Table:
+        part = make(heard)
         seen: set[tuple[int, int]] = set()
         first: dict[int, tuple[int, int]] = {}
-        for _, doc, n, tokens, exact in part.lines() if heard.num_rows else ():
-            for t in part.templates(tokens, exact):
+        for doc, n, line, tokens in _candidate_lines(candidates):
+            for t in part.templates(tokens, part.exact_of(line, tokens)):
                 seen.add((t, doc))
                 first[t] = min(first.get(t, (doc, n)), (doc, n))
         g = heard.column("g")[0].as_py() if heard.num_rows else 0
@@ -204,22 +236,39 @@ def _ask_templates(make):
     return ask
 
 
-def _drop(make, keep: list[str], text: str, with_text: bool):
-    def drop(_, docs: pa.Table, heard: pa.Table) -> pa.Table:
-        part = make(docs, heard)
-        gone: dict[int, set[int]] = {}
-        for d, doc, n, tokens, exact in part.lines() if part.first else ():
-            if any(part.first.get(t, (doc, n)) != (doc, n) for t in part.templates(tokens, exact)):
-                gone.setdefault(d, set()).add(n)
+def _find_gone(make):
+    """The candidates that go: a hash of the line tells lines of rows with one key apart."""
+    def find(_, candidates: pa.Table, heard: pa.Table) -> pa.Table:
+        part = make(heard)
+        gone = [(doc, n, _hash(RAW, line)) for doc, n, line, tokens in _candidate_lines(candidates) if part.first
+                and any(part.first.get(t, (doc, n)) != (doc, n) for t in part.templates(tokens, part.exact_of(line, tokens)))]
+        g = heard.column("g")[0].as_py() if heard.num_rows else 0
+        return pa.table({"g": pa.array([g] * len(gone), pa.int32()), "doc": pa.array([x[0] for x in gone], pa.int64()),
+                         "line": pa.array([x[1] for x in gone], pa.int32()), "raw": pa.array([x[2] for x in gone], pa.int64())})
+    return find
+
+
+def _drop(key: str, keep: list[str], text: str, with_text: bool):
+    def drop(_, docs: pa.Table, gone: pa.Table) -> pa.Table:
+        give_back()
+        lost: dict[int, dict[int, set[int]]] = {}
+        for doc, n, raw in zip(*(gone.column(c).to_pylist() for c in ("doc", "line", "raw")), strict=True):
+            lost.setdefault(doc, {}).setdefault(n, set()).add(raw)
         total, dropped, sha, kept = [], [], [], []
-        for d, raw in enumerate(part.texts):
-            lines = (raw or "").split("\n")
-            out = gone.get(d, set())
-            left = "\n".join(x for n, x in enumerate(lines) if n not in out) if out else raw
-            total.append(len(lines))
-            dropped.append(len(out))
-            sha.append(hashlib.sha256((left or "").encode("utf-8", "surrogatepass")).hexdigest())
-            kept.append(left)
+        keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
+        for raw, doc in zip(docs.column(text).to_pylist(), keys, strict=True):
+            out = lost.get(doc)
+            if out:
+                lines = (raw or "").split("\n")
+                left = [x for n, x in enumerate(lines) if n not in out or _hash(RAW, x) not in out[n]]
+                total.append(len(lines))
+                dropped.append(len(lines) - len(left))
+                raw = "\n".join(left) if len(left) < len(lines) else raw
+            else:
+                total.append((raw or "").count("\n") + 1)
+                dropped.append(0)
+            sha.append(hashlib.sha256((raw or "").encode("utf-8", "surrogatepass")).hexdigest())
+            kept.append(raw)
         cols = {c: pa.array(kept, pa.string()) if c == text and with_text else docs.column(c) for c in keep}
         return pa.table(cols | {"n_lines": pa.array(total, pa.int64()), "n_dropped": pa.array(dropped, pa.int64()),
                                 "kept_sha256": pa.array(sha, pa.string())})
@@ -244,9 +293,9 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
     spread = F.when(F.col(key).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))
     slices = docs.withColumn("__g", F.pmod(spread, F.lit(4 * n)).cast("int")).repartition(n, "__g")
 
-    def make(part: pa.Table, heard: pa.Table | None) -> _Slice:
+    def make(heard: pa.Table | None) -> _Heard:
         give_back()
-        return _Slice(part, heard, key, text, depth, similarity)
+        return _Heard(heard, depth, similarity)
 
     def recurring(asked: DataFrame) -> DataFrame:
         """(g, kind, key, documents, first place) for every slice that holds a recurring hash."""
@@ -258,12 +307,15 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
             F.col("first.doc").alias("doc"), F.col("first.line").alias("line"))
 
     by_slice = slices.groupBy("__g")
-    lines = recurring(by_slice.applyInArrow(_ask_lines(make), _ASK))
-    constants = recurring(by_slice.cogroup(lines.groupBy("g")).applyInArrow(_ask_constants(make), _ASK))
+    lines = recurring(by_slice.applyInArrow(_ask_lines(make, key, text), _ASK))
+    candidates = store(by_slice.cogroup(lines.groupBy("g")).applyInArrow(
+        _find_candidates(make, key, text), "g int, doc long, line int, words string"), "line-candidates").groupBy("g")
+    constants = recurring(candidates.cogroup(lines.groupBy("g")).applyInArrow(_ask_constants(make), _ASK))
     heard = lines.unionByName(constants)
-    templates = recurring(by_slice.cogroup(heard.groupBy("g")).applyInArrow(_ask_templates(make), _ASK))
+    templates = recurring(candidates.cogroup(heard.groupBy("g")).applyInArrow(_ask_templates(make), _ASK))
+    gone = candidates.cogroup(heard.unionByName(templates).groupBy("g")).applyInArrow(
+        _find_gone(make), "g int, doc long, line int, raw long")
     keep = [c for c in docs.columns if with_text or c != text]
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("n_lines", T.LongType()),
                            T.StructField("n_dropped", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    return by_slice.cogroup(heard.unionByName(templates).groupBy("g")).applyInArrow(
-        _drop(make, keep, text, with_text), schema)
+    return by_slice.cogroup(gone.groupBy("g")).applyInArrow(_drop(key, keep, text, with_text), schema)

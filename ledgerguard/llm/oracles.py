@@ -1,5 +1,5 @@
-"""DuckDB SQL for the operators of this subpackage on conversations and vectors: computed another
-way than the operators (whole conversations at once, plain rounds over all distances)."""
+"""DuckDB SQL for operators of this subpackage: computed another way than the operators (token
+lists instead of hashes, whole conversations at once, plain rounds over all distances)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,49 @@ _GAP = "list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p
 _MEAN = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
 
 
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def line_templates(min_docs: int = 5, similarity: float = 0.7, depth: int = 3) -> str:
+    constants = "len(list_filter({}, lambda x: x <> '<*>'))"
+    return rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS n FROM d),
+r AS (SELECT doc_id, n, list_filter(regexp_split_to_array(line, '{_WHITE}'), lambda x: x <> '') AS raw FROM l),
+k AS MATERIALIZED (SELECT doc_id, n, raw, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '\p{{Nd}}') THEN '<*>' ELSE x END) AS m,
+        len(raw) AS size FROM r WHERE len(raw) > 0),
+h AS MATERIALIZED (SELECT *, m[1:{depth}] AS head, CAST(ceil(CAST({similarity} AS DOUBLE) * size) AS INTEGER) AS need,
+        list_contains(m, '<*>') AND {constants.format("m")} < CAST({similarity} AS DOUBLE) * size AS few FROM k),
+leaf AS MATERIALIZED (SELECT size, head, count(DISTINCT doc_id) AS docs FROM h GROUP BY ALL HAVING docs >= {min_docs}),
+line AS MATERIALIZED (SELECT m, count(DISTINCT doc_id) AS docs FROM h GROUP BY m HAVING docs >= {min_docs}),
+exact AS MATERIALIZED (SELECT raw FROM h WHERE few GROUP BY raw HAVING count(DISTINCT doc_id) >= {min_docs}),
+c AS MATERIALIZED (SELECT h.*, leaf.docs AS leaf_docs, coalesce(line.docs, 0) AS line_docs
+      FROM h JOIN leaf USING (size, head) LEFT JOIN line ON line.m = h.m),
+tok AS MATERIALIZED (SELECT doc_id, n, size, head, line_docs, unnest(m) AS w, generate_subscripts(m, 1) AS p FROM c),
+constant AS MATERIALIZED (SELECT size, head, p, w, count(DISTINCT doc_id) AS docs,
+      count(DISTINCT doc_id) FILTER (WHERE line_docs = 0) >= {min_docs} AS loose
+      FROM tok WHERE w <> '<*>' GROUP BY ALL HAVING docs >= {min_docs}),
+known AS (SELECT tok.doc_id, tok.n, list(coalesce(k.docs, 0) ORDER BY tok.p) AS docs, list(coalesce(k.loose, FALSE) ORDER BY tok.p) AS loose
+      FROM tok LEFT JOIN constant k ON k.size = tok.size AND k.head = tok.head AND k.p = tok.p AND k.w = tok.w GROUP BY tok.doc_id, tok.n),
+f AS (SELECT c.*, known.docs, known.loose, list_reverse_sort(known.docs)[need] AS least, 2 * line_docs >= leaf_docs AS steady
+      FROM c JOIN known ON known.doc_id = c.doc_id AND known.n = c.n WHERE NOT few),
+g AS (SELECT *, list_filter(range(1, 40), lambda x: least * (CAST(1 AS BIGINT) << x) >= leaf_docs)[1] AS halvings FROM f),
+template AS (
+  SELECT doc_id, n, size, head, m AS t, need FROM g WHERE steady OR line_docs > 0
+  UNION ALL SELECT doc_id, n, size, head, list_transform(list_zip(m, docs),
+      lambda x: CASE WHEN x[2] * (CAST(1 AS BIGINT) << halvings) >= leaf_docs THEN x[1] ELSE '<*>' END), need FROM g WHERE NOT steady AND least > 0
+  UNION ALL SELECT doc_id, n, size, head, list_transform(list_zip(m, loose), lambda x: CASE WHEN x[2] THEN x[1] ELSE '<*>' END), need
+      FROM g WHERE NOT steady AND line_docs = 0),
+enough AS MATERIALIZED (SELECT doc_id, n, size, head, t FROM template WHERE {constants.format("t")} >= need
+  UNION ALL SELECT doc_id, n, -1, [], raw FROM h WHERE few AND raw IN (SELECT raw FROM exact)),
+recurring AS (SELECT size, head, t, min(ROW(doc_id, n)) AS first FROM enough GROUP BY size, head, t HAVING count(DISTINCT doc_id) >= {min_docs}),
+gone AS (SELECT DISTINCT e.doc_id, e.n FROM enough e JOIN recurring r ON e.size = r.size AND e.head = r.head AND e.t = r.t
+         WHERE ROW(e.doc_id, e.n) <> r.first)
+SELECT l.doc_id, count(*) AS n_lines, count(gone.n) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.n) FILTER (WHERE gone.n IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.n = l.n GROUP BY l.doc_id"""
+
+
 def chat_windows(budget: int = 1024, history_tokens: int = 256, history_turns: int = 4, block_turns: int = 256) -> str:
     return rf"""
 WITH RECURSIVE given AS (

@@ -101,34 +101,8 @@ QUERIES: dict[str, QueryFn] = {
     "op13_part_trie": op13_part_trie,
 }
 
-_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-
 ORACLES: dict[str, str] = {
-    "op1_line_templates": rf"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS n FROM d),
-t AS (SELECT doc_id, n, list_transform(list_filter(regexp_split_to_array(line, '{_SPACE}'), lambda x: x <> ''),
-        lambda x: CASE WHEN regexp_matches(x, '\p{{Nd}}') THEN '<*>' ELSE x END) AS m FROM l),
-k AS (SELECT doc_id, n, m, len(m) AS size, m[1:3] AS head FROM t WHERE len(m) > 0),
-leaves AS (SELECT size, head FROM k GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
-whole AS (SELECT m FROM k GROUP BY m HAVING count(DISTINCT doc_id) >= 5),
-loose AS (SELECT k.* FROM k WHERE (size, head) IN (SELECT (size, head) FROM leaves) AND m NOT IN (SELECT m FROM whole)),
-tok AS (SELECT doc_id, n, size, head, unnest(m) AS w, generate_subscripts(m, 1) AS p FROM loose),
-constant AS (SELECT size, head, p, w FROM tok WHERE w <> '<*>' GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
-general AS (SELECT tok.doc_id, tok.n, tok.size, tok.head,
-              list(CASE WHEN c.w IS NULL THEN '<*>' ELSE tok.w END ORDER BY tok.p) AS m
-            FROM tok LEFT JOIN constant c ON c.size = tok.size AND c.head = tok.head AND c.p = tok.p AND c.w = tok.w
-            GROUP BY tok.doc_id, tok.n, tok.size, tok.head),
-template AS (SELECT doc_id, n, size, head, m FROM general UNION ALL
-             SELECT doc_id, n, size, head, m FROM k WHERE m IN (SELECT m FROM whole)),
-steady AS (SELECT * FROM template WHERE len(list_filter(m, lambda x: x <> '<*>')) >= CAST(0.7 AS DOUBLE) * size),
-recurring AS (SELECT size, head, m, min(ROW(doc_id, n)) AS first FROM steady GROUP BY size, head, m
-              HAVING count(DISTINCT doc_id) >= 5),
-gone AS (SELECT s.doc_id, s.n FROM steady s JOIN recurring r ON s.size = r.size AND s.head = r.head AND s.m = r.m
-         WHERE ROW(s.doc_id, s.n) <> r.first)
-SELECT l.doc_id, count(*) AS n_lines, count(gone.n) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.n) FILTER (WHERE gone.n IS NULL), '')) AS kept_sha256
-FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.n = l.n GROUP BY l.doc_id""",
+    "op1_line_templates": oracles.line_templates(),
     # bytes as pairs of hex digits
     "op10_suffix_dedup": """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),

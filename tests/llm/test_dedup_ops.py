@@ -5,12 +5,13 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerguard.llm import line_templates, multiset_hash, simhash_groups, suffix_dedup
+from ledgerguard.llm import line_templates, multiset_hash, queries, simhash_groups, suffix_dedup
 from ledgerguard.llm.bwt import prefix_classes
 from ledgerguard.llm.components import connected_components
 
@@ -169,40 +170,70 @@ def test_bounded_prefix_classes():
 # ------------------------------------------------------------------ line templates
 
 def brute_lines(texts, ids, min_docs=5, similarity=0.7, depth=3):
+    """The module's rules over token tuples, all lines at once."""
     rows = []
     for d, (i, t) in enumerate(zip(ids, texts, strict=True)):
         for n, line in enumerate((t or "").split("\n")):
             tokens = tuple("<*>" if re.search(r"\d", x) else x for x in line.split())
             if tokens:
-                rows.append((d, i, n, tokens, (len(tokens), tokens[:depth])))
+                rows.append((d, i, n, tokens, (len(tokens), tokens[:depth]), tuple(line.split())))
     def docs_of(keyed):
         seen = defaultdict(set)
         for k, i in keyed:
             seen[k].add(i)
-        return {k for k, v in seen.items() if len(v) >= min_docs}
+        return {k: len(v) for k, v in seen.items() if len(v) >= min_docs}
+    solid = lambda t: sum(x != "<*>" for x in t)
+    few = lambda t: "<*>" in t and solid(t) < similarity * len(t)
     leaves, whole = docs_of((r[4], r[1]) for r in rows), docs_of((r[3], r[1]) for r in rows)
-    constant = docs_of(((r[4], p, x), r[1]) for r in rows if r[4] in leaves and r[3] not in whole
-                       for p, x in enumerate(r[3]))
+    exact = docs_of((r[5], r[1]) for r in rows if few(r[3]))
+    places = [((r[4], p, x), r[1], r[3] in whole) for r in rows if r[4] in leaves for p, x in enumerate(r[3]) if x != "<*>"]
+    constant, loose = docs_of((k, i) for k, i, _ in places), docs_of((k, i) for k, i, w in places if not w)
     templated = []
-    for d, i, n, tokens, leaf in rows:
-        if tokens not in whole:
-            if leaf not in leaves:
-                continue
-            tokens = tuple(x if (leaf, p, x) in constant else "<*>" for p, x in enumerate(tokens))
-        if sum(x != "<*>" for x in tokens) >= similarity * len(tokens):
-            templated.append((d, i, n, (leaf, tokens)))
-    found = docs_of((t, i) for _, i, _, t in templated)
+    for d, i, n, tokens, leaf, raw in rows:
+        if few(tokens):
+            found = {("exact", raw)} if raw in exact else set()
+        elif leaf not in leaves:
+            found = set()
+        elif 2 * whole.get(tokens, 0) >= leaves[leaf]:
+            found = {(leaf, tokens)}
+        else:
+            share = [constant.get((leaf, p, x), 0) for p, x in enumerate(tokens)]
+            found = {(leaf, tokens if tokens in whole else tuple(
+                x if (leaf, p, x) in loose else "<*>" for p, x in enumerate(tokens)))}
+            for part in (2 ** k for k in range(1, 40)):
+                general = tuple(x if c * part >= leaves[leaf] else "<*>" for x, c in zip(tokens, share, strict=True))
+                if solid(general) >= similarity * len(tokens):
+                    found.add((leaf, general))
+                    break
+        templated += [(d, i, n, f) for f in found if f[0] == "exact" or solid(f[1]) >= max(similarity * len(tokens), 1)]
+    recurs = docs_of((t, i) for _, i, _, t in templated)
     first = {}
     for _, i, n, t in templated:
         first[t] = min(first.get(t, (i, n)), (i, n))
     gone = defaultdict(set)
     for d, i, n, t in templated:
-        if t in found and first[t] != (i, n):
+        if t in recurs and first[t] != (i, n):
             gone[d].add(n)
     return {i: "\n".join(x for n, x in enumerate((t or "").split("\n")) if n not in gone[d])
             for d, (i, t) in enumerate(zip(ids, texts, strict=True))}
 
 
+def sql_lines(texts):
+    """(n_lines, n_dropped, kept_sha256) per document by the registered SQL."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    return {r[0]: r[1:] for r in con.execute(queries.ORACLES["op1_line_templates"]).fetchall()}
+
+
+def check_lines(spark, texts):
+    """Operator, brute force and SQL agree; returns the operator's rows."""
+    got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(frame(spark, texts)).collect()}
+    assert {i: r["text"] or "" for i, r in got.items()} == brute_lines(texts, list(range(len(texts))))
+    assert {i: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for i, r in got.items()} == sql_lines(texts)
+    return got
+
+
 def test_line_templates(spark):
     texts = make_texts(9, 80)
     texts += [f"Daily report by {w} on the state of the {v} harbour wall today" for w in WORDS for v in ("old", "new")]
@@ -221,16 +252,47 @@ def test_line_templates_with_two_fields(spark, values, copies):
     texts = [f"Daily report by person{chr(97 + i % 26)}{chr(97 + i // 26)} on the state of the "
              f"{chr(97 + j % 26)}{chr(97 + j // 26)}port harbour wall today"
              for _ in range(copies) for i in range(values) for j in range(values)]
-    got = line_templates.drop_recurring_lines(frame(spark, texts)).collect()
-    assert [r["doc_id"] for r in got if not r["n_dropped"]] == [0]
+    got = check_lines(spark, texts)
+    assert [i for i, r in got.items() if not r["n_dropped"]] == [0]
 
 
 def test_line_templates_keep_several_templates_of_a_leaf(spark):
     name = lambda i: chr(97 + i % 26) * 3 + chr(97 + i // 26) * 2
     texts = [f"Daily report by {name(i)} on the state of the harbour wall today" for i in range(60)]
     texts += [f"Daily report by {name(i)} with new prices for all fish sold here" for i in range(15)]
-    got = line_templates.drop_recurring_lines(frame(spark, texts)).collect()
-    assert sorted(r["doc_id"] for r in got if not r["n_dropped"]) == [0, 60]
+    got = check_lines(spark, texts)
+    assert sorted(i for i, r in got.items() if not r["n_dropped"]) == [0, 60]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_templates_where_share_and_count_differ(spark, seed):
+    """Random mixtures of templates, fields, digits and recurring lines in one leaf."""
+    rng = random.Random(seed)
+    field = lambda n: rng.choice(["ab", "cd", "ef", "gh", "ij", "kl", "mn", "op", "7", "x9"][:n])
+    line = lambda: rng.choice([
+        lambda: f"to be or {field(4)} to {field(9)} that is it now",
+        lambda: f"to be or not to {field(8)} we say {field(2)} {field(9)}",
+        lambda: f"to be or {field(10)} {field(10)} {field(10)} that is it",
+        lambda: f"no {field(10)} of {field(10)}", lambda: " ".join(field(10) for _ in range(4))])()
+    check_lines(spark, ["\n".join(line() for _ in range(rng.randrange(4))) for _ in range(120)])
+
+
+def test_line_templates_very_long_text_and_line(spark):
+    long = "\n".join(f"a line of its own, number {chr(97 + k % 26) * (k % 40)} {k}" for k in range(30_000)) + "\n" + "word " * 100_000
+    texts = [long + "\nthe same closing line in all of them"] + ["the same closing line in all of them"] * 6
+    got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(frame(spark, texts)).collect()}
+    assert got[0]["n_lines"] == 30_002 and got[0]["text"].endswith("all of them")
+    assert all(got[i]["text"] == "" for i in range(1, 7))
+
+
+def test_line_templates_rows_with_one_key(spark):
+    """Rows under one key are one document, but their own lines: only the recurring one goes."""
+    rows = [(1, "recurring words stand here\nmine"), (1, "others\nrecurring words stand here"), (1, "recurring words stand here\nyours"),
+            *[(i, "recurring words stand here") for i in range(2, 7)]]
+    got = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["text"] for r in got if r["doc_id"] == 1) == [
+        "others", "recurring words stand here\nmine", "recurring words stand here\nyours"]
+    assert all(r["text"] == "" for r in got if r["doc_id"] > 1)
 
 
 def test_line_templates_exact_lines_with_digits(spark):
