@@ -24,9 +24,9 @@ over all documents.  Slices of the documents send the hashes they hold with thei
 counts (summed per slice, so a line in a third of all documents is one row a slice) and get
 back the ones that recur.  The slices are one exchange of the documents, used three times: to
 count leaves and lines, to hand out the *candidates* (lines of a recurring leaf, or that recur
-themselves), and to drop.  Constants and templates are counted over the stored candidates, so
-texts are cut into tokens twice, and lines that can have no template are not met again.  A very
-long text is lines like any other's; a very long line is one line.
+themselves), and to drop.  Constants and templates are counted over the candidates, one
+exchange too, so texts are cut into tokens twice, and lines that can have no template are not
+met again.  A very long text is lines like any other's; a very long line is one line.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerguard.llm.common import bounded_batches, give_back, shuffle_partitions, store, without
+from ledgerguard.llm.common import bounded_batches, give_back, shuffle_partitions, without
 
 WILD = "<*>"
 _DIGIT = re.compile(r"\d")
@@ -308,8 +308,8 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     by_slice = slices.groupBy("__g")
     lines = recurring(by_slice.applyInArrow(_ask_lines(make, key, text), _ASK))
-    candidates = store(by_slice.cogroup(lines.groupBy("g")).applyInArrow(
-        _find_candidates(make, key, text), "g int, doc long, line int, words string"), "line-candidates").groupBy("g")
+    candidates = by_slice.cogroup(lines.groupBy("g")).applyInArrow(
+        _find_candidates(make, key, text), "g int, doc long, line int, words string").groupBy("g")
     constants = recurring(candidates.cogroup(lines.groupBy("g")).applyInArrow(_ask_constants(make), _ASK))
     heard = lines.unionByName(constants)
     templates = recurring(candidates.cogroup(heard.groupBy("g")).applyInArrow(_ask_templates(make), _ASK))
