@@ -152,109 +152,3 @@ def join_null_safe(left, right, keys: list, how: str = "left"):
 def total_count(key) -> Column:
     """Rows of the key over the whole frame (NULL keys are one group in a window)."""
     return F.count(F.lit(1)).over(Window.partitionBy(*_keys(key)))
-
-
-def prior_count_distinct_by_day(df, key: str, value: str, valid, ts: str = "ts_us", tie: str = "transaction_id",
-                                bucket_us: int = 86_400_000_000, prefix: str = "_d"):
-    """Two-level prior count, prior distinct ``value`` and total rows per ``key``
-    for keys that may be hot (one key holding a large share of all rows).
-
-    * first appearance of (key, value): grouped min, joined back;
-    * per (key, day): row count and first-appearance count, prefix over days
-      (one row per key-day);
-    * inside a day: row_number and a running sum of first-appearance flags.
-    Windows are partitioned by (key, day), so a hot key spreads over its days.
-    Adds ``{prefix}_prior_n``, ``{prefix}_prior_distinct`` and ``{prefix}_total``
-    (NULL where ``valid`` is false).
-    """
-    vcol = F.col(valid) if isinstance(valid, str) else valid
-    rows = df.withColumn("_v", vcol).withColumn("_bk", F.floor(F.col(ts) / F.lit(bucket_us)).cast("long"))
-    first = (rows.where("_v").groupBy(key, value)
-             .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"))).alias("_vf")))
-    rows = join_null_safe(rows, first, [key, value]).withColumn(
-        "_f", F.when(F.col("_v") & (F.col("_vf.t") == F.col(ts)) & (F.col("_vf.i") == F.col(tie)), 1).otherwise(0))
-    day = rows.where("_v").groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_dn"), F.sum("_f").alias("_df"))
-    wd = Window.partitionBy(key).orderBy("_bk")
-    before = wd.rowsBetween(UNB, -1)
-    day = day.select(key, "_bk",
-                     F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_pn"),
-                     F.coalesce(F.sum("_df").over(before), F.lit(0)).alias("_pf"),
-                     F.sum("_dn").over(Window.partitionBy(key)).alias("_tot"))
-    rows = join_null_safe(rows, day, [key, "_bk"])
-    w = Window.partitionBy(key, "_bk").orderBy(F.col(ts), F.col(tie))
-    n_before = F.col("_pn") + F.row_number().over(w) - 1
-    f_before = F.col("_pf") + F.coalesce(F.sum("_f").over(w.rowsBetween(UNB, -1)), F.lit(0))
-    out = rows.select("*", F.when(F.col("_v"), n_before).alias(f"{prefix}_prior_n"),
-                      F.when(F.col("_v"), f_before).alias(f"{prefix}_prior_distinct"),
-                      F.when(F.col("_v"), F.col("_tot")).alias(f"{prefix}_total"))
-    return out.drop("_v", "_bk", "_vf", "_f", "_pn", "_pf", "_tot")
-
-
-def bucketed_prior(df, key, value_minor: str | None = None, width_us: int | None = None,
-                   ts: str = "ts_us", tie: str = "transaction_id", bucket_us: int = 86_400_000_000,
-                   prefix: str = "_bp"):
-    """Two-level (per key-day) form of the as-of window block, for hot keys.
-
-    Adds, per row (strictly-earlier semantics, ties by (ts, tie)):
-      {prefix}_n        rows of the key before this row
-      {prefix}_total    rows of the key
-      {prefix}_gap      microseconds since the previous row (NULL for the first)
-    and, when ``value_minor`` is given:
-      {prefix}_s, {prefix}_z   prior sum and exact prior z-score of the value
-      {prefix}_cw, {prefix}_sw earlier rows / their sum with ts >= now - width_us
-                               (``width_us`` <= ``bucket_us``)
-
-    History before the day comes from per-(key, day) aggregates and a prefix
-    over days; the trailing frame sees the current day plus the previous day's
-    rows, duplicated in as context rows.  Windows are partitioned by (key, day).
-    """
-    keys = _keys(key)
-    c = F.col(value_minor) if value_minor else F.lit(0).cast("long")
-    cd = c.cast("decimal(38,0)")
-    rows = df.withColumn("_bk", F.floor(F.col(ts) / F.lit(bucket_us)).cast("long")) \
-             .withColumn("_bc", c).withColumn("_ctx", F.lit(0))
-    day = rows.groupBy(*keys, "_bk").agg(
-        F.count(F.lit(1)).alias("_dn"), F.sum("_bc").alias("_ds"),
-        F.sum(F.col("_bc").cast("decimal(38,0)") * F.col("_bc").cast("decimal(38,0)")).alias("_dq"),
-        F.max(F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"))).alias("_dl"))
-    wd = Window.partitionBy(*keys).orderBy("_bk")
-    before = wd.rowsBetween(UNB, -1)
-    day = day.select(*keys, "_bk",
-                     F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_pn"),
-                     F.coalesce(F.sum("_ds").over(before), F.lit(0)).alias("_ps"),
-                     F.coalesce(F.sum("_dq").over(before), F.lit(0)).cast("decimal(38,0)").alias("_pq"),
-                     F.lag("_dl").over(wd).alias("_pl"),
-                     F.sum("_dn").over(Window.partitionBy(*keys)).alias("_tot"))
-    cur = join_null_safe(rows, day, keys + ["_bk"])
-    g = cur
-    if value_minor and width_us:
-        ctx = rows.select(*keys, (F.col("_bk") + 1).alias("_bk"), F.col(ts), F.col(tie), "_bc",
-                          F.lit(1).alias("_ctx"))
-        g = cur.unionByName(ctx, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "_bk").orderBy(F.col(ts), F.col(tie))
-    upto = w.rowsBetween(UNB, -1)
-    own = F.when(F.col("_ctx") == 0, 1).otherwise(0)
-    n_day = F.coalesce(F.sum(own).over(upto), F.lit(0))
-    n = F.col("_pn") + n_day
-    prev_t = F.last(F.when(F.col("_ctx") == 0, F.col(ts)), ignorenulls=True).over(upto)
-    # previous row: earlier row of the same day, else the last row of an earlier day
-    gap = F.col(ts) - F.coalesce(prev_t, F.col("_pl.t"))
-    cols = [n.alias(f"{prefix}_n"), F.col("_tot").alias(f"{prefix}_total"), gap.alias(f"{prefix}_gap")]
-    if value_minor:
-        s = F.col("_ps") + F.coalesce(F.sum(F.when(F.col("_ctx") == 0, F.col("_bc"))).over(upto), F.lit(0))
-        q = F.col("_pq") + F.coalesce(F.sum(F.when(F.col("_ctx") == 0, F.col("_bc").cast("decimal(38,0)")
-                                                   * F.col("_bc").cast("decimal(38,0)"))).over(upto), F.lit(0))
-        nd, sd, qd = n.cast("decimal(38,0)"), s.cast("decimal(38,0)"), q.cast("decimal(38,0)")
-        num = (nd * F.col("_bc").cast("decimal(38,0)") - sd).cast("decimal(38,0)")
-        den = (nd * qd - sd * sd).cast("decimal(38,0)")
-        z = F.when((nd >= 2) & (den > 0), num.cast("double") / F.sqrt(den.cast("double"))).otherwise(F.lit(0.0))
-        cols += [s.alias(f"{prefix}_s"), z.alias(f"{prefix}_z")]
-        if width_us:
-            r = Window.partitionBy(*keys, "_bk").orderBy(F.col(ts))
-            older = r.rangeBetween(UNB, -(int(width_us) + 1))
-            earlier = F.row_number().over(w) - 1
-            cw = earlier - F.count(F.lit(1)).over(older)
-            sw = F.coalesce(F.sum("_bc").over(upto), F.lit(0)) - F.coalesce(F.sum("_bc").over(older), F.lit(0))
-            cols += [cw.alias(f"{prefix}_cw"), sw.alias(f"{prefix}_sw")]
-    out = g.select("*", *cols).where(F.col("_ctx") == 0)
-    return out.drop("_bk", "_bc", "_ctx", "_pn", "_ps", "_pq", "_pl", "_tot")

@@ -1,8 +1,7 @@
 """Evaluation aggregates A1-A13 and top-k operators K4/K5.
 
-Top-k ties are broken by (ts_us, transaction_id).  Small k uses ``limit`` (a
-TakeOrderedAndProject: each task keeps k rows); k above ``TOPK_LIMIT_MAX`` uses
-the distributed global order instead.
+Top-k ties are broken by (ts_us, transaction_id).  The first k rows, their sums and the sums at
+many budgets come from ``radix.first_sums``: histogram passes over narrow rows, without a sort.
 """
 
 from __future__ import annotations
@@ -10,13 +9,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerguard.operators.ordering import POS, exact_quantiles, global_cumulative
+from ledgerguard.operators import radix
+from ledgerguard.operators.ordering import exact_quantiles, global_cumulative
 
-TOPK_LIMIT_MAX = 2_000
+_ORDER_KEYS = ["_k_score", "_k_ts", "_k_id"]
+
+
+def _with_order(df: DataFrame, score: str, ts: str = "ts_us", tie: str = "transaction_id") -> DataFrame:
+    return df.withColumns(dict(zip(_ORDER_KEYS, (radix.descending(F.col(score)), F.col(ts).cast("long"),
+                                                 F.col(tie).cast("long")), strict=True)))
+
+
+def _first_sums(df: DataFrame, ks: Sequence[int], score: str, measures: dict[str, Column] | None = None) -> tuple[dict, dict]:
+    """Sums over the first k rows by score for every k, and where each k ends."""
+    measures = dict(measures or {})
+    narrow = _with_order(df, score).select(*_ORDER_KEYS, *[m.alias(n) for n, m in measures.items()])
+    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)        # read by every pass
+    try:
+        return radix.first_sums(narrow, _ORDER_KEYS, ks, list(measures))
+    finally:
+        narrow.unpersist()
 
 
 def score_order(score: str = "score", ts: str = "ts_us", tie: str = "transaction_id") -> list[Column]:
@@ -25,13 +42,9 @@ def score_order(score: str = "score", ts: str = "ts_us", tie: str = "transaction
 
 def top_k(df: DataFrame, k: int, score: str = "score", ts: str = "ts_us", tie: str = "transaction_id") -> DataFrame:
     """K4: the k highest scores (ties by ts, id); empty when k <= 0."""
-    order = score_order(score, ts, tie)
-    if k <= 0:
-        return df.limit(0)
-    if k <= TOPK_LIMIT_MAX:
-        return df.orderBy(*order).limit(int(k))
-    ranked = global_cumulative(df, order, keep=df.columns)
-    return ranked.where(F.col(POS) <= k).drop(POS)
+    keyed = _with_order(df, score, ts, tie)
+    cut = radix.first_sums(keyed, _ORDER_KEYS, [k])[1].get(k)
+    return keyed.where(cut.holds() if cut else F.lit(False)).drop(*_ORDER_KEYS)
 
 
 def at_k(df: DataFrame, k: int, score="score", label="is_fraud", amount_minor="amount_minor") -> DataFrame:
@@ -40,9 +53,8 @@ def at_k(df: DataFrame, k: int, score="score", label="is_fraud", amount_minor="a
     precision NULL when the top k is empty; recall NULL without fraud; value
     recall NULL when the fraud value is not positive.
     """
-    top = top_k(df, k, score).select(
-        F.count(F.lit(1)).alias("n_top"), F.sum(label).alias("hits"),
-        F.sum(F.col(amount_minor) * F.col(label)).alias("hit_value"))
+    first = _first_sums(df, [k], score, {"hits": F.col(label), "value": F.col(amount_minor) * F.col(label)})[0]
+    top = df.sparkSession.createDataFrame([first.get(k, (0, None, None))], "n_top long, hits long, hit_value long")
     tot = df.select(F.sum(label).alias("frauds"), F.sum(F.col(amount_minor) * F.col(label)).alias("fraud_value"))
     j = _one_row_join(top, tot)
     return j.select(
@@ -175,8 +187,7 @@ def best_threshold_by_cost(df: DataFrame, score="score", n_grid: int = 200, **kw
 def threshold_for_capacity(df: DataFrame, k: int, score="score") -> DataFrame:
     """K5: the k-th highest score, k clipped to [1, n]."""
     k = max(int(k), 1)
-    top = top_k(df, k, score)
-    return top.agg(F.min(score).alias("threshold"))
+    return top_k(df, k, score).agg(F.min(score).alias("threshold"))
 
 
 def summary(df: DataFrame, label="is_fraud", amount_minor="amount_minor", minor_per_unit: int = 100) -> DataFrame:
@@ -193,31 +204,14 @@ def value_budget_curve(df: DataFrame, budgets: Sequence[int], score="score", lab
     """Share of fraud value recovered at each review budget k, with the
     reference's random-order baseline min(k * mean(amount), total) / total and a
     fair random baseline k / n.
-
-    While the largest budget is small (``TOPK_LIMIT_MAX``), only that many top rows are
-    fetched and summed; for larger budgets positions come from the distributed global order
-    and only rows whose position is a requested budget are kept.
     """
     budgets = sorted({int(b) for b in budgets if b > 0})
-    order = score_order(score)
     value = (F.col(amount_minor) * F.col(label)).alias("v")
-    spark = df.sparkSession
-    bdf = spark.createDataFrame([(b,) for b in budgets], "k long")
+    at = _first_sums(df, budgets, score, {"v": value})[0]
+    curve = df.sparkSession.createDataFrame([(b, at[b][1] if b in at else None) for b in budgets], "k long, cum_v long")
     tot = df.agg(F.count(F.lit(1)).alias("n"), F.avg(amount).alias("mean_amt"), F.sum(value).alias("total_v"))
-    if budgets and budgets[-1] <= TOPK_LIMIT_MAX:
-        first = [r["v"] or 0 for r in df.orderBy(*order).limit(budgets[-1]).select(value).collect()]
-        walked = [0, *np.cumsum(np.array(first, dtype=np.int64)).tolist()]
-        known = [(b, walked[min(b, len(first))]) for b in budgets]
-        out = _one_row_join(spark.createDataFrame(known, "k long, cum_v long"), tot)
-        v = F.col("cum_v")
-    else:
-        ranked = global_cumulative(df, order, {"v": value}, keep=[])
-        # budgets beyond n take the last row's cumulative value
-        at = ranked.join(F.broadcast(bdf), F.col(POS) == F.col("k"), "inner").select("k", "cum_v")
-        last = ranked.agg(F.max(POS).alias("n_last"), F.max("cum_v").alias("v_last"))
-        out = F.broadcast(bdf).join(at, "k", "left")
-        out = _one_row_join(_one_row_join(out, tot), last)
-        v = F.when(F.col("k") <= F.col("n_last"), F.col("cum_v")).otherwise(F.col("v_last"))
+    out = _one_row_join(curve, tot)
+    v = F.col("cum_v")
     total = F.col("total_v") / F.lit(float(minor_per_unit))
     return out.select(
         "k",
@@ -264,22 +258,22 @@ def random_order_baseline(df: DataFrame, budgets: Sequence[int], reps: int = 10,
     """A10 random baseline: fraud-value share recovered at each budget when the
     queue is in a random order, averaged over ``reps`` seeded permutations.
 
-    Every permutation orders rows by a seeded hash of the id; all repetitions
-    run in one grouped global-order pass over a two-column projection (the
-    same work as ranking the set once per repetition, done in parallel).
+    Every permutation orders rows by 60 bits of a seeded digest of the id (then the id).  A pass
+    of the radix select counts all repetitions in the tasks that read the narrow rows; only the
+    few rows around each budget are looked at further.
     """
     budgets = sorted({int(b) for b in budgets if b > 0})
-    v = (F.col(amount_minor) * F.col(label)).alias("v")
-    long = df.select(F.col(id_col), v, F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-    long = long.withColumn("h", F.xxhash64(F.col(id_col), F.col("rep"), F.lit(seed)))
-    ranked = global_cumulative(long, [F.col("rep"), F.col("h"), F.col(id_col)], {"v": F.col("v")},
-                               keep=["rep"], group="rep")
     spark = df.sparkSession
-    bdf = spark.createDataFrame([(b,) for b in budgets], "k long")
-    total = df.agg(F.sum(F.col(amount_minor) * F.col(label)).alias("tv"))
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    at = ranked.join(F.broadcast(bdf), F.col(POS) == F.col("k")).groupBy("k").agg(F.avg("cum_v").alias("v"))
-    out = F.broadcast(bdf).join(at, "k", "left")
-    out = _one_row_join(_one_row_join(out, total), n)
-    v_at = F.when(F.col("k") <= F.col("n"), F.col("v")).otherwise(F.col("tv"))
-    return out.select("k", F.when(F.col("tv") > 0, v_at / F.col("tv")).alias("random_share"))
+    narrow = df.select(F.col(id_col).cast("long").alias("id"), (F.col(amount_minor) * F.col(label)).alias("v"))
+    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("rep").cast("string"), F.col("id").cast("string")).cast("binary"))
+    orders = narrow.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).withColumn(
+        "place", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
+    try:
+        found = radix.first_sums(orders, ["place", "id"], budgets, ["v"], group="rep")[0]
+        total = narrow.agg(F.sum("v").alias("tv")).first()["tv"]
+    finally:
+        narrow.unpersist()
+    mean = lambda b: sum(f[b][1] for f in found.values()) / len(found)
+    return spark.createDataFrame([(b, mean(b) / total if found and total and total > 0 else None) for b in budgets],
+                                 "k long, random_share double")

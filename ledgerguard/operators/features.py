@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as _W
 from pyspark.sql import functions as F
 
 from ledgerguard.functions.geo import haversine_km
 from ledgerguard.functions.timecols import US_PER_DAY, US_PER_HOUR
-from ledgerguard.operators import asof
+from ledgerguard.operators import asof, hot_windows
 from ledgerguard.sources.schemas import CARD_FEATURE_COLS
 
 # Fixed values of the card features.
@@ -60,19 +59,10 @@ def select_features(featured: DataFrame, extra: tuple[str, ...] = ("transaction_
     return featured.select(*extra, *CARD_FEATURE_COLS)
 
 
-# --------------------------------------------------------------------------
-# Hot-key split.  A key holding a large share of all rows would put its whole
-# history in one window partition (one task).  Hot keys are instead processed
-# per (key, day):
-#   * history before the day comes from per-(key, day) aggregates and a prefix
-#     over days (a small table: one row per key-day);
-#   * trailing frames (<= 24 h) see the current day plus the previous day's
-#     rows, duplicated in as context rows;
-#   * the previous row falls back to the last row of the last earlier
-#     non-empty day;
-#   * category novelty comes from a grouped first-appearance aggregate.
-# The result is identical to the plain path (tested), so the two are unioned.
-# --------------------------------------------------------------------------
+# Hot-key split.  A key holding a large share of all rows would put its whole history in one
+# window partition (one task).  Hot keys take the prefix sums of ``hot_windows`` instead, which
+# spread any key over all tasks.  The result is identical to the plain path (tested), so the two
+# are unioned.
 
 
 HOT_MIN_ROWS = 1_000_000
@@ -86,67 +76,26 @@ def detect_hot_keys(df: DataFrame, key: str = "card_id", min_rows: int = HOT_MIN
     return [r[key] for r in sorted(rows, key=lambda r: -r["_n"])]
 
 
-def _card_features_bucketed(txn: DataFrame, k: str, bucket_us: int = US_PER_DAY) -> DataFrame:
-    b = F.floor(F.col("ts_us") / F.lit(bucket_us)).cast("long")
-    rows = txn.withColumn("_b", b)
+def _card_features_hot(txn: DataFrame, k: str) -> DataFrame:
     c = F.col("amount_minor")
-    cd = c.cast("decimal(38,0)")
-    # per (key, day) totals and last row; prefix over days
-    day = rows.groupBy(k, "_b").agg(
-        F.count(F.lit(1)).alias("_dn"), F.sum(c).alias("_ds"), F.sum(cd * cd).alias("_dq"),
-        F.max(F.struct("ts_us", "transaction_id", "lat", "lon")).alias("_dlast"))
-    wd = _W.partitionBy(k).orderBy("_b")
-    before = wd.rowsBetween(_W.unboundedPreceding, -1)
-    day = day.select(
-        k, "_b",
-        F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_pn"),
-        F.coalesce(F.sum("_ds").over(before), F.lit(0)).alias("_ps"),
-        F.coalesce(F.sum("_dq").over(before), F.lit(0)).cast("decimal(38,0)").alias("_pq"),
-        F.lag("_dlast").over(wd).alias("_plast"))
-    # first appearance of each category on the key
-    first = rows.groupBy(k, "mcc").agg(F.min(F.struct("ts_us", "transaction_id")).alias("_mfirst"))
-    cur = asof.join_null_safe(asof.join_null_safe(rows, day, [k, "_b"]), first, [k, "mcc"]) \
-        .withColumn("_ctx", F.lit(0))
-    ctx = rows.select(k, (F.col("_b") + 1).alias("_b"), "transaction_id", "ts_us", "amount_minor", "lat", "lon",
-                      F.lit(1).alias("_ctx"))
-    g = cur.unionByName(ctx, allowMissingColumns=True)
-    key = [k, "_b"]
-    w = _W.partitionBy(*key).orderBy("ts_us", "transaction_id")
-    r = _W.partitionBy(*key).orderBy("ts_us")
-    upto = w.rowsBetween(_W.unboundedPreceding, -1)
-    own = F.when(F.col("_ctx") == 0, 1).otherwise(0)
-    earlier = F.row_number().over(w) - 1
-
-    def within(width):
-        older = r.rangeBetween(_W.unboundedPreceding, -(int(width) + 1))
-        cnt = earlier - F.count(F.lit(1)).over(older)
-        sm = F.coalesce(F.sum(c).over(upto), F.lit(0)) - F.coalesce(F.sum(c).over(older), F.lit(0))
-        return cnt.cast("long"), sm
-    c1, s1 = within(US_PER_HOUR)
-    c24, s24 = within(US_PER_DAY)
-    n = (F.col("_pn") + F.coalesce(F.sum(own).over(upto), F.lit(0))).cast("decimal(38,0)")
-    s = (F.col("_ps") + F.coalesce(F.sum(F.when(F.col("_ctx") == 0, c)).over(upto), F.lit(0))).cast("decimal(38,0)")
-    q = (F.col("_pq") + F.coalesce(F.sum(F.when(F.col("_ctx") == 0, cd * cd)).over(upto), F.lit(0))).cast("decimal(38,0)")
-    num = (n * cd - s).cast("decimal(38,0)")
-    den = (n * q - s * s).cast("decimal(38,0)")
-    z = F.when((n >= 2) & (den > 0), num.cast("double") / F.sqrt(den.cast("double"))).otherwise(F.lit(0.0))
-    prev_ts = F.coalesce(F.lag("ts_us").over(w), F.col("_plast.ts_us"))
-    prev_lat = F.when(F.lag("ts_us").over(w).isNotNull(), F.lag("lat").over(w)).otherwise(F.col("_plast.lat"))
-    prev_lon = F.when(F.lag("ts_us").over(w).isNotNull(), F.lag("lon").over(w)).otherwise(F.col("_plast.lon"))
-    out = g.select("*", c1.alias("txn_count_1h"), (s1 / F.lit(100.0)).alias("amt_sum_1h"),
-                   c24.alias("txn_count_24h"), (s24 / F.lit(100.0)).alias("amt_sum_24h"),
-                   z.alias("amount_z"), prev_ts.alias("_prev_ts"), prev_lat.alias("_prev_lat"),
-                   prev_lon.alias("_prev_lon")).where(F.col("_ctx") == 0)
-    gap = (F.col("ts_us") - F.col("_prev_ts")) / F.lit(1_000_000.0)
-    dist = F.coalesce(haversine_km(F.col("_prev_lat"), F.col("_prev_lon"), F.col("lat"), F.col("lon")), F.lit(0.0))
+    rows = hot_windows.identified(txn)
+    values = {"c": c, "nn": c.isNotNull().cast("long")} | hot_windows.square_parts(c)
+    out = hot_windows.with_prior(rows, [k], "ts_us", "transaction_id", values,
+                                 {"1h": US_PER_HOUR + 1, "24h": US_PER_DAY + 1}, ["ts_us", "lat", "lon"])
+    novel = hot_windows.first_of(rows, [k, "mcc"], "ts_us", "transaction_id").withColumn("_novel", F.lit(1))
+    out = out.join(novel, hot_windows.UID, "left")
+    z = hot_windows.exact_zscore(c, F.col("_s_nn"), F.col("_s_c"), hot_windows.square_sum(F.col("_s_sq_hi"), F.col("_s_sq_lo")))
+    within = lambda w: (F.col("_n") - F.col(f"_n_{w}"), (F.col("_s_c") - F.col(f"_s_c_{w}")) / F.lit(100.0))
+    (c1, s1), (c24, s24) = within("1h"), within("24h")
+    gap = (F.col("ts_us") - F.col("_prev.ts_us")) / F.lit(1_000_000.0)
+    dist = F.coalesce(haversine_km(F.col("_prev.lat"), F.col("_prev.lon"), F.col("lat"), F.col("lon")), F.lit(0.0))
     tsl = F.coalesce(gap, F.lit(FIRST_GAP_S))
     speed = F.when(gap.isNull(), F.lit(0.0)).otherwise(dist / F.greatest(tsl / F.lit(3600.0), F.lit(MIN_SPEED_HOURS)))
     hour = F.hour("ts")
-    novel = ((F.col("_mfirst.ts_us") == F.col("ts_us")) & (F.col("_mfirst.transaction_id") == F.col("transaction_id")))
     return out.select(
-        *txn.columns, "txn_count_1h", "amt_sum_1h", "txn_count_24h", "amt_sum_24h", "amount_z",
-        tsl.alias("time_since_last_s"), dist.alias("geo_dist_km"), speed.alias("geo_speed_kmh"),
-        novel.cast("int").alias("mcc_novel"),
+        *txn.columns, c1.alias("txn_count_1h"), s1.alias("amt_sum_1h"), c24.alias("txn_count_24h"), s24.alias("amt_sum_24h"),
+        z.alias("amount_z"), tsl.alias("time_since_last_s"), dist.alias("geo_dist_km"), speed.alias("geo_speed_kmh"),
+        F.coalesce("_novel", F.lit(0)).alias("mcc_novel"),
         hour.alias("hour"), hour.between(*NIGHT_HOURS).cast("int").alias("is_night"),
         (F.col("channel") == "CNP").cast("int").alias("is_cnp"),
         F.floor((F.col("ts_us") - F.col("issue_us")) / F.lit(float(US_PER_DAY))).cast("long").alias("card_age_days"))
@@ -154,12 +103,12 @@ def _card_features_bucketed(txn: DataFrame, k: str, bucket_us: int = US_PER_DAY)
 
 def add_card_features_skew_safe(txn: DataFrame, key: str = "card_id", hot_keys=None,
                                 min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """F1-F10 with hot keys split by day.  ``hot_keys``: a list, or None to
+    """F1-F10 with hot keys spread over all tasks.  ``hot_keys``: a list, or None to
     detect keys with at least ``min_rows`` rows."""
     hot = detect_hot_keys(txn, key, min_rows) if hot_keys is None else list(hot_keys)
     if not hot:
         return add_card_features(txn, key)
     hot_rows, other_rows = asof.split_hot(txn, F.col(key), hot)
     plain = add_card_features(other_rows, key)
-    split = _card_features_bucketed(hot_rows, key)
+    split = _card_features_hot(hot_rows, key)
     return plain.unionByName(split.select(*plain.columns))

@@ -147,6 +147,87 @@ def global_cumulative(df: DataFrame, order: Sequence[Column], measures: dict[str
     return srt.mapInPandas(walk, out_schema)
 
 
+def running_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], measures: dict[str, Column],
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """``df`` rows (columns ``keep``, and _k1, _k2: a 128-bit hash of ``keys``, null-safe) with
+    ``cum_<name>``, the inclusive running sum of every whole-number measure within the key.
+
+    For any number of keys of any size: rows are range-partitioned by (key hash, ``order``) and
+    checkpointed, so a key of all rows spreads over all tasks.  Only the last key of a partition
+    can go on in the next, so one row per partition reaches the driver, whatever the number of keys.
+    """
+    names, keep = list(measures), list(keep)
+    if not names:
+        raise ValueError("no measure")
+    parts = [F.col(k) for k in keys]
+    rows = df.select(*keep, F.xxhash64(*parts, *[k.isNull() for k in parts]).alias("_k1"),
+                     F.xxhash64(F.lit(len(parts)), *[k.isNull() for k in parts], *parts).alias("_k2"),
+                     *[o.alias(f"_o{i}") for i, o in enumerate(order)],
+                     *[F.coalesce(m.cast("long"), F.lit(0)).alias(f"_m_{n}") for n, m in measures.items()])
+    srt = cut_lineage(rows.orderBy("_k1", "_k2", *[f"_o{i}" for i in range(len(order))]).withColumn("_pid", F.spark_partition_id()))
+
+    def bounds(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        k1, k2 = pdf["_k1"].to_numpy(), pdf["_k2"].to_numpy()
+        return np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]), k1, k2
+
+    def last_key(it):
+        """(first key, last key, sums of the last key) of a partition."""
+        first = last = None
+        sums = np.zeros(len(names), dtype=np.int64)
+        pid = 0
+        for pdf in it:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            starts, k1, k2 = bounds(pdf)
+            first = first or (int(k1[0]), int(k2[0]))
+            tail = np.array([pdf[f"_m_{n}"].to_numpy()[starts[-1]:].sum() for n in names], dtype=np.int64)
+            now = (int(k1[-1]), int(k2[-1]))
+            sums = sums + tail if now == last else tail
+            last = now
+        if last is not None:
+            yield pd.DataFrame([(pid, *first, *last, sums.tolist())], columns=["pid", "a1", "a2", "b1", "b2", "sums"])
+
+    ends = sorted(srt.mapInPandas(last_key, "pid int, a1 long, a2 long, b1 long, b2 long, sums array<long>").collect(),
+                  key=lambda r: r["pid"])
+    carried: dict[int, tuple[tuple[int, int], np.ndarray]] = {}
+    open_key, open_sums = None, np.zeros(len(names), dtype=np.int64)
+    for r in ends:
+        if open_key == (r["a1"], r["a2"]):
+            carried[r["pid"]] = (open_key, open_sums)
+        goes_on = open_key == (r["a1"], r["a2"]) == (r["b1"], r["b2"])
+        open_sums = np.array(r["sums"], dtype=np.int64) + (open_sums if goes_on else 0)
+        open_key = (r["b1"], r["b2"])
+
+    def walk(it):
+        state = None
+        for pdf in it:
+            if pdf.empty:
+                continue
+            starts, k1, k2 = bounds(pdf)
+            state = state or carried.get(int(pdf["_pid"].iloc[0]))
+            out = pdf[[*keep, "_k1", "_k2"]].copy()
+            group = np.zeros(len(pdf), dtype=np.int64)
+            group[starts] = 1
+            group = np.cumsum(group) - 1
+            first = slice(0, starts[1] if len(starts) > 1 else len(pdf))
+            goes_on = state is not None and state[0] == (int(k1[0]), int(k2[0]))
+            last = []
+            for i, n in enumerate(names):
+                m = pdf[f"_m_{n}"].to_numpy().astype(np.int64)
+                run = np.cumsum(m)
+                run = run - (run[starts] - m[starts])[group]
+                if goes_on:
+                    run[first] += state[1][i]
+                out[f"cum_{n}"] = run
+                last.append(run[-1])
+            state = ((int(k1[-1]), int(k2[-1])), np.array(last, dtype=np.int64))
+            yield out
+
+    fields = [*(srt.schema[c] for c in (*keep, "_k1", "_k2")), *(T.StructField(f"cum_{n}", T.LongType()) for n in names)]
+    return srt.mapInPandas(walk, T.StructType(fields))
+
+
 def _order_group_rows(rows, group):
     return sorted(rows, key=lambda r: r["_pid"])
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerguard.functions.timecols import US_PER_DAY, US_PER_HOUR
+from ledgerguard.operators import asof, hot_windows
 
 
 def stg_transactions(raw: DataFrame) -> DataFrame:
@@ -26,7 +29,11 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     )
 
 
-def fct_card_velocity(stg: DataFrame) -> DataFrame:
+#: staging columns that the fact table takes along
+_FACT_COLS = ("merchant_id", "mcc", "channel", "is_fraud", "card_issue_date")
+
+
+def fct_card_velocity(stg: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Counts and sums over RANGE frames that include ALL peers of the current
     timestamp but not the row itself (SQL frame exclusion of the current row), and
     seconds since the previous row (NULL for the first).
@@ -35,7 +42,8 @@ def fct_card_velocity(stg: DataFrame) -> DataFrame:
     sum over the same frame minus the row's own amount.  Each frame is written as
     the difference of two unbounded-preceding RANGE frames (rows with ts <= now,
     minus rows with ts < now - w), which Spark evaluates incrementally; a sliding
-    frame would re-aggregate every row of the frame for every row.
+    frame would re-aggregate every row of the frame for every row.  ``keep``: other columns of
+    ``stg`` to take along.
     """
     r = Window.partitionBy("card_id").orderBy("ts_us")
     upto = r.rangeBetween(Window.unboundedPreceding, 0)
@@ -50,7 +58,7 @@ def fct_card_velocity(stg: DataFrame) -> DataFrame:
         return F.sum(amt).over(upto) - F.coalesce(F.sum(amt).over(older), F.lit(0))
     lag_ts = F.lag("ts_us").over(Window.partitionBy("card_id").orderBy("ts_us", "transaction_id"))
     return stg.select(
-        "transaction_id", "card_id", "event_ts", "ts_us", "amount",
+        "transaction_id", "card_id", "event_ts", "ts_us", "amount", *keep,
         (frame_count(US_PER_HOUR) - 1).cast("long").alias("txn_count_1h"),
         (frame_sum(US_PER_HOUR) - amt).cast("decimal(22,2)").alias("amt_sum_1h"),
         (frame_count(US_PER_DAY) - 1).cast("long").alias("txn_count_24h"),
@@ -59,16 +67,21 @@ def fct_card_velocity(stg: DataFrame) -> DataFrame:
     )
 
 
-def fct_transactions(stg: DataFrame, velocity: DataFrame) -> DataFrame:
+def fct_transactions(stg: DataFrame, velocity: DataFrame | None = None) -> DataFrame:
     """Staging LEFT JOIN velocity USING (transaction_id) plus derived flags.
 
-    Both inputs are hash-partitioned on different keys upstream (card_id for the
-    windows); the join is an equi-join on the unique transaction key.
+    Without ``velocity`` the mart is computed here and its windows take the other columns along,
+    so nothing is joined: both hold each staging row once.  A given (stored) mart is joined on
+    the unique transaction key.
     """
-    v = velocity.select("transaction_id", "txn_count_1h", "amt_sum_1h", "txn_count_24h",
-                        "amt_sum_24h", "time_since_last_s")
+    if velocity is None:
+        fact = fct_card_velocity_skew_safe(stg, keep=_FACT_COLS)
+    else:
+        v = velocity.select("transaction_id", "txn_count_1h", "amt_sum_1h", "txn_count_24h",
+                            "amt_sum_24h", "time_since_last_s")
+        fact = stg.join(v, "transaction_id", "left")
     hour = F.hour("event_ts")
-    return stg.join(v, "transaction_id", "left").select(
+    return fact.select(
         "transaction_id", "card_id", "merchant_id", "mcc", "amount", "event_ts", "ts_us",
         "channel", "is_fraud",
         "txn_count_1h", "amt_sum_1h", "txn_count_24h", "amt_sum_24h", "time_since_last_s",
@@ -79,43 +92,30 @@ def fct_transactions(stg: DataFrame, velocity: DataFrame) -> DataFrame:
     )
 
 
-def _card_velocity_bucketed(stg: DataFrame) -> DataFrame:
-    """P2 for hot cards, per (card, day): the peers-inclusive RANGE frames see
-    the current day plus the previous day's rows as context; the previous row
-    comes from the two-level per-day helper."""
-    from ledgerguard.operators import asof
-    b = F.floor(F.col("ts_us") / F.lit(US_PER_DAY)).cast("long")
-    rows = stg.withColumn("_b", b).withColumn("_ctx", F.lit(0))
-    ctx = rows.select("card_id", (F.col("_b") + 1).alias("_b"), "ts_us", "transaction_id", "amount",
-                      F.lit(1).alias("_ctx"))
-    g = rows.unionByName(ctx, allowMissingColumns=True)
-    r = Window.partitionBy("card_id", "_b").orderBy("ts_us")
-    upto = r.rangeBetween(Window.unboundedPreceding, 0)
-    amt = F.col("amount")
+def _card_velocity_hot(stg: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """P2 for hot cards by prefix sums: a frame with all peers is what came up to the row's own
+    time, less what came up to the frame's lower edge."""
+    cents = F.round(F.col("amount") * 100).cast("long")
+    v = hot_windows.with_prior(hot_windows.identified(stg), ["card_id"], "ts_us", "transaction_id", {"c": cents},
+                               {"now": 0, "1h": US_PER_HOUR + 1, "24h": US_PER_DAY + 1}, ["ts_us"])
 
     def frame(width):
-        older = r.rangeBetween(Window.unboundedPreceding, -(width + 1))
-        cnt = F.count(F.lit(1)).over(upto) - F.count(F.lit(1)).over(older)
-        sm = F.sum(amt).over(upto) - F.coalesce(F.sum(amt).over(older), F.lit(0))
-        return cnt, sm
-    c1, s1 = frame(US_PER_HOUR)
-    c24, s24 = frame(US_PER_DAY)
-    v = g.select("*", (c1 - 1).cast("long").alias("txn_count_1h"), (s1 - amt).cast("decimal(22,2)").alias("amt_sum_1h"),
-                 (c24 - 1).cast("long").alias("txn_count_24h"),
-                 (s24 - amt).cast("decimal(22,2)").alias("amt_sum_24h")).where(F.col("_ctx") == 0)
-    v = asof.bucketed_prior(v.drop("_b", "_ctx"), ["card_id"], None, ts="ts_us", tie="transaction_id", prefix="_g")
-    return v.select("transaction_id", "card_id", "event_ts", "ts_us", "amount", "txn_count_1h", "amt_sum_1h",
-                    "txn_count_24h", "amt_sum_24h",
-                    (F.col("_g_gap") / F.lit(1_000_000.0)).alias("time_since_last_s"))
-
-
-def fct_card_velocity_skew_safe(stg: DataFrame, hot_keys=None, min_rows: int = 1_000_000) -> DataFrame:
-    """P2 with hot cards split per (card, day); identical to ``fct_card_velocity``."""
-    from ledgerguard.operators import asof
+        total = F.col("_s_c_now") - F.col(f"_s_c_{width}") - cents
+        return (F.col("_n_now") - F.col(f"_n_{width}") - 1).cast("long"), (
+            total.cast("decimal(20,0)") / F.lit(100)).cast("decimal(22,2)")
+    (c1, s1), (c24, s24) = frame("1h"), frame("24h")
+    return v.select("transaction_id", "card_id", "event_ts", "ts_us", "amount", *keep, c1.alias("txn_count_1h"), s1.alias("amt_sum_1h"),
+                    c24.alias("txn_count_24h"), s24.alias("amt_sum_24h"),
+                    ((F.col("ts_us") - F.col("_prev.ts_us")) / F.lit(1_000_000.0)).alias("time_since_last_s"))
+
+
+def fct_card_velocity_skew_safe(stg: DataFrame, hot_keys=None, min_rows: int = 1_000_000,
+                                keep: Sequence[str] = ()) -> DataFrame:
+    """P2 with hot cards spread over all tasks; identical to ``fct_card_velocity``."""
     from ledgerguard.operators.features import detect_hot_keys
     hot = detect_hot_keys(stg, "card_id", min_rows) if hot_keys is None else list(hot_keys)
     if not hot:
-        return fct_card_velocity(stg)
+        return fct_card_velocity(stg, keep)
     hot_rows, other_rows = asof.split_hot(stg, F.col("card_id"), hot)
-    plain = fct_card_velocity(other_rows)
-    return plain.unionByName(_card_velocity_bucketed(hot_rows).select(*plain.columns))
+    plain = fct_card_velocity(other_rows, keep)
+    return plain.unionByName(_card_velocity_hot(hot_rows, keep).select(*plain.columns))

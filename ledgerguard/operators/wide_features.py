@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerguard.functions.timecols import US_PER_DAY
-from ledgerguard.operators import asof
+from ledgerguard.operators import asof, hot_windows
 from ledgerguard.operators.ordering import global_cumulative
 
 TIE = "TransactionID"
@@ -171,13 +171,14 @@ def _apply_codes(df: DataFrame, cols: list[str], mapping, rows=None) -> DataFram
 def _device_block(base: DataFrame, df: DataFrame, hot: list) -> DataFrame:
     """E7/E8.  Rows without a device are 0 by definition and get a per-row
     window key.  Popular fingerprints are the documented hot keys: those in
-    ``hot`` are computed in two levels (per fingerprint-day); all others use
+    ``hot`` are computed by prefix sums spread over all tasks; all others use
     one window Exchange."""
     valid = F.col("_device_valid")
     n_total = df.agg(F.count(F.lit(1)).alias("n"))
     if hot:
         hot_rows, other_rows = asof.split_hot(base, F.when(valid, F.col("device_fp")), hot)
-        split = asof.prior_count_distinct_by_day(hot_rows, "device_fp", "card1", F.lit(True), tie=TIE, prefix="_dev")
+        split = hot_windows.prior_block(hot_rows, ["device_fp"], "ts_us", TIE, distinct="card1", prefix="_dev") \
+            .withColumnsRenamed({"_dev_n": "_dev_prior_n", "_dev_distinct": "_dev_prior_distinct"})
         rest = _device_windows(other_rows, valid)
         base = rest.unionByName(split.select(*rest.columns))
     else:
@@ -196,7 +197,7 @@ def add_ring_features(df: DataFrame, hot_min_rows: int = 1_000_000, hot_devices:
     """Only what the ring operators (G1-G6) read: device prior transactions,
     prior distinct cards, fingerprint frequency and the account's 24 h count --
     without the full wide feature set.  Hot fingerprints and hot card1 values (whose
-    accounts are then computed per account-day) come from one aggregate."""
+    accounts are then computed by prefix sums) come from one aggregate."""
     cols = set(df.columns)
     valid = F.col("DeviceInfo").isNotNull() if "DeviceInfo" in cols else F.lit(False)
     base = df.withColumns({"device_fp": build_device_fp(df), "_device_valid": valid})
@@ -216,7 +217,7 @@ def add_ring_features(df: DataFrame, hot_min_rows: int = 1_000_000, hot_devices:
         return window(out)
     hot_rows, other_rows = asof.split_hot(out, card, [None if v is None else str(v) for v in hot_card1])
     plain = window(other_rows)
-    split = asof.bucketed_prior(hot_rows, u, "amount_minor", width_us=US_PER_DAY, ts="ts_us", tie=TIE, prefix="_u")
+    split = hot_windows.prior_block(hot_rows, u, "ts_us", TIE, "amount_minor", US_PER_DAY, prefix="_u")
     split = split.withColumn("uid_txn_24h", F.col("_u_cw").cast("double"))
     return plain.unionByName(split.select(*plain.columns))
 
@@ -275,11 +276,11 @@ def _card1_family_windows(base: DataFrame, df: DataFrame) -> DataFrame:
     return base.drop("_d1n")
 
 
-def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
-    """Same features for hot card1 values, per (key, day) in two levels."""
+def _card1_family_hot(base: DataFrame, df: DataFrame) -> DataFrame:
+    """Same features for hot card1 values, by prefix sums."""
     cols = set(df.columns)
     c1 = "card1"
-    b = asof.bucketed_prior(base, [c1], "amount_minor", ts="ts_us", tie=TIE, prefix="_c1")
+    b = hot_windows.prior_block(base, [c1], "ts_us", TIE, "amount_minor", prefix="_c1")
     n, s_ = F.when(F.col(c1).isNotNull(), F.col("_c1_n")), F.col("_c1_s")
     mean = F.when(n > 0, s_ / n / F.lit(1000.0))
     b = b.select("*",
@@ -289,7 +290,7 @@ def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
                  F.when(F.col(c1).isNotNull(), F.col("_c1_total")).cast("double").alias("card1_freq"),
                  ).drop(*[c for c in b.columns if c.startswith("_c1_")])
     u = [c for c in UID_PARTS if c in cols]
-    b = asof.bucketed_prior(b, u, "amount_minor", width_us=US_PER_DAY, ts="ts_us", tie=TIE, prefix="_u")
+    b = hot_windows.prior_block(b, u, "ts_us", TIE, "amount_minor", US_PER_DAY, prefix="_u")
     b = b.select("*",
                  F.col("_u_cw").cast("double").alias("uid_txn_24h"),
                  (F.col("_u_sw") / F.lit(1000.0)).alias("uid_amt_24h"),
@@ -300,7 +301,7 @@ def _card1_family_bucketed(base: DataFrame, df: DataFrame) -> DataFrame:
     ck_valid = F.col("client_key").isNotNull()
     b = b.withColumn("_d1n", _client_day_offset(df))
     ck = [c1] + (["addr1"] if "addr1" in cols else []) + ["_d1n"]
-    b = asof.bucketed_prior(b, ck, None, ts="ts_us", tie=TIE, prefix="_k")
+    b = hot_windows.prior_block(b, ck, "ts_us", TIE, prefix="_k")
     b = b.select("*",
                  F.when(ck_valid, F.col("_k_n")).cast("double").alias("client_prior_txn"),
                  F.when(ck_valid, F.col("_k_total")).cast("double").alias("client_freq"),
@@ -389,12 +390,12 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
     base = _device_block(base, df, hot_devices if hot_devices is not None else hot_found)
 
     # --- card1, account (uid) and client-key blocks; rows of hot card1 values take
-    # the per-day two-level path, all others the shared-Exchange window path.
+    # the prefix sums, all others the shared-Exchange window path.
     hot_c1 = [None if v is None else str(v) for v in hot_card1] if hot_card1 is not None else hot_card1_found
     if hot_c1:
         hot_rows, other_rows = asof.split_hot(base, F.col("card1").cast("string"), hot_c1)
         plain = _card1_family_windows(other_rows, df)
-        split = _card1_family_bucketed(hot_rows, df)
+        split = _card1_family_hot(hot_rows, df)
         out = plain.unionByName(split.select(*plain.columns))
     else:
         out = _card1_family_windows(base, df)
@@ -404,7 +405,7 @@ def add_wide_features(df: DataFrame, generic_freq: float = GENERIC_DEVICE_FREQ,
     if freq_scope == "asof":
         for name in freq_keys:
             k = f"_k_{name}"
-            out = asof.bucketed_prior(out, [k], None, ts="ts_us", tie=TIE, prefix="_fq")
+            out = hot_windows.prior_block(out, [k], "ts_us", TIE, prefix="_fq")
             out = out.withColumn(name, F.when(F.col(k).isNotNull(), F.col("_fq_n"))) \
                      .drop("_fq_n", "_fq_total", "_fq_gap")
     else:

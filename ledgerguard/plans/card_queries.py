@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerguard.functions.geo import haversine_km
+from ledgerguard.functions.timecols import US_PER_DAY
 from ledgerguard.operators import warehouse
 from ledgerguard.operators.rules import DEFAULT_RULE_NAMES, Rule, apply_rules, rule_precision
 from ledgerguard.plans.common import card_featured, card_rowwise, card_ruled, card_scored, card_txn, rnd
@@ -108,20 +109,40 @@ def f11_feature_table(spark, sf):
 @register("f12_feature_table_hot_split", with_(FEAT_CTE, f"SELECT {_F11_SQL_COLS} FROM feat"))
 def f12_feature_table_hot_split(spark, sf):
     """F1-F11 with the hot-key split exercised: cards with >= 70 rows (the
-    busiest cards at every scale of the test tables) take the per-day path."""
+    busiest cards at every scale of the test tables) take the prefix-sum path."""
     from ledgerguard.operators.features import add_card_features_skew_safe
     return _f11_spark(add_card_features_skew_safe(card_txn(spark, sf), min_rows=70))
 
 
+# every third row on one card and one day, so that this card is hot within the day
+HOT_DAY_CTE = TXN_CTE.replace("txn AS (", "spread AS (", 1) + """,
+txn AS (SELECT * REPLACE (CASE WHEN transaction_id % 3 = 0 THEN 1 ELSE card_id END AS card_id,
+    CASE WHEN transaction_id % 3 = 0 THEN 1704067200000000 + ts_us % 86400000000 ELSE ts_us END AS ts_us) FROM spread)"""
+
+
+def hot_day_txn(spark, sf):
+    moved = F.col("transaction_id") % 3 == 0
+    ts_us = F.when(moved, F.lit(1704067200000000) + F.pmod("ts_us", F.lit(US_PER_DAY))).otherwise(F.col("ts_us"))
+    txn = card_txn(spark, sf).withColumns({"card_id": F.when(moved, F.lit(1)).otherwise(F.col("card_id")), "ts_us": ts_us})
+    return txn.withColumn("ts", F.timestamp_micros("ts_us"))
+
+
+@register("f13_feature_table_hot_day", with_(HOT_DAY_CTE + FEAT_CTE[len(TXN_CTE):], f"SELECT {_F11_SQL_COLS} FROM feat"))
+def f13_feature_table_hot_day(spark, sf):
+    """F1-F11 where a card holds a third of all rows within one day."""
+    from ledgerguard.operators.features import add_card_features_skew_safe
+    return _f11_spark(add_card_features_skew_safe(hot_day_txn(spark, sf), hot_keys=[1]))
+
+
 # ------------------------------------------------------- P: warehouse models
-_STG_SQL = """stg AS (
+STG_SQL = """stg AS (
   SELECT transaction_id, card_id, merchant_id, mcc, CAST(amount AS DECIMAL(12,2)) AS amount, ts_us,
          lat, lon, upper(channel) AS channel, issue_us, is_fraud
   FROM txn WHERE amount >= 0
 )"""
 
 
-@register("p1_stg_transactions", with_(TXN_CTE + "," + _STG_SQL, """
+@register("p1_stg_transactions", with_(TXN_CTE + "," + STG_SQL, """
 SELECT transaction_id, card_id, CAST(amount AS DOUBLE) AS amount, ts_us, channel, is_fraud FROM stg"""))
 def p1_stg_transactions(spark, sf):
     s = warehouse.stg_transactions(card_txn(spark, sf))
@@ -130,7 +151,7 @@ def p1_stg_transactions(spark, sf):
 
 
 # brute force: every row meets the other rows of its card
-_VEL_SQL = """vel AS (
+VEL_SQL = """vel AS (
   SELECT a.transaction_id, a.card_id, a.ts_us, a.amount,
     count(b.transaction_id) FILTER (WHERE a.ts_us - b.ts_us BETWEEN 0 AND 3600000000) AS txn_count_1h,
     coalesce(sum(b.amount) FILTER (WHERE a.ts_us - b.ts_us BETWEEN 0 AND 3600000000), 0) AS amt_sum_1h,
@@ -143,7 +164,7 @@ _VEL_SQL = """vel AS (
 )"""
 
 
-@register("p2_card_velocity", with_(TXN_CTE + "," + _STG_SQL + "," + _VEL_SQL, """
+@register("p2_card_velocity", with_(TXN_CTE + "," + STG_SQL + "," + VEL_SQL, """
 SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_sum_1h AS DOUBLE) AS amt_sum_1h,
        CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
        round(time_since_last_s, 6) AS time_since_last_s
@@ -155,7 +176,7 @@ def p2_card_velocity(spark, sf):
                     rnd("time_since_last_s").alias("time_since_last_s"))
 
 
-@register("p2_card_velocity_hot_split", with_(TXN_CTE + "," + _STG_SQL + "," + _VEL_SQL, """
+@register("p2_card_velocity_hot_split", with_(TXN_CTE + "," + STG_SQL + "," + VEL_SQL, """
 SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_sum_1h AS DOUBLE) AS amt_sum_1h,
        CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
        round(time_since_last_s, 6) AS time_since_last_s
@@ -168,8 +189,8 @@ def p2_card_velocity_hot_split(spark, sf):
                     rnd("time_since_last_s").alias("time_since_last_s"))
 
 
-@register("p2_card_velocity_null_cards", with_(TXN_CTE + "," + _STG_SQL.replace(
-    "card_id, merchant_id", "CASE WHEN transaction_id % 10 <> 0 THEN card_id END AS card_id, merchant_id", 1) + "," + _VEL_SQL, """
+@register("p2_card_velocity_null_cards", with_(TXN_CTE + "," + STG_SQL.replace(
+    "card_id, merchant_id", "CASE WHEN transaction_id % 10 <> 0 THEN card_id END AS card_id, merchant_id", 1) + "," + VEL_SQL, """
 SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_sum_1h AS DOUBLE) AS amt_sum_1h,
        CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
        round(time_since_last_s, 6) AS time_since_last_s
@@ -184,7 +205,20 @@ def p2_card_velocity_null_cards(spark, sf):
                     rnd("time_since_last_s").alias("time_since_last_s"))
 
 
-@register("p3_fct_transactions", with_(TXN_CTE + "," + _STG_SQL + "," + _VEL_SQL, """
+@register("p2_card_velocity_hot_day", with_(HOT_DAY_CTE + "," + STG_SQL + "," + VEL_SQL, """
+SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(amt_sum_1h AS DOUBLE) AS amt_sum_1h,
+       CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
+       round(time_since_last_s, 6) AS time_since_last_s
+FROM vel"""))
+def p2_card_velocity_hot_day(spark, sf):
+    """P2 where a card holds a third of all rows within one day."""
+    v = warehouse.fct_card_velocity_skew_safe(warehouse.stg_transactions(hot_day_txn(spark, sf)), hot_keys=[1])
+    return v.select("transaction_id", "txn_count_1h", F.col("amt_sum_1h").cast("double").alias("amt_sum_1h"),
+                    "txn_count_24h", F.col("amt_sum_24h").cast("double").alias("amt_sum_24h"),
+                    rnd("time_since_last_s").alias("time_since_last_s"))
+
+
+@register("p3_fct_transactions", with_(TXN_CTE + "," + STG_SQL + "," + VEL_SQL, """
 SELECT s.transaction_id, s.card_id, CAST(s.amount AS DOUBLE) AS amount, s.channel,
        CAST(v.txn_count_24h AS BIGINT) AS txn_count_24h,
        CAST((s.ts_us // 3600000000) % 24 AS INTEGER) AS event_hour,
@@ -194,7 +228,7 @@ SELECT s.transaction_id, s.card_id, CAST(s.amount AS DOUBLE) AS amount, s.channe
 FROM stg s LEFT JOIN vel v USING (transaction_id)"""))
 def p3_fct_transactions(spark, sf):
     stg = warehouse.stg_transactions(card_txn(spark, sf))
-    fct = warehouse.fct_transactions(stg, warehouse.fct_card_velocity_skew_safe(stg))
+    fct = warehouse.fct_transactions(stg)
     return fct.select("transaction_id", "card_id", F.col("amount").cast("double").alias("amount"), "channel",
                       "txn_count_24h", "event_hour", "is_night", "is_cnp", "card_age_days")
 

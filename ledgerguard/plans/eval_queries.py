@@ -553,7 +553,13 @@ def v5_leakage(spark, sf):
     return quality.leakage_check(t, add_card_features, int(np.floor(t1)), cols=cols)
 
 
-@register("a10_random_baseline")
+@register("a10_random_baseline", with_(SCORED_CTE, f""",
+b AS (SELECT DISTINCT k FROM ({_A10_GRID_SQL})),
+o AS (SELECT rep, amount_minor * is_fraud AS v, row_number() OVER (PARTITION BY rep ORDER BY
+        CAST('0x' || md5('0:' || rep || ':' || transaction_id)[1:15] AS BIGINT), transaction_id) AS place
+      FROM scored, (SELECT unnest(range(10)) AS rep))
+SELECT k, sum(v) FILTER (WHERE place <= k) / 10.0 / nullif((SELECT sum(amount_minor * is_fraud) FROM scored), 0) AS random_share
+FROM o, b GROUP BY k"""))
 def a10_random_baseline(spark, sf):
     """A10: value share at the 60-point budget grid under 10 seeded random orders (averaged)."""
     s = _scored(spark, sf)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerguard.operators import investigate as inv
 from ledgerguard.operators import rings
 from ledgerguard.operators.wide_features import add_row_features, add_wide_features
+from ledgerguard.plans.card_queries import STG_SQL, VEL_SQL
 from ledgerguard.plans.common import card_txn, rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, RING_CTE, TXN_CTE, WIDE_CTE, with_
@@ -38,7 +39,7 @@ SELECT TransactionID, round(coalesce(CAST(device_prior_txn AS DOUBLE), -1.0), 6)
        round(coalesce(CAST(device_fp_freq AS DOUBLE), -1.0), 6) AS device_fp_freq FROM wfeat"""))
 def e7_device_prior_hot_split(spark, sf):
     """E7/E8 with the hot-fingerprint path exercised: fingerprints holding at
-    least 2 % of the rows (the popular 'Windows' families) take the per-day path."""
+    least 2 % of the rows (the popular 'Windows' families) take the prefix-sum path."""
     n = wide_normalised(spark, sf)
     f = add_wide_features(n, hot_min_rows=max(1, int(0.02 * n.count())))[0]
     return f.select("TransactionID", *[rnd(c).alias(c) for c in ("device_prior_txn", "device_prior_cards",
@@ -67,7 +68,9 @@ def s3_normalise_wide(spark, sf):
 @register("s7_raw_source", with_(TXN_CTE, """
 SELECT transaction_id, card_id, mcc, amount, ts_us, channel, is_fraud FROM txn"""))
 def s7_raw_source(spark, sf):
-    return card_txn(spark, sf).select("transaction_id", "card_id", "mcc", "amount", "ts_us", "channel", "is_fraud")
+    """Read back by the source's name."""
+    name = readers.register_raw_source(card_txn(spark, sf))
+    return spark.table(name).select("transaction_id", "card_id", "mcc", "amount", "ts_us", "channel", "is_fraud")
 
 
 @register("s8_joined_view", with_(WIDE_CTE, """
@@ -132,7 +135,7 @@ _feat("e22_wide_feature_table", WIDE_FEATURES)
     f"round(coalesce(CAST({c} AS DOUBLE), -1.0), 6) AS {c}" for c in WIDE_FEATURES) + " FROM wfeat"))
 def e22_wide_feature_table_hot_split(spark, sf):
     """E1-E22 with both hot-key paths exercised: card1 values and fingerprints
-    holding at least 0.1 % of the rows take the per-day two-level path."""
+    holding at least 0.1 % of the rows take the prefix-sum path."""
     n = wide_normalised(spark, sf)
     f = add_wide_features(n, hot_min_rows=max(2, int(0.001 * n.count())))[0]
     return f.select("TransactionID", *[rnd(c).alias(c) for c in WIDE_FEATURES])
@@ -352,10 +355,7 @@ def s8_views_sql(spark, sf):
     return spark.sql("SELECT ProductCD, count(DeviceInfo) AS with_device FROM joined GROUP BY ProductCD")
 
 
-@register("s9_materialise_mart", with_(TXN_CTE + """,
-stg AS (SELECT * FROM txn WHERE amount >= 0),
-vel AS (SELECT transaction_id, count(*) OVER (PARTITION BY card_id ORDER BY ts_us
-          RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW EXCLUDE CURRENT ROW) AS txn_count_24h FROM stg)""", """
+@register("s9_materialise_mart", with_(TXN_CTE + "," + STG_SQL + "," + VEL_SQL, """
 SELECT transaction_id, CAST(txn_count_24h AS BIGINT) AS txn_count_24h FROM vel"""))
 def s9_materialise_mart(spark, sf):
     """Staging as a view, the velocity mart as a table (parquet folder) read back."""

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerguard.operators import anomaly, model
+from ledgerguard.operators import anomaly, boosting, model
 
 
 def _frame(spark, n=600, seed=0):
@@ -38,23 +38,104 @@ def test_calibrated_scorer_invariants(spark):
     assert a == b                                      # same seed, same output
 
 
-@pytest.mark.parametrize("name, rounds", [
-    ("m2_gbt_importance", 250), ("m3_calibrated_valid", 250), ("m4_score_test", 250),
-    ("m8_permutation_importance", 250), ("run_card_review", 250), ("run_card_queue", 250),
-    ("run_wide_review", 300), ("run_wide_queue", 300)])
-def test_registered_queries_train_the_references_rounds(spark, monkeypatch, name, rounds):
+def test_trees_follow_plain_newton_boosting(spark):
+    """Two folds against a direct implementation over all rows and cuts."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, size=(400, 3)).astype(float)
+    y = (x[:, 0] + x[:, 1] * (x[:, 2] > 5) + rng.normal(size=400) > 9).astype(int)
+    rows = [(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, "transaction_id long, a double, b double, c double, is_fraud int").repartition(3)
+    fold = F.pmod(F.col("transaction_id"), F.lit(2)).cast("int")
+    models = boosting.train_folds(df, ["a", "b", "c"], "is_fraud", fold, "transaction_id", 2, max_depth=3, max_leaves=31,
+                                  step_size=0.3, max_iter=5, min_leaf=10, l2=1.0)
+    for f in range(2):
+        mine = np.arange(400) % 2 != f
+        xs, ys = x[mine], y[mine]
+        margin, whole = np.full(len(xs), np.log(ys.mean() / (1 - ys.mean()))), np.full(400, np.log(ys.mean() / (1 - ys.mean())))
+        for _ in range(5):
+            p = 1 / (1 + np.exp(-margin))
+            g, h = p - ys, p * (1 - p)
+
+            def grow(own, out, depth):
+                best = None
+                for j in range(3):
+                    for cut in np.unique(xs[:, j])[:-1]:
+                        left, right = own & (xs[:, j] <= cut), own & (xs[:, j] > cut)
+                        if min(left.sum(), right.sum()) >= 10 and min(h[left].sum(), h[right].sum()) >= 1e-3:
+                            gain = sum(g[s].sum() ** 2 / (h[s].sum() + 1) * w for s, w in ((left, 1), (right, 1), (own, -1)))
+                            if best is None or gain > best[0] + 1e-9:
+                                best = (gain, j, cut)
+                if depth == 3 or best is None or best[0] <= 1e-12:
+                    return np.where(out, -0.3 * g[own].sum() / (h[own].sum() + 1) if depth else 0.0, 0.0)
+                _, j, cut = best
+                return (grow(own & (xs[:, j] <= cut), out & (x[:, j] <= cut), depth + 1)
+                        + grow(own & (xs[:, j] > cut), out & (x[:, j] > cut), depth + 1))
+            step = grow(np.ones(len(xs), dtype=bool), np.ones(400, dtype=bool), 0)
+            whole, margin = whole + step, margin + step[mine]
+        assert np.allclose(models[f].margin(x), whole, atol=1e-8)
+
+
+def test_many_blocks_give_the_trees_of_one(spark, monkeypatch):
+    df = _frame(spark, 900)
+    fold = model.fold_of("transaction_id", "is_fraud", 3, 0)
+    how = dict(max_depth=3, max_leaves=31, step_size=0.2, max_iter=6, min_leaf=15, l2=1.0)
+    x = df.toPandas()[["x1", "x2"]].to_numpy()
+    one = boosting.train_folds(df, ["x1", "x2"], "is_fraud", fold, "transaction_id", 3, **how)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 120)
+    monkeypatch.setattr(boosting, "CHECKPOINT_ROUNDS", 2)
+    many = boosting.train_folds(df, ["x1", "x2"], "is_fraud", fold, "transaction_id", 3, **how)
+    for a, b in zip(one, many, strict=True):
+        assert len(a.trees) == len(b.trees) == 6 and np.allclose(a.margin(x), b.margin(x), atol=1e-9)
+
+
+def test_leaf_cap_minimum_and_bounded_rows(spark):
+    df = _frame(spark, 900)
+    fold = model.fold_of("transaction_id", "is_fraud", 2, 0)
+    how = dict(step_size=0.1, max_iter=4, min_leaf=15, l2=1.0)
+    models = boosting.train_folds(df, ["x1", "x2"], "is_fraud", fold, "transaction_id", 2, max_depth=None, max_leaves=6, **how)
+    rows = df.withColumn("f", fold).toPandas()
+    for f, m in enumerate(models):
+        x = rows.loc[rows["f"] != f, ["x1", "x2"]].to_numpy()
+        for t in m.trees:
+            assert sum(k < 0 for k in t.feature) <= 6
+            assert np.bincount(t.leaf_of(x, t.cut))[[i for i, k in enumerate(t.feature) if k < 0]].min() >= 15
+    few = boosting.bounded_rows(df, "transaction_id", 200, 0).count()
+    assert 140 < few < 260 and boosting.bounded_rows(df, "transaction_id", 900, 0) is df
+
+
+def test_a_null_feature_is_an_error(spark):
+    df = _frame(spark, 100).withColumn("x2", F.when(F.col("transaction_id") != 7, F.col("x2")))
+    with pytest.raises(Exception, match="null or NaN"):
+        model.train_scorer(df, ["x1", "x2"], max_iter=2, min_instances=5)
+
+
+def test_importance_by_tree_margins_equals_the_plain_form(spark):
+    df = _frame(spark, 500)
+    sc = model.train_scorer(df, ["x1", "x2"], max_iter=15, min_instances=5)
+    by_trees = {r["feature"]: r for r in model.permutation_importance(sc, df, ["x1", "x2"], repeats=2).collect()}
+
+    def plain(d):          # scores rounded as the margins of the trees are
+        return sc.transform(d)
+    by_copies = {r["feature"]: r for r in model.permutation_importance(plain, df, ["x1", "x2"], repeats=2).collect()}
+    for c in ("x1", "x2"):
+        assert by_trees[c]["importance_mean"] == pytest.approx(by_copies[c]["importance_mean"], abs=1e-6)
+    assert sc.importance()[0] > 0.5 and sc.importance().sum() == pytest.approx(1)
+
+
+def test_registered_queries_end_with_the_references_rounds(spark):
+    """All of m2, m3, m4, m8 and the card review to the end, on one model of 250 rounds."""
     import __spark_entry__
-
-    class Asked(Exception):
-        pass
-
-    def asked(*args, max_iter=250, **kwargs):
-        raise Asked(max_iter)
-
-    monkeypatch.setattr(model, "train_scorer", asked)
-    with pytest.raises(Asked) as got:
-        __spark_entry__.queries()[name](spark, __spark_entry__.SF_SMOKE)
-    assert got.value.args == (rounds,)
+    from ledgerguard.plans import demo_runs, model_queries
+    assert (model_queries.QUERY_MAX_ITER, demo_runs.WIDE_MAX_ITER) == (250, 300)
+    queries = __spark_entry__.queries()
+    sf = __spark_entry__.SF_SMOKE
+    rows = {n: queries[n](spark, sf).count() for n in (
+        "m2_gbt_importance", "m3_calibrated_valid", "m4_score_test", "m8_permutation_importance", "run_card_review", "run_card_queue")}
+    scorer = model_queries._SCORERS[spark.sparkContext.applicationId, sf]
+    assert scorer.params["max_iter"] == 250 and max(len(m.trees) for m in scorer.models) == 250
+    assert rows["m2_gbt_importance"] == rows["m8_permutation_importance"] == len(scorer.feature_cols)
+    assert rows["m3_calibrated_valid"] > 0 and rows["m4_score_test"] > 0
+    assert rows["run_card_review"] == 1 and rows["run_card_queue"] == 10
 
 
 def test_isolation_forest_ranks_planted_outlier_first(spark):

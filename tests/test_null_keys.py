@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerguard.operators import anomaly, asof, evaluation, model, warehouse
+from ledgerguard.operators import radix, anomaly, asof, evaluation, model, warehouse
 from ledgerguard.operators.features import add_card_features, add_card_features_skew_safe, detect_hot_keys
 from ledgerguard.operators.ordering import global_cumulative
 from ledgerguard.operators.wide_features import add_wide_features
@@ -105,17 +105,18 @@ def test_budget_grid():
         assert evaluation.budget_grid(n) == want
 
 
-def test_value_curve_is_the_same_by_either_way(spark, monkeypatch):
+def test_value_curve_and_top_k_equal_a_sort(spark, monkeypatch):
+    monkeypatch.setattr(radix, "REST", 5)          # several passes on a small table too
     rows = [(i, (i * 7 % 50) / 50, float(i), i % 3 == 0, 100 * i, float(i)) for i in range(200)]
     df = spark.createDataFrame(rows, "transaction_id long, score double, ts_us double, is_fraud boolean, amount_minor long, "
                                      "amount double").withColumn("is_fraud", F.col("is_fraud").cast("int"))
     budgets = [1, 7, 50, 199, 200, 400]
-    few = evaluation.value_budget_curve(df, budgets)
-    few = sorted(map(tuple, few.collect()))
-    monkeypatch.setattr(evaluation, "TOPK_LIMIT_MAX", 5)
-    many = sorted(map(tuple, evaluation.value_budget_curve(df, budgets).collect()))
-    assert few == many
-    assert evaluation.top_k(df, 20).exceptAll(df.orderBy(*evaluation.score_order()).limit(20)).count() == 0
+    order = sorted(rows, key=lambda r: (-r[1], r[2], r[0]))
+    total = sum(r[4] for r in rows if r[3])
+    got = {r["k"]: r["value_share"] for r in evaluation.value_budget_curve(df, budgets).collect()}
+    assert got == {k: sum(r[4] for r in order[:k] if r[3]) / total for k in budgets}
+    for k in (0, 20, 199, 500):
+        assert {r["transaction_id"] for r in evaluation.top_k(df, k).collect()} == {r[0] for r in order[:k]}
 
 
 def test_integer_running_sums_are_exact(spark):
