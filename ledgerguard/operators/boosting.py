@@ -189,7 +189,9 @@ def _best_splits(sums: np.ndarray, offsets: np.ndarray, min_leaf: int, l2: float
                 - (whole[0] ** 2 / (whole[1] + l2))[:, feature])
     fits = (np.minimum(left[2], right[2]) >= min_leaf) & (np.minimum(left[1], right[1]) >= MIN_CURVATURE)
     gain = np.where(fits, gain, -1.0)
-    at = gain.argmax(axis=1)
+    # the first of equal gains: sums of other blocks or orders differ in their last places
+    top = gain.max(axis=1, keepdims=True)
+    at = (gain >= top - 1e-9 * np.abs(top)).argmax(axis=1)
     out = []
     for leaf, b in enumerate(at.tolist()):
         g = float(gain[leaf, b])

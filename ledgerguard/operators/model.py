@@ -45,8 +45,9 @@ class CalibratedScorer:
     params: dict = field(default_factory=dict)
 
     def probability(self, margins: Sequence[np.ndarray]) -> np.ndarray:
-        """Mean calibrated probability from each model's margins."""
-        return np.mean([np.interp(m, *steps) for m, steps in zip(margins, self.calibrators, strict=True)], axis=0)
+        """Mean calibrated probability from each model's margins (to nine places, so that sums of
+        the same trees in another order give the same score)."""
+        return np.mean([np.interp(np.round(m, 9), *steps) for m, steps in zip(margins, self.calibrators, strict=True)], axis=0)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return self.probability([m.margin(x) for m in self.models])
@@ -104,7 +105,7 @@ def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is
             x, out = _dense(columns), np.zeros(len(f))
             for k, m in enumerate(models):
                 mine = f.to_numpy() == k
-                out[mine] = m.margin(x[mine])
+                out[mine] = np.round(m.margin(x[mine]), 9)
             yield pd.Series(out)
 
     held = cut_lineage(rows.select(fold.alias("fold"), F.col(label).cast("double").alias("label"), held_out(fold, *cols).alias("margin")))
@@ -138,8 +139,7 @@ def _variant_task(scorer: CalibratedScorer, names: tuple[str, str]):
                     for tree, before in zip(m.trees, k, strict=True):
                         if i in tree.features():
                             moved += tree.margin(x) - before
-                    # sums in another order differ in the last places: equal scores must stay equal
-                    margins.append(np.round(moved, 9))
+                    margins.append(moved)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i, dtype=np.int32)), pa.array(scorer.probability(margins)), label],
                                                  names=["_fi", "s", "label"])
     return run

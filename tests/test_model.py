@@ -63,7 +63,7 @@ def test_trees_follow_plain_newton_boosting(spark):
                         left, right = own & (xs[:, j] <= cut), own & (xs[:, j] > cut)
                         if min(left.sum(), right.sum()) >= 10 and min(h[left].sum(), h[right].sum()) >= 1e-3:
                             gain = sum(g[s].sum() ** 2 / (h[s].sum() + 1) * w for s, w in ((left, 1), (right, 1), (own, -1)))
-                            if best is None or gain > best[0] + 1e-9:
+                            if best is None or gain > best[0] + 1e-9 * abs(best[0]):
                                 best = (gain, j, cut)
                 if depth == 3 or best is None or best[0] <= 1e-12:
                     return np.where(out, -0.3 * g[own].sum() / (h[own].sum() + 1) if depth else 0.0, 0.0)
