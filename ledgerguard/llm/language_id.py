@@ -4,9 +4,10 @@ Each language has a probability for every piece of a fixed public byte-level voc
 word (white space between words counts as one blank before it) has the summed probability of
 *all* its segmentations into pieces, from a forward pass; a text the product over its words.
 
-* Training: word counts of a hash sample of the labelled rows (documented bound: about
-  ``per_language`` documents of each language), then expectation maximisation per language:
-  forward and backward passes give the expected count of every piece over all segmentations.
+* Training: word counts of a hash sample of the labelled rows (documented bounds: about
+  ``per_language`` documents of each of the ``max_languages`` most frequent languages), then
+  expectation maximisation per language: forward and backward passes give the expected count of
+  every piece over all segmentations.  Words are cut at the same white space as in scoring.
 * Scoring: a batch's words are dictionary-encoded, each distinct word gets its forward
   score under all languages once, and texts add up their words' scores.
 
@@ -27,22 +28,23 @@ from ledgerguard.llm.common import bounded_batches, pieces_by_bytes, without
 from ledgerguard.llm.lattice import Lattice, Trie, flat_bytes
 
 UNKNOWN = "und"
-_TRIES: dict[tuple[str, int], tuple[Trie, list[bytes]]] = {}
+#: white space as Arrow's and Python's splitting know it
+WHITE_SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_TRIES: dict[str, tuple[Trie, list[bytes]]] = {}
 
 
-def byte_pieces(path: str, longest: int) -> list[bytes]:
-    """Pieces of a rank file (base64 bytes and rank per line) up to ``longest`` bytes."""
+def byte_pieces(path: str) -> list[bytes]:
+    """Pieces of a rank file (base64 bytes and rank per line)."""
     with open(path, "rb") as f:
-        pieces = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-    return sorted(p for p in pieces if len(p) <= longest)
+        return sorted(base64.b64decode(line.split()[0]) for line in f if line.strip())
 
 
-def vocabulary_trie(path: str, longest: int) -> tuple[Trie, list[bytes]]:
-    """One trie per worker process."""
-    if (path, longest) not in _TRIES:
-        pieces = byte_pieces(path, longest)
-        _TRIES[path, longest] = (Trie(pieces), pieces)
-    return _TRIES[path, longest]
+def vocabulary_trie(path: str) -> tuple[Trie, list[bytes]]:
+    """One trie of the whole vocabulary per worker process."""
+    if path not in _TRIES:
+        pieces = byte_pieces(path)
+        _TRIES[path] = (Trie(pieces), pieces)
+    return _TRIES[path]
 
 
 def _with_blank(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,29 +74,31 @@ def fit_pieces(words: pa.Array, counts: np.ndarray, trie: Trie, pieces: int, rou
 
 
 def train(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", lang: str = "lang",
-          per_language: int = 1500, max_words: int = 150_000, longest: int = 10, rounds: int = 4, smooth: float = 0.02
+          per_language: int = 1500, max_words: int = 150_000, max_languages: int = 200, rounds: int = 4, smooth: float = 0.02
           ) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities (pieces, languages)).
 
     Learns only from rows with a text, a language and a key whose crc32 is not divisible by 5.
-    Bounds of the sample: a hash threshold takes about ``per_language`` documents of each
-    language (all, if there are fewer) and the ``max_words`` most frequent words of each.
+    Bounds of the sample: the ``max_languages`` most frequent values of ``lang`` are learned; a
+    hash threshold takes about ``per_language`` documents of each (all, if there are fewer) and
+    the ``max_words`` most frequent words of each.
     """
     usable = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(key))
-    sizes = {r[0]: r[1] for r in usable.groupBy(lang).count().collect()}   # one row per language
+    common = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages)
+    sizes = {r[0]: r[1] for r in common.collect()}
     if not sizes:
         return [], np.zeros((0, 0))
     share = docs.sparkSession.createDataFrame([(k, min(1.0, per_language / n)) for k, n in sorted(sizes.items())],
                                               "__lang string, __share double")
     unit = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("language")), F.lit(1 << 30)) / F.lit(1 << 30)
     sample = usable.join(F.broadcast(share), F.col(lang) == F.col("__lang")).where(unit < F.col("__share"))
-    words = (sample.select("__lang", F.explode(F.split(F.col(text), r"\s+")).alias("w")).where("w <> ''")
+    words = (sample.select("__lang", F.explode(F.split(F.col(text), WHITE_SPACE)).alias("w")).where("w <> ''")
              .groupBy("__lang", "w").count())
     rank = Window.partitionBy("__lang").orderBy(F.desc("count"), "w")
     words = words.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= max_words)
 
     def fit(group: pa.Table) -> pa.Table:
-        trie, pieces = vocabulary_trie(vocabulary, longest)
+        trie, pieces = vocabulary_trie(vocabulary)
         group = group.sort_by("w")
         word = group.column("w").combine_chunks().cast(pa.large_binary())
         logp = fit_pieces(word, group.column("count").to_numpy(), trie, len(pieces), rounds, smooth)
@@ -106,8 +110,8 @@ def train(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
 
 
 class Scorer:
-    def __init__(self, vocabulary: str, longest: int, langs: list[str], logp: np.ndarray):
-        self.trie, _ = vocabulary_trie(vocabulary, longest)
+    def __init__(self, vocabulary: str, langs: list[str], logp: np.ndarray):
+        self.trie, _ = vocabulary_trie(vocabulary)
         self.langs, self.logp = langs, np.ascontiguousarray(logp)
 
     def word_scores(self, words: pa.Array, block: int = 20_000) -> np.ndarray:
@@ -142,16 +146,16 @@ class Scorer:
 
 
 def identify(docs: DataFrame, vocabulary: str, text: str = "text", model: tuple[list[str], np.ndarray] | None = None,
-             longest: int = 10, keep_text: bool = True, **training) -> DataFrame:
+             keep_text: bool = True, **training) -> DataFrame:
     """``docs`` rows with lang_pred and score (posterior of the language, 0 to 1).
 
     ``und`` and score 0 for a null text, a text without a letter, or if there is nothing to
-    learn from.  Ties go to the first language in order.  Only the text is an input of a
+    learn from.  Ties go to the first language in order.  A very long text is scored whole.  Only the text is an input of a
     prediction.  Repeated rows get equal results; an empty table gives no rows.  Input
     columns named like an output column are replaced.
     """
     bounded_batches(docs.sparkSession)
-    langs, logp = model or train(docs, vocabulary, text=text, longest=longest, **training)
+    langs, logp = model or train(docs, vocabulary, text=text, **training)
     docs = without(docs, "lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast((langs, logp.astype(np.float64)))
     at = docs.columns.index(text)
@@ -160,7 +164,7 @@ def identify(docs: DataFrame, vocabulary: str, text: str = "text", model: tuple[
                            T.StructField("score", T.DoubleType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(vocabulary, longest, *shared.value)
+        scorer = Scorer(vocabulary, *shared.value)
         for batch in pieces_by_bytes(batches, at, 8 << 20):
             col = batch.column(at).fill_null("")
             lang, score = scorer.predict(col)

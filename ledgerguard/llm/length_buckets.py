@@ -63,12 +63,12 @@ def pack(docs: DataFrame, length: str = "n_tokens", key: str = "doc_id", max_buc
     """``docs`` with bucket (int, from 0), padded_length, batch (long, from 0 inside the
     bucket), slot (int, place in the batch).
 
-    Null lengths count as 0; a sequence longer than the budget has a batch of its own; rows
-    with equal keys are ordered by all their columns' hash; an empty table gives no rows.
-    Input columns named like an output column are replaced.  ``docs`` should be stored: it is
-    read three times.
+    Null lengths count as 0; a sequence longer than the budget has a batch of its own, however
+    long it is; rows with equal keys are ordered by all their columns' hash; an empty table gives
+    no rows.  Input columns named like an output column are replaced.  ``docs`` should be
+    stored: it is read four times.
     """
-    docs = without(docs, "bucket", "padded_length", "batch", "slot", "__len", "__u", "__range")
+    docs = without(docs, "bucket", "padded_length", "batch", "slot", "__len", "__every", "__copies", "__u", "__range")
     spark = docs.sparkSession
     columns = docs.columns
     every = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
@@ -83,7 +83,11 @@ def pack(docs: DataFrame, length: str = "n_tokens", key: str = "doc_id", max_buc
                                   enumerate(zip(bounds, ranges, strict=True))],
                                  "bucket int, padded_length long, ranges int, capacity long")
     bound = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    unit = F.pmod(F.xxhash64(F.col(key), F.lit("pack")), F.lit(1 << 40))
+    # at most rows / range_rows contents fill a range by themselves
+    sized = sized.withColumn("__every", every)
+    copies = sized.groupBy("__every").count().where(F.col("count") > range_rows).select("__every", F.lit(True).alias("__copies"))
+    sized = sized.withColumn("__row", F.monotonically_increasing_id()).join(copies, "__every", "left")
+    unit = F.pmod(F.xxhash64(F.col(key), "__every", F.when(F.col("__copies"), F.col("__row")), F.lit("pack")), F.lit(1 << 40))
     placed = (sized.withColumn("bucket", F.size(F.filter(bound, lambda b: b < F.col("__len"))))
               .withColumn("__u", unit).join(F.broadcast(plan), "bucket")   # max_buckets rows
               .withColumn("__range", F.floor(F.col("__u") * F.col("ranges") / F.lit(1 << 40)).cast("int")))
@@ -91,7 +95,7 @@ def pack(docs: DataFrame, length: str = "n_tokens", key: str = "doc_id", max_buc
     before = counted.withColumn("before", F.sum("n").over(
         Window.partitionBy("bucket").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)))
     starts = before.select("bucket", "__range", F.coalesce("before", F.lit(0)).alias("before"))
-    inside = Window.partitionBy("bucket", "__range").orderBy("__u", key, every)
+    inside = Window.partitionBy("bucket", "__range").orderBy("__u", key, "__every")
     numbered = placed.withColumn("__n", F.row_number().over(inside)).join(starts, ["bucket", "__range"])
     place = F.col("before") + F.col("__n") - 1
     return numbered.select(*[F.col(f"`{c}`") for c in columns], "bucket", "padded_length",

@@ -5,8 +5,9 @@ with a smaller key.  The corpus is compared piecewise, exactly, in four shuffled
 
 1. *Announce*.  Every window of ``length`` bytes owns one anchor: the ``gram`` bytes inside it
    with the smallest hash (leftmost on ties), so equal windows own equal anchors.  Each slice
-   of the documents announces its distinct anchors (8 bytes each).
-2. *Answer*.  Per anchor bucket: which anchors occur in more than one document.
+   of the documents announces its distinct anchors with their documents (7 bytes each).
+2. *Answer*.  Per anchor bucket: which anchors occur in more than one document, and which in
+   more than ``crowd`` (*crowded*).
 3. *Contexts*.  The bytes around each shared anchor (its run of windows, at most
    2 x length - gram bytes) go to the anchor's bucket, each distinct context once per slice,
    with its smallest key.  There they are merged; anchors with several different contexts are
@@ -14,9 +15,11 @@ with a smaller key.  The corpus is compared piecewise, exactly, in four shuffled
    ``length`` symbols (:mod:`ledgerguard.llm.bwt`), which gives the smallest key of every window.
 4. *Removal*.  Each slice takes the windows that have a smaller key elsewhere off its own texts.
 
-Copies cost one entry per slice however many there are; an anchor in very many slices is cut
-into two longer ones (the bytes on its left or right join the key), so a common phrase does
-not gather in one task.  The slices are one exchange of the documents, used three times.
+Copies cost one entry per slice however many there are.  A crowded anchor is no key: each of its
+windows is one by itself (128 bits of hash), dealt by that hash, and a minimum per window is all
+there is to know.  So what meets under one key is at most ``crowd`` contexts, or one entry per
+slice, whatever phrase a third of all documents share in whatever surroundings.  The slices are
+one exchange of the documents, used three times.  A very long text is one text of its slice.
 """
 
 from __future__ import annotations
@@ -138,8 +141,17 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
 
 ANNOUNCED = "bucket int, g int, ids binary, many binary"
 SHARED = "g int, ids binary, crowded binary"
-CONTEXTS = "bucket int, g int, ids binary, crowded binary, keys binary, lows binary, highs binary, sizes binary, bytes binary"
-MARKS = "g int, ids binary, crowded binary, digests binary, starts binary, stops binary, lows binary"
+# a row holds contexts or windows (of crowded anchors); the other columns are empty
+CONTEXTS = ("bucket int, g int, ids binary, lows binary, highs binary, sizes binary, bytes binary, "
+            "w_keys binary, w_ids binary, w_lows binary, w_highs binary")
+MARKS = "g int, ids binary, digests binary, starts binary, stops binary, lows binary, w_keys binary, w_ids binary, w_lows binary"
+
+
+def _rows(names: str, **columns: pa.Array) -> pa.Table:
+    """A table of these columns; the others of ``names`` hold empty bytes."""
+    n = len(next(iter(columns.values())))
+    order = [c.split()[0] for c in names.split(", ")]
+    return pa.table({c: columns.get(c, pa.array([b""] * n, pa.binary())) for c in order})
 
 
 def _announce(text_at: int, g_at: int, buckets: int, length: int, gram: int):
@@ -162,9 +174,10 @@ def _announce(text_at: int, g_at: int, buckets: int, length: int, gram: int):
             place = bucket * (int(g.max()) + 1) + g
             order = np.lexsort((d, h, place))
             h, d, place = h[order], d[order], place[order]
-            first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (place[1:] != place[:-1])])
-            last = np.r_[first[1:], len(h)] - 1
-            many = (d[first] != d[last]).astype(np.uint8)
+            start = np.r_[True, (h[1:] != h[:-1]) | (place[1:] != place[:-1])]
+            first = np.flatnonzero(start)
+            docs_of = np.add.reduceat((start | np.r_[True, d[1:] != d[:-1]]).astype(np.int64), first)
+            many = np.minimum(docs_of, 255).astype(np.uint8)      # more than enough to tell a crowd over the slices
             h, place = h[first], place[first]
             cut = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
             cuts = np.r_[cut, len(h)]
@@ -186,8 +199,9 @@ def _answer(crowd: int):
         h, many, g = h[order], many[order], g[order]
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
         count = np.diff(np.r_[first, len(h)])
-        known = np.repeat((count > 1) | (np.maximum.reduceat(many, first) > 0), count) if len(h) else first.astype(bool)
-        crowded = np.repeat(count > crowd, count).astype(np.uint8)
+        found = np.add.reduceat(many.astype(np.int64), first) if len(h) else first
+        known = np.repeat(found > 1, count)
+        crowded = np.repeat(found > crowd, count).astype(np.uint8)
         h, g, crowded = h[known], g[known], crowded[known]
         order = np.lexsort((h, g))
         h, g, crowded = h[order], g[order], crowded[order]
@@ -200,87 +214,121 @@ def _answer(crowd: int):
     return answer
 
 
-def _occurrences(texts: pa.Array, shared: np.ndarray, crowded: np.ndarray, length: int, gram: int
-                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(document, place in it, anchor id, class key, context bytes) of every run of windows
-    whose anchor is in ``shared`` (sorted).  A crowded anchor's run is cut in two: windows
-    with at least ``half`` bytes before the anchor take those bytes into their key, the others
-    the bytes after it.  Equal contexts always have equal ids and keys."""
-    half = (length - gram) // 2
-    docs, places, ids, keys, contexts = [], [], [], [], []
+def _runs(texts: pa.Array, wanted: np.ndarray, length: int, gram: int):
+    """Per piece of the texts (first document, bytes, document ends) and the runs of windows whose
+    anchor is in ``wanted`` (sorted): first window, one past the last, document, anchor id."""
+    if not len(wanted):
+        return
     for a, buf, ends in _pieces(texts):
         at, first, stop, doc = owned_runs(buf, ends, length, gram)
         own = _anchor_ids(buf, at, gram)
-        spot = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
-        hit = np.flatnonzero(shared[spot] == own)
-        at, first, stop, doc, own = at[hit], first[hit], stop[hit], doc[hit], own[hit]
+        spot = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+        hit = np.flatnonzero(wanted[spot] == own)
+        yield a, buf, ends, first[hit], stop[hit], doc[hit], own[hit]
+
+
+def _occurrences(texts: pa.Array, shared: np.ndarray, length: int, gram: int
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(document, place in it, anchor id, context bytes) of every run of windows whose anchor is
+    in ``shared`` (sorted)."""
+    docs, places, ids, contexts = [], [], [], []
+    for a, buf, ends, first, stop, doc, own in _runs(texts, shared, length, gram):
         raw = buf.tobytes()
-        key = own.copy()
-        many = np.flatnonzero(crowded[spot[hit]])
-        if len(many):
-            split = np.clip(at[many] - half + 1, first[many], stop[many])  # windows before it: >= half on the left
-            left, right = many[split > first[many]], many[split < stop[many]]
-            left_stop, right_first = split[split > first[many]], split[split < stop[many]]
-            keep = np.ones(len(at), dtype=bool)
-            keep[many] = False
-            plain = np.flatnonzero(keep)
-            key = np.r_[key[plain], np.array(
-                [xxhash.xxh64_intdigest(raw[k - half:k + gram], 1) for k in at[left].tolist()] +
-                [xxhash.xxh64_intdigest(raw[k:k + length - half + 1], 2) for k in at[right].tolist()], np.uint64)]
-            order = np.r_[plain, left, right]
-            first = np.r_[first[plain], first[left], right_first]
-            stop = np.r_[stop[plain], left_stop, stop[right]]
-            doc, own = doc[order], own[order]
         docs.append(a + doc)
         places.append(first - np.r_[0, ends[:-1]][doc])
         ids.append(own)
-        keys.append(key)
         contexts += [raw[i:j] for i, j in zip(first.tolist(), (stop + length - 1).tolist(), strict=True)]
-    return (*(np.concatenate(x) if x else np.empty(0, np.int64) for x in (docs, places, ids, keys)), contexts)
+    return (*(np.concatenate(x) if x else np.empty(0, np.int64) for x in (docs, places, ids)), contexts)
+
+
+def _window_hashes(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """(windows, 2): 128 bits of hash of the ``length`` bytes from each place."""
+    padded = np.r_[buf, np.zeros(8, np.uint8)]
+    out = np.zeros((len(at), 2), dtype=np.uint64)
+    for k in range(0, length, 8):
+        word = np.zeros(len(at), dtype=np.uint64)
+        for j in range(min(8, length - k)):
+            word |= padded[at + k + j].astype(np.uint64) << np.uint64(8 * j)
+        for c, odd in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
+            out[:, c] = _mix(out[:, c] * np.uint64(odd) + (word ^ np.uint64(odd >> 7)) + np.uint64(k + 1 + c))
+    return out
+
+
+def _crowded_windows(texts: pa.Array, crowded: np.ndarray, length: int, gram: int
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place in it, anchor id, hashes) of every window of a crowded anchor."""
+    docs, places, ids, hashes = [], [], [], []
+    for a, buf, ends, first, stop, doc, own in _runs(texts, crowded, length, gram):
+        n = stop - first
+        at = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        doc = np.repeat(doc, n)
+        docs.append(a + doc)
+        places.append(at - np.r_[0, ends[:-1]][doc])
+        ids.append(np.repeat(own, n))
+        hashes.append(_window_hashes(buf, at, length))
+    if not docs:
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(np.uint64), np.empty((0, 2), np.uint64)
+    return tuple(np.concatenate(x) for x in (docs, places, ids, hashes))
+
+
+def _cuts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of equal values, and the same with the end."""
+    cut = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.empty(0, np.int64)
+    return cut, np.r_[cut, len(x)]
+
+
+def _same_window(hashes: np.ndarray) -> np.ndarray:
+    """First places of equal windows in sorted order."""
+    return np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]).any(axis=1)]) if len(hashes) else np.empty(0, np.int64)
 
 
 def _contexts(buckets: int, length: int, gram: int, key: str, text: str):
     def contexts(_, docs: pa.Table, answers: pa.Table) -> pa.Table:
         give_back()
-        g = answers.column("g")[0].as_py() if answers.num_rows else 0
-        none = np.empty(0, np.uint64)
-        distinct, ids, keys, lows, highs = [], none, none, none, none
-        if answers.num_rows and docs.num_rows:
-            shared, crowded = _from_six(answers.column("ids")), _joined(answers.column("crowded"), np.uint8)
-            order = np.argsort(shared)
-            low = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_numpy()
-            by_key = np.argsort(low, kind="stable")       # ascending: first and last seen are low and high
-            texts = _texts(docs, text).take(pa.array(by_key))
-            doc, _, h, k, ctx = _occurrences(texts, shared[order], crowded[order], length, gram)
-            at = np.argsort(doc, kind="stable")
-            if (np.diff(doc) < 0).any():                  # cut runs come after the others of their piece
-                ctx, doc, h, k = [ctx[i] for i in at.tolist()], doc[at], h[at], k[at]
-            last = dict(zip(ctx, range(len(ctx)), strict=True))
-            first = dict(zip(reversed(ctx), range(len(ctx) - 1, -1, -1), strict=True))
-            distinct = list(last)
-            head = np.fromiter(map(first.__getitem__, distinct), dtype=np.int64, count=len(distinct))
-            tail = np.fromiter(last.values(), dtype=np.int64, count=len(distinct))
-            sorted_low = low[by_key]
-            ids, keys, lows, highs = h[head], k[head], sorted_low[doc[head]], sorted_low[doc[tail]]
-        bucket = (keys % np.uint64(buckets)).astype(np.int64)
+        if not answers.num_rows or not docs.num_rows:
+            return _rows(CONTEXTS, bucket=pa.array([], pa.int32()), g=pa.array([], pa.int32()))
+        g = answers.column("g")[0].as_py()
+        shared, crowded = _from_six(answers.column("ids")), _joined(answers.column("crowded"), np.uint8)
+        low = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_numpy()
+        by_key = np.argsort(low, kind="stable")       # ascending: first and last seen are low and high
+        texts = _texts(docs, text).take(pa.array(by_key))
+        sorted_low = low[by_key]
+        doc, _, h, ctx = _occurrences(texts, np.sort(shared[crowded == 0]), length, gram)
+        last = dict(zip(ctx, range(len(ctx)), strict=True))
+        first = dict(zip(reversed(ctx), range(len(ctx) - 1, -1, -1), strict=True))
+        distinct = list(last)
+        head = np.fromiter(map(first.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        tail = np.fromiter(last.values(), dtype=np.int64, count=len(distinct))
+        ids, lows, highs = h[head].astype(np.uint64), sorted_low[doc[head]], sorted_low[doc[tail]]
+        bucket = (ids % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bucket = bucket[order]
-        cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
-        cuts = np.r_[cut, len(bucket)]
+        cut, cuts = _cuts(bucket)
         sizes = np.fromiter(map(len, distinct), dtype=np.uint16, count=len(distinct))[order]
         flat = np.frombuffer(b"".join([distinct[i] for i in order.tolist()]), dtype=np.uint8)
         at = np.r_[0, np.cumsum(sizes, dtype=np.int64)][cuts]
-        ids, keys = ids[order], keys[order]
-        own = keys != ids                                  # only crowded anchors have keys of their own
         packed = [pa.compress(flat[a:b].tobytes(), codec="zstd", asbytes=True)
                   for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        return pa.table({"bucket": pa.array(bucket[cut].astype(np.int32), pa.int32()),
-                         "g": pa.array(np.full(len(cut), g, np.int32), pa.int32()),
-                         "ids": _blobs(_six(ids), cuts), "crowded": _blobs(own.astype(np.uint8), cuts),
-                         "keys": _blobs(keys[own], np.r_[0, np.cumsum(own)][cuts]),
-                         "lows": _blobs(lows[order].astype(np.int64), cuts),
-                         "highs": _blobs((highs[order] - lows[order]).astype(np.int64), cuts),   # mostly zeros
-                         "sizes": _blobs(sizes, cuts), "bytes": pa.array(packed, pa.binary())})
+        out = _rows(CONTEXTS, bucket=pa.array(bucket[cut].astype(np.int32), pa.int32()),
+                    g=pa.array(np.full(len(cut), g, np.int32), pa.int32()), ids=_blobs(_six(ids[order]), cuts),
+                    lows=_blobs(lows[order].astype(np.int64), cuts),
+                    highs=_blobs((highs[order] - lows[order]).astype(np.int64), cuts),   # mostly zeros
+                    sizes=_blobs(sizes, cuts), bytes=pa.array(packed, pa.binary()))
+        doc, _, own, hashes = _crowded_windows(texts, np.sort(shared[crowded == 1]), length, gram)
+        if not len(doc):
+            return out
+        bucket = (hashes[:, 0] % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((doc, hashes[:, 1], hashes[:, 0], bucket))
+        doc, own, hashes, bucket = doc[order], own[order], hashes[order], bucket[order]
+        first = _same_window(hashes)
+        lows, highs = sorted_low[doc[first]], sorted_low[doc[np.r_[first[1:], len(doc)] - 1]]
+        cut, cuts = _cuts(bucket[first])
+        return pa.concat_tables([out, _rows(
+            CONTEXTS, bucket=pa.array(bucket[first][cut].astype(np.int32), pa.int32()),
+            g=pa.array(np.full(len(cut), g, np.int32), pa.int32()), w_keys=_blobs(hashes[first].view("V16").ravel(), cuts),
+            w_ids=_blobs(_six(own[first]), cuts), w_lows=_blobs(lows.astype(np.int64), cuts),
+            w_highs=_blobs((highs - lows).astype(np.int64), cuts))])
     return contexts
 
 
@@ -332,12 +380,33 @@ def window_lows(flat: np.ndarray, starts: np.ndarray, keys: np.ndarray, lows: np
     return out, at
 
 
+def _window_marks(table: pa.Table) -> pa.Table:
+    """For each slice, its windows of crowded anchors that have a smaller key elsewhere."""
+    hashes = _joined(table.column("w_keys"), np.uint64).reshape(-1, 2)
+    lows = _joined(table.column("w_lows"), np.int64)
+    highs = lows + _joined(table.column("w_highs"), np.int64)
+    own = _from_six(table.column("w_ids"))
+    per = np.array([len(x) // 8 for x in table.column("w_lows").to_pylist()], dtype=np.int64)
+    g = np.repeat(table.column("g").to_numpy(), per)
+    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    hashes, lows, highs, own, g = hashes[order], lows[order], highs[order], own[order], g[order]
+    first = _same_window(hashes)
+    least = np.repeat(np.minimum.reduceat(lows, first), np.diff(np.r_[first, len(lows)])) if len(lows) else lows
+    ok = np.flatnonzero(least < highs)
+    ok = ok[np.argsort(g[ok], kind="stable")]
+    cut, cuts = _cuts(g[ok])
+    return _rows(MARKS, g=pa.array(g[ok][cut].astype(np.int32), pa.int32()), w_keys=_blobs(hashes[ok].view("V16").ravel(), cuts),
+                 w_ids=_blobs(_six(own[ok]), cuts), w_lows=_blobs(least[ok], cuts))
+
+
 def _classes(length: int):
     def classes(table: pa.Table) -> pa.Table:
         give_back()
+        windows = np.array([len(x) > 0 for x in table.column("w_lows").to_pylist()])
+        return pa.concat_tables([_context_marks(table.filter(pa.array(~windows))), _window_marks(table.filter(pa.array(windows)))])
+
+    def _context_marks(table: pa.Table) -> pa.Table:
         ids = _from_six(table.column("ids"))
-        keys = ids.copy()
-        keys[_joined(table.column("crowded"), np.uint8) == 1] = _joined(table.column("keys"), np.uint64)
         lows = _joined(table.column("lows"), np.int64)
         highs = lows + _joined(table.column("highs"), np.int64)
         sizes = _joined(table.column("sizes"), np.uint16).astype(np.int64)
@@ -354,7 +423,7 @@ def _classes(length: int):
         low = np.full(n, NO_KEY, dtype=np.int64)
         np.minimum.at(low, which, lows)
         class_key = np.zeros(n, dtype=np.uint64)
-        class_key[which] = keys
+        class_key[which] = ids
         starts = np.r_[0, np.cumsum(np.fromiter(map(len, number), dtype=np.int64, count=n))]
         least, at = window_lows(np.frombuffer(b"".join(number), dtype=np.uint8), starts, class_key, low, length)
         # stretches of windows with one smallest key, per distinct context
@@ -375,15 +444,36 @@ def _classes(length: int):
         cuts = np.r_[cut, len(gs)]
         digest = np.fromiter(map(xxhash.xxh64_intdigest, number), dtype=np.uint64, count=n)
         base = at[which[entry]]
-        return pa.table({"g": pa.array(gs[cut].astype(np.int32), pa.int32()), "ids": _blobs(_six(ids[entry]), cuts),
-                         "crowded": _blobs((ids[entry] != keys[entry]).astype(np.uint8), cuts),
-                         "digests": _blobs(digest[which[entry]], cuts),
-                         "starts": _blobs((run[r] - base).astype(np.uint16), cuts),
-                         "stops": _blobs((run_stop[r] - base).astype(np.uint16), cuts),
-                         "lows": _blobs(least[run[r]], cuts)})
+        return _rows(MARKS, g=pa.array(gs[cut].astype(np.int32), pa.int32()), ids=_blobs(_six(ids[entry]), cuts),
+                     digests=_blobs(digest[which[entry]], cuts), starts=_blobs((run[r] - base).astype(np.uint16), cuts),
+                     stops=_blobs((run_stop[r] - base).astype(np.uint16), cuts), lows=_blobs(least[run[r]], cuts))
     return classes
 
 
+def _crowded_spans(texts: pa.Array, keys: np.ndarray, marks: pa.Table, length: int, gram: int):
+    """(document, start, end) of stretches of windows of crowded anchors with a smaller key elsewhere."""
+    hashes = _joined(marks.column("w_keys"), np.uint64).reshape(-1, 2)
+    lows, own = _joined(marks.column("w_lows"), np.int64), _from_six(marks.column("w_ids"))
+    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    hashes, lows = hashes[order], lows[order]
+    doc, place, _, mine = _crowded_windows(texts, np.unique(own), length, gram)
+    if not len(doc) or not len(lows):
+        return
+    at = np.searchsorted(hashes[:, 0], mine[:, 0])
+    least = np.full(len(doc), NO_KEY)
+    # windows whose first 64 bits agree lie in a row; the other 64 decide
+    for k in range(int(np.diff(np.r_[_cuts(hashes[:, 0])[1]]).max())):
+        spot = np.minimum(at + k, len(lows) - 1)
+        same = (hashes[spot] == mine).all(axis=1)
+        least[same] = lows[spot[same]]
+    hit = np.flatnonzero(least < keys[doc])
+    hit = hit[np.lexsort((place[hit], doc[hit]))]
+    doc, place = doc[hit], place[hit]
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + 1)]) if len(doc) else hit
+    last = np.r_[first[1:], len(doc)] - 1 if len(doc) else hit
+    yield from zip(doc[first].tolist(), place[first].tolist(), (place[last] + length).tolist(), strict=True)
+
+
 def _remove(length: int, gram: int, key: str, text: str, keep: list[str], with_text: bool):
     def remove(_, docs: pa.Table, marks: pa.Table) -> pa.Table:
         give_back()
@@ -391,18 +481,19 @@ def _remove(length: int, gram: int, key: str, text: str, keep: list[str], with_t
         keys = docs.column(key).cast(pa.int64()).fill_null(NO_KEY).to_pylist()
         spans: dict[int, list[tuple[int, int]]] = {}
         if marks.num_rows and docs.num_rows:
-            ids, crowded = _from_six(marks.column("ids")), _joined(marks.column("crowded"), np.uint8)
+            ids = _from_six(marks.column("ids"))
             found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
             for h, d, s, e, m in zip(ids.tolist(), *(_joined(marks.column(c), t).tolist() for c, t in (
                     ("digests", np.uint64), ("starts", np.uint16), ("stops", np.uint16), ("lows", np.int64))),
                     strict=True):
                 found.setdefault((h, d), []).append((s, e, m))
-            unique, at = np.unique(ids, return_index=True)
-            doc, where, own, _, ctx = _occurrences(texts, unique, crowded[at], length, gram)
+            doc, where, own, ctx = _occurrences(texts, np.unique(ids), length, gram)
             for d, w, h, c in zip(doc.tolist(), where.tolist(), own.tolist(), ctx, strict=True):
                 for s, e, m in found.get((h, xxhash.xxh64_intdigest(c)), ()):
                     if m < keys[d]:
                         spans.setdefault(d, []).append((w + s, w + e + length - 1))
+            for d, a, b in _crowded_spans(texts, np.array(keys, dtype=np.int64), marks, length, gram):
+                spans.setdefault(d, []).append((a, b))
         size, gone, cuts, sha, kept_text = [], [], [], [], []
         for d, raw in enumerate(texts.to_pylist()):
             merged: list[list[int]] = []

@@ -72,11 +72,22 @@ def ids_of(payload: bytes) -> tuple[int | None, np.ndarray]:
     return key if known else None, np.frombuffer(payload, dtype=f"<u{width}", offset=_KEY.size)
 
 
+#: Spark's (Hadoop's) names of stores, and pyarrow's
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "gs": "gcs", "viewfs": "hdfs"}
+
+
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a folder named as Spark names it."""
+    """The file system and path of a folder named as Spark names it.  Object stores take their
+    credentials and region from the workers' environment; ``hdfs`` needs its native client."""
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    scheme, rest = uri.split("://", 1)
+    scheme = SCHEMES.get(scheme, scheme)
+    if scheme == "s3":      # no look-up of the bucket's region, which would need the network here
+        return fs.S3FileSystem(), rest
+    return fs.FileSystem.from_uri(f"{scheme}://{rest}")
 
 
 def write_token_records(docs: DataFrame, folder: str, vocabulary: str, key: str = "doc_id", text: str = "text",
@@ -85,12 +96,15 @@ def write_token_records(docs: DataFrame, folder: str, vocabulary: str, key: str
     (part, file, records, ids), one row per file.
 
     Null text counts as empty (its record holds only the end id); rows without a key come
-    first; rows with equal keys are ordered by text.  An empty table writes no file.
+    first; rows with equal keys are in the order of a hash of their text, and copies of a row in
+    that of the table, so that neither fills a file alone.  A very long text is one record.  An
+    empty table writes no file; other columns are ignored whatever their names.
     """
     spark = docs.sparkSession
-    ranged = (docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-              .repartitionByRange(shuffle_partitions(spark), F.col("k").asc_nulls_first())
-              .sortWithinPartitions(F.col("k").asc_nulls_first(), "t"))
+    order = [F.col("k").asc_nulls_first(), F.col("h"), F.col("row")]
+    ranged = (docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"),
+                          F.monotonically_increasing_id().alias("row"))
+              .repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).select("k", "t"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

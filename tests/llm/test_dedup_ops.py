@@ -153,6 +153,23 @@ def test_suffix_dedup_edges(spark):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_of_a_phrase_in_every_document(spark):
+    """A phrase of 40 bytes in ever other surroundings (nothing goes), one of 60 (it goes), and a
+    very long text; no key meets more than a few rows of a slice."""
+    rng = random.Random(6)
+    own = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    short, long = "P" + own(38) + "Q", "R" + own(58) + "S"
+    texts = [f"{own(60)}{short}{own(60)}" for _ in range(150)] + [f"{own(30)}{long}{own(30)}" for _ in range(150)]
+    texts.append(own(200_000) + long + short)
+    ids = [(i * 37) % 1009 for i in range(len(texts))]
+    for crowd in (10, 1000):
+        got = suffix_dedup.remove_repeats(frame(spark, texts, ids), crowd=crowd).collect()
+        by = {r["doc_id"]: r["n_removed"] for r in got}
+        first = min(ids[150:])
+        assert [by[i] for i in ids[:150]] == [0] * 150
+        assert all(60 <= by[i] <= 70 for i in ids[150:] if i != first) and by[first] == 0
+
+
 def test_bounded_prefix_classes():
     rng = np.random.default_rng(0)
     for _ in range(60):

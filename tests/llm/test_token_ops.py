@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,78 @@ def test_nbest_operator(spark):
         assert all(nbest_pieces.decode_ids(model, x) == text for x in r["nbest_ids"])
         assert len(set(map(tuple, r["nbest_ids"]))) == len(r["nbest_ids"])
     assert nbest_pieces.encode_nbest(df.limit(0), PIECES).count() == 0
+
+
+# ------------------------------------------------------------------ cases of the last reviews
+
+def test_pack_spreads_null_keys_and_repeated_keys_and_rows(spark):
+    """Half of the rows without a key, a tenth under one key, a tenth equal: no range holds many."""
+    rows = [(None if i % 2 else i, 5 + i % 3, i) for i in range(4000)] + [(-1, 5, i) for i in range(1000)] + [(-2, 5, 0)] * 1000
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, other long").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = length_buckets.pack(df, range_rows=300, round_to=8, max_buckets=1, token_budget=800).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    places = sorted((r["batch"], r["slot"]) for r in got)
+    assert places == [(i // 100, i % 100) for i in range(6000)]           # each place once, whatever the keys
+    null_batches = Counter(r["batch"] for r in got if r["doc_id"] is None)
+    assert len(null_batches) == 60 and max(null_batches.values()) < 60    # spread over all batches
+    assert len({r["batch"] for r in got if r["doc_id"] == -2}) > 50
+
+
+def test_files_of_stores_are_named_as_spark_names_them(tmp_path):
+    for uri, kind in (("s3a://bucket/a/b", "s3"), ("s3n://bucket/a/b", "s3"), ("file:/tmp/x", "local"), ("/tmp/x", "local"),
+                      (f"file://{tmp_path}", "local")):
+        store, path = token_records.file_system(uri)
+        assert store.type_name == kind and "://" not in path
+    assert token_records.file_system("s3a://bucket/a/b")[1] == "bucket/a/b"
+
+
+def test_records_of_null_and_equal_keys_fill_several_files(spark):
+    folder = scratch_path(spark, "records-null")
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, f"other {i}") for i in range(300)] + [(9, "copy")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    files = token_records.write_token_records(docs, folder, BPE).collect()
+    assert sum(r["records"] for r in files) == 900 and max(r["records"] for r in files) < 500
+    got = token_records.read_token_records(spark, folder).collect()
+    assert Counter(r["doc_id"] for r in got) == {None: 300, 7: 300, 9: 300}
+    order = sorted(got, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in order] == [None] * 300 + [7] * 300 + [9] * 300
+    assert all(b["start"] == a["start"] + a["n_tokens"] for a, b in zip(order, order[1:], strict=False))
+
+
+def test_words_are_cut_alike_in_training_and_scoring(spark):
+    odd = [chr(c) for c in range(1, 0x3001) if not 0xD800 <= c < 0xE000]
+    texts = [f"x{c}y" for c in odd]
+    by_arrow = [len(w) for w in pa.compute.utf8_split_whitespace(pa.array(texts)).to_pylist()]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select(
+        "i", F.size(F.split("t", language_id.WHITE_SPACE)).alias("n")).orderBy("i").collect()
+    assert [r["n"] for r in rows] == by_arrow
+
+
+def test_language_predictions_equal_brute_force(spark):
+    """The forward sums over the whole vocabulary, word by word, for every text."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").limit(60)
+    langs, logp = language_id.train(docs, RANKS, per_language=20, rounds=2)
+    pieces = language_id.byte_pieces(RANKS)
+    assert len(pieces) == 50_256 and max(map(len, pieces)) == 128 and logp.shape == (len(pieces), len(langs))
+    number = {p: i for i, p in enumerate(pieces)}
+
+    def word(w):
+        raw = b" " + w.encode()
+        total = [np.zeros(len(langs))] + [np.full(len(langs), -np.inf)] * len(raw)
+        for end in range(1, len(raw) + 1):
+            for start in range(max(0, end - 128), end):
+                if raw[start:end] in number:
+                    total[end] = np.logaddexp(total[end], total[start] + logp[number[raw[start:end]]])
+        return total[-1]
+    got = {r["doc_id"]: r for r in language_id.identify(docs, RANKS, model=(langs, logp)).collect()}
+    known = {}
+    for r in docs.collect()[:25]:
+        words = (r["text"] or "").split()[:400] if len((r["text"] or "").split()) <= 400 else None
+        if words is None or not any(c.isalpha() for c in r["text"] or ""):
+            continue
+        scores = sum((known.setdefault(w, word(w)) for w in words), np.zeros(len(langs)))
+        assert got[r["doc_id"]]["lang_pred"] == langs[int(scores.argmax())]
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 / np.exp(scores - scores.max()).sum(), abs=1e-6)
