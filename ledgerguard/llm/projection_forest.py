@@ -6,12 +6,16 @@
   (and is zero for queries), which turns the largest inner product into the smallest angle.
 * *Index*: every row goes down every tree; a leaf's rows are cut into blocks of about
   ``block_rows``, so a dense region is spread over tasks.
-* *Search*: one priority queue per query holds open nodes of all trees; the node with the
-  largest margin to its hyperplanes is opened next, until the leaves found hold
-  ``search_rows`` rows or ``search_share`` of one tree's rows, whichever is more (a row counts
-  in every tree; leaf sizes are known from the index).  The default share gives a recall over
-  0.9 on vectors whose nearest are hardly nearer than others (64 dimensions, inner products
-  of about 0.4 between unit vectors); clustered vectors need far less.
+* *Search*: one priority queue per query (scaled to unit length, which changes no ranking) holds
+  open nodes of all trees; the node that the query lies nearest to is opened next.  It first
+  takes leaves with ``first_rows`` rows (a row counts in every tree; leaf sizes are known from
+  the index).  The distance d of the ``top``-th candidate found then bounds the rest: no nearer
+  vector lies across a hyperplane further away than d, and few lie further than ``reach`` x d /
+  sqrt(dimension), the typical part of a distance along one direction.  The queue is followed
+  up to that margin, or until it has opened as many rows as ``search_share`` of the table.
+  Clustered vectors end early; for vectors whose nearest are hardly nearer than others (64
+  dimensions, inner products of about 0.4 between unit vectors) no margin tells much, and nearly
+  as many rows are read as there are.
 * *Rerank*: queries meet their leaves' rows; inner products of the original vectors in double
   precision, nearest per block, then per query.
 
@@ -80,15 +84,18 @@ class Forest:
             out[:, t] = -1 - at
         return out
 
-    def search(self, query: np.ndarray, sizes: list[int], rows: int) -> list[int]:
-        """Leaves opened for one query by the shared queue, until they hold ``rows`` rows."""
+    def search(self, query: np.ndarray, sizes: list[int], first: int, rows: int = 0, reach: float = -np.inf) -> list[int]:
+        """Leaves opened for one query by the shared queue: until they hold ``first`` rows, and on
+        while nodes are within ``reach`` and the leaves hold less than ``rows`` rows."""
         margin = (self.normal @ query - self.shift).tolist()
         child = self.child
         queue = [(-np.inf, r) for r in self.roots]
         heapq.heapify(queue)
         found, got = [], 0
-        while queue and got < rows:
+        while queue and got < max(first, rows):
             priority, node = heapq.heappop(queue)
+            if got >= first and priority > reach:
+                break
             if node < 0:
                 found.append(-1 - node)
                 got += sizes[-1 - node]
@@ -117,8 +124,9 @@ def usable_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", query_every: int = 20, top: int = 20,
-            trees: int = 16, sample_rows: int = 20_000, leaf_sample: int = 128, search_share: float = 1.0,
-            search_rows: int = 8_000, block_rows: int = 4_096, queries: DataFrame | None = None) -> DataFrame:
+            trees: int = 16, sample_rows: int = 20_000, leaf_sample: int = 128, search_share: float = 1.25,
+            first_rows: int = 4_000, reach: float = 0.5, block_rows: int = 4_096, queries: DataFrame | None = None
+            ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` largest inner products found per query,
     largest first, ties to the smaller id.  Queries are the rows whose key is divisible by
     ``query_every`` (or ``queries``, with the same columns); a query's own key is no candidate.
@@ -165,16 +173,26 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     for r in counts:
         sizes[r["leaf"]] = r["count"]
     known = spark.sparkContext.broadcast(sizes)
-    budget = max(search_rows, int(search_share * size["n"]))
+    most = int(search_share * size["n"])
     blocks = spark.createDataFrame([(leaf, -(-n // block_rows)) for leaf, n in enumerate(sizes) if n],
                                    "leaf long, blocks int")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Leaves of each query: the first ones, or (with a bound) those that follow them."""
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1)) / longest
-            found = [shared.value.search(q, known.value, budget) for q in np.c_[x, np.zeros(len(x))].astype(np.float32)]
+            x = _matrix(batch.column(1))
+            length = np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-300)[:, None]
+            rows = np.c_[x / length, np.zeros(len(x))].astype(np.float32)
+            found = [shared.value.search(q, known.value, first_rows) for q in rows]
+            if batch.num_columns > 2:
+                # squared distance of unit vectors to the worst candidate (none: all are nearer)
+                worst = batch.column(2).to_numpy(zero_copy_only=False) / (length[:, 0] * longest)
+                gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.nan_to_num(worst, nan=-1.0)))
+                bound = np.minimum(reach / np.sqrt(x.shape[1]), 1.0) * gap
+                found = [shared.value.search(q, known.value, first_rows, most, r)[len(f):]
+                         for q, r, f in zip(rows, bound.tolist(), found, strict=True)]
             at = np.repeat(np.arange(len(found)), [len(f) for f in found])
             take = pa.array(at)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)),
@@ -182,9 +200,6 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
                                              names=["leaf", "id", "v"])
 
     n_parts = shuffle_partitions(spark)
-    probes = (asked.select("id", "v").repartition(n_parts, "id")
-              .mapInArrow(probe, f"leaf long, id long, v {kind}").join(F.broadcast(blocks), "leaf")
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     cells = placed.join(F.broadcast(blocks), "leaf").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
 
@@ -212,9 +227,21 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
         cols = [np.concatenate(c) for c in zip(*rows, strict=True)]
         return pa.table({"query_id": pa.array(cols[0]), "vec_id": pa.array(cols[1]), "score": pa.array(cols[2])})
 
-    met = probes.select("leaf", "block", "id", "v").groupBy("leaf", "block").cogroup(
-        cells.select("leaf", "block", "id", "v").groupBy("leaf", "block")).applyInArrow(
-        meet, "query_id long, vec_id long, score double")
+    def candidates(asked: DataFrame) -> DataFrame:
+        probes = (asked.repartition(n_parts, "id").mapInArrow(probe, f"leaf long, id long, v {kind}")
+                  .join(F.broadcast(blocks), "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+        met = probes.select("leaf", "block", "id", "v").groupBy("leaf", "block").cogroup(
+            cells.select("leaf", "block", "id", "v").groupBy("leaf", "block")).applyInArrow(
+            meet, "query_id long, vec_id long, score double")
+        return met.distinct()
+
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (met.distinct().withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= top)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= top)
+
+    first = cut_lineage(best(candidates(asked.select("id", "v"))))
+    worst = first.where(F.col("rank") == top).select(F.col("query_id").alias("id"), F.col("score").alias("worst"))
+    more = candidates(asked.select("id", "v").join(worst, "id", "left"))
+    return best(first.drop("rank").unionByName(more).distinct()).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

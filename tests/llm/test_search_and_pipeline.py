@@ -35,7 +35,7 @@ def test_forest_is_exact_when_all_leaves_are_opened(spark):
     ids = list(range(300))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
     df = df.withColumn("leaf", F.lit("clash")).withColumn("id", F.lit("clash")).repartition(4)
-    got = as_lists(projection_forest.nearest(df, top=20, leaf_sample=8, search_rows=10 ** 6, block_rows=16).collect())
+    got = as_lists(projection_forest.nearest(df, top=20, leaf_sample=8, first_rows=10 ** 6, block_rows=16).collect())
     want = brute(ids, x, range(0, 300, 20), 20)
     assert {q: [i for i, _ in r] for q, r in got.items()} == {q: [i for i, _ in r] for q, r in want.items()}
     assert all(abs(a[1] - b[1]) < 1e-12 for q in got for a, b in zip(got[q], want[q], strict=True))
@@ -46,13 +46,45 @@ def test_forest_recall(spark):
     x = rng.normal(size=(4000, 16)) * rng.uniform(0.5, 2, size=(4000, 1))
     ids = list(range(4000))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
-    got = as_lists(projection_forest.nearest(df, top=20, leaf_sample=32, search_rows=1000, search_share=0.8).collect())
+    got = as_lists(projection_forest.nearest(df, top=20, leaf_sample=32, first_rows=500).collect())
     want = brute(ids, x, range(0, 4000, 20), 20)
     hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
     assert len(got) == 200 and np.mean(hits) >= 0.9
     assert all(r == sorted(r, key=lambda p: (-p[1], p[0])) for r in got.values())
 
 
+@pytest.mark.parametrize("kind, most", [("clustered", 0.4), ("skewed", 1.3)])
+def test_recall_and_rows_read(kind, most):
+    """20,000 vectors: recall against brute force, and rows opened as a share of the table."""
+    rng = np.random.default_rng(2)
+    n, d = 20_000, 32
+    x = rng.normal(size=(n, d))
+    if kind == "clustered":
+        x = rng.normal(size=(300, d))[rng.integers(0, 300, n)] + 0.2 * x
+    x = x / np.linalg.norm(x, axis=1)[:, None] * (np.exp(0.7 * rng.normal(size=(n, 1))) if kind == "skewed" else 1)
+    longest = np.linalg.norm(x, axis=1).max()
+    unit = x / longest
+    lifted = np.c_[unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))].astype(np.float32)
+    forest = projection_forest.Forest(lifted[:10_000], 16, 128)
+    leaf = forest.leaves_of(lifted)
+    sizes = np.bincount(leaf.ravel(), minlength=forest.leaves).tolist()
+    hits, read = [], []
+    for q in range(0, n, 400):
+        score = x @ x[q]
+        score[q] = -np.inf
+        length = np.linalg.norm(x[q])
+        query = np.r_[x[q] / length, 0].astype(np.float32)
+        rows = lambda leaves: np.flatnonzero(np.isin(leaf, leaves).any(axis=1))
+        worst = np.sort(score[rows(forest.search(query, sizes, 4_000))])[-20]
+        reach = 0.5 / np.sqrt(d) * np.sqrt(max(0.0, 2 - 2 * worst / (length * longest)))
+        opened = forest.search(query, sizes, 4_000, int(1.25 * n), reach)
+        found = rows(opened)
+        best = found[np.argsort(-score[found])[:20]]
+        hits.append(len(set(best.tolist()) & set(np.argsort(-score)[:20].tolist())) / 20)
+        read.append(sum(sizes[k] for k in opened) / n)
+    assert np.mean(hits) >= 0.9 and np.mean(read) <= most
+
+
 def test_recall_on_the_test_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = df.collect()
