@@ -11,6 +11,7 @@ from ledgerguard.plans.card_queries import STG_SQL, VEL_SQL
 from ledgerguard.plans.common import card_txn, rnd
 from ledgerguard.plans.registry import register
 from ledgerguard.plans.sqlparts import FEAT_CTE, RING_CTE, TXN_CTE, WIDE_CTE, with_
+from ledgerguard.session import cut_lineage
 from ledgerguard.sources import readers
 from ledgerguard.sources.adapters import load_wide
 
@@ -394,3 +395,42 @@ def e10_frequencies_asof(spark, sf):
     f = add_wide_features(wide_normalised(spark, sf), freq_scope="asof")[0]
     return f.select("TransactionID", "card2_freq", "card3_freq", "card5_freq", "addr1_freq", "email_domain_freq",
                     "card1_addr1_freq")
+
+
+@register("p2_incremental_loads", with_(TXN_CTE + "," + STG_SQL + "," + VEL_SQL, """
+SELECT transaction_id, CAST(txn_count_24h AS BIGINT) AS txn_count_24h, CAST(amt_sum_24h AS DOUBLE) AS amt_sum_24h,
+       round(time_since_last_s, 6) AS time_since_last_s
+FROM vel"""))
+def p2_incremental_loads(spark, sf):
+    """P2 / S9 in three loads (the later half, late rows, a repeat of the last days): equal to one load."""
+    from ledgerguard.operators import incremental, warehouse
+    stg = cut_lineage(warehouse.stg_transactions(card_txn(spark, sf)))
+    lo, hi = stg.agg(F.min("ts_us"), F.max("ts_us")).first()
+    half, late = (lo + hi) // 2, lo + (hi - lo) // 10
+    folder = _sink_dir(spark, "mart")
+    incremental.load_velocity(stg.where((F.col("ts_us") < half) & (F.col("ts_us") >= late)), folder)
+    incremental.load_velocity(stg.where((F.col("ts_us") >= half) | (F.col("ts_us") < late)), folder)
+    mart = incremental.load_velocity(stg.where(F.col("ts_us") >= hi - (hi - lo) // 20), folder)
+    return mart.select("transaction_id", "txn_count_24h", F.col("amt_sum_24h").cast("double").alias("amt_sum_24h"),
+                       rnd("time_since_last_s").alias("time_since_last_s"))
+
+
+_CODED = ["card4", "card6", "DeviceType", "M4", "M6", "id_31", "id_33"]
+
+
+@register("e21_growing_codes", with_(WIDE_CTE, """,
+cut AS (SELECT (min(ts_us) + max(ts_us)) // 2 AS half FROM w),
+v AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, ts_us, TransactionID FROM w" for c in _CODED) + """),
+seen AS (SELECT column_name, value, CASE WHEN max(ts_us) >= (SELECT half FROM cut) THEN 1 ELSE 2 END AS load,
+           min(ROW(ts_us, TransactionID)) FILTER (WHERE ts_us >= (SELECT half FROM cut)) AS late, min(ROW(ts_us, TransactionID)) AS early
+         FROM v WHERE value IS NOT NULL GROUP BY column_name, value)
+SELECT column_name, value, CAST(load AS INTEGER) AS load, row_number() OVER (PARTITION BY column_name ORDER BY load,
+         CASE WHEN load = 1 THEN late ELSE early END, value) - 1 AS code FROM seen"""))
+def e21_growing_codes(spark, sf):
+    """E21 as a dictionary over two loads, the later half of the rows first: codes given once stay."""
+    from ledgerguard.operators import incremental
+    rows = cut_lineage(wide_normalised(spark, sf).select("TransactionID", "ts_us", *_CODED))
+    lo, hi = rows.agg(F.min("ts_us"), F.max("ts_us")).first()
+    folder, half = _sink_dir(spark, "codes"), (lo + hi) // 2
+    incremental.grow_codes(rows.where(F.col("ts_us") >= half), _CODED, folder)
+    return incremental.grow_codes(rows.where(F.col("ts_us") < half), _CODED, folder)
