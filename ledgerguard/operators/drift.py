@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerguard.operators.ordering import exact_quantiles, global_cumulative, quantiles_from_running
@@ -112,10 +112,55 @@ def severity(psi_col: str | Column = "psi") -> Column:
 
 def drift_report(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """D3: PSI and KS per feature, worst PSI first."""
-    vc = value_counts(reference, actual, features)
+    return report_from_counts(value_counts(reference, actual, features), features, bins)
+
+
+def report_from_counts(vc: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """D3 on value counts (stored: they are read three times)."""
     cum, totals = running_counts(vc)
     probs = [float(p) for p in np.linspace(0.0, 1.0, bins + 1)]
     known = {f: r for f, (r, _) in totals.items() if r}
     q = quantiles_from_running(cum, "x", "nr", "cum_r", known, probs, "feature") if known else {}
     rep = psi_from_counts(vc, features, bins, q).join(ks_from_running(cum, totals), "feature")
     return rep.withColumn("severity", severity("psi")).orderBy(F.desc("psi"), F.asc("feature"))
+
+
+# --------------------------------------------------------------------------
+# Drift on a schedule.  Value counts add up, so a day is counted once, when it arrives, and the
+# report of any window of days is that of one pass over the reference and the window's rows.
+# --------------------------------------------------------------------------
+
+
+def freeze_reference(reference: DataFrame, features: Sequence[str], folder: str) -> None:
+    """Store the reference sample's value counts; later windows are held against them."""
+    counts = _long(reference, features).where(F.col("x").isNotNull()).groupBy("feature", "x").agg(F.count("*").alias("nr"))
+    counts.write.mode("overwrite").parquet(f"{folder}/reference")
+
+
+def add_days(df: DataFrame, features: Sequence[str], folder: str, ts: str = "ts_us") -> None:
+    """Store the value counts of the days in ``df``; a day that is there is replaced, so ``df``
+    holds whole days."""
+    day = F.to_date(F.timestamp_micros(F.col(ts).cast("long"))).alias("event_date")
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features]))
+    counts = (df.select(day, pairs.alias("v")).where(F.col("v.x").isNotNull())
+              .groupBy("event_date", "v.feature", "v.x").agg(F.count("*").alias("n")))
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date")
+     .parquet(f"{folder}/days"))
+
+
+def window_report(spark: SparkSession, folder: str, features: Sequence[str], first: str | None = None,
+                  last: str | None = None, bins: int = 10) -> DataFrame:
+    """D3 of the stored days from ``first`` to ``last`` (dates, both included; None: open) against
+    the frozen reference; only the partitions of these days are read."""
+    from ledgerguard.session import cut_lineage
+    days = spark.read.schema("feature string, x double, n long, event_date date").parquet(f"{folder}/days")
+    if first is not None:
+        days = days.where(F.col("event_date") >= F.lit(first).cast("date"))
+    if last is not None:
+        days = days.where(F.col("event_date") <= F.lit(last).cast("date"))
+    zero = F.lit(0).cast("long")
+    ref = spark.read.schema("feature string, x double, nr long").parquet(f"{folder}/reference")
+    both = ref.select("feature", "x", "nr", zero.alias("na")).unionByName(
+        days.select("feature", "x", zero.alias("nr"), F.col("n").alias("na")))
+    vc = both.where(F.col("feature").isin(*features)).groupBy("feature", "x").agg(F.sum("nr").alias("nr"), F.sum("na").alias("na"))
+    return report_from_counts(cut_lineage(vc), features, bins)

@@ -471,6 +471,21 @@ def d3_drift_report(spark, sf):
                                  "feature string, psi double, ks double, severity string, report_rank long")
 
 
+@register("d3_drift_by_days", with_(_DRIFT_CTE, "SELECT feature, round(psi, 6) AS psi, round(ks, 6) AS ks, severity FROM rep"))
+def d3_drift_by_days(spark, sf):
+    """D3 on a schedule: every day's value counts stored once (in two loads, one of them repeated),
+    merged over all days against the frozen reference."""
+    from ledgerguard.plans.wide_queries import _sink_dir
+    ref, act = _drift_inputs(spark, sf)
+    folder = _sink_dir(spark, "drift")
+    drift.freeze_reference(ref, DRIFT_FEATURES, folder)
+    day = F.floor(F.col("ts_us") / 86_400_000_000)
+    for part in (day % 2 == 0, day % 2 == 1, day % 2 == 0):
+        drift.add_days(act.where(part), DRIFT_FEATURES, folder)
+    rep = drift.window_report(spark, folder, DRIFT_FEATURES)
+    return rep.select("feature", rnd("psi").alias("psi"), rnd("ks").alias("ks"), "severity")
+
+
 @register("d4_severity", with_(_DRIFT_CTE, "SELECT feature, severity FROM rep"))
 def d4_severity(spark, sf):
     ref, act = _drift_inputs(spark, sf)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerguard.operators import drift
 
@@ -55,3 +56,23 @@ def test_report_worst_first(spark):
     rep = drift.drift_report(ref, act, ["stable", "drifting"]).collect()
     assert [r["feature"] for r in rep] == ["drifting", "stable"]
     assert rep[0]["severity"] == "large" and rep[1]["severity"] == "stable"
+
+
+def test_drift_of_stored_days_equals_the_full_pass(spark):
+    import random
+
+    from ledgerguard.session import ensure_checkpoint_dir
+    rng = random.Random(4)
+    day = 86_400_000_000
+    rows = [(rng.randrange(6 * day), rng.choice([None, 1.0, 2.0, 3.5]), rng.random()) for _ in range(900)]
+    df = spark.createDataFrame(rows, "ts_us long, a double, b double")
+    ref, act = df.where(F.col("ts_us") < 2 * day), df.where(F.col("ts_us") >= 2 * day)
+    folder = f"{ensure_checkpoint_dir(spark)}/drift-{rng.random()}"
+    drift.freeze_reference(ref, ["a", "b"], folder)
+    for lo, hi in ((2, 4), (4, 6), (3, 5)):                     # the last load repeats two days
+        drift.add_days(act.where((F.col("ts_us") >= lo * day) & (F.col("ts_us") < hi * day)), ["a", "b"], folder)
+    rows_of = lambda d: [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.collect()]
+    assert rows_of(drift.window_report(spark, folder, ["a", "b"])) == rows_of(drift.drift_report(ref, act, ["a", "b"]))
+    two = act.where((F.col("ts_us") >= 3 * day) & (F.col("ts_us") < 5 * day))
+    assert rows_of(drift.window_report(spark, folder, ["a", "b"], "1970-01-04", "1970-01-05")) == \
+        rows_of(drift.drift_report(ref, two, ["a", "b"]))
