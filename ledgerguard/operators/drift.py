@@ -9,7 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerguard.operators.ordering import exact_quantiles, global_cumulative, quantiles_from_running
+from ledgerguard.operators.ordering import (exact_quantiles, global_cumulative, quantile_sketch,
+                                           quantiles_from_running, sketch_quantiles)
 
 PSI_EPS = 1e-6
 # PSI rule-of-thumb bands.
@@ -93,9 +94,14 @@ def ks_from_counts(vc: DataFrame) -> DataFrame:
     return ks_from_running(*running_counts(vc))
 
 
-def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """Population stability index per feature."""
-    return psi_from_counts(value_counts(reference, actual, features), features, bins)
+def psi(reference: DataFrame, actual: DataFrame, features: Sequence[str], bins: int = 10, approx: bool = False) -> DataFrame:
+    """Population stability index per feature (``approx``: edges from a quantile sketch of each
+    feature's reference)."""
+    q = None
+    if approx:
+        probs = [float(p) for p in np.linspace(0.0, 1.0, bins + 1)]
+        q = sketch_quantiles(quantile_sketch(_long(reference, features), "x", ["feature"]), probs, "feature")
+    return psi_from_counts(value_counts(reference, actual, features), features, bins, q)
 
 
 def ks(reference: DataFrame, actual: DataFrame, features: Sequence[str]) -> DataFrame:

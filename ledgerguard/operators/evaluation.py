@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerguard.operators import radix
-from ledgerguard.operators.ordering import exact_quantiles, global_cumulative
+from ledgerguard.operators.ordering import exact_quantiles, global_cumulative, quantile_sketch, sketch_quantiles
 
 _ORDER_KEYS = ["_k_score", "_k_ts", "_k_id"]
 
@@ -134,10 +134,15 @@ def _cost_columns(a: DataFrame, thr: Column, review_cost, friction_cost, minor_p
     )
 
 
-def quantile_grid(df: DataFrame, score: str, n_grid: int = 200, decimals: int | None = 6) -> list[float]:
-    """The reference's threshold grid: n quantiles on [0, 1], rounded, distinct."""
+def _quantiles(df: DataFrame, col: str, probs: Sequence[float], approx: bool) -> dict:
+    return sketch_quantiles(quantile_sketch(df, col), probs) if approx else exact_quantiles(df, col, probs)
+
+
+def quantile_grid(df: DataFrame, score: str, n_grid: int = 200, decimals: int | None = 6, approx: bool = False) -> list[float]:
+    """The reference's threshold grid: n quantiles on [0, 1], rounded, distinct (``approx``: from a
+    quantile sketch)."""
     probs = [float(p) for p in np.linspace(0.0, 1.0, n_grid)]
-    q = exact_quantiles(df, score, probs)
+    q = _quantiles(df, score, probs, approx)
     vals = [q[p] for p in probs]
     if decimals is not None:
         vals = [float(v) for v in np.round(np.asarray(vals), decimals)]
@@ -177,10 +182,10 @@ def cost_curve(df: DataFrame, grid: Sequence[float], score="score", label="is_fr
     return _cost_columns(a, F.col("threshold"), review_cost, friction_cost, minor_per_unit)
 
 
-def best_threshold_by_cost(df: DataFrame, score="score", n_grid: int = 200, **kw) -> DataFrame:
+def best_threshold_by_cost(df: DataFrame, score="score", n_grid: int = 200, approx: bool = False, **kw) -> DataFrame:
     """The minimum-cost point of the rounded quantile grid; the lowest
     threshold wins among equal costs."""
-    curve = cost_curve(df, quantile_grid(df, score, n_grid), score=score, **kw)
+    curve = cost_curve(df, quantile_grid(df, score, n_grid, approx=approx), score=score, **kw)
     return curve.orderBy(F.col("cost").asc(), F.col("threshold").asc()).limit(1)
 
 
@@ -236,7 +241,7 @@ def half_value_budget(curve: DataFrame) -> DataFrame:
     return _one_row_join(hit, last).select(F.coalesce("k_half", "k_last").alias("half_value_budget"))
 
 
-def calibration_curve(df: DataFrame, score="score", label="is_fraud", n_bins: int = 8) -> DataFrame:
+def calibration_curve(df: DataFrame, score="score", label="is_fraud", n_bins: int = 8, approx: bool = False) -> DataFrame:
     """Quantile bins of the prediction -> mean prediction, observed rate, count.
 
     Bin edges are the exact quantiles at 0, 1/n, ..., 1 (distinct); a score's bin is the
@@ -244,7 +249,7 @@ def calibration_curve(df: DataFrame, score="score", label="is_fraud", n_bins: in
     that edge.  Bins without rows are not returned.
     """
     probs = [float(p) for p in np.linspace(0.0, 1.0, n_bins + 1)]
-    q = exact_quantiles(df, score, probs)
+    q = _quantiles(df, score, probs, approx)
     edges = sorted(set(q[p] for p in probs))
     below = [F.when(F.col("_s") > e, 1).otherwise(0) for e in edges[1:-1]]
     rows = df.select(F.col(score).cast("double").alias("_s"), F.col(label)).where(F.col("_s").isNotNull())

@@ -232,6 +232,36 @@ def _order_group_rows(rows, group):
     return sorted(rows, key=lambda r: r["_pid"])
 
 
+def sketch_rank_error(k: int) -> float:
+    """Rank error of a quantile from a sketch of size ``k``, as a share of the rows (holds with 99 %
+    confidence for one quantile, by the published analysis of this kind of sketch)."""
+    return 2.296 / k ** 0.9723
+
+
+def quantile_sketch(df: DataFrame, col: str, keys: Sequence[str] = (), k: int = 1024) -> DataFrame:
+    """(keys, sketch): one mergeable quantile sketch per key (or one in all), of bounded size
+    whatever the rows; nulls are ignored.  Sketches of parts (days, say) can be stored and merged."""
+    src = df.where(F.col(col).isNotNull())
+    agg = F.kll_sketch_agg_double(F.col(col).cast("double"), F.lit(k)).alias("sketch")
+    return src.groupBy(*keys).agg(agg) if keys else src.agg(agg)
+
+
+def merge_sketches(parts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One sketch per key from the sketches of its parts."""
+    agg = F.kll_merge_agg_double("sketch").alias("sketch")
+    return parts.groupBy(*keys).agg(agg) if keys else parts.agg(agg)
+
+
+def sketch_quantiles(sketches: DataFrame, probs: Sequence[float], group: str | None = None) -> dict:
+    """{prob: value} (or per ``group``) of sketches, each within :func:`sketch_rank_error` of its
+    rank; None without rows.  One row per group reaches the driver."""
+    values = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(f"q{i}") for i, p in enumerate(probs)]
+    rows = sketches.where(F.col("sketch").isNotNull() & (F.kll_sketch_get_n_double("sketch") > 0)).select(
+        *([group] if group else []), *values).collect()
+    found = {r[group] if group else None: {p: r[f"q{i}"] for i, p in enumerate(probs)} for r in rows}
+    return found if group else found.get(None, {p: None for p in probs})
+
+
 SMALL_VALUE_COUNTS = 100_000
 
 

@@ -434,3 +434,13 @@ def e21_growing_codes(spark, sf):
     folder, half = _sink_dir(spark, "codes"), (lo + hi) // 2
     incremental.grow_codes(rows.where(F.col("ts_us") >= half), _CODED, folder)
     return incremental.grow_codes(rows.where(F.col("ts_us") < half), _CODED, folder)
+
+
+@register("s9_bucketed_mart", with_(TXN_CTE + "," + STG_SQL + "," + VEL_SQL, """
+SELECT transaction_id, CAST(txn_count_1h AS BIGINT) AS txn_count_1h, CAST(txn_count_24h AS BIGINT) AS txn_count_24h FROM vel"""))
+def s9_bucketed_mart(spark, sf):
+    """P2 over staging rows stored in buckets of the card: no Exchange before the windows."""
+    from ledgerguard.operators import warehouse
+    stg = readers.write_bucketed(warehouse.stg_transactions(card_txn(spark, sf)), "lg_stg_by_card", _sink_dir(spark, "buckets"),
+                                 "card_id", ("ts_us", "transaction_id"), 8)
+    return warehouse.fct_card_velocity(stg).select("transaction_id", "txn_count_1h", "txn_count_24h")

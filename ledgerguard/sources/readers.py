@@ -107,6 +107,15 @@ def write_featured_parquet(df: DataFrame, path: str, partition_by: tuple[str, ..
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, order: tuple[str, ...], buckets: int) -> DataFrame:
+    """A table stored in ``buckets`` by the hash of ``key`` and sorted by (key, ``order``) inside
+    each, read back: windows and aggregates by the key then need no Exchange.  One file a bucket;
+    choose about as many buckets as the largest window's shuffle would have partitions."""
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key, *order)
+     .format("parquet").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def register_raw_source(df: DataFrame, name: str = "raw_transactions") -> str:
     """The named warehouse source."""
     df.createOrReplaceTempView(name)

@@ -58,3 +58,10 @@ def test_no_window_over_a_single_partition(spark):
             if "Window [" in line:
                 below = "\n".join(lines[i + 1:i + 4])
                 assert "SinglePartition" not in below, name
+
+
+def test_bucketed_staging_needs_no_exchange(spark):
+    import __spark_entry__
+    frame = __spark_entry__.queries()["s9_bucketed_mart"](spark, __spark_entry__.SF_SMOKE)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window [" in plan and "Bucketed: true" in plan

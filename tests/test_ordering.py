@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerguard.operators import ordering as O
 from ledgerguard.operators.ordering import POS, exact_quantiles, global_cumulative
 
 
@@ -54,3 +55,26 @@ def test_exact_quantiles_distributed_path(spark, monkeypatch):
     for name in ("a", "b"):
         for p in probs:
             assert q[name][p] == pytest.approx(float(np.quantile(x[g == name], p)), abs=1e-12)
+
+
+def test_sketch_quantiles_stay_within_the_stated_rank_error(spark):
+    """One sketch, and sketches of days merged; several groups, nulls, no rows."""
+    from ledgerguard.operators import evaluation, split
+    n = 60_000
+    df = spark.range(n).select(F.col("id"), (F.xxhash64("id") % 1_000_003).cast("double").alias("x"), (F.col("id") % 4).alias("day"),
+                               F.when(F.col("id") % 10 > 0, F.lit("a")).otherwise("b").alias("g"))
+    df = df.withColumn("x", F.when(F.col("id") % 97 > 0, F.col("x")))
+    values = {g: np.sort(df.where(F"g = '{g}' and x is not null").select("x").toPandas()["x"].to_numpy()) for g in "ab"}
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    whole = O.sketch_quantiles(O.quantile_sketch(df, "x", ["g"], k=400), probs, "g")
+    days = O.sketch_quantiles(O.merge_sketches(O.quantile_sketch(df, "x", ["g", "day"], k=400), ["g"]), probs, "g")
+    for got in (whole, days):
+        for g, q in got.items():
+            for p, v in q.items():
+                rank = np.searchsorted(values[g], v, side="right") / len(values[g])
+                assert abs(rank - p) <= 2 * O.sketch_rank_error(400)
+    none = O.sketch_quantiles(O.quantile_sketch(df.where("false"), "x"), [0.5])
+    assert none == {0.5: None}
+    exact, near = split.time_cuts(df, ts="id"), split.time_cuts(df, ts="id", approx=True)
+    assert all(abs(a - b) <= 2 * O.sketch_rank_error(1024) * n for a, b in zip(exact, near, strict=True))
+    assert len(evaluation.quantile_grid(df, "x", 20, approx=True)) == 20
