@@ -386,3 +386,22 @@ def test_document_fingerprints_edges(spark):
     assert {r["doc_id"]: r["near_next"] for r in got if r["doc_id"] == 8} == {8: 1.0}     # next: null, also empty
     assert multiset_hash.document_fingerprints(frame(spark, [], [])).count() == 0
     assert multiset_hash.document_fingerprints(frame(spark, ["a b"], [1])).first()["near_next"] == 1.0
+
+
+# ------------------------------------------------------------------ very long texts
+
+def test_very_long_texts_are_taken_whole(spark):
+    """200,000 characters in words and in one word: fingerprints and groups of the whole texts, equal
+    for copies and different for a change at the far end."""
+    rng = random.Random(8)
+    words = " ".join(rng.choice(WORDS) + str(rng.randrange(999)) for _ in range(25_000))
+    solid = "".join(rng.choice("abcdefgh") for _ in range(100_000))
+    texts = [words, words, words + " end", solid, solid, solid[:-1] + "x"]
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: (r["fp"] % (1 << 64), r["component_id"]) for r in simhash_groups.simhash_components(docs).collect()}
+    fps = brute_simhash(texts)
+    assert got == {i: (f, c) for i, (f, c) in enumerate(zip(fps, brute_components(fps), strict=True))}
+    prints = {r["doc_id"]: r for r in multiset_hash.document_fingerprints(docs).collect()}
+    for i, j, k in ((0, 1, 2), (3, 4, 5)):
+        assert prints[i]["fingerprint"] == prints[j]["fingerprint"] != prints[k]["fingerprint"]
+        assert prints[i]["n_chars"] == len(texts[i])
