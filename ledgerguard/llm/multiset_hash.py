@@ -175,8 +175,8 @@ def document_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "tex
     near_edited, near_next.
 
     Null text counts as empty; empty texts have one empty paragraph and are alike (1.0).
-    Repeated rows each give a row.  An empty table gives no rows.  Columns beside the key and
-    the text are not read.
+    Repeated rows each give a row.  An empty table gives no rows.  A very long text is one text,
+    taken whole.  Columns beside the key and the text are not read, whatever their names.
     """
     edited = with_neighbour_edit(docs, key, text)
     sha = F.sha2(F.col("__edited").cast("binary"), 256)

@@ -255,8 +255,8 @@ def encode_nbest(docs: DataFrame, model_path: str, n: int = 4, text: str = "text
 
     Null and empty texts have one path without pieces.  A blank sign in a text counts as a
     blank, so such a text comes back with blanks (round_trip is then against that text).
-    Paths of equal score keep the order in which the search meets them.  An empty table gives
-    no rows; input columns named like an output column are replaced.
+    Paths of equal score keep the order in which the search meets them.  A very long text is
+    encoded whole.  An empty table gives no rows; input columns named like an output column are replaced.
     """
     names = ["n_pieces", "ids_crc32", "best_score", "nbest_scores", "nbest_pieces", "round_trip", "nbest_ids"]
     docs = without(docs, *names)

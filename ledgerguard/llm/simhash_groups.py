@@ -311,8 +311,8 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Null text counts as empty and empty texts (fingerprint 0) link like any other.  Rows with
     a null key take part in links but never name a group; a group of only such rows gets a
-    null id.  Repeated rows stay as they are; an empty table gives an empty table.  Input
-    columns named like an output column are replaced.
+    null id.  Repeated rows stay as they are; an empty table gives an empty table; a very long
+    text is hashed whole.  Input columns named like an output column are replaced.
     """
     docs = without(docs, "fp", "component_root", "component_id")
     hashed = with_fingerprint(docs, text, shingle)

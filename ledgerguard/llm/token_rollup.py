@@ -131,7 +131,8 @@ def rollup_documents(docs: DataFrame, folder: str, vocabulary: str, key: str = "
 
     Nulls in source or lang form their own groups; a null text has no tokens and is equal to
     another null text; a row without a key counts as later than rows with one; of repeated
-    rows of one key and text one stays.
+    rows of one key and text one stays.  A very long text is counted whole; an empty table gives
+    no rows; columns beside these four are not read, whatever their names.
     """
     spark = docs.sparkSession
     text_hash = F.when(F.col("text").isNull(), F.lit("null")).otherwise(F.sha2(F.col("text").cast("binary"), 256))
