@@ -24,10 +24,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ledgerguard.llm.common import bounded_batches, pieces_by_bytes, without
+from ledgerguard.llm.common import bounded_batches, give_back, pieces_by_bytes, without
 from ledgerguard.llm.lattice import Lattice, Trie, flat_bytes
 
 UNKNOWN = "und"
+WORD_BLOCK = 10_000
 #: white space as Arrow's and Python's splitting know it
 WHITE_SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 _TRIES: dict[str, tuple[Trie, list[bytes]]] = {}
@@ -60,15 +61,20 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit_pieces(words: pa.Array, counts: np.ndarray, trie: Trie, pieces: int, rounds: int, smooth: float) -> np.ndarray:
-    """Log probabilities of the pieces by expectation maximisation over word counts."""
-    lattice = Lattice(trie, *_with_blank(words))
+def fit_pieces(words: pa.Array, counts: np.ndarray, trie: Trie, pieces: int, rounds: int, smooth: float,
+               block: int = WORD_BLOCK) -> np.ndarray:
+    """Log probabilities of the pieces by expectation maximisation over word counts, a block of
+    words at a time (the edges of a block stay in memory)."""
     logp = np.full((pieces, 1), -np.log(pieces))
     for _ in range(rounds):
-        alpha, beta = lattice.forward_sum(logp), lattice.backward_sum(logp)
-        total = alpha[lattice.last][:, 0]
-        share = np.exp(alpha[lattice.start, 0] + logp[lattice.piece, 0] + beta[lattice.end, 0] - total[lattice.word])
-        expected = np.bincount(lattice.piece, weights=share * counts[lattice.word], minlength=pieces) + smooth
+        expected = np.full(pieces, smooth)
+        for a in range(0, len(words), block):
+            lattice = Lattice(trie, *_with_blank(words.slice(a, block)))
+            alpha, beta = lattice.forward_sum(logp), lattice.backward_sum(logp)
+            total = alpha[lattice.last][:, 0]
+            share = np.exp(alpha[lattice.start, 0] + logp[lattice.piece, 0] + beta[lattice.end, 0] - total[lattice.word])
+            expected += np.bincount(lattice.piece, weights=share * counts[a:a + block][lattice.word], minlength=pieces)
+            give_back()
         logp = np.log(expected / expected.sum())[:, None]
     return logp[:, 0]
 
@@ -114,7 +120,7 @@ class Scorer:
         self.trie, _ = vocabulary_trie(vocabulary)
         self.langs, self.logp = langs, np.ascontiguousarray(logp)
 
-    def word_scores(self, words: pa.Array, block: int = 20_000) -> np.ndarray:
+    def word_scores(self, words: pa.Array, block: int = WORD_BLOCK) -> np.ndarray:
         """Forward scores, a block of words at a time (the edges of a block stay in memory)."""
         out = [np.empty((0, self.logp.shape[1]))]
         for a in range(0, len(words), block):
@@ -165,7 +171,7 @@ def identify(docs: DataFrame, vocabulary: str, text: str = "text", model: tuple[
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(vocabulary, *shared.value)
-        for batch in pieces_by_bytes(batches, at, 8 << 20):
+        for batch in pieces_by_bytes(batches, at, 4 << 20):
             col = batch.column(at).fill_null("")
             lang, score = scorer.predict(col)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(lang, pa.string()),
