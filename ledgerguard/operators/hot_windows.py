@@ -121,3 +121,16 @@ def prior_block(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value_min
     if distinct:
         cols.append(F.col("_s_new").alias(f"{prefix}_distinct"))
     return out.select(*df.columns, *cols)
+
+
+def prior_counts(df: DataFrame, keys: dict[str, str], ts: str, tie: str) -> DataFrame:
+    """``df`` with, for each name of ``keys``, the rows before this one with the same value of that
+    key column (null where the key is null).  All keys go through one running count over narrow
+    rows, so the frame itself is written and joined once, however many keys there are."""
+    rows = identified(df)
+    narrow = rows.select(UID, F.col(ts), F.col(tie), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("no"), F.col(k).cast("string").alias("key")) for i, k in enumerate(keys.values())])).alias("_kv"))
+    narrow = narrow.select(UID, ts, tie, F.col("_kv.no").alias("_no"), F.col("_kv.key").alias("_key")).where(F.col("_key").isNotNull())
+    run = running_by_key(narrow, ["_no", "_key"], [F.col(ts), F.col(tie), F.col(UID)], {"n": F.lit(1)}, keep=["_no", UID])
+    found = run.groupBy(UID).agg(*[F.max(F.when(F.col("_no") == i, F.col("cum_n") - 1)).alias(name) for i, name in enumerate(keys)])
+    return rows.join(found, UID, "left").drop(UID)

@@ -164,7 +164,8 @@ def running_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                      F.xxhash64(F.lit(len(parts)), *[k.isNull() for k in parts], *parts).alias("_k2"),
                      *[o.alias(f"_o{i}") for i, o in enumerate(order)],
                      *[F.coalesce(m.cast("long"), F.lit(0)).alias(f"_m_{n}") for n, m in measures.items()])
-    srt = cut_lineage(rows.orderBy("_k1", "_k2", *[f"_o{i}" for i in range(len(order))]).withColumn("_pid", F.spark_partition_id()))
+    srt = rows.orderBy("_k1", "_k2", *[f"_o{i}" for i in range(len(order))]).withColumn("_pid", F.spark_partition_id())
+    srt = cut_lineage(srt.drop(*[f"_o{i}" for i in range(len(order))]))       # the order stays without its columns
 
     def bounds(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         k1, k2 = pdf["_k1"].to_numpy(), pdf["_k2"].to_numpy()
