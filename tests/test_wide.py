@@ -164,3 +164,31 @@ def test_wide_asof_features_do_not_leak(spark):
                    __import__("pyspark.sql.functions", fromlist=["max"]).max("ts_us")).first()
     for cut in np.random.default_rng(3).integers(lo, hi, 2):
         assert leakage_check(n, build, int(cut), key="TransactionID", cols=cols).count() == 0
+
+
+def test_codes_of_values_first_seen_together_and_hash_aggregates(spark):
+    """Values first seen at one time are coded by their ids; the statistics need no sort of unpivoted rows."""
+    from ledgerguard.operators import wide_features
+    df = spark.createDataFrame([(5, 10, "b", 1, 0.0), (4, 10, "c", 1, -0.0), (3, 20, "a", 2, 0.0), (9, 10, "b", None, None)],
+                               "TransactionID long, ts_us long, M1 string, card1 long, card2 double")
+    codes, hot, cards, hot_c1, counted = wide_features.key_statistics(
+        df, ["M1"], {"card2_freq": F.col("card2")}, F.lit("fp"), F.lit(True), 2)
+    assert [(v, c) for _, v, c in codes] == [("c", 0), ("b", 1), ("a", 2)]
+    assert hot == ["fp"] and hot_c1 == ["1"] and cards == {"card2_freq": 1}
+    assert {r["value"]: r["n"] for r in counted.collect()} == {"0.0": 3}
+
+
+def test_prior_counts_of_several_keys_in_one_pass(spark):
+    from ledgerguard.operators import hot_windows
+    df = spark.createDataFrame([(1, 10, "x", None), (2, 10, "x", 1.5), (3, 5, "x", 1.5), (4, 30, "y", 1.5)],
+                               "TransactionID long, ts_us long, a string, b double")
+    got = {r["TransactionID"]: (r["na"], r["nb"]) for r in hot_windows.prior_counts(
+        df, {"na": "a", "nb": "b"}, "ts_us", "TransactionID").collect()}
+    assert got == {1: (1, None), 2: (2, 1), 3: (0, 0), 4: (0, 2)}
+
+
+def test_the_wide_table_is_joined_once(spark):
+    """Statistics, table size, frequencies and windows read the stored join, not the sources again."""
+    f, _ = ring_small(spark)
+    plan = f._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "LocalRelation" not in plan
