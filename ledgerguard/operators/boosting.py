@@ -9,9 +9,15 @@ folds there are.
   lie in blocks of ``BLOCK_ROWS``, ordered by a hash of their id, kept by Spark with each fold's
   margins.  A block is an RDD element: a round's passes need no new plan, and planning each of
   the 1,000 and more passes of a training would cost more than the pass itself.
-* A pass returns sums only (leaves x bins x 3 numbers a fold), added up in a tree of tasks.  Where
+* Features of few bins share a column of codes (``Layout``): a pass counts each code once and takes
+  the sums per feature from that.  Of two sibling leaves only the smaller is counted; the other is
+  their parent's sums less these.
+* A pass adds sums up by ranges of features, looks for splits there and returns one candidate per
+  leaf and range, so what reaches the driver does not grow with bins or rows.  Where
   all rows are one block there is nothing to add up: each fold's copy of it has a task, which goes
   on with the next levels and rounds itself, ``ROUNDS_A_JOB`` to a job; steps and sums are the same.
+* A row's leaf is found without walking: per feature and bin a tree has one bit mask of the leaves
+  still possible, and their conjunction is the leaf (``Masks``; trees of up to 64 leaves).
 * Margins move once a round, in the first pass of the next round, and are checkpointed to the
   shared folder every ``CHECKPOINT_ROUNDS`` rounds; a lost executor costs the rounds since then.
 
@@ -32,7 +38,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerguard.session import ensure_checkpoint_dir
 
-BLOCK_ROWS = 250_000
+BLOCK_ROWS = 1_000_000
+#: blocks may be this small where there are cores for more of them
+LEAST_BLOCK_ROWS = 50_000
+#: ranges of features whose sums are added up and searched apart
+RANGES = 4
+#: features share a column of codes up to so many codes
+SHARED_CODES = 512
 CHECKPOINT_ROUNDS = 50
 ROUNDS_A_JOB = 25
 #: deepest tree where only the number of leaves is limited
@@ -84,6 +96,136 @@ class Tree:
         return {f for f in self.feature if f >= 0}
 
 
+class Masks:
+    """A tree's leaves by bit masks.  ``places[node]`` is the bin of a node's cut and ``sizes`` the
+    number of bins per feature: ``tables[f][bin]`` has the bits of the leaves that a row with this
+    bin can still reach, and over all features exactly the row's leaf is left."""
+
+    def __init__(self, tree: Tree, places: Sequence[int], sizes: Sequence[int]) -> None:
+        self.nodes: list[int] = []                       # leaves in order, bit k is nodes[k]
+        spans: dict[int, tuple[int, int]] = {}
+
+        def number(node: int) -> tuple[int, int]:
+            start = len(self.nodes)
+            if tree.feature[node] < 0:
+                self.nodes.append(node)
+            else:
+                number(tree.left[node])
+                number(tree.right[node])
+            spans[node] = (start, len(self.nodes))
+            return spans[node]
+
+        number(0)
+        self.bits = np.uint16 if len(self.nodes) <= 16 else np.uint64
+        whole = (1 << len(self.nodes)) - 1
+        self.tables: dict[int, np.ndarray] = {}
+        for node, f in enumerate(tree.feature):
+            if f < 0:
+                continue
+            table = self.tables.setdefault(f, np.full(sizes[f], whole, dtype=np.uint64))
+            for kid, part in ((tree.right[node], slice(0, places[node] + 1)), (tree.left[node], slice(places[node] + 1, None))):
+                lo, hi = spans[kid]
+                table[part] &= np.uint64(whole & ~((1 << hi) - (1 << lo)))
+        self.tables = {f: t.astype(self.bits) for f, t in sorted(self.tables.items())}
+        self.values = np.array([tree.value[n] for n in self.nodes])
+
+    @staticmethod
+    def fits(tree: Tree) -> bool:
+        return len(tree.feature) < 128                   # up to 64 leaves
+
+    @staticmethod
+    def place(bits: np.ndarray) -> np.ndarray:
+        """Number of the one bit that is set."""
+        if bits.dtype == np.uint16:
+            return _BIT_OF[bits]
+        return (bits.astype(np.float64).view(np.int64) >> 52) - 1023
+
+
+_BIT_OF = np.zeros(1 << 16, dtype=np.int64)
+_BIT_OF[1 << np.arange(16)] = np.arange(16)
+
+
+class Walk:
+    """Margins of several models on values: a chunk of rows is put into bins once for all trees."""
+
+    CHUNK = 8192
+
+    def __init__(self, models: Sequence[BoostedTrees]) -> None:
+        self.models = models
+        nodes = [(f, c) for m in models for t in m.trees for f, c in zip(t.feature, t.cut, strict=True) if f >= 0]
+        self.cuts = {f: np.unique([c for g, c in nodes if g == f]) for f in {f for f, _ in nodes}}
+        at = {f: {c: i for i, c in enumerate(cuts.tolist())} for f, cuts in self.cuts.items()}
+        sizes = {f: len(c) + 1 for f, c in self.cuts.items()}
+        self.masks = [[Masks(t, [at[f][c] if f >= 0 else 0 for f, c in zip(t.feature, t.cut, strict=True)], sizes)
+                       if Masks.fits(t) else None for t in m.trees] for m in models]
+
+    def chunks(self, n: int) -> list[slice]:
+        return [slice(i, i + self.CHUNK) for i in range(0, n, self.CHUNK)]
+
+    def bins(self, x: np.ndarray) -> dict[int, np.ndarray]:
+        return {f: np.searchsorted(c, x[:, f], side="left") for f, c in self.cuts.items()}
+
+    @staticmethod
+    def _all(found: list[np.ndarray], n: int) -> np.ndarray:
+        bits = found[0]
+        for b in found[1:]:
+            bits = bits & b
+        return bits
+
+    def margins(self, x: np.ndarray) -> list[np.ndarray]:
+        """Each model's margin of every row."""
+        out = [np.full(len(x), m.base) for m in self.models]
+        for rows in self.chunks(len(x)):
+            own = x[rows]
+            bins = self.bins(own)
+            for m, masks, whole in zip(self.models, self.masks, out, strict=True):
+                part = whole[rows]
+                for tree, mask in zip(m.trees, masks, strict=True):
+                    if mask is None:
+                        part += tree.margin(own)
+                    elif not mask.tables:
+                        part += mask.values[0]
+                    else:
+                        part += mask.values[Masks.place(self._all([t[bins[f]] for f, t in mask.tables.items()], len(own)))]
+        return out
+
+    def replaced(self, own: np.ndarray, other: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """For each feature in turn, each model's margins with that feature's values from ``other``:
+        only the trees that split on it, and of these only that feature's masks, are looked up again."""
+        width = own.shape[1]
+        base = self.margins(own)
+        moved = {f: [m.copy() for m in base] for f in self.cuts}
+        for rows in self.chunks(len(own)):
+            x, y = own[rows], other[rows]
+            bins, else_ = self.bins(x), self.bins(y)
+            for k, (m, masks) in enumerate(zip(self.models, self.masks, strict=True)):
+                for tree, mask in zip(m.trees, masks, strict=True):
+                    if mask is None:
+                        before = tree.margin(x)
+                        for f in tree.features():
+                            z = x.copy()
+                            z[:, f] = y[:, f]
+                            moved[f][k][rows] += tree.margin(z) - before
+                        continue
+                    if not mask.tables:
+                        continue
+                    fs, found = list(mask.tables), [t[bins[f]] for f, t in mask.tables.items()]
+                    after = found[:]                     # of this feature and the later ones
+                    for i in range(len(fs) - 2, -1, -1):
+                        after[i] = found[i] & after[i + 1]
+                    before, upto = mask.values[Masks.place(after[0])], None
+                    for i, f in enumerate(fs):
+                        bits = mask.tables[f][else_[f]]
+                        if i + 1 < len(fs):
+                            bits = bits & after[i + 1]
+                        if upto is not None:
+                            bits = bits & upto
+                        moved[f][k][rows] += mask.values[Masks.place(bits)] - before
+                        upto = found[i] if upto is None else upto & found[i]
+        for f in range(width):
+            yield moved.get(f, base)
+
+
 @dataclass
 class BoostedTrees:
     base: float
@@ -91,10 +233,7 @@ class BoostedTrees:
     n_features: int
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(x), self.base)
-        for t in self.trees:
-            out += t.margin(x)
-        return out
+        return Walk([self]).margins(x)[0]
 
     def importance(self) -> np.ndarray:
         """Share of each feature in the gain of all splits."""
@@ -122,62 +261,125 @@ def bin_edges(df: DataFrame, cols: Sequence[str], bins: int = 255) -> list[np.nd
     return [np.unique(c) for c in cuts]
 
 
-def _blocks(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id_col: str, edges: list[np.ndarray],
-            n_blocks: int) -> RDD:
-    """(bins, labels, folds) of the rows in blocks, dealt by the hash of the id."""
+@dataclass
+class Layout:
+    """Bins of the features, and the columns of codes they share.  Features of one bin cannot split
+    and have no column."""
+
+    edges: list[np.ndarray]
+
+    def __post_init__(self) -> None:
+        self.sizes = [len(e) + 1 for e in self.edges]
+        self.live = [f for f, n in enumerate(self.sizes) if n > 1]
+        self.offsets = np.concatenate([[0], np.cumsum([self.sizes[f] for f in self.live])]).astype(int)
+        self.columns: list[list[int]] = []
+        codes = 0
+        for f in sorted(self.live, key=lambda f: (self.sizes[f], f)):
+            if self.columns and codes * self.sizes[f] <= SHARED_CODES:
+                self.columns[-1].append(f)
+                codes *= self.sizes[f]
+            else:
+                self.columns.append([f])
+                codes = self.sizes[f]
+        self.codes = [int(np.prod([self.sizes[f] for f in fs])) for fs in self.columns]
+        # ranges of live features with about the same number of bins
+        n = max(1, min(RANGES, len(self.live)))
+        first = np.searchsorted(self.offsets, [self.offsets[-1] * i / n for i in range(n)]).tolist()
+        self.ranges = [r for r in zip(first, [*first[1:], len(self.live)], strict=True) if r[0] < r[1]]
+
+    def pack(self, bins: list[np.ndarray]) -> np.ndarray:
+        """Codes (columns x rows) from the bins per feature."""
+        out = np.zeros((len(self.columns), len(bins[0])), dtype=np.uint16)
+        for column, fs in zip(out, self.columns, strict=True):
+            stride = 1
+            for f in fs:
+                column += bins[f].astype(np.uint16) * np.uint16(stride)
+                stride *= self.sizes[f]
+        return out
+
+    def leaves(self, tree: Tree, codes: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """(leaf nodes, place in them of every row's leaf)."""
+        masks = Masks(tree, tree.cut_bin, self.sizes)
+        bits = None
+        for fs, n, column in zip(self.columns, self.codes, codes, strict=True):
+            table, at = None, np.arange(n)
+            for f in fs:
+                if f in masks.tables:
+                    own = masks.tables[f][at % self.sizes[f]]
+                    table = own if table is None else table & own
+                at = at // self.sizes[f]
+            if table is not None:
+                found = table[column]
+                bits = found if bits is None else np.bitwise_and(bits, found, out=bits)
+        return masks.nodes, np.zeros(codes.shape[1], dtype=np.int64) if bits is None else Masks.place(bits)
+
+    def per_feature(self, c: int, counted: np.ndarray, out: np.ndarray) -> None:
+        """Sums per code of column ``c`` (leaves x codes) into ``out`` (leaves x bins)."""
+        fs = self.columns[c]
+        cube = counted.reshape(len(counted), *[self.sizes[f] for f in reversed(fs)])
+        for i, f in enumerate(fs):
+            axis = len(fs) - i
+            start = self.offsets[self.live.index(f)]
+            out[:, start:start + self.sizes[f]] = cube.sum(axis=tuple(a for a in range(1, len(fs) + 1) if a != axis))
+
+
+def _blocks(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id_col: str, layout: Layout, n_blocks: int) -> RDD:
+    """(codes, labels, folds) of the rows in blocks, dealt by the hash of the id."""
     rows = df.select(F.xxhash64(F.col(id_col)).alias("at"), F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"), fold.alias("f"),
                      *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     rows = rows.repartition(n_blocks, "at").sortWithinPartitions("at", "id")
+    edges = layout.edges
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, labels, folds = [], [], []
+        codes, labels, folds = [], [], []
         for b in batches:
             columns = [b.column(f"c{i}").to_numpy(zero_copy_only=False).astype(float) for i in range(len(edges))]
             if any(np.isnan(c).any() for c in columns):
                 raise ValueError("a feature is null or NaN")
-            bins.append(np.stack([np.searchsorted(e, c, side="left").astype(np.uint8)
-                                  for c, e in zip(columns, edges, strict=True)], axis=1))
+            codes.append(layout.pack([np.searchsorted(e, c, side="left") for c, e in zip(columns, edges, strict=True)]))
             labels.append(b.column("y").to_numpy(zero_copy_only=False).astype(np.int8))
             folds.append(b.column("f").to_numpy(zero_copy_only=False).astype(np.int8))
-        if bins:
-            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(a).tobytes()], pa.binary()) for a in (bins, labels, folds)],
-                                             names=["x", "y", "f"])
+        if codes:
+            whole = (np.concatenate(codes, axis=1), np.concatenate(labels), np.concatenate(folds))
+            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in whole], names=["x", "y", "f"])
 
-    width = len(edges)
+    width = len(layout.columns)
     packed = rows.mapInArrow(pack, "x binary, y binary, f binary")
-    return packed.rdd.map(lambda r: (np.frombuffer(r["x"], dtype=np.uint8).reshape(-1, width),
+    return packed.rdd.map(lambda r: (np.frombuffer(r["x"], dtype=np.uint16).reshape(width, -1),
                                      np.frombuffer(r["y"], dtype=np.int8), np.frombuffer(r["f"], dtype=np.int8)))
 
 
-def _leaf_sums(trees: list[Tree], leaves: list[list[int]], offsets: np.ndarray):
-    """Sums over a partition's blocks: (leaves of all folds, bins of all features, 3)."""
-    total, n_bins = sum(map(len, leaves)), int(offsets[-1])
-
+def _leaf_sums(trees: list[Tree], wanted: list[list[int]], layout: Layout):
+    """Sums over a partition's blocks: (3, leaves ``wanted`` of all folds, bins of all features)."""
     def run(blocks) -> Iterator[np.ndarray]:
-        out = np.zeros((3, total * n_bins))
+        out = np.zeros((3, sum(map(len, wanted)), int(layout.offsets[-1])))
         for _, x, y, used, margins in blocks:
-            flat = x.astype(np.int64) + offsets[:-1]
             start = 0
-            for f, (tree, open_) in enumerate(zip(trees, leaves, strict=True)):
-                if not open_:
+            for f, (tree, own) in enumerate(zip(trees, wanted, strict=True)):
+                if not own:
                     continue
+                nodes, leaf = layout.leaves(tree, x)
                 place = np.full(len(tree.feature), -1)
-                place[open_] = np.arange(start, start + len(open_))
-                at = place[tree.leaf_of(x, tree.cut_bin)]
+                place[own] = np.arange(len(own))
+                at = place[nodes][leaf]
                 rows = np.flatnonzero(used[f] & (at >= 0))
+                at = at[rows]
                 p = 1.0 / (1.0 + np.exp(-margins[f][rows]))
-                cell = (flat[rows] + (at[rows] * n_bins)[:, None]).ravel()
-                width = x.shape[1]
-                out[0] += np.bincount(cell, np.repeat(p - y[rows], width), total * n_bins)
-                out[1] += np.bincount(cell, np.repeat(p * (1 - p), width), total * n_bins)
-                out[2] += np.bincount(cell, minlength=total * n_bins)
-                start += len(open_)
-        yield out.reshape(3, total, n_bins)
+                g, h = p - y[rows], p * (1 - p)
+                part = np.empty((3, len(own), out.shape[2]))
+                for c, n in enumerate(layout.codes):
+                    cell = at * n
+                    cell += x[c][rows]
+                    for into, w in zip(part, (g, h, None), strict=True):
+                        layout.per_feature(c, np.bincount(cell, w, len(own) * n).reshape(-1, n), into)
+                out[:, start:start + len(own)] += part
+                start += len(own)
+        yield out
     return run
 
 
 def _best_splits(sums: np.ndarray, offsets: np.ndarray, min_leaf: int, l2: float):
-    """Per leaf (gain, feature, bin, (G, H) left, (G, H) right) of its best split, or None."""
+    """Per leaf (gain, feature, bin, (G, H, rows) left, (G, H, rows) right) of its best split, or None."""
     feature = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     run = np.cumsum(sums, axis=2)
     before = np.concatenate([np.zeros((3, sums.shape[1], 1)), run], axis=2)[:, :, offsets[:-1]]
@@ -196,11 +398,11 @@ def _best_splits(sums: np.ndarray, offsets: np.ndarray, min_leaf: int, l2: float
     for leaf, b in enumerate(at.tolist()):
         g = float(gain[leaf, b])
         out.append(None if g <= 1e-12 else (g, int(feature[b]), b - int(offsets[feature[b]]),
-                                            left[:2, leaf, b], right[:2, leaf, b]))
+                                            left[:, leaf, b], right[:, leaf, b]))
     return out
 
 
-def _moved(*rounds: dict[int, Tree]):
+def _moved(layout: Layout, *rounds: dict[int, Tree]):
     """A block after the trees (by model) of these rounds."""
     values = [{f: np.array(t.value) for f, t in trees.items()} for trees in rounds]
 
@@ -209,71 +411,170 @@ def _moved(*rounds: dict[int, Tree]):
         margins = margins.copy()
         for trees, steps in zip(rounds, values, strict=True):
             for m, f in zip(margins, models, strict=True):
-                m += steps[f][trees[f].leaf_of(x, trees[f].cut_bin)]
+                nodes, leaf = layout.leaves(trees[f], x)
+                m += steps[f][nodes][leaf]
         return models, x, y, used, margins
     return run
 
 
+@dataclass
+class Level:
+    """Open leaves of all folds: those ``counted``, and those that are a leaf of the level before
+    less their counted sibling (places in the open leaves, the level before and the counted)."""
+
+    counted: list[list[int]]
+    size: int
+    direct: list[tuple[int, int]]
+    rest: list[tuple[int, int, int]]
+
+    def sums(self, counted: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+        out = np.empty((3, self.size, counted.shape[2]))
+        if self.direct:
+            to, at = map(list, zip(*self.direct, strict=True))
+            out[:, to] = counted[:, at]
+        if self.rest:
+            to, parent, sibling = map(list, zip(*self.rest, strict=True))
+            out[:, to] = before[:, parent] - counted[:, sibling]
+        return out
+
+
 @dataclass
 class Growth:
-    """How trees grow; ``edges`` and ``offsets`` of the bins."""
+    """How trees grow."""
 
-    edges: list[np.ndarray]
-    offsets: np.ndarray
+    layout: Layout
     max_depth: int | None
     max_leaves: int
     step_size: float
     min_leaf: int
     l2: float
 
-    def round(self, k: int, sums_of) -> list[Tree]:
-        """One tree per fold; ``sums_of(trees, open leaves)`` is a pass over the rows."""
+    def search(self, sums: np.ndarray, features: tuple[int, int]):
+        """Best split per leaf within a range of live features, whose sums these are."""
+        offsets = self.layout.offsets[features[0]:features[1] + 1]
+        found = _best_splits(sums, offsets - offsets[0], self.min_leaf, self.l2)
+        return [b and (b[0], self.layout.live[features[0] + b[1]], *b[2:]) for b in found]
+
+    @staticmethod
+    def best(found: list[list]) -> list:
+        """Per leaf the best of the ranges' candidates; of equal gains the first feature's."""
+        out = []
+        for candidates in zip(*found, strict=True):
+            known = [c for c in candidates if c]
+            top = max((c[0] for c in known), default=0.0)
+            out.append(min((c for c in known if c[0] >= top - 1e-9 * abs(top)), key=lambda c: c[1], default=None))
+        return out
+
+    def round(self, k: int, splits_of) -> list[Tree]:
+        """One tree per fold; ``splits_of(trees, level)`` is a pass over the rows: the best split of
+        every open leaf, fold by fold."""
         trees, grown, leaves = [Tree() for _ in range(k)], [1] * k, [[0] for _ in range(k)]
+        level = Level([[0] for _ in range(k)], k, [(f, f) for f in range(k)], [])
         for _ in range(self.max_depth or ANY_DEPTH):
-            best = _best_splits(sums_of(trees, leaves), self.offsets, self.min_leaf, self.l2)
-            start = np.cumsum([0, *map(len, leaves)])
+            best = splits_of(trees, level)
+            start = np.cumsum([0, *map(len, leaves)]).tolist()
+            level = Level([], 0, [], [])
+            n_counted = 0
             for f, tree in enumerate(trees):
-                found = sorted(((b, leaf) for b, leaf in zip(best[start[f]:start[f + 1]], leaves[f], strict=True) if b),
-                               key=lambda c: (-c[0][0], c[1]))[:self.max_leaves - grown[f]]
-                leaves[f] = []
-                for (gain, feature, b, *sides), leaf in found:
-                    steps = tuple(-self.step_size * g / (h + self.l2) for g, h in sides)
-                    leaves[f] += tree.split(leaf, feature, b, float(self.edges[feature][b]), gain, steps)
+                found = sorted(((b, leaf, start[f] + i) for i, (b, leaf) in enumerate(zip(best[start[f]:start[f + 1]], leaves[f], strict=True))
+                                if b), key=lambda c: (-c[0][0], c[1]))[:self.max_leaves - grown[f]]
+                leaves[f], counted = [], []
                 grown[f] += len(found)
-                if grown[f] >= self.max_leaves:
-                    leaves[f] = []
-            if not any(leaves):
+                last = grown[f] >= self.max_leaves
+                for (gain, feature, b, *sides), leaf, parent in found:
+                    steps = tuple(-self.step_size * g / (h + self.l2) for g, h, _ in sides)
+                    kids = tree.split(leaf, feature, b, float(self.layout.edges[feature][b]), gain, steps)
+                    # a leaf that is too small for two sides stays one
+                    open_ = [not last and rows >= 2 * self.min_leaf for _, _, rows in sides]
+                    if not any(open_):
+                        continue
+                    few = 0 if sides[0][2] <= sides[1][2] else 1
+                    at = n_counted + len(counted)
+                    counted.append(kids[few])
+                    for side in (0, 1):
+                        if open_[side]:
+                            if side == few:
+                                level.direct.append((level.size, at))
+                            else:
+                                level.rest.append((level.size, parent, at))
+                            level.size += 1
+                            leaves[f].append(kids[side])
+                level.counted.append(counted)
+                n_counted += len(counted)
+            if not level.size:
                 break
         return trees
 
 
 def _rounds_of_one_block(growth: Growth, rounds: int):
     """(fold, its trees of these rounds) from a block that is all rows of one fold's model."""
+    layout = growth.layout
+
     def run(blocks) -> Iterator[tuple[int, list[Tree]]]:
         for block in blocks:
-            (f,), own = block[0], []
+            (f,), own, sums = block[0], [], None
+
+            def splits_of(trees: list[Tree], level: Level):
+                nonlocal sums
+                sums = level.sums(next(_leaf_sums(trees, level.counted, layout)([block])), sums)  # noqa: B023
+                return growth.search(sums, (0, len(layout.live)))
+
             for _ in range(rounds):
-                own += growth.round(1, lambda t, leaves: next(_leaf_sums(t, leaves, growth.offsets)([block])))  # noqa: B023
-                block = _moved({f: own[-1]})(block)
+                own += growth.round(1, splits_of)
+                block = _moved(layout, {f: own[-1]})(block)
             yield f, own
     return run
 
 
+def _splits_of_blocks(growth: Growth, state: RDD, spent: list[RDD]):
+    """The same over many blocks: sums are added up and searched by ranges of features.  A level's
+    sums stay with Spark until the next level is done; ``spent`` has those that may still be kept."""
+    layout = growth.layout
+    ranges = layout.ranges
+
+    def splits_of(trees: list[Tree], level: Level):
+        count = _leaf_sums(trees, level.counted, layout)
+
+        def parts(blocks):
+            sums = next(count(blocks))
+            for key, (a, b) in enumerate(ranges):
+                yield key, np.ascontiguousarray(sums[:, :, layout.offsets[a]:layout.offsets[b]])
+
+        added = state.mapPartitions(parts).reduceByKey(np.add, len(ranges))
+        if level.rest:
+            sums = added.zip(spent[-1]).map(lambda p: (p[0][0], level.sums(p[0][1], p[1][1])))
+        else:
+            sums = added.mapValues(lambda counted: level.sums(counted, None))
+        sums = sums.persist(StorageLevel.MEMORY_AND_DISK)
+        found = sums.map(lambda p: (p[0], growth.search(p[1], ranges[p[0]]))).collect()
+        while spent:
+            spent.pop().unpersist()
+        spent.append(sums)
+        return growth.best([c for _, c in sorted(found, key=lambda p: p[0])])
+    return splits_of
+
+
 def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id_col: str, k: int, *, max_depth: int | None,
                 max_leaves: int, step_size: float, max_iter: int, min_leaf: int, l2: float, bins: int = 255) -> list[BoostedTrees]:
     """One model per fold, each trained on the rows of the other folds."""
     ensure_checkpoint_dir(df.sparkSession)
     edges = bin_edges(df, cols, bins)
-    growth = Growth(edges, np.concatenate([[0], np.cumsum([len(e) + 1 for e in edges])]), max_depth, max_leaves, step_size,
-                    min_leaf, l2)
+    layout = Layout(edges)
+    growth = Growth(layout, max_depth, max_leaves, step_size, min_leaf, l2)
     counts = df.groupBy(fold.alias("f")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p")).collect()
-    n_blocks = max(1, -(-sum(c["n"] for c in counts) // BLOCK_ROWS))
-    blocks = _blocks(df, cols, label, fold, id_col, edges, n_blocks)
+    n_rows = sum(c["n"] for c in counts)
+    n_blocks = max(1, -(-n_rows // BLOCK_ROWS))
+    if n_blocks > 1:            # as many to each core
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n_blocks = max(n_blocks, min(-(-n_blocks // cores) * cores, n_rows // LEAST_BLOCK_ROWS))
+    blocks = _blocks(df, cols, label, fold, id_col, layout, n_blocks)
     models = []
     for f in range(k):
         n, p = (sum(c[name] or 0 for c in counts if c["f"] != f) for name in ("n", "p"))
         share = min(max(p / n, 1e-9), 1 - 1e-9) if n else 0.5
         models.append(BoostedTrees(float(np.log(share / (1 - share))), [], len(cols)))
+    if not layout.live:
+        return models           # no feature has two bins
     base = np.array([m.base for m in models])
     # a block: the models it trains, bins, labels, and for each model the rows it uses and their margins
     shares = [range(k)] if n_blocks > 1 else [(f,) for f in range(k)]
@@ -282,14 +583,13 @@ def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id
     if n_blocks == 1:
         state = state.keyBy(lambda b: b[0][0]).partitionBy(k, int).values()
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    done, spent = 0, None
+    done, spent, sums = 0, None, []
     while done < max_iter:
         if n_blocks == 1:
             own = dict(state.mapPartitions(_rounds_of_one_block(growth, min(ROUNDS_A_JOB, max_iter - done))).collect())
             grown = [dict(zip(own, trees, strict=True)) for trees in zip(*own.values(), strict=True)]
         else:
-            grown = [dict(enumerate(growth.round(k, lambda t, leaves: state.mapPartitions(  # noqa: B023
-                _leaf_sums(t, leaves, growth.offsets)).treeReduce(np.add))))]
+            grown = [dict(enumerate(growth.round(k, _splits_of_blocks(growth, state, sums))))]
         if spent is not None:
             spent.unpersist()
         grown = [trees for trees in grown if any(len(t.feature) > 1 for t in trees.values())]
@@ -298,11 +598,11 @@ def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id
         for trees in grown:
             for f, t in trees.items():
                 models[f].trees.append(t)
-        spent, state = state, state.map(_moved(*grown)).persist(StorageLevel.MEMORY_AND_DISK)
+        spent, state = state, state.map(_moved(layout, *grown)).persist(StorageLevel.MEMORY_AND_DISK)
         if done // CHECKPOINT_ROUNDS != (done + len(grown)) // CHECKPOINT_ROUNDS:
             state.checkpoint()
         done += len(grown)
-    for s in (spent, state):
+    for s in (spent, state, *sums):
         if s is not None:
             s.unpersist()
     return models

@@ -50,7 +50,7 @@ class CalibratedScorer:
         return np.mean([np.interp(np.round(m, 9), *steps) for m, steps in zip(margins, self.calibrators, strict=True)], axis=0)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return self.probability([m.margin(x) for m in self.models])
+        return self.probability(boosting.Walk(self.models).margins(x))
 
     def transform(self, df: DataFrame, out: str = "model_score") -> DataFrame:
         """M4: calibrated probability of fraud using the remembered feature list."""
@@ -58,8 +58,9 @@ class CalibratedScorer:
 
         @F.pandas_udf("double")
         def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            walk = boosting.Walk(scorer.models)
             for columns in batches:
-                yield pd.Series(scorer.score(_dense(columns)))
+                yield pd.Series(scorer.probability(walk.margins(_dense(columns))))
 
         return df.withColumn(out, score(*[F.col(c).cast("double") for c in self.feature_cols]))
 
@@ -101,11 +102,12 @@ def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is
 
     @F.pandas_udf("double")
     def held_out(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        walks = [boosting.Walk([m]) for m in models]
         for f, *columns in batches:
             x, out = _dense(columns), np.zeros(len(f))
-            for k, m in enumerate(models):
+            for k, walk in enumerate(walks):
                 mine = f.to_numpy() == k
-                out[mine] = np.round(m.margin(x[mine]), 9)
+                out[mine] = np.round(walk.margins(x[mine])[0], 9)
             yield pd.Series(out)
 
     held = cut_lineage(rows.select(fold.alias("fold"), F.col(label).cast("double").alias("label"), held_out(fold, *cols).alias("margin")))
@@ -118,28 +120,18 @@ def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is
 def _variant_task(scorer: CalibratedScorer, names: tuple[str, str]):
     """(feature, score, label) of every row and feature, with the feature's value from elsewhere.
 
-    Each tree's margins are kept for the batch, and only the trees that split on the feature are
-    walked again."""
+    A row's leaf masks are kept per tree, and only the replaced feature's are looked up again, in
+    the trees that split on it (``boosting.Walk.replaced``)."""
     width = len(scorer.feature_cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = boosting.Walk(scorer.models)
         for b in batches:
             if not b.num_rows:
                 continue
             own, other = (_dense([b.column(f"{n}{i}").to_pandas() for i in range(width)]) for n in names)
             label = b.column("label")
-            kept = [[t.margin(own) for t in m.trees] for m in scorer.models]
-            base = [m.base + sum(k, np.zeros(len(own))) for m, k in zip(scorer.models, kept, strict=True)]
-            for i in range(width):
-                x = own.copy()
-                x[:, i] = other[:, i]
-                margins = []
-                for m, k, whole in zip(scorer.models, kept, base, strict=True):
-                    moved = whole.copy()
-                    for tree, before in zip(m.trees, k, strict=True):
-                        if i in tree.features():
-                            moved += tree.margin(x) - before
-                    margins.append(moved)
+            for i, margins in enumerate(walk.replaced(own, other)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i, dtype=np.int32)), pa.array(scorer.probability(margins)), label],
                                                  names=["_fi", "s", "label"])
     return run

@@ -159,3 +159,52 @@ def test_isolation_forest_frozen_bounds(spark):
     f = {r[0]: r[1] for r in free.select("transaction_id", "anomaly_score").collect()}
     for r in frozen.select("transaction_id", "anomaly_score").collect():
         assert r[1] == pytest.approx(f[r[0]])           # batch-independent with frozen bounds
+
+
+def test_shared_codes_and_masks_follow_the_walk_of_the_trees(spark):
+    """Margins by bit masks, with replaced features too, equal the walk; sums per shared code equal plain sums."""
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.normal(size=500), rng.integers(0, 2, 500), rng.integers(0, 3, 500), np.zeros(500)], axis=1)
+    edges = [np.unique(np.quantile(c, np.arange(1, 20) / 20)) for c in x.T]
+    layout = boosting.Layout([e if len(np.unique(c)) > 1 else e[:0] for e, c in zip(edges, x.T, strict=True)])
+    assert layout.live == [0, 1, 2] and sum(map(len, layout.columns)) == 3 and len(layout.columns) < 3
+    tree, cut = boosting.Tree(), lambda f, b: float(layout.edges[f][b])
+    a, b = tree.split(0, 0, 7, cut(0, 7), 1.0, (0.0, 0.0))
+    c, d = tree.split(a, 1, 0, cut(1, 0), 1.0, (0.5, 0.0))
+    tree.split(d, 0, 3, cut(0, 3), 1.0, (1.5, 2.5))
+    tree.split(b, 2, 1, cut(2, 1), 1.0, (3.5, 4.5))
+    bins = [np.searchsorted(e, v) for e, v in zip(layout.edges, x.T, strict=True)]
+    codes = layout.pack(bins)
+    nodes, leaf = layout.leaves(tree, codes)
+    assert (np.array(nodes)[leaf] == tree.leaf_of(x, tree.cut)).all()
+    wide = boosting.Tree()                        # above 16 leaves
+    for i, k in enumerate([0] + list(range(2, 40, 2))):
+        wide.split(k, 0, 18 - i if i < 19 else 0, cut(0, max(0, 18 - i)), 1.0, (float(i), -float(i)))
+    models = [boosting.BoostedTrees(0.25, [tree, wide, boosting.Tree()], 4)]
+    walk = lambda z: 0.25 + tree.margin(z) + wide.margin(z)
+    assert np.allclose(models[0].margin(x), walk(x), atol=1e-12)
+    other = x[::-1]
+    for f, (margin,) in enumerate(boosting.Walk(models).replaced(x, other)):
+        z = x.copy()
+        z[:, f] = other[:, f]
+        assert np.allclose(margin, walk(z), atol=1e-12)
+    y, used, margins = (x[:, 0] > 1).astype(np.int8), np.ones((1, 500), dtype=bool), np.zeros((1, 500))
+    sums = next(boosting._leaf_sums([tree], [[c]], layout)([([0], codes, y, used, margins)]))
+    own = tree.leaf_of(x, tree.cut) == c
+    for i, f in enumerate(layout.live):
+        got = sums[:, 0, layout.offsets[i]:layout.offsets[i + 1]]
+        for row, w in zip(got, (0.5 - y, np.full(500, 0.25), np.ones(500)), strict=True):
+            assert np.allclose(row, np.bincount(bins[f][own], w[own], layout.sizes[f]))
+
+
+def test_a_training_of_many_blocks_sends_the_driver_candidates_only(spark, monkeypatch):
+    df = _frame(spark, 900)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 120)
+    state = spark.sparkContext.parallelize([([0], np.zeros((2, 4), np.uint16), np.zeros(4, np.int8), np.ones((1, 4), bool), np.zeros((1, 4)))] * 3, 3)
+    layout = boosting.Layout([np.arange(200.0), np.arange(200.0)])
+    growth = boosting.Growth(layout, 2, 4, 0.1, 1, 1.0)
+    found = boosting._splits_of_blocks(growth, state, [])([boosting.Tree()], boosting.Level([[0]], 1, [(0, 0)], []))
+    assert found == [None]                        # a leaf of one bin: no sums come back
+    models = boosting.train_folds(df, ["x1", "x2"], "is_fraud", model.fold_of("transaction_id", "is_fraud", 2, 0), "transaction_id", 2,
+                                  max_depth=None, max_leaves=8, step_size=0.2, max_iter=3, min_leaf=15, l2=1.0)
+    assert all(len(m.trees) == 3 for m in models)
