@@ -24,13 +24,21 @@ from pyspark.sql import types as T
 UNB = Window.unboundedPreceding
 
 
+#: so many hot keys go to every task as they are, so that no row moves to be split off
+HOT_BROADCAST_MAX = 100_000
+
+
 def split_hot(df: DataFrame, key: Column, hot: list) -> tuple[DataFrame, DataFrame]:
     """(rows of the keys in ``hot``, all other rows), by null-safe semi and anti joins: every
     row is in exactly one part.  A NULL in ``hot`` names the rows without a key; other rows
-    without a key belong to the second part.  Any number of keys is allowed."""
+    without a key belong to the second part.  Any number of keys is allowed; up to
+    ``HOT_BROADCAST_MAX`` are broadcast (a shuffle would move all rows, and put those of one
+    hot key, or without a key, in one task)."""
     kind = df.select(key.alias("_hot")).schema["_hot"].dataType
-    keys = df.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(hot)],
-                                           T.StructType([T.StructField("_hot", kind)]))
+    found = [(k,) for k in dict.fromkeys(hot)]
+    keys = df.sparkSession.createDataFrame(found, T.StructType([T.StructField("_hot", kind)]))
+    if len(found) <= HOT_BROADCAST_MAX:
+        keys = F.broadcast(keys)
     same = key.eqNullSafe(F.col("_hot"))
     return df.join(keys, same, "left_semi"), df.join(keys, same, "left_anti")
 

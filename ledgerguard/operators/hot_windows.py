@@ -99,7 +99,9 @@ def prior_block(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value_min
     ``_total`` (rows of the key), ``_gap`` (microseconds since the row before), for a value ``_s``
     and ``_z`` (prior sum and exact z-score), with a width ``_cw`` and ``_sw`` (earlier rows not
     older than it, and their sum), and for ``distinct`` ``_distinct`` (its values seen before)."""
-    rows = identified(df)
+    whole = identified(df)
+    # the passes read and move only these columns; the whole rows are joined once at the end
+    rows = whole.select(UID, *dict.fromkeys([*keys, ts, tie, *[c for c in (value_minor, distinct) if c]]))
     values = {}
     if value_minor:
         c = F.col(value_minor)
@@ -120,7 +122,7 @@ def prior_block(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value_min
             cols += [(F.col("_n") - F.col("_n_w")).alias(f"{prefix}_cw"), (F.col("_s_c") - F.col("_s_c_w")).alias(f"{prefix}_sw")]
     if distinct:
         cols.append(F.col("_s_new").alias(f"{prefix}_distinct"))
-    return out.select(*df.columns, *cols)
+    return whole.join(out.select(UID, *cols), UID).drop(UID)
 
 
 def prior_counts(df: DataFrame, keys: dict[str, str], ts: str, tie: str) -> DataFrame:

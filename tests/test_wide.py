@@ -192,3 +192,35 @@ def test_the_wide_table_is_joined_once(spark):
     f, _ = ring_small(spark)
     plan = f._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "LocalRelation" not in plan
+
+
+def test_hot_keys_are_split_off_without_moving_rows(spark):
+    """A few hot keys are broadcast: no row is shuffled to be split off."""
+    from ledgerguard.operators import asof
+    df = spark.createDataFrame([(i, ("a", "b", None)[i % 3]) for i in range(30)], "i long, k string").repartition(4, "i")
+    for part, n in zip(asof.split_hot(df, F.col("k"), ["a", None]), (20, 10), strict=True):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(coalesce" not in plan
+        assert part.count() == n
+
+
+def test_pair_counts_share_the_card1_partitions(spark):
+    """Rows of (card1, addr1), nulls included, without a join; the same for hot card1 values."""
+    tx = spark.createDataFrame([
+        (i, 0, 3600 * i, 10.0, c, 1.0, 150.0, 226.0, a, "a")
+        for i, (c, a) in enumerate([(1, 5.0), (1, 5.0), (1, None), (1, None), (1, 6.0), (2, 5.0), (None, 5.0), (None, 5.0), (None, None)])], TX)
+    want = dict(enumerate([2, 2, 2, 2, 1, 1, 2, 2, 1]))
+    for hot in ([], [1, None]):
+        f = add_wide_features(normalise_wide(tx, None), hot_card1=hot)[0]
+        assert {i: r["card1_addr1_freq"] for i, r in rows(f).items()} == want
+    plan = add_wide_features(normalise_wide(tx, None))[0]._jdf.queryExecution().executedPlan().toString()
+    assert "_k_card1_addr1_freq" not in plan
+
+
+def test_device_windows_move_rows_once(spark):
+    import re
+    from ledgerguard.operators.wide_features import _device_windows
+    df = spark.createDataFrame([(i, i, "d", i % 2) for i in range(9)], "TransactionID long, ts_us long, device_fp string, card1 long")
+    f = _device_windows(df, F.lit(True))
+    assert len(re.findall("Exchange hashpartitioning", f._jdf.queryExecution().executedPlan().toString())) == 1
+    assert f.agg(F.max("_dev_total"), F.max("_dev_prior_n"), F.max("_dev_prior_distinct")).first() == (9, 8, 2)
