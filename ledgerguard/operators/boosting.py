@@ -13,9 +13,11 @@ folds there are.
   the sums per feature from that.  Of two sibling leaves only the smaller is counted; the other is
   their parent's sums less these.
 * A pass adds sums up by ranges of features, looks for splits there and returns one candidate per
-  leaf and range, so what reaches the driver does not grow with bins or rows.  Where
-  all rows are one block there is nothing to add up: each fold's copy of it has a task, which goes
-  on with the next levels and rounds itself, ``ROUNDS_A_JOB`` to a job; steps and sums are the same.
+  leaf and range, so what reaches the driver does not grow with bins or rows. 
+* Up to ``FOLD_BLOCKS`` blocks of rows (the rows that grow trees are bounded, see ``model.train_scorer``)
+  and ``FOLD_CELLS`` codes there is nothing to add up: each fold's rows have a task, which goes on with the
+  next levels and rounds itself, ``ROUNDS_A_JOB`` to a job, and keeps its rows by leaf (``Leaves``), so
+  that a level reads only the leaves it divides and counts; steps and sums are the same.
 * A row's leaf is found without walking: per feature and bin a tree has one bit mask of the leaves
   still possible, and their conjunction is the leaf (``Masks``; trees of up to 64 leaves).
 * Margins move once a round, in the first pass of the next round, and are checkpointed to the
@@ -41,6 +43,9 @@ from ledgerguard.session import ensure_checkpoint_dir
 BLOCK_ROWS = 1_000_000
 #: blocks may be this small where there are cores for more of them
 LEAST_BLOCK_ROWS = 50_000
+#: blocks of rows, and codes (rows x columns, two bytes each), up to which a fold is one task's
+FOLD_BLOCKS = 5
+FOLD_CELLS = 150_000_000
 #: ranges of features whose sums are added up and searched apart
 RANGES = 4
 #: features share a column of codes up to so many codes
@@ -506,26 +511,101 @@ class Growth:
         return trees
 
 
-def _rounds_of_one_block(growth: Growth, rounds: int):
-    """(fold, its trees of these rounds) from a block that is all rows of one fold's model."""
-    layout = growth.layout
+class Leaves:
+    """The rows of a tree's leaves, in their order."""
 
-    def run(blocks) -> Iterator[tuple[int, list[Tree]]]:
-        for block in blocks:
-            (f,), own, sums = block[0], [], None
+    def __init__(self, layout: Layout, x: np.ndarray) -> None:
+        self.layout, self.x = layout, x
+        self.rows: dict[int, np.ndarray] = {0: np.arange(x.shape[1], dtype=np.int32)}
+        self.place = {}                                  # feature: (its column, stride in the codes)
+        for c, fs in enumerate(layout.columns):
+            stride = 1
+            for f in fs:
+                self.place[f] = (c, stride)
+                stride *= layout.sizes[f]
+
+    def follow(self, tree: Tree) -> None:
+        """Divide the leaves that were split since."""
+        for node in [n for n in self.rows if tree.feature[n] >= 0]:
+            rows, f, cut = self.rows.pop(node), tree.feature[node], tree.cut_bin[node]
+            c, stride = self.place[f]
+            left = (np.arange(self.layout.codes[c]) // stride % self.layout.sizes[f] <= cut)[self.x[c][rows]]
+            self.rows[tree.left[node]], self.rows[tree.right[node]] = rows[left], rows[~left]
+
+    def sums(self, nodes: list[int], weights: Sequence[np.ndarray]) -> np.ndarray:
+        """(3, ``nodes``, bins of all features): sums of both weights and rows."""
+        out = np.empty((3, len(nodes), int(self.layout.offsets[-1])))
+        if not nodes:
+            return out
+        rows = np.concatenate([self.rows[n] for n in nodes])
+        at = np.repeat(np.arange(len(nodes)), [len(self.rows[n]) for n in nodes])
+        own = [w[rows] for w in weights]
+        for c, n in enumerate(self.layout.codes):
+            cell = at * n
+            cell += self.x[c][rows]
+            for into, w in zip(out, (*own, None), strict=True):
+                self.layout.per_feature(c, np.bincount(cell, w, len(nodes) * n).reshape(-1, n), into)
+        return out
 
-            def splits_of(trees: list[Tree], level: Level):
-                nonlocal sums
-                sums = level.sums(next(_leaf_sums(trees, level.counted, layout)([block])), sums)  # noqa: B023
-                return growth.search(sums, (0, len(layout.live)))
 
+def _rounds_of_a_fold(growth: Growth, rounds: int):
+    """(fold, bins, labels, new margins) and the trees of these rounds, from all rows of a fold's model."""
+    def run(folds) -> Iterator[tuple]:
+        for f, x, y, margins in folds:
+            own, sums, margins = [], None, margins.copy()
             for _ in range(rounds):
+                p = 1.0 / (1.0 + np.exp(-margins))
+                steps, leaves = (p - y, p * (1 - p)), Leaves(growth.layout, x)
+
+                def splits_of(trees: list[Tree], level: Level):
+                    nonlocal sums
+                    leaves.follow(trees[0])  # noqa: B023
+                    sums = level.sums(leaves.sums(level.counted[0], steps), sums)  # noqa: B023
+                    return growth.search(sums, (0, len(growth.layout.live)))
+
                 own += growth.round(1, splits_of)
-                block = _moved(layout, {f: own[-1]})(block)
-            yield f, own
+                leaves.follow(own[-1])
+                for node, rows in leaves.rows.items():
+                    margins[rows] += own[-1].value[node]
+            yield (f, x, y, margins), own
     return run
 
 
+def _train_by_fold(blocks: RDD, growth: Growth, models: list[BoostedTrees], max_iter: int) -> None:
+    """All rounds of each fold's model by a task of its own; ``models`` get their trees."""
+    k, base = len(models), [m.base for m in models]
+
+    def deal(numbered):
+        (codes, labels, folds), no = numbered
+        for f in range(k):
+            used = folds != f
+            yield f, (no, codes[:, used], labels[used])
+
+    def assemble(f: int, dealt) -> Iterator[tuple]:
+        own = sorted((r for _, r in dealt), key=lambda r: r[0])
+        y = np.concatenate([r[2] for r in own])
+        yield f, np.concatenate([r[1] for r in own], axis=1), y, np.full(len(y), base[f])
+
+    state = blocks.zipWithIndex().flatMap(deal).partitionBy(k, int).mapPartitionsWithIndex(assemble)
+    done, kept = 0, None
+    while done < max_iter:
+        rounds = min(ROUNDS_A_JOB, max_iter - done)
+        grown = state.mapPartitions(_rounds_of_a_fold(growth, rounds)).persist(StorageLevel.MEMORY_AND_DISK)
+        if done // CHECKPOINT_ROUNDS != (done + rounds) // CHECKPOINT_ROUNDS:
+            grown.checkpoint()
+        own = dict(grown.map(lambda b: (b[0][0], b[1])).collect())
+        if kept is not None:
+            kept.unpersist()
+        kept, state, done = grown, grown.map(lambda b: b[0]), done + rounds
+        learned = [any(len(own[f][i].feature) > 1 for f in own) for i in range(rounds)]
+        for f, trees in own.items():
+            models[f].trees += [t for t, some in zip(trees, learned, strict=True) if some]
+        if not all(learned):                              # nothing left to learn
+            break
+    if kept is not None:
+        kept.unpersist()
+
+
 def _splits_of_blocks(growth: Growth, state: RDD, spent: list[RDD]):
     """The same over many blocks: sums are added up and searched by ranges of features.  A level's
     sums stay with Spark until the next level is done; ``spent`` has those that may still be kept."""
@@ -564,7 +644,8 @@ def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id
     counts = df.groupBy(fold.alias("f")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p")).collect()
     n_rows = sum(c["n"] for c in counts)
     n_blocks = max(1, -(-n_rows // BLOCK_ROWS))
-    if n_blocks > 1:            # as many to each core
+    by_fold = n_blocks <= FOLD_BLOCKS and n_rows * len(layout.columns) <= FOLD_CELLS
+    if n_blocks > 1 or not by_fold:            # as many to each core
         cores = df.sparkSession.sparkContext.defaultParallelism
         n_blocks = max(n_blocks, min(-(-n_blocks // cores) * cores, n_rows // LEAST_BLOCK_ROWS))
     blocks = _blocks(df, cols, label, fold, id_col, layout, n_blocks)
@@ -575,21 +656,16 @@ def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id
         models.append(BoostedTrees(float(np.log(share / (1 - share))), [], len(cols)))
     if not layout.live:
         return models           # no feature has two bins
+    if by_fold:
+        _train_by_fold(blocks, growth, models, max_iter)
+        return models
     base = np.array([m.base for m in models])
     # a block: the models it trains, bins, labels, and for each model the rows it uses and their margins
-    shares = [range(k)] if n_blocks > 1 else [(f,) for f in range(k)]
-    state = blocks.flatMap(lambda b: [(list(fs), b[0], b[1], np.stack([b[2] != f for f in fs]),
-                                       np.repeat(base[list(fs), None], len(b[1]), axis=1)) for fs in shares])
-    if n_blocks == 1:
-        state = state.keyBy(lambda b: b[0][0]).partitionBy(k, int).values()
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    state = blocks.map(lambda b: (list(range(k)), b[0], b[1], np.stack([b[2] != f for f in range(k)]),
+                                  np.repeat(base[:, None], len(b[1]), axis=1))).persist(StorageLevel.MEMORY_AND_DISK)
     done, spent, sums = 0, None, []
     while done < max_iter:
-        if n_blocks == 1:
-            own = dict(state.mapPartitions(_rounds_of_one_block(growth, min(ROUNDS_A_JOB, max_iter - done))).collect())
-            grown = [dict(zip(own, trees, strict=True)) for trees in zip(*own.values(), strict=True)]
-        else:
-            grown = [dict(enumerate(growth.round(k, _splits_of_blocks(growth, state, sums))))]
+        grown = [dict(enumerate(growth.round(k, _splits_of_blocks(growth, state, sums))))]
         if spent is not None:
             spent.unpersist()
         grown = [trees for trees in grown if any(len(t.feature) > 1 for t in trees.values())]

@@ -208,3 +208,29 @@ def test_a_training_of_many_blocks_sends_the_driver_candidates_only(spark, monke
     models = boosting.train_folds(df, ["x1", "x2"], "is_fraud", model.fold_of("transaction_id", "is_fraud", 2, 0), "transaction_id", 2,
                                   max_depth=None, max_leaves=8, step_size=0.2, max_iter=3, min_leaf=15, l2=1.0)
     assert all(len(m.trees) == 3 for m in models)
+
+
+def test_rows_of_several_blocks_are_one_task_of_each_fold(spark, monkeypatch):
+    """Up to FOLD_BLOCKS blocks no level is a job of its own, and the trees are those of one block and of many."""
+    rng = np.random.default_rng(11)
+    x = np.stack([rng.normal(size=900), rng.integers(0, 300, 900), rng.integers(0, 3, 900), rng.normal(size=900)], axis=1)
+    y = (x[:, 0] + x[:, 1] / 150 + (x[:, 2] > 1) * x[:, 3] > 1.4).astype(int)
+    rows = [(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))]
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(rows, "transaction_id long, a double, b double, c double, d double, is_fraud int")
+    fold = model.fold_of("transaction_id", "is_fraud", 2, 0)
+    how = dict(max_depth=None, max_leaves=12, step_size=0.2, max_iter=5, min_leaf=15, l2=1.0)
+    monkeypatch.setattr(boosting, "ROUNDS_A_JOB", 3)
+    monkeypatch.setattr(boosting, "LEAST_BLOCK_ROWS", 200)
+    found = []
+    for block_rows, cells in ((1_000_000, 150_000_000), (200, 150_000_000), (200, 100)):
+        with monkeypatch.context() as m:
+            m.setattr(boosting, "BLOCK_ROWS", block_rows)
+            m.setattr(boosting, "FOLD_CELLS", cells)
+            if cells > 100:
+                m.setattr(boosting, "_splits_of_blocks", None)
+            found.append(boosting.train_folds(df, cols, "is_fraud", fold, "transaction_id", 2, **how))
+    for one, several, many in zip(*found, strict=True):
+        assert len(one.trees) == len(several.trees) == len(many.trees) == 5
+        assert np.allclose(one.margin(x), several.margin(x), atol=1e-9) and np.allclose(one.margin(x), many.margin(x), atol=1e-9)
+        assert one.trees[0].feature == several.trees[0].feature == many.trees[0].feature
