@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerguard.operators.asof import join_null_safe
 from ledgerguard.operators.ordering import running_by_key
 from ledgerguard.session import cut_lineage
 
@@ -94,12 +95,16 @@ def with_prior(rows: DataFrame, keys: Sequence[str], ts: str, tie: str, values:
 
 
 def prior_block(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value_minor: str | None = None,
-                width_us: int | None = None, distinct: str | None = None, prefix: str = "_p") -> DataFrame:
+                width_us: int | None = None, distinct: str | None = None, prefix: str = "_p", gap: bool = True,
+                few_keys: bool = False) -> DataFrame:
     """The as-of block of entity features for hot keys: ``df`` with ``{prefix}_n`` (rows before),
     ``_total`` (rows of the key), ``_gap`` (microseconds since the row before), for a value ``_s``
     and ``_z`` (prior sum and exact z-score), with a width ``_cw`` and ``_sw`` (earlier rows not
-    older than it, and their sum), and for ``distinct`` ``_distinct`` (its values seen before)."""
-    whole = identified(df)
+    older than it, and their sum), and for ``distinct`` ``_distinct`` (its values seen before).
+
+    ``_gap`` only with ``gap``.  A frame that has row ids already (of a stored table) is not written
+    again.  ``few_keys``: the keys' totals are few enough to be broadcast."""
+    whole = df if UID in df.columns else identified(df)
     # the passes read and move only these columns; the whole rows are joined once at the end
     rows = whole.select(UID, *dict.fromkeys([*keys, ts, tie, *[c for c in (value_minor, distinct) if c]]))
     values = {}
@@ -107,13 +112,18 @@ def prior_block(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value_min
         c = F.col(value_minor)
         values = {"c": c, "nn": c.isNotNull().cast("long")} | square_parts(c)
     if distinct:
-        first = first_of(rows, [*keys, distinct], ts, tie).withColumn("_first", F.lit(1))
+        # aggregated by task first, so that a value of very many rows is no task's either
+        first = (rows.groupBy(*keys, distinct).agg(F.min(F.struct(F.col(ts), F.col(tie), F.col(UID))).alias("_f"))
+                 .select(F.col(f"_f.{UID}").alias(UID), F.lit(1).alias("_first")))
         rows = cut_lineage(rows.join(first, UID, "left"))
         values["new"] = F.col("_first")
-    edges: dict[str, int | None] = {WHOLE: None} | ({"w": int(width_us) + 1} if width_us else {})
-    out = with_prior(rows, keys, ts, tie, values, edges, [ts])
-    cols = [F.col("_n").alias(f"{prefix}_n"), F.col(f"_n_{WHOLE}").alias(f"{prefix}_total"),
-            (F.col(ts) - F.col(f"_prev.{ts}")).alias(f"{prefix}_gap")]
+    edges: dict[str, int | None] = ({} if few_keys else {WHOLE: None}) | ({"w": int(width_us) + 1} if width_us else {})
+    out = with_prior(rows, keys, ts, tie, values, edges, [ts] if gap else [])
+    if few_keys:
+        out = join_null_safe(out, F.broadcast(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n_{WHOLE}"))), list(keys), "inner")
+    cols = [F.col("_n").alias(f"{prefix}_n"), F.col(f"_n_{WHOLE}").alias(f"{prefix}_total")]
+    if gap:
+        cols.append((F.col(ts) - F.col(f"_prev.{ts}")).alias(f"{prefix}_gap"))
     if value_minor:
         squares = square_sum(F.col("_s_sq_hi"), F.col("_s_sq_lo"))
         cols += [F.col("_s_c").alias(f"{prefix}_s"),

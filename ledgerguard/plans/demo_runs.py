@@ -173,9 +173,8 @@ def run_wide_queue(spark, sf):
 
 
 def _wide_test(spark, sf):
-    from ledgerguard.operators.wide_features import add_ring_features
-    from ledgerguard.plans.wide_queries import wide_normalised
-    return split.time_split(cut_lineage(add_ring_features(wide_normalised(spark, sf))))[2]
+    from ledgerguard.plans.wide_queries import ring_featured
+    return split.time_split(cut_lineage(ring_featured(spark, sf)))[2]
 
 
 @register("run_wide_rings")

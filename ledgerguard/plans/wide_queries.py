@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerguard.operators import investigate as inv
 from ledgerguard.operators import rings
-from ledgerguard.operators.wide_features import add_row_features, add_wide_features
+from ledgerguard.operators.wide_features import RING_INPUTS, add_ring_features, add_row_features, add_wide_features
 from ledgerguard.plans.card_queries import STG_SQL, VEL_SQL
 from ledgerguard.plans.common import card_txn, rnd
 from ledgerguard.plans.registry import register
@@ -21,8 +21,8 @@ def wide_normalised(spark, sf):
     return readers.normalise_wide(tx, idn)
 
 
-def wide_featured(spark, sf):
-    return add_wide_features(wide_normalised(spark, sf))[0]
+def wide_featured(spark, sf, only=None):
+    return add_wide_features(wide_normalised(spark, sf), only=only)[0]
 
 
 def wide_rowwise(spark, sf):
@@ -30,8 +30,7 @@ def wide_rowwise(spark, sf):
 
 
 def ring_featured(spark, sf):
-    from ledgerguard.operators.wide_features import add_ring_features
-    return add_ring_features(wide_normalised(spark, sf))
+    return add_ring_features(wide_normalised(spark, sf).select(*RING_INPUTS))
 
 
 @register("e7_device_prior_hot_split", with_(WIDE_CTE, """
@@ -87,7 +86,8 @@ def _feat(name, cols, doc="", build=None):
         f"round(coalesce(CAST({c} AS DOUBLE), -1.0), 6) AS {c}" for c in cols) + " FROM wfeat")
 
     def q(spark, sf):
-        return (build or wide_featured)(spark, sf).select("TransactionID", *[rnd(c).alias(c) for c in cols])
+        f = build(spark, sf) if build else wide_featured(spark, sf, cols)
+        return f.select("TransactionID", *[rnd(c).alias(c) for c in cols])
     q.__doc__ = doc
     register(name, sql)(q)
 
