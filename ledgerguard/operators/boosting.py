@@ -17,7 +17,8 @@ folds there are.
 * Up to ``FOLD_BLOCKS`` blocks of rows (the rows that grow trees are bounded, see ``model.train_scorer``)
   and ``FOLD_CELLS`` codes there is nothing to add up: each fold's rows have a task, which goes on with the
   next levels and rounds itself, ``ROUNDS_A_JOB`` to a job, and keeps its rows by leaf (``Leaves``), so
-  that a level reads only the leaves it divides and counts; steps and sums are the same.
+  that a level reads only the leaves it divides and counts, a row's codes lying side by side; steps and
+  sums are the same.
 * A row's leaf is found without walking: per feature and bin a tree has one bit mask of the leaves
   still possible, and their conjunction is the leaf (``Masks``; trees of up to 64 leaves).
 * Margins move once a round, in the first pass of the next round, and are checkpointed to the
@@ -48,6 +49,8 @@ FOLD_BLOCKS = 5
 FOLD_CELLS = 150_000_000
 #: ranges of features whose sums are added up and searched apart
 RANGES = 4
+#: rows picked at once: their codes stay in the CPU's cache until they lie by column
+ROWS_AT_ONCE = 4096
 #: features share a column of codes up to so many codes
 SHARED_CODES = 512
 CHECKPOINT_ROUNDS = 50
@@ -511,12 +514,20 @@ class Growth:
         return trees
 
 
+def _by_row(codes: np.ndarray) -> np.ndarray:
+    """Codes (columns x rows) row by row, padded to whole eight bytes: a row is then one or few lines of
+    the CPU's cache, and picking rows costs about as much as picking a column's codes."""
+    out = np.zeros((codes.shape[1], -(-len(codes) // 4) * 4), dtype=np.uint16)
+    out[:, :len(codes)] = codes.T
+    return out
+
+
 class Leaves:
-    """The rows of a tree's leaves, in their order."""
+    """The rows of a tree's leaves, in their order; ``x`` has their codes by row (``_by_row``)."""
 
     def __init__(self, layout: Layout, x: np.ndarray) -> None:
         self.layout, self.x = layout, x
-        self.rows: dict[int, np.ndarray] = {0: np.arange(x.shape[1], dtype=np.int32)}
+        self.rows: dict[int, np.ndarray] = {0: np.arange(len(x))}
         self.place = {}                                  # feature: (its column, stride in the codes)
         for c, fs in enumerate(layout.columns):
             stride = 1
@@ -529,27 +540,43 @@ class Leaves:
         for node in [n for n in self.rows if tree.feature[n] >= 0]:
             rows, f, cut = self.rows.pop(node), tree.feature[node], tree.cut_bin[node]
             c, stride = self.place[f]
-            left = (np.arange(self.layout.codes[c]) // stride % self.layout.sizes[f] <= cut)[self.x[c][rows]]
-            self.rows[tree.left[node]], self.rows[tree.right[node]] = rows[left], rows[~left]
+            left = (np.arange(self.layout.codes[c]) // stride % self.layout.sizes[f] <= cut)[self.x[:, c][rows]]
+            self.rows[tree.left[node]], self.rows[tree.right[node]] = rows.compress(left), rows.compress(~left)
+
+    def columns(self, rows: np.ndarray) -> np.ndarray:
+        """Codes (columns x rows) of these rows."""
+        out = np.empty((len(self.layout.columns), len(rows)), dtype=np.uint16)
+        words = self.x.view(np.uint64)
+        for i in range(0, len(rows), ROWS_AT_ONCE):
+            part = words.take(rows[i:i + ROWS_AT_ONCE], axis=0).view(np.uint16)
+            out[:, i:i + ROWS_AT_ONCE] = part[:, :len(out)].T
+        return out
 
     def sums(self, nodes: list[int], weights: Sequence[np.ndarray]) -> np.ndarray:
         """(3, ``nodes``, bins of all features): sums of both weights and rows."""
-        out = np.empty((3, len(nodes), int(self.layout.offsets[-1])))
+        out = np.zeros((3, len(nodes), int(self.layout.offsets[-1])))
         if not nodes:
             return out
         rows = np.concatenate([self.rows[n] for n in nodes])
         at = np.repeat(np.arange(len(nodes)), [len(self.rows[n]) for n in nodes])
-        own = [w[rows] for w in weights]
+        for i in range(0, len(rows), BLOCK_ROWS):
+            some = slice(i, i + BLOCK_ROWS)
+            out += self._sums(len(nodes), at[some], self.columns(rows[some]), [w[rows[some]] for w in weights])
+        return out
+
+    def _sums(self, n_nodes: int, at: np.ndarray, codes: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+        out = np.empty((3, n_nodes, int(self.layout.offsets[-1])))
+        flat = out.reshape(3 * n_nodes, -1)
         for c, n in enumerate(self.layout.codes):
             cell = at * n
-            cell += self.x[c][rows]
-            for into, w in zip(out, (*own, None), strict=True):
-                self.layout.per_feature(c, np.bincount(cell, w, len(nodes) * n).reshape(-1, n), into)
+            cell += codes[c]
+            counted = np.concatenate([np.bincount(cell, w, n_nodes * n) for w in (*weights, None)])
+            self.layout.per_feature(c, counted.reshape(-1, n), flat)
         return out
 
 
 def _rounds_of_a_fold(growth: Growth, rounds: int):
-    """(fold, bins, labels, new margins) and the trees of these rounds, from all rows of a fold's model."""
+    """(fold, codes by row, labels, new margins) and the trees of these rounds, from all rows of a fold's model."""
     def run(folds) -> Iterator[tuple]:
         for f, x, y, margins in folds:
             own, sums, margins = [], None, margins.copy()
@@ -584,7 +611,7 @@ def _train_by_fold(blocks: RDD, growth: Growth, models: list[BoostedTrees], max_
     def assemble(f: int, dealt) -> Iterator[tuple]:
         own = sorted((r for _, r in dealt), key=lambda r: r[0])
         y = np.concatenate([r[2] for r in own])
-        yield f, np.concatenate([r[1] for r in own], axis=1), y, np.full(len(y), base[f])
+        yield f, np.concatenate([_by_row(r[1]) for r in own]), y, np.full(len(y), base[f])
 
     state = blocks.zipWithIndex().flatMap(deal).partitionBy(k, int).mapPartitionsWithIndex(assemble)
     done, kept = 0, None
@@ -645,9 +672,8 @@ def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id
     n_rows = sum(c["n"] for c in counts)
     n_blocks = max(1, -(-n_rows // BLOCK_ROWS))
     by_fold = n_blocks <= FOLD_BLOCKS and n_rows * len(layout.columns) <= FOLD_CELLS
-    if n_blocks > 1 or not by_fold:            # as many to each core
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n_blocks = max(n_blocks, min(-(-n_blocks // cores) * cores, n_rows // LEAST_BLOCK_ROWS))
+    cores = df.sparkSession.sparkContext.defaultParallelism      # as many to each core
+    n_blocks = max(n_blocks, min(-(-n_blocks // cores) * cores, n_rows // LEAST_BLOCK_ROWS))
     blocks = _blocks(df, cols, label, fold, id_col, layout, n_blocks)
     models = []
     for f in range(k):

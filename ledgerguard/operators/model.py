@@ -11,6 +11,7 @@ input whatever the table size).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -111,7 +112,8 @@ def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is
             yield pd.Series(out)
 
     held = cut_lineage(rows.select(fold.alias("fold"), F.col(label).cast("double").alias("label"), held_out(fold, *cols).alias("margin")))
-    steps = [_isotonic(held.where(F.col("fold") == k), calib_bins) for k in range(calib_cv)]
+    with ThreadPoolExecutor(calib_cv) as side_by_side:    # small jobs, each with a last task of its own
+        steps = list(side_by_side.map(lambda k: _isotonic(held.where(F.col("fold") == k), calib_bins), range(calib_cv)))
     return CalibratedScorer(cols, models, steps, dict(
         max_depth=max_depth, max_leaves=max_leaves, step_size=step_size, max_iter=max_iter, min_instances=min_instances,
         l2=l2, calib_cv=calib_cv, max_rows=max_rows, seed=seed))

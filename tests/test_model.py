@@ -234,3 +234,39 @@ def test_rows_of_several_blocks_are_one_task_of_each_fold(spark, monkeypatch):
         assert len(one.trees) == len(several.trees) == len(many.trees) == 5
         assert np.allclose(one.margin(x), several.margin(x), atol=1e-9) and np.allclose(one.margin(x), many.margin(x), atol=1e-9)
         assert one.trees[0].feature == several.trees[0].feature == many.trees[0].feature
+
+
+def test_a_folds_rows_lie_side_by_side_and_are_summed_by_ranges(monkeypatch):
+    """Rows picked from codes by row are the columns' codes, and sums of several ranges those of all rows."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 255, (700, 6)).astype(float)
+    layout = boosting.Layout([np.arange(n) + 0.5 for n in (2, 254, 3, 200, 40, 1)])
+    codes = layout.pack([np.searchsorted(e, x[:, f]) for f, e in enumerate(layout.edges)])
+    monkeypatch.setattr(boosting, "ROWS_AT_ONCE", 64)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 150)
+    leaves = boosting.Leaves(layout, boosting._by_row(codes))
+    some = rng.permutation(700)[:333]
+    assert np.array_equal(leaves.columns(some), codes[:, some])
+    tree = boosting.Tree()
+    tree.split(0, 1, 90, 90.5, 1.0, (0.0, 0.0))
+    leaves.follow(tree)
+    left = x[:, 1] <= 90.5
+    assert np.array_equal(leaves.rows[1], np.flatnonzero(left)) and np.array_equal(leaves.rows[2], np.flatnonzero(~left))
+    w = rng.random(700)
+    sums = leaves.sums([2, 1], (w, 2 * w))
+    for f, (a, b) in enumerate(zip(layout.offsets[:-1], layout.offsets[1:], strict=True)):
+        bins = np.searchsorted(layout.edges[layout.live[f]], x[:, layout.live[f]])
+        for node, own in ((0, ~left), (1, left)):
+            assert np.allclose(sums[0, node, a:b], np.bincount(bins[own], w[own], b - a))
+            assert np.allclose(sums[1, node, a:b], np.bincount(bins[own], 2 * w[own], b - a))
+            assert np.array_equal(sums[2, node, a:b], np.bincount(bins[own], minlength=b - a))
+
+
+def test_rows_of_one_block_are_packed_by_as_many_tasks_as_there_are_cores(spark, monkeypatch):
+    """Rows of a fold's task are put into bins by several tasks, also below BLOCK_ROWS."""
+    dealt, blocks = [], boosting._blocks
+    monkeypatch.setattr(boosting, "LEAST_BLOCK_ROWS", 200)
+    monkeypatch.setattr(boosting, "_blocks", lambda *a: dealt.append(a[-1]) or blocks(*a))
+    boosting.train_folds(_frame(spark, 900), ["x1", "x2"], "is_fraud", model.fold_of("transaction_id", "is_fraud", 2, 0), "transaction_id", 2,
+                         max_depth=2, max_leaves=4, step_size=0.2, max_iter=1, min_leaf=15, l2=1.0)
+    assert dealt == [min(spark.sparkContext.defaultParallelism, 4)]
