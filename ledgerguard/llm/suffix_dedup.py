@@ -20,6 +20,8 @@ windows is one by itself (128 bits of hash), dealt by that hash, and a minimum p
 there is to know.  So what meets under one key is at most ``crowd`` contexts, or one entry per
 slice, whatever phrase a third of all documents share in whatever surroundings.  The slices are
 one exchange of the documents, used three times.  A very long text is one text of its slice.
+Contexts are Python objects of several times their size, so a slice's and a bucket's are taken up
+in ``PARTS`` parts, one after the other.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ from ledgerguard.llm.common import binary_column, bounded_batches, give_back, sh
 NO_KEY = np.iinfo(np.int64).max   # documents without a key come after all others
 PIECE = 256 << 10                 # bytes hashed at once: arrays that stay in the CPU's cache
 BLOCK = 1 << 19                   # symbols of one transform, unless one anchor has more
+OCCURRENCES = 1 << 16             # contexts that are Python objects at once in the removal
+PARTS = 8                         # parts of a slice's or a bucket's contexts that are Python objects one after the other
 _BYTE = np.random.default_rng(50).integers(0, 1 << 32, 256, dtype=np.uint32)
 _STEP = 0x9E3779B1
 
@@ -228,17 +232,25 @@ def _runs(texts: pa.Array, wanted: np.ndarray, length: int, gram: int):
 
 
 def _occurrences(texts: pa.Array, shared: np.ndarray, length: int, gram: int
-                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(document, place in it, anchor id, context bytes) of every run of windows whose anchor is
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place in it, anchor id, bytes of context) of every run of windows whose anchor is
     in ``shared`` (sorted)."""
-    docs, places, ids, contexts = [], [], [], []
-    for a, buf, ends, first, stop, doc, own in _runs(texts, shared, length, gram):
-        raw = buf.tobytes()
+    docs, places, ids, sizes = [], [], [], []
+    for a, _, ends, first, stop, doc, own in _runs(texts, shared, length, gram):
         docs.append(a + doc)
         places.append(first - np.r_[0, ends[:-1]][doc])
         ids.append(own)
-        contexts += [raw[i:j] for i, j in zip(first.tolist(), (stop + length - 1).tolist(), strict=True)]
-    return (*(np.concatenate(x) if x else np.empty(0, np.int64) for x in (docs, places, ids)), contexts)
+        sizes.append(stop + length - 1 - first)
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (docs, places, ids, sizes))
+
+
+def _cut_out(texts: pa.Array, docs: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The bytes at these places."""
+    if not len(docs):
+        return []
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:]
+    raw, at = texts.buffers()[2].to_pybytes(), offsets[docs] + places
+    return [raw[i:j] for i, j in zip(at.tolist(), (at + sizes).tolist(), strict=True)]
 
 
 def _window_hashes(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -283,6 +295,30 @@ def _same_window(hashes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]).any(axis=1)]) if len(hashes) else np.empty(0, np.int64)
 
 
+def _context_rows(g: int, ctx: list[bytes], h: np.ndarray, low: np.ndarray, bucket: np.ndarray) -> pa.Table:
+    """A row for each bucket: the distinct contexts of slice ``g`` with anchor, smallest key and how far
+    the largest is from it (``low`` ascends)."""
+    last = dict(zip(ctx, range(len(ctx)), strict=True))
+    first = dict(zip(reversed(ctx), range(len(ctx) - 1, -1, -1), strict=True))
+    distinct = list(last)
+    head = np.fromiter(map(first.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+    tail = np.fromiter(last.values(), dtype=np.int64, count=len(distinct))
+    ids, lows, highs, bucket = h[head], low[head], low[tail], bucket[head]
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cut, cuts = _cuts(bucket)
+    sizes = np.fromiter(map(len, distinct), dtype=np.uint16, count=len(distinct))[order]
+    flat = np.frombuffer(b"".join([distinct[i] for i in order.tolist()]), dtype=np.uint8)
+    at = np.r_[0, np.cumsum(sizes, dtype=np.int64)][cuts]
+    packed = [pa.compress(flat[a:b].tobytes(), codec="zstd", asbytes=True)
+              for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    return _rows(CONTEXTS, bucket=pa.array(bucket[cut].astype(np.int32), pa.int32()),
+                 g=pa.array(np.full(len(cut), g, np.int32), pa.int32()), ids=_blobs(_six(ids[order]), cuts),
+                 lows=_blobs(lows[order].astype(np.int64), cuts),
+                 highs=_blobs((highs[order] - lows[order]).astype(np.int64), cuts),   # mostly zeros
+                 sizes=_blobs(sizes, cuts), bytes=pa.array(packed, pa.binary()))
+
+
 def _contexts(buckets: int, length: int, gram: int, key: str, text: str):
     def contexts(_, docs: pa.Table, answers: pa.Table) -> pa.Table:
         give_back()
@@ -294,27 +330,16 @@ def _contexts(buckets: int, length: int, gram: int, key: str, text: str):
         by_key = np.argsort(low, kind="stable")       # ascending: first and last seen are low and high
         texts = _texts(docs, text).take(pa.array(by_key))
         sorted_low = low[by_key]
-        doc, _, h, ctx = _occurrences(texts, np.sort(shared[crowded == 0]), length, gram)
-        last = dict(zip(ctx, range(len(ctx)), strict=True))
-        first = dict(zip(reversed(ctx), range(len(ctx) - 1, -1, -1), strict=True))
-        distinct = list(last)
-        head = np.fromiter(map(first.__getitem__, distinct), dtype=np.int64, count=len(distinct))
-        tail = np.fromiter(last.values(), dtype=np.int64, count=len(distinct))
-        ids, lows, highs = h[head].astype(np.uint64), sorted_low[doc[head]], sorted_low[doc[tail]]
-        bucket = (ids % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket = bucket[order]
-        cut, cuts = _cuts(bucket)
-        sizes = np.fromiter(map(len, distinct), dtype=np.uint16, count=len(distinct))[order]
-        flat = np.frombuffer(b"".join([distinct[i] for i in order.tolist()]), dtype=np.uint8)
-        at = np.r_[0, np.cumsum(sizes, dtype=np.int64)][cuts]
-        packed = [pa.compress(flat[a:b].tobytes(), codec="zstd", asbytes=True)
-                  for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        out = _rows(CONTEXTS, bucket=pa.array(bucket[cut].astype(np.int32), pa.int32()),
-                    g=pa.array(np.full(len(cut), g, np.int32), pa.int32()), ids=_blobs(_six(ids[order]), cuts),
-                    lows=_blobs(lows[order].astype(np.int64), cuts),
-                    highs=_blobs((highs[order] - lows[order]).astype(np.int64), cuts),   # mostly zeros
-                    sizes=_blobs(sizes, cuts), bytes=pa.array(packed, pa.binary()))
+        doc, place, h, size = _occurrences(texts, np.sort(shared[crowded == 0]), length, gram)
+        bucket = (h.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        part = bucket * PARTS // buckets              # a bucket is in one part
+        out = [_rows(CONTEXTS, bucket=pa.array([], pa.int32()), g=pa.array([], pa.int32()))]
+        for p in range(PARTS):
+            mine = np.flatnonzero(part == p)
+            if len(mine):
+                out.append(_context_rows(g, _cut_out(texts, doc[mine], place[mine], size[mine]), h[mine].astype(np.uint64),
+                                         sorted_low[doc[mine]], bucket[mine]))
+        out = pa.concat_tables(out)
         doc, _, own, hashes = _crowded_windows(texts, np.sort(shared[crowded == 1]), length, gram)
         if not len(doc):
             return out
@@ -399,6 +424,36 @@ def _window_marks(table: pa.Table) -> pa.Table:
                  w_ids=_blobs(_six(own[ok]), cuts), w_lows=_blobs(least[ok], cuts))
 
 
+def _smaller_elsewhere(entries: list[bytes], ids: np.ndarray, lows: np.ndarray, highs: np.ndarray, g: np.ndarray, length: int
+                       ) -> tuple[np.ndarray, ...]:
+    """(slice, anchor, digest of the context, first window, one past the last, smallest key) of the
+    stretches of windows with a key below their slice's largest."""
+    number = {c: i for i, c in enumerate(dict.fromkeys(entries))}
+    which = np.fromiter(map(number.__getitem__, entries), dtype=np.int64, count=len(entries))
+    n = len(number)
+    low = np.full(n, NO_KEY, dtype=np.int64)
+    np.minimum.at(low, which, lows)
+    class_key = np.zeros(n, dtype=np.uint64)
+    class_key[which] = ids
+    starts = np.r_[0, np.cumsum(np.fromiter(map(len, number), dtype=np.int64, count=n))]
+    least, at = window_lows(np.frombuffer(b"".join(number), dtype=np.uint8), starts, class_key, low, length)
+    # stretches of windows with one smallest key, per distinct context
+    change = np.r_[True, least[1:] != least[:-1]] if len(least) else np.empty(0, bool)
+    change[at[:-1]] = True
+    run = np.flatnonzero(change)
+    run_stop = np.r_[run[1:], len(least)]
+    first_run = np.searchsorted(run, at)
+    runs = np.diff(first_run)[which]                  # of each entry
+    entry = np.repeat(np.arange(len(which)), runs)
+    r = np.repeat(first_run[which], runs) + np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
+    ok = least[run[r]] < highs[entry]
+    entry, r = entry[ok], r[ok]
+    digest = np.fromiter(map(xxhash.xxh64_intdigest, number), dtype=np.uint64, count=n)
+    base = at[which[entry]]
+    return (g[entry], ids[entry], digest[which[entry]], (run[r] - base).astype(np.uint16),
+            (run_stop[r] - base).astype(np.uint16), least[run[r]])
+
+
 def _classes(length: int):
     def classes(table: pa.Table) -> pa.Table:
         give_back()
@@ -416,37 +471,19 @@ def _classes(length: int):
         raw = b"".join(pa.decompress(x, decompressed_size=int(n.sum(dtype=np.int64)), codec="zstd", asbytes=True)
                        for x, n in zip(table.column("bytes").to_pylist(), counts, strict=True))
         ends = np.cumsum(sizes)
-        entries = [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-        number = {c: i for i, c in enumerate(dict.fromkeys(entries))}
-        which = np.fromiter(map(number.__getitem__, entries), dtype=np.int64, count=len(entries))
-        n = len(number)
-        low = np.full(n, NO_KEY, dtype=np.int64)
-        np.minimum.at(low, which, lows)
-        class_key = np.zeros(n, dtype=np.uint64)
-        class_key[which] = ids
-        starts = np.r_[0, np.cumsum(np.fromiter(map(len, number), dtype=np.int64, count=n))]
-        least, at = window_lows(np.frombuffer(b"".join(number), dtype=np.uint8), starts, class_key, low, length)
-        # stretches of windows with one smallest key, per distinct context
-        change = np.r_[True, least[1:] != least[:-1]] if len(least) else np.empty(0, bool)
-        change[at[:-1]] = True
-        run = np.flatnonzero(change)
-        run_stop = np.r_[run[1:], len(least)]
-        first_run = np.searchsorted(run, at)
-        runs = np.diff(first_run)[which]                  # of each entry
-        entry = np.repeat(np.arange(len(which)), runs)
-        r = np.repeat(first_run[which], runs) + np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
-        ok = least[run[r]] < highs[entry]
-        entry, r = entry[ok], r[ok]
-        order = np.argsort(g[entry], kind="stable")
-        entry, r = entry[order], r[order]
-        gs = g[entry]
-        cut = np.flatnonzero(np.r_[True, gs[1:] != gs[:-1]]) if len(gs) else np.empty(0, np.int64)
-        cuts = np.r_[cut, len(gs)]
-        digest = np.fromiter(map(xxhash.xxh64_intdigest, number), dtype=np.uint64, count=n)
-        base = at[which[entry]]
-        return _rows(MARKS, g=pa.array(gs[cut].astype(np.int32), pa.int32()), ids=_blobs(_six(ids[entry]), cuts),
-                     digests=_blobs(digest[which[entry]], cuts), starts=_blobs((run[r] - base).astype(np.uint16), cuts),
-                     stops=_blobs((run_stop[r] - base).astype(np.uint16), cuts), lows=_blobs(least[run[r]], cuts))
+        part = ((ids >> np.uint64(8)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(PARTS)
+        found = []                                        # an anchor's contexts are in one part
+        for p in range(PARTS):
+            mine = np.flatnonzero(part == p)
+            entries = [raw[a:b] for a, b in zip((ends - sizes)[mine].tolist(), ends[mine].tolist(), strict=True)]
+            found.append(_smaller_elsewhere(entries, ids[mine], lows[mine], highs[mine], g[mine], length))
+        del raw
+        gs, ids, digests, starts, stops, least = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(gs, kind="stable")
+        cut, cuts = _cuts(gs[order])
+        return _rows(MARKS, g=pa.array(gs[order][cut].astype(np.int32), pa.int32()), ids=_blobs(_six(ids[order]), cuts),
+                     digests=_blobs(digests[order], cuts), starts=_blobs(starts[order], cuts), stops=_blobs(stops[order], cuts),
+                     lows=_blobs(least[order], cuts))
     return classes
 
 
@@ -487,11 +524,15 @@ def _remove(length: int, gram: int, key: str, text: str, keep: list[str], with_t
                     ("digests", np.uint64), ("starts", np.uint16), ("stops", np.uint16), ("lows", np.int64))),
                     strict=True):
                 found.setdefault((h, d), []).append((s, e, m))
-            doc, where, own, ctx = _occurrences(texts, np.unique(ids), length, gram)
-            for d, w, h, c in zip(doc.tolist(), where.tolist(), own.tolist(), ctx, strict=True):
-                for s, e, m in found.get((h, xxhash.xxh64_intdigest(c)), ()):
-                    if m < keys[d]:
-                        spans.setdefault(d, []).append((w + s, w + e + length - 1))
+            doc, where, own, size = _occurrences(texts, np.unique(ids), length, gram)
+            for i in range(0, len(doc), OCCURRENCES):
+                some = [x[i:i + OCCURRENCES] for x in (doc, where, own, size)]
+                ctx = _cut_out(texts, some[0], some[1], some[3])
+                for d, w, h, c in zip(*(x.tolist() for x in some[:3]), ctx, strict=True):
+                    for s, e, m in found.get((h, xxhash.xxh64_intdigest(c)), ()):
+                        if m < keys[d]:
+                            spans.setdefault(d, []).append((w + s, w + e + length - 1))
+            del found
             for d, a, b in _crowded_spans(texts, np.array(keys, dtype=np.int64), marks, length, gram):
                 spans.setdefault(d, []).append((a, b))
         size, gone, cuts, sha, kept_text = [], [], [], [], []
