@@ -14,7 +14,7 @@ folds there are.
   their parent's sums less these.
 * A pass adds sums up by ranges of features, looks for splits there and returns one candidate per
   leaf and range, so what reaches the driver does not grow with bins or rows. 
-* Up to ``FOLD_BLOCKS`` blocks of rows (the rows that grow trees are bounded, see ``model.train_scorer``)
+* Up to ``FOLD_BLOCKS`` blocks of rows
   and ``FOLD_CELLS`` codes there is nothing to add up: each fold's rows have a task, which goes on with the
   next levels and rounds itself, ``ROUNDS_A_JOB`` to a job, and keeps its rows by leaf (``Leaves``), so
   that a level reads only the leaves it divides and counts, a row's codes lying side by side; steps and
@@ -254,7 +254,8 @@ class BoostedTrees:
 
 
 def bounded_rows(df: DataFrame, id_col: str, max_rows: int, seed: int) -> DataFrame:
-    """``df``, or about ``max_rows`` of its rows with the smallest seeded hash of their id."""
+    """``df``, or about ``max_rows`` of its rows with the smallest seeded hash of their id.
+    No query trains on these: ``model.train_scorer`` takes all rows."""
     n = df.count()
     if n <= max_rows:
         return df

@@ -91,14 +91,13 @@ def _isotonic(held: DataFrame, bins: int) -> tuple[np.ndarray, np.ndarray]:
 def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is_fraud",
                  id_col: str = "transaction_id", *, max_depth: int | None = 4, max_leaves: int = 31, step_size: float = 0.08,
                  max_iter: int = 250, min_instances: int = 20, l2: float = 1.0, max_bins: int = 255,
-                 calib_cv: int = 3, calib_bins: int = 10_000, max_rows: int = 4_000_000, seed: int = 0) -> CalibratedScorer:
-    """M2 + M3.  The trees are grown on at most about ``max_rows`` labelled rows (those with the
-    smallest seeded hash of their id; all rows while there are fewer), the calibrators on all."""
+                 calib_cv: int = 3, calib_bins: int = 10_000, seed: int = 0) -> CalibratedScorer:
+    """M2 + M3.  Trees and calibrators are fitted on all labelled rows."""
     cols = list(feature_cols)
     rows = cut_lineage(train.select(F.col(id_col), F.col(label).cast("int").alias(label), *[F.col(c).cast("double").alias(c) for c in cols]))
     fold = fold_of(id_col, label, calib_cv, seed)
     models = boosting.train_folds(
-        boosting.bounded_rows(rows, id_col, max_rows, seed), cols, label, fold, id_col, calib_cv, max_depth=max_depth,
+        rows, cols, label, fold, id_col, calib_cv, max_depth=max_depth,
         max_leaves=max_leaves, step_size=step_size, max_iter=max_iter, min_leaf=min_instances, l2=l2, bins=max_bins)
 
     @F.pandas_udf("double")
@@ -116,7 +115,7 @@ def train_scorer(train: DataFrame, feature_cols: Sequence[str], label: str = "is
         steps = list(side_by_side.map(lambda k: _isotonic(held.where(F.col("fold") == k), calib_bins), range(calib_cv)))
     return CalibratedScorer(cols, models, steps, dict(
         max_depth=max_depth, max_leaves=max_leaves, step_size=step_size, max_iter=max_iter, min_instances=min_instances,
-        l2=l2, calib_cv=calib_cv, max_rows=max_rows, seed=seed))
+        l2=l2, calib_cv=calib_cv, seed=seed))
 
 
 def _variant_task(scorer: CalibratedScorer, names: tuple[str, str]):

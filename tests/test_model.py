@@ -270,3 +270,18 @@ def test_rows_of_one_block_are_packed_by_as_many_tasks_as_there_are_cores(spark,
     boosting.train_folds(_frame(spark, 900), ["x1", "x2"], "is_fraud", model.fold_of("transaction_id", "is_fraud", 2, 0), "transaction_id", 2,
                          max_depth=2, max_leaves=4, step_size=0.2, max_iter=1, min_leaf=15, l2=1.0)
     assert dealt == [min(spark.sparkContext.defaultParallelism, 4)]
+
+
+def test_all_labelled_rows_grow_the_trees(spark, monkeypatch):
+    """A table that counts more than 4,000,000 rows is not thinned before the trees are grown."""
+    df, taken, train = _frame(spark, 300), [], boosting.train_folds
+    frame = type(df)
+    count, collect = frame.count, frame.collect
+
+    def grow(rows, *a, **how):
+        taken.append(sorted(r["transaction_id"] for r in collect(rows.select("transaction_id"))))
+        return train(rows, *a, **how)
+    monkeypatch.setattr(boosting, "train_folds", grow)
+    monkeypatch.setattr(frame, "count", lambda self: 20_000 * count(self))
+    model.train_scorer(df, ["x1", "x2"], max_iter=2, min_instances=5)
+    assert taken == [list(range(300))]
