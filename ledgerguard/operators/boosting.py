@@ -17,8 +17,8 @@ folds there are.
 * Up to ``FOLD_BLOCKS`` blocks of rows
   and ``FOLD_CELLS`` codes there is nothing to add up: each fold's rows have a task, which goes on with the
   next levels and rounds itself, ``ROUNDS_A_JOB`` to a job, and keeps its rows by leaf (``Leaves``), so
-  that a level reads only the leaves it divides and counts, a row's codes lying side by side; steps and
-  sums are the same.
+  that a level reads only the leaves it divides and counts, a row's codes lying side by side (by column,
+  several features together, for the root and for dividing leaves); steps and sums are the same.
 * A row's leaf is found without walking: per feature and bin a tree has one bit mask of the leaves
   still possible, and their conjunction is the leaf (``Masks``; trees of up to 64 leaves).
 * Margins move once a round, in the first pass of the next round, and are checkpointed to the
@@ -45,16 +45,18 @@ BLOCK_ROWS = 1_000_000
 #: blocks may be this small where there are cores for more of them
 LEAST_BLOCK_ROWS = 50_000
 #: blocks of rows, and codes (rows x columns, two bytes each), up to which a fold is one task's
-FOLD_BLOCKS = 5
-FOLD_CELLS = 150_000_000
+FOLD_BLOCKS = 24
+FOLD_CELLS = 300_000_000
 #: ranges of features whose sums are added up and searched apart
 RANGES = 4
-#: rows picked at once: their codes stay in the CPU's cache until they lie by column
-ROWS_AT_ONCE = 4096
+#: rows taken up at once: their codes and weights stay in the CPU's cache, and no large array is made anew
+ROWS_AT_ONCE = 32768
 #: features share a column of codes up to so many codes
 SHARED_CODES = 512
+#: and up to so many where the sums are of all rows of a fold
+WHOLE_CODES = 8192
 CHECKPOINT_ROUNDS = 50
-ROUNDS_A_JOB = 25
+ROUNDS_A_JOB = 50
 #: deepest tree where only the number of leaves is limited
 ANY_DEPTH = 16
 MIN_CURVATURE = 1e-3
@@ -276,6 +278,7 @@ class Layout:
     and have no column."""
 
     edges: list[np.ndarray]
+    shared: int = 0                                      # codes a column may have where features share it
 
     def __post_init__(self) -> None:
         self.sizes = [len(e) + 1 for e in self.edges]
@@ -284,7 +287,7 @@ class Layout:
         self.columns: list[list[int]] = []
         codes = 0
         for f in sorted(self.live, key=lambda f: (self.sizes[f], f)):
-            if self.columns and codes * self.sizes[f] <= SHARED_CODES:
+            if self.columns and codes * self.sizes[f] <= (self.shared or SHARED_CODES):
                 self.columns[-1].append(f)
                 codes *= self.sizes[f]
             else:
@@ -306,6 +309,23 @@ class Layout:
                 stride *= self.sizes[f]
         return out
 
+    def wider(self, x: np.ndarray) -> tuple[Layout, np.ndarray]:
+        """The layout with up to ``WHOLE_CODES`` codes to a column, and its codes (columns x rows) from
+        this layout's by row: sums over all rows are then of fewer columns."""
+        wide = Layout(self.edges, WHOLE_CODES)
+        at = {f: (c, int(np.prod([self.sizes[g] for g in fs[:fs.index(f)]]))) for c, fs in enumerate(self.columns) for f in fs}
+        out = np.zeros((len(wide.columns), len(x)), dtype=np.uint16)
+        for i in range(0, len(x), ROWS_AT_ONCE):
+            some = slice(i, i + ROWS_AT_ONCE)
+            codes = x[some].T.copy()
+            for column, fs in zip(out[:, some], wide.columns, strict=True):
+                stride = 1
+                for f in fs:
+                    c, own = at[f]
+                    column += codes[c] // np.uint16(own) % np.uint16(self.sizes[f]) * np.uint16(stride)
+                    stride *= self.sizes[f]
+        return wide, out
+
     def leaves(self, tree: Tree, codes: np.ndarray) -> tuple[list[int], np.ndarray]:
         """(leaf nodes, place in them of every row's leaf)."""
         masks = Masks(tree, tree.cut_bin, self.sizes)
@@ -524,55 +544,88 @@ def _by_row(codes: np.ndarray) -> np.ndarray:
 
 
 class Leaves:
-    """The rows of a tree's leaves, in their order; ``x`` has their codes by row (``_by_row``)."""
+    """The rows of a tree's leaves, in their order; ``x`` has their codes by row (``_by_row``) and ``whole``
+    the codes of the features' larger groups by column (``Layout.wider``), or nothing."""
 
-    def __init__(self, layout: Layout, x: np.ndarray) -> None:
+    def __init__(self, layout: Layout, x: np.ndarray, whole: tuple[Layout, np.ndarray] | None = None) -> None:
         self.layout, self.x = layout, x
-        self.rows: dict[int, np.ndarray] = {0: np.arange(len(x))}
+        self.order, self.spare = np.arange(len(x)), np.empty(len(x), dtype=np.intp)
+        self.start()
+        self.wide, self.whole = whole or (layout, x[:, :len(layout.columns)].T)
         self.place = {}                                  # feature: (its column, stride in the codes)
-        for c, fs in enumerate(layout.columns):
+        for c, fs in enumerate(self.wide.columns):
             stride = 1
             for f in fs:
                 self.place[f] = (c, stride)
                 stride *= layout.sizes[f]
 
+    def start(self) -> None:
+        """All rows in the root, for another tree."""
+        self.order[:] = np.arange(len(self.x))
+        self.rows: dict[int, np.ndarray] = {0: self.order}    # parts of ``order``
+
     def follow(self, tree: Tree) -> None:
         """Divide the leaves that were split since."""
         for node in [n for n in self.rows if tree.feature[n] >= 0]:
             rows, f, cut = self.rows.pop(node), tree.feature[node], tree.cut_bin[node]
             c, stride = self.place[f]
-            left = (np.arange(self.layout.codes[c]) // stride % self.layout.sizes[f] <= cut)[self.x[:, c][rows]]
-            self.rows[tree.left[node]], self.rows[tree.right[node]] = rows.compress(left), rows.compress(~left)
+            goes, codes = np.arange(self.wide.codes[c]) // stride % self.layout.sizes[f] <= cut, self.whole[c]
+            n_left = n_right = 0
+            for i in range(0, len(rows), ROWS_AT_ONCE):       # left rows move up in place
+                some = rows[i:i + ROWS_AT_ONCE]
+                left = goes.take(codes.take(some))
+                right, some = some.compress(~left), some.compress(left)
+                rows[n_left:n_left + len(some)] = some
+                self.spare[n_right:n_right + len(right)] = right
+                n_left, n_right = n_left + len(some), n_right + len(right)
+            rows[n_left:] = self.spare[:n_right]
+            self.rows[tree.left[node]], self.rows[tree.right[node]] = rows[:n_left], rows[n_left:]
 
     def columns(self, rows: np.ndarray) -> np.ndarray:
         """Codes (columns x rows) of these rows."""
-        out = np.empty((len(self.layout.columns), len(rows)), dtype=np.uint16)
-        words = self.x.view(np.uint64)
-        for i in range(0, len(rows), ROWS_AT_ONCE):
-            part = words.take(rows[i:i + ROWS_AT_ONCE], axis=0).view(np.uint16)
-            out[:, i:i + ROWS_AT_ONCE] = part[:, :len(out)].T
-        return out
+        return self.x.view(np.uint64).take(rows, axis=0).view(np.uint16)[:, :len(self.layout.columns)].T
+
+    def _pieces(self, nodes: list[int]) -> Iterator[tuple[int | np.ndarray, np.ndarray]]:
+        """(place in ``nodes``, rows): a large leaf alone, small ones together, with the place of each row."""
+        small = [i for i, n in enumerate(nodes) if len(self.rows[n]) < ROWS_AT_ONCE]
+        yield from ((i, self.rows[n]) for i, n in enumerate(nodes) if len(self.rows[n]) >= ROWS_AT_ONCE)
+        if small:
+            yield np.repeat(small, [len(self.rows[nodes[i]]) for i in small]), np.concatenate([self.rows[nodes[i]] for i in small])
 
     def sums(self, nodes: list[int], weights: Sequence[np.ndarray]) -> np.ndarray:
         """(3, ``nodes``, bins of all features): sums of both weights and rows."""
-        out = np.zeros((3, len(nodes), int(self.layout.offsets[-1])))
         if not nodes:
-            return out
-        rows = np.concatenate([self.rows[n] for n in nodes])
-        at = np.repeat(np.arange(len(nodes)), [len(self.rows[n]) for n in nodes])
-        for i in range(0, len(rows), BLOCK_ROWS):
-            some = slice(i, i + BLOCK_ROWS)
-            out += self._sums(len(nodes), at[some], self.columns(rows[some]), [w[rows[some]] for w in weights])
-        return out
-
-    def _sums(self, n_nodes: int, at: np.ndarray, codes: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
-        out = np.empty((3, n_nodes, int(self.layout.offsets[-1])))
-        flat = out.reshape(3 * n_nodes, -1)
-        for c, n in enumerate(self.layout.codes):
-            cell = at * n
-            cell += codes[c]
-            counted = np.concatenate([np.bincount(cell, w, n_nodes * n) for w in (*weights, None)])
-            self.layout.per_feature(c, counted.reshape(-1, n), flat)
+            return np.zeros((3, 0, int(self.layout.offsets[-1])))
+        both = np.empty(len(self.x), dtype=np.complex128)
+        both.real, both.imag = weights
+        return self.sums_of(nodes, both)
+
+    def sums_of(self, nodes: list[int], both: np.ndarray) -> np.ndarray:
+        """The same of the weights as the two parts of a complex number."""
+        root = nodes == [0] and len(self.rows) == 1
+        layout = self.wide if root else self.layout
+        added = [np.zeros((len(nodes), n), dtype=np.complex128) for n in layout.codes]
+        counts = [np.zeros((len(nodes), n), dtype=np.int64) for n in layout.codes]
+        cells, ones = np.empty(ROWS_AT_ONCE, dtype=np.intp), np.ones(ROWS_AT_ONCE, dtype=np.int64)
+        for leaf, rows in [(0, None)] if root else self._pieces(nodes):
+            for i in range(0, len(self.x) if root else len(rows), ROWS_AT_ONCE):
+                some = slice(i, i + ROWS_AT_ONCE)
+                codes, steps = (self.whole[:, some], both[some]) if root else (self.columns(rows[some]), both.take(rows[some]))
+                cell, one = cells[:len(steps)], ones[:len(steps)]
+                for column, n, g, c in zip(codes, layout.codes, added, counts, strict=True):
+                    if isinstance(leaf, int):
+                        cell[:] = column
+                        g, c = g[leaf], c[leaf]
+                    else:
+                        np.multiply(leaf[some], n, out=cell)
+                        cell += column
+                        g, c = g.reshape(-1), c.reshape(-1)
+                    np.add.at(g, cell, steps)
+                    np.add.at(c, cell, one)
+        out = np.empty((3, len(nodes), int(self.layout.offsets[-1])))
+        for k, (g, c) in enumerate(zip(added, counts, strict=True)):
+            for into, own in zip(out, (g.real, g.imag, c), strict=True):
+                layout.per_feature(k, own, into)
         return out
 
 
@@ -581,20 +634,25 @@ def _rounds_of_a_fold(growth: Growth, rounds: int):
     def run(folds) -> Iterator[tuple]:
         for f, x, y, margins in folds:
             own, sums, margins = [], None, margins.copy()
+            leaves, steps = Leaves(growth.layout, x, growth.layout.wider(x)), np.empty(len(y), dtype=np.complex128)
             for _ in range(rounds):
-                p = 1.0 / (1.0 + np.exp(-margins))
-                steps, leaves = (p - y, p * (1 - p)), Leaves(growth.layout, x)
+                leaves.start()
+                for i in range(0, len(y), ROWS_AT_ONCE):
+                    some = slice(i, i + ROWS_AT_ONCE)
+                    p = 1.0 / (1.0 + np.exp(-margins[some]))
+                    steps.real[some], steps.imag[some] = p - y[some], p * (1 - p)
 
                 def splits_of(trees: list[Tree], level: Level):
                     nonlocal sums
                     leaves.follow(trees[0])  # noqa: B023
-                    sums = level.sums(leaves.sums(level.counted[0], steps), sums)  # noqa: B023
+                    sums = level.sums(leaves.sums_of(level.counted[0], steps), sums)  # noqa: B023
                     return growth.search(sums, (0, len(growth.layout.live)))
 
                 own += growth.round(1, splits_of)
                 leaves.follow(own[-1])
                 for node, rows in leaves.rows.items():
-                    margins[rows] += own[-1].value[node]
+                    for i in range(0, len(rows), ROWS_AT_ONCE):
+                        margins[rows[i:i + ROWS_AT_ONCE]] += own[-1].value[node]
             yield (f, x, y, margins), own
     return run
 
@@ -603,18 +661,18 @@ def _train_by_fold(blocks: RDD, growth: Growth, models: list[BoostedTrees], max_
     """All rounds of each fold's model by a task of its own; ``models`` get their trees."""
     k, base = len(models), [m.base for m in models]
 
-    def deal(numbered):
-        (codes, labels, folds), no = numbered
-        for f in range(k):
-            used = folds != f
-            yield f, (no, codes[:, used], labels[used])
+    def deal(no: int, own) -> Iterator[tuple]:
+        for codes, labels, folds in own:                  # one block to a partition
+            for f in range(k):
+                used = folds != f
+                yield f, (no, codes[:, used], labels[used])
 
     def assemble(f: int, dealt) -> Iterator[tuple]:
         own = sorted((r for _, r in dealt), key=lambda r: r[0])
         y = np.concatenate([r[2] for r in own])
         yield f, np.concatenate([_by_row(r[1]) for r in own]), y, np.full(len(y), base[f])
 
-    state = blocks.zipWithIndex().flatMap(deal).partitionBy(k, int).mapPartitionsWithIndex(assemble)
+    state = blocks.mapPartitionsWithIndex(deal).partitionBy(k, int).mapPartitionsWithIndex(assemble)
     done, kept = 0, None
     while done < max_iter:
         rounds = min(ROUNDS_A_JOB, max_iter - done)

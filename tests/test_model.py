@@ -285,3 +285,42 @@ def test_all_labelled_rows_grow_the_trees(spark, monkeypatch):
     monkeypatch.setattr(frame, "count", lambda self: 20_000 * count(self))
     model.train_scorer(df, ["x1", "x2"], max_iter=2, min_instances=5)
     assert taken == [list(range(300))]
+
+
+def test_a_training_above_five_blocks_needs_no_job_for_each_level(spark, monkeypatch):
+    """Rows of eight blocks are still one task of each fold, put into bins once, and give the trees of one block."""
+    df, fold = _frame(spark, 900), model.fold_of("transaction_id", "is_fraud", 2, 0)
+    how = dict(max_depth=None, max_leaves=8, step_size=0.2, max_iter=4, min_leaf=15, l2=1.0)
+    x = df.toPandas()[["x1", "x2"]].to_numpy()
+    one = boosting.train_folds(df, ["x1", "x2"], "is_fraud", fold, "transaction_id", 2, **how)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 120)
+    monkeypatch.setattr(boosting, "_splits_of_blocks", None)
+    monkeypatch.setattr(boosting.RDD, "zipWithIndex", None)       # a pass over all blocks only to number them
+    several = boosting.train_folds(df, ["x1", "x2"], "is_fraud", fold, "transaction_id", 2, **how)
+    for a, b in zip(one, several, strict=True):
+        assert [t.feature for t in a.trees] == [t.feature for t in b.trees] and np.allclose(a.margin(x), b.margin(x), atol=1e-9)
+
+
+def test_sums_over_all_rows_by_wider_columns_are_those_of_the_rows_picked(monkeypatch):
+    """Root sums from the columns of several features, and leaves divided by them, follow the plain codes."""
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(boosting, "ROWS_AT_ONCE", 100)
+    x = rng.integers(0, 300, (900, 5)).astype(float)
+    layout = boosting.Layout([np.arange(n) + 0.5 for n in (3, 250, 30, 26, 1)])
+    codes = boosting._by_row(layout.pack([np.searchsorted(e, x[:, f]) for f, e in enumerate(layout.edges)]))
+    wide, whole = layout.wider(codes)
+    assert len(wide.columns) < len(layout.columns) and max(wide.codes) <= boosting.WHOLE_CODES
+    leaves, plain = boosting.Leaves(layout, codes, (wide, whole)), boosting.Leaves(layout, codes)
+    w = rng.random(900)
+    tree = boosting.Tree()
+    assert np.allclose(leaves.sums([0], (w, 3 * w)), plain.sums([0], (w, 3 * w)))
+    for node, f, b in ((0, 2, 17), (1, 1, 100), (2, 0, 1)):
+        tree.split(node, f, b, float(b), 1.0, (0.0, 0.0))
+        for own in (leaves, plain):
+            own.follow(tree)
+    assert sorted(leaves.rows) == sorted(plain.rows) == [3, 4, 5, 6]
+    for node in leaves.rows:
+        assert np.array_equal(leaves.rows[node], plain.rows[node])
+    assert np.allclose(leaves.sums([6, 3, 5], (w, 3 * w)), plain.sums([6, 3, 5], (w, 3 * w)))
+    leaves.start()
+    assert np.allclose(leaves.sums([0], (w, 3 * w))[2].sum(), 900 * len(layout.live))
