@@ -13,11 +13,12 @@ import numpy as np
 
 SYMBOL_BITS = 9   # a byte plus one, or 0 for the separator
 FIRST = 7         # symbols in one 63-bit key
+FEWER = 20        # a search among the new boundaries costs about as much as so many steps of a running sum
 
 
 def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``s``, read as a ring, ordered by their next ``depth`` symbols or a few
-    more (ties in any order), by prefix doubling."""
+    more (ties in any order), by prefix doubling (or more at a time, where ranks are short)."""
     n = len(s)
     padded = np.resize(s, n + FIRST).astype(np.uint64)
     key = np.zeros(n, dtype=np.uint64)
@@ -31,8 +32,12 @@ def suffix_order(s: np.ndarray, depth: int) -> np.ndarray:
         ranked = key[order]
         rank = np.empty(n, dtype=np.uint64)
         rank[order] = np.cumsum(np.r_[True, ranked[1:] != ranked[:-1]]).astype(np.uint64)
-        key = (rank << np.uint64(32)) | np.roll(rank, -(done % n))
-        done *= 2
+        bits = int(n).bit_length()
+        times = max(2, 63 // bits)             # as many ranks as fit a key
+        key = rank
+        for j in range(1, times):
+            key = (key << np.uint64(bits)) | np.roll(rank, -(done * j % n))
+        done *= times
 
 
 def prefix_boundaries(s: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -47,26 +52,35 @@ def prefix_boundaries(s: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     found[first[:-1][counts > 0]] = True       # level 0: first symbols differ
     found[n] = True
     fresh = np.flatnonzero(found[:n])
-    where = {int(c): last[first[c]:first[c + 1]] for c in np.flatnonzero(counts)}
+    onto = np.empty(n, dtype=np.int64)         # the suffix one symbol longer than a row's
+    onto[last] = np.arange(n)
     unset = np.flatnonzero(~found[:n])
     lo, hi = last[unset - 1], last[unset]      # the suffixes one symbol shorter
+    apart = hi - lo > 1                        # others are next to each other: only the boundary between them counts
+    unset, lo, hi, since = unset[apart], lo[apart], hi[apart], 0
     for _ in range(1, length):
-        if not len(fresh) or not len(unset):
+        if not len(fresh):
             break
-        if len(fresh) * 8 * len(where) < len(unset):
-            # few boundaries: extend each backwards by every symbol, C[c] + Occ(c, boundary)
-            ext = np.unique(np.concatenate([first[c] + np.searchsorted(at, fresh) for c, at in where.items()]))
-            fresh = ext[(ext < n) & ~found[ext]]
-            found[fresh] = True
-            continue
-        seen = np.zeros(n + 1, dtype=np.int32)
-        seen[1:][fresh] = 1
-        np.cumsum(seen, out=seen)
-        still = ~found[unset]
-        unset, lo, hi = unset[still], lo[still], hi[still]
-        hit = seen[hi + 1] != seen[lo + 1]     # a boundary between them, one symbol on
-        fresh = unset[hit]
-        found[fresh] = True
+        new = onto[fresh]                      # right above a boundary: it is theirs, one symbol on
+        new = new[~found[new]]
+        found[new] = True
+        if len(unset):
+            if len(unset) * FEWER < n:
+                fresh = np.sort(fresh)
+                more = unset[np.searchsorted(fresh, hi, side="right") != np.searchsorted(fresh, lo, side="right")]
+            else:
+                seen = np.zeros(n + 1, dtype=np.int32)
+                seen[1:][fresh] = 1
+                np.cumsum(seen, out=seen)
+                more = unset[seen[hi + 1] != seen[lo + 1]]     # a boundary between them
+            more = more[~found[more]]
+            found[more] = True
+            new = np.concatenate([new, more])
+            since += len(new)
+            if since * 4 > len(unset):
+                still = ~found[unset]
+                unset, lo, hi, since = unset[still], lo[still], hi[still], 0
+        fresh = new
     return found[:n]
 
 

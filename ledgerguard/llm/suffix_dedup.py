@@ -39,7 +39,7 @@ from ledgerguard.llm.common import binary_column, bounded_batches, give_back, sh
 
 NO_KEY = np.iinfo(np.int64).max   # documents without a key come after all others
 PIECE = 256 << 10                 # bytes hashed at once: arrays that stay in the CPU's cache
-BLOCK = 1 << 19                   # symbols of one transform, unless one anchor has more
+BLOCK = 1 << 17                   # symbols of one transform, unless one anchor has more: its arrays stay near the CPU
 OCCURRENCES = 1 << 16             # contexts that are Python objects at once in the removal
 PARTS = 8                         # parts of a slice's or a bucket's contexts that are Python objects one after the other
 _BYTE = np.random.default_rng(50).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -48,7 +48,7 @@ _STEP = 0x9E3779B1
 
 def _gram_hashes(buf: np.ndarray, gram: int) -> np.ndarray:
     """32-bit hash of the ``gram`` bytes from every position (by doubling)."""
-    have, power, size = {1: _BYTE[buf]}, {1: _STEP}, 1
+    have, power, size = {1: _BYTE.take(buf)}, {1: _STEP}, 1
     while size * 2 <= gram:
         have[2 * size] = have[size][:-size] * np.uint32(power[size]) + have[size][size:]
         power[2 * size] = power[size] * power[size] & 0xFFFFFFFF
@@ -70,22 +70,26 @@ def owned_runs(buf: np.ndarray, ends: np.ndarray, length: int, gram: int
     none = np.empty(0, dtype=np.int64)
     if len(buf) < length:
         return none, none, none, none
-    h = _gram_hashes(buf, gram)
-    x = (h.astype(np.uint64) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
+    # the hash and, in the low bits, how far in the window its gram starts: the least is the leftmost smallest hash
     span, size = length - gram + 1, 1
+    bits = (span - 1).bit_length()
+    x = _gram_hashes(buf, gram) >> np.uint32(bits) << np.uint32(bits)
     while size * 2 <= span:
-        x = np.minimum(x[:-size], x[size:])
+        x = np.minimum(x[:-size], x[size:] + np.uint32(size))
         size *= 2
     if span > size:
-        x = np.minimum(x[:size - span], x[span - size:])
-    anchor = (x & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        x = np.minimum(x[:size - span], x[span - size:] + np.uint32(span - size))
+    x &= np.uint32((1 << bits) - 1)
+    anchor = x.view(np.int32)
+    anchor += np.arange(len(x), dtype=np.int32)
     for end in ends.tolist():   # windows that would cross a document's end
         anchor[max(0, end - length + 1):end] = -1
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     stop = np.r_[first[1:], len(anchor)]
     ok = anchor[first] >= 0
     first, stop = first[ok], stop[ok]
-    return anchor[first], first, stop, np.searchsorted(ends, first, side="right")
+    doc = np.repeat(np.arange(len(ends)), np.diff(np.searchsorted(first, ends), prepend=0))
+    return anchor[first].astype(np.int64), first, stop, doc
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -94,15 +98,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _words(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position as one number (zeros after the end)."""
+    padded = np.r_[buf, np.zeros(8, np.uint8)]
+    return np.ndarray(len(buf) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def _word(words: np.ndarray, at: np.ndarray, k: int, size: int) -> np.ndarray:
+    """Bytes ``k`` to at most ``k + 8`` of the ``size`` bytes from each place."""
+    word = words[at + k]
+    return word if size - k >= 8 else word & np.uint64((1 << 8 * (size - k)) - 1)
+
+
 def _anchor_ids(buf: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
     """48-bit hash of the ``gram`` bytes at each anchor (equal hashes of different bytes only
     cost a comparison)."""
-    padded = np.r_[buf, np.zeros(8, np.uint8)]
+    words = _words(buf)
     out = np.zeros(len(at), dtype=np.uint64)
     for k in range(0, gram, 8):
-        word = np.zeros(len(at), dtype=np.uint64)
-        for j in range(min(8, gram - k)):
-            word |= padded[at + k + j].astype(np.uint64) << np.uint64(8 * j)
+        word = _word(words, at, k, gram)
         out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(k + 1))
     return out >> np.uint64(16)
 
@@ -255,12 +269,10 @@ def _cut_out(texts: pa.Array, docs: np.ndarray, places: np.ndarray, sizes: np.nd
 
 def _window_hashes(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """(windows, 2): 128 bits of hash of the ``length`` bytes from each place."""
-    padded = np.r_[buf, np.zeros(8, np.uint8)]
+    words = _words(buf)
     out = np.zeros((len(at), 2), dtype=np.uint64)
     for k in range(0, length, 8):
-        word = np.zeros(len(at), dtype=np.uint64)
-        for j in range(min(8, length - k)):
-            word |= padded[at + k + j].astype(np.uint64) << np.uint64(8 * j)
+        word = _word(words, at, k, length)
         for c, odd in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
             out[:, c] = _mix(out[:, c] * np.uint64(odd) + (word ^ np.uint64(odd >> 7)) + np.uint64(k + 1 + c))
     return out

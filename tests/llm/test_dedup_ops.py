@@ -184,6 +184,51 @@ def test_bounded_prefix_classes():
         assert len(set().union(*by_string.values()) if by_string else ()) == len(by_string)
 
 
+def test_prefix_classes_of_repeats_read_few_rows_a_level(monkeypatch):
+    """Rows whose predecessors are neighbours follow the boundary between those: running sums over the whole
+    block at the first levels only, and the classes are those of the strings."""
+    from ledgerguard.llm import bwt
+    rng = np.random.default_rng(1)
+    base = rng.integers(1, 60, 400)
+    s = np.concatenate([np.r_[np.where(rng.random(400) < 0.002, 70 + i % 30, base), 0] for i in range(60)]).astype(np.uint16)
+    summed, plain = [], np.cumsum
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def cumsum(self, x, *a, **k):
+            summed.append(len(x))
+            return plain(x, *a, **k)
+    monkeypatch.setattr(bwt, "np", Counting())
+    classes = bwt.prefix_classes(s, 50)
+    assert sum(summed) < 15 * len(s)              # before: at most of the 49 levels
+    by_string = defaultdict(set)
+    for i in range(len(s) - 49):
+        by_string[s[i:i + 50].tobytes()].add(int(classes[i]))
+    assert all(len(c) == 1 for c in by_string.values()) and len(set().union(*by_string.values())) == len(by_string)
+
+
+@pytest.mark.parametrize("length,gram", [(50, 16), (16, 16), (30, 5), (200, 16)])
+def test_windows_own_their_leftmost_smallest_gram(length, gram):
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in (0, 400, length, length - 1, 0, 900)] + [b"a" * 300]
+    buf, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    at, first, stop, doc = suffix_dedup.owned_runs(buf, ends, length, gram)
+    starts, covered, owner = ends - [len(t) for t in texts], 0, {}
+    for a, i, j, d in zip(*(x.tolist() for x in (at, first, stop, doc)), strict=True):
+        assert starts[d] <= i < j and j - 1 + length <= ends[d] and j - 1 <= a <= i + length - gram
+        covered += j - i
+        for w in range(i, j):                     # equal windows own the gram at one place
+            assert owner.setdefault(buf[w:w + length].tobytes(), a - w) == a - w
+    assert covered == sum(max(0, len(t) - length + 1) for t in texts)
+    ids = suffix_dedup._anchor_ids(buf, at, gram)
+    by_gram = defaultdict(set)
+    for a, h in zip(at.tolist(), ids.tolist(), strict=True):
+        by_gram[buf[a:a + gram].tobytes()].add(h)
+    assert all(len(h) == 1 for h in by_gram.values()) and len(set().union(*by_gram.values())) == len(by_gram)
+
+
 # ------------------------------------------------------------------ line templates
 
 def brute_lines(texts, ids, min_docs=5, similarity=0.7, depth=3):
