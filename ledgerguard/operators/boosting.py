@@ -18,7 +18,9 @@ folds there are.
   and ``FOLD_CELLS`` codes there is nothing to add up: each fold's rows have a task, which goes on with the
   next levels and rounds itself, ``ROUNDS_A_JOB`` to a job, and keeps its rows by leaf (``Leaves``), so
   that a level reads only the leaves it divides and counts, a row's codes lying side by side (by column,
-  several features together, for the root and for dividing leaves); steps and sums are the same.
+  several features together, for the root and for dividing leaves); steps and sums are the same. From
+  2 x ``PART_ROWS`` rows on the task forks processes for parts of the rows, one for each core that the
+  folds leave idle (``Parts``); what they send is a level's sums.
 * A row's leaf is found without walking: per feature and bin a tree has one bit mask of the leaves
   still possible, and their conjunction is the leaf (``Masks``; trees of up to 64 leaves).
 * Margins move once a round, in the first pass of the next round, and are checkpointed to the
@@ -31,6 +33,7 @@ needs ``min_leaf`` rows on both sides.  Trees grow level by level to ``max_depth
 
 from __future__ import annotations
 
+import multiprocessing
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -47,6 +50,8 @@ LEAST_BLOCK_ROWS = 50_000
 #: blocks of rows, and codes (rows x columns, two bytes each), up to which a fold is one task's
 FOLD_BLOCKS = 24
 FOLD_CELLS = 300_000_000
+#: a fold of twice as many rows or more is in parts, on the cores that have no fold
+PART_ROWS = 200_000
 #: ranges of features whose sums are added up and searched apart
 RANGES = 4
 #: rows taken up at once: their codes and weights stay in the CPU's cache, and no large array is made anew
@@ -629,36 +634,117 @@ class Leaves:
         return out
 
 
-def _rounds_of_a_fold(growth: Growth, rounds: int):
+class FoldRows:
+    """Rows of a fold's model, or a part of them: their leaves, steps (gradient and curvature) and margins."""
+
+    def __init__(self, layout: Layout, x: np.ndarray, y: np.ndarray, margins: np.ndarray) -> None:
+        self.leaves, self.y, self.margins = Leaves(layout, x, layout.wider(x)), y, margins.copy()
+        self.steps = np.empty(len(y), dtype=np.complex128)
+
+    def start(self) -> None:
+        """Another round."""
+        self.leaves.start()
+        for i in range(0, len(self.y), ROWS_AT_ONCE):
+            some = slice(i, i + ROWS_AT_ONCE)
+            p = 1.0 / (1.0 + np.exp(-self.margins[some]))
+            self.steps.real[some], self.steps.imag[some] = p - self.y[some], p * (1 - p)
+
+    def sums(self, tree: Tree, nodes: list[int]) -> np.ndarray:
+        self.leaves.follow(tree)
+        return self.leaves.sums_of(nodes, self.steps)
+
+    def end(self, tree: Tree) -> None:
+        """The round's tree is grown."""
+        self.leaves.follow(tree)
+        for node, rows in self.leaves.rows.items():
+            for i in range(0, len(rows), ROWS_AT_ONCE):
+                self.margins[rows[i:i + ROWS_AT_ONCE]] += tree.value[node]
+
+    def moved(self) -> np.ndarray:
+        return self.margins
+
+
+def _answer(conn, others: list, layout: Layout, *rows: np.ndarray) -> None:
+    """A part's process: calls of ``FoldRows`` until the task hangs up."""
+    for c in others:                                      # or the task's end would not be noticed
+        c.close()
+    own = FoldRows(layout, *rows)
+    while True:
+        try:
+            name, args = conn.recv()
+        except EOFError:
+            return
+        try:
+            conn.send((getattr(own, name)(*args), None))
+        except Exception as e:  # noqa: BLE001
+            conn.send((None, f"{type(e).__name__}: {e}"))
+
+
+class Parts:
+    """A fold's rows in ``n`` parts, each but the first with a process forked by the task: there are
+    fewer folds than cores, and the cores without a fold would stand idle."""
+
+    def __init__(self, layout: Layout, x: np.ndarray, y: np.ndarray, margins: np.ndarray, n: int) -> None:
+        cut = [len(y) * i // n for i in range(n + 1)]
+        part = lambda i: (a[cut[i]:cut[i + 1]] for a in (x, y, margins))
+        fork = multiprocessing.get_context("fork")
+        self.conns, self.processes = [], []
+        for i in range(1, n):
+            here, there = fork.Pipe()
+            self.conns.append(here)
+            self.processes.append(fork.Process(target=_answer, args=(there, list(self.conns), layout, *part(i)), daemon=True))
+            self.processes[-1].start()
+            there.close()
+        self.first = FoldRows(layout, *part(0))
+
+    def __enter__(self) -> Parts:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for c in self.conns:
+            c.close()
+        for p in self.processes:
+            p.join(5)
+            if p.is_alive():
+                p.terminate()
+                p.join()
+
+    def call(self, name: str, *args) -> list:
+        """What each part answers, in order."""
+        for c in self.conns:
+            c.send((name, args))
+        out = [getattr(self.first, name)(*args)]
+        for c in self.conns:
+            answer, error = c.recv()
+            if error:
+                raise RuntimeError(error)
+            out.append(answer)
+        return out
+
+
+def _rounds_of_a_fold(growth: Growth, rounds: int, cores: int = 1):
     """(fold, codes by row, labels, new margins) and the trees of these rounds, from all rows of a fold's model."""
     def run(folds) -> Iterator[tuple]:
         for f, x, y, margins in folds:
-            own, sums, margins = [], None, margins.copy()
-            leaves, steps = Leaves(growth.layout, x, growth.layout.wider(x)), np.empty(len(y), dtype=np.complex128)
-            for _ in range(rounds):
-                leaves.start()
-                for i in range(0, len(y), ROWS_AT_ONCE):
-                    some = slice(i, i + ROWS_AT_ONCE)
-                    p = 1.0 / (1.0 + np.exp(-margins[some]))
-                    steps.real[some], steps.imag[some] = p - y[some], p * (1 - p)
-
-                def splits_of(trees: list[Tree], level: Level):
-                    nonlocal sums
-                    leaves.follow(trees[0])  # noqa: B023
-                    sums = level.sums(leaves.sums_of(level.counted[0], steps), sums)  # noqa: B023
-                    return growth.search(sums, (0, len(growth.layout.live)))
-
-                own += growth.round(1, splits_of)
-                leaves.follow(own[-1])
-                for node, rows in leaves.rows.items():
-                    for i in range(0, len(rows), ROWS_AT_ONCE):
-                        margins[rows[i:i + ROWS_AT_ONCE]] += own[-1].value[node]
+            own, sums = [], None
+            with Parts(growth.layout, x, y, margins, max(1, min(cores, len(y) // PART_ROWS))) as parts:
+                for _ in range(rounds):
+                    parts.call("start")
+
+                    def splits_of(trees: list[Tree], level: Level):
+                        nonlocal sums
+                        sums = level.sums(sum(parts.call("sums", trees[0], level.counted[0])), sums)  # noqa: B023
+                        return growth.search(sums, (0, len(growth.layout.live)))
+
+                    own += growth.round(1, splits_of)
+                    parts.call("end", own[-1])
+                margins = np.concatenate(parts.call("moved"))
             yield (f, x, y, margins), own
     return run
 
 
-def _train_by_fold(blocks: RDD, growth: Growth, models: list[BoostedTrees], max_iter: int) -> None:
-    """All rounds of each fold's model by a task of its own; ``models`` get their trees."""
+def _train_by_fold(blocks: RDD, growth: Growth, models: list[BoostedTrees], max_iter: int, cores: int) -> None:
+    """All rounds of each fold's model by a task of its own on up to ``cores`` cores; ``models`` get their trees."""
     k, base = len(models), [m.base for m in models]
 
     def deal(no: int, own) -> Iterator[tuple]:
@@ -676,7 +762,7 @@ def _train_by_fold(blocks: RDD, growth: Growth, models: list[BoostedTrees], max_
     done, kept = 0, None
     while done < max_iter:
         rounds = min(ROUNDS_A_JOB, max_iter - done)
-        grown = state.mapPartitions(_rounds_of_a_fold(growth, rounds)).persist(StorageLevel.MEMORY_AND_DISK)
+        grown = state.mapPartitions(_rounds_of_a_fold(growth, rounds, cores)).persist(StorageLevel.MEMORY_AND_DISK)
         if done // CHECKPOINT_ROUNDS != (done + rounds) // CHECKPOINT_ROUNDS:
             grown.checkpoint()
         own = dict(grown.map(lambda b: (b[0][0], b[1])).collect())
@@ -742,7 +828,7 @@ def train_folds(df: DataFrame, cols: Sequence[str], label: str, fold: Column, id
     if not layout.live:
         return models           # no feature has two bins
     if by_fold:
-        _train_by_fold(blocks, growth, models, max_iter)
+        _train_by_fold(blocks, growth, models, max_iter, -(-cores // k))
         return models
     base = np.array([m.base for m in models])
     # a block: the models it trains, bins, labels, and for each model the rows it uses and their margins

@@ -324,3 +324,25 @@ def test_sums_over_all_rows_by_wider_columns_are_those_of_the_rows_picked(monkey
     assert np.allclose(leaves.sums([6, 3, 5], (w, 3 * w)), plain.sums([6, 3, 5], (w, 3 * w)))
     leaves.start()
     assert np.allclose(leaves.sums([0], (w, 3 * w))[2].sum(), 900 * len(layout.live))
+
+
+def test_a_folds_rows_in_parts_give_the_trees_of_one_part(spark, monkeypatch):
+    """Cores without a fold take parts of a fold's rows; their processes end with the job's rounds."""
+    import multiprocessing
+    rng = np.random.default_rng(12)
+    x = rng.integers(0, 60, (900, 3)).astype(float)
+    y = (x[:, 0] + x[:, 1] * (x[:, 2] > 20) + rng.normal(0, 9, 900) > 70).astype(np.int8)
+    layout = boosting.Layout([np.arange(59.0)] * 3)
+    growth = boosting.Growth(layout, None, 12, 0.2, 15, 1.0)
+    codes = boosting._by_row(layout.pack([np.searchsorted(e, x[:, f]) for f, e in enumerate(layout.edges)]))
+    monkeypatch.setattr(boosting, "PART_ROWS", 250)
+    found = [next(boosting._rounds_of_a_fold(growth, 4, cores)(iter([(0, codes, y, np.zeros(900))]))) for cores in (1, 3)]
+    (_, _, _, one), trees = found[0]
+    (_, _, _, several), others = found[1]
+    assert [t.feature for t in trees] == [t.feature for t in others] and len(trees[0].feature) > 3
+    assert np.allclose(one, several, atol=1e-9) and not multiprocessing.active_children()
+    parts = boosting.Parts(layout, codes, y, np.zeros(900), 3)
+    with pytest.raises(RuntimeError, match="KeyError"), parts:
+        parts.first.sums = lambda *a: None
+        parts.call("sums", boosting.Tree(), [7])
+    assert not multiprocessing.active_children()
